@@ -1,86 +1,88 @@
-"""Scalar building blocks, all built-in expressions that stay inside whole-stage code generation."""
+"""Scalar building blocks as SQL expression text.
+
+All of them are built-in expressions that stay inside whole-stage code generation.  Text keeps a wide
+projection to one call into the JVM, where a Column tree would take one call per node; use it with
+``selectExpr`` or ``F.expr``.  Arguments are SQL expressions themselves, mostly column names.
+"""
 
 from __future__ import annotations
 
 import uuid
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from datetime import datetime
 
 from oreflow.model import EntitySpec
 
 
-def iso_timestamp(ts: Column) -> Column:
+def timestamp_literal(at: datetime) -> str:
+    return f"TIMESTAMP_NTZ '{at.isoformat(sep=' ')}'"
+
+
+def iso_timestamp(ts: str) -> str:
     """ISO-8601 text; the six-digit fraction is printed only when it is not zero."""
-    fraction = F.date_format(ts, ".SSSSSS")
-    seconds = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    return F.when(fraction != ".000000", F.concat(seconds, fraction)).otherwise(seconds)
+    return (
+        f"concat(date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss\"), "
+        f"CASE WHEN date_format({ts}, 'SSSSSS') = '000000' THEN '' ELSE date_format({ts}, '.SSSSSS') END)"
+    )
 
 
-def decimal_text(value: Column) -> Column:
-    return value.cast("decimal(18,2)").cast("string")
+def decimal_text(value: str) -> str:
+    return f"CAST(CAST({value} AS DECIMAL(18,2)) AS STRING)"
 
 
-def _as_text(spec: EntitySpec, name: str) -> Column:
+def _as_text(spec: EntitySpec, name: str) -> str:
     kind = spec.columns[name]
     if kind.startswith("TIMESTAMP"):
-        return iso_timestamp(F.col(name))
+        return iso_timestamp(name)
     if kind.startswith("DECIMAL"):
-        return decimal_text(F.col(name))
-    return F.col(name).cast("string")
+        return decimal_text(name)
+    return f"CAST({name} AS STRING)"
 
 
-def record_hash(spec: EntitySpec) -> Column:
+def record_hash(spec: EntitySpec) -> str:
     """32-byte SHA-256 over the entity's business columns, joined by '|', null as ''.
 
     Each part is made non-null first: concat_ws would otherwise skip it together with its delimiter.
     """
-    parts = [F.coalesce(_as_text(spec, c), F.lit("")) for c in spec.hash_columns]
-    return F.unhex(F.sha2(F.concat_ws("|", *parts), 256))
+    parts = ", ".join(f"coalesce({_as_text(spec, c)}, '')" for c in spec.hash_columns)
+    return f"unhex(sha2(concat_ws('|', {parts}), 256))"
 
 
-def hash_hex(column: str = "record_hash") -> Column:
-    return F.lower(F.hex(F.col(column)))
+def hash_hex(value: str = "record_hash") -> str:
+    return f"lower(hex({value}))"
 
 
-def round_to_millis(ts: Column) -> Column:
+def round_to_millis(ts: str) -> str:
     """Round half up to a whole millisecond, without leaving local (zone-free) time."""
-    over = F.date_format(ts, "SSSSSS").cast("int") % 1000
-    return F.timestamp_add("MICROSECOND", F.when(over >= 500, 1000 - over).otherwise(-over), ts)
+    over = f"CAST(date_format({ts}, 'SSSSSS') AS INT) % 1000"
+    return f"timestampadd(MICROSECOND, CASE WHEN {over} >= 500 THEN 1000 - {over} ELSE -({over}) END, {ts})"
 
 
-def duration_ms(start: Column, end: Column) -> Column:
+def duration_ms(start: str, end: str) -> str:
     """Millisecond boundaries crossed between two times; null while there is no end."""
-    return F.unix_millis(end.cast("timestamp")) - F.unix_millis(start.cast("timestamp"))
+    return f"unix_millis(CAST({end} AS TIMESTAMP)) - unix_millis(CAST({start} AS TIMESTAMP))"
 
 
-def metric_date(ts: Column) -> Column:
-    return F.to_date(ts)
+def metric_date(ts: str) -> str:
+    return f"to_date({ts})"
 
 
-def or_zero(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0).cast("bigint"))
+def or_zero(value: str) -> str:
+    return f"coalesce({value}, 0L)"
 
 
-def success_rate_pct(successes: Column, total: Column) -> Column:
-    hundred = F.lit(100.0).cast("decimal(4,1)")
-    return (hundred * successes / F.nullif(total, F.lit(0).cast("bigint"))).cast("decimal(5,2)")
+def success_rate_pct(successes: str, total: str) -> str:
+    return f"CAST(100.0 * {successes} / nullif({total}, 0L) AS DECIMAL(5,2))"
 
 
-def average_decimal(value: Column) -> Column:
-    return F.avg(value.cast("decimal(18,2)")).cast("decimal(18,2)")
+def average_decimal(value: str) -> str:
+    return f"CAST(avg(CAST({value} AS DECIMAL(18,2))) AS DECIMAL(18,2))"
 
 
-def stable_id(name: Column, namespace: uuid.UUID = uuid.NAMESPACE_URL) -> Column:
-    """Name-based (version 5) UUID of a text column, equal to Python's ``uuid.uuid5``."""
-    digest = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
-    variant_digit = F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") % 4
-    variant = F.substring(F.lit("89ab"), variant_digit + 1, F.lit(1))
-    return F.concat_ws(
-        "-",
-        F.substring(digest, 1, 8),
-        F.substring(digest, 9, 4),
-        F.concat(F.lit("5"), F.substring(digest, 14, 3)),
-        F.concat(variant, F.substring(digest, 18, 3)),
-        F.substring(digest, 21, 12),
+def stable_id(name: str, namespace: uuid.UUID = uuid.NAMESPACE_URL) -> str:
+    """Name-based (version 5) UUID of a text expression, equal to Python's ``uuid.uuid5``."""
+    digest = f"sha1(concat(unhex('{namespace.hex}'), encode({name}, 'UTF-8')))"
+    variant = f"substring('89ab', CAST(conv(substring({digest}, 17, 1), 16, 10) AS INT) % 4 + 1, 1)"
+    return (
+        f"concat(substring({digest}, 1, 8), '-', substring({digest}, 9, 4), '-5', substring({digest}, 14, 3), '-', "
+        f"{variant}, substring({digest}, 18, 3), '-', substring({digest}, 21, 12))"
     )

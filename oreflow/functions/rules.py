@@ -1,66 +1,55 @@
-"""Field rules as Columns: message lists, joined reasons and the matching pass predicate."""
+"""Field rules as SQL expression text: message lists, joined reasons and the matching pass predicate."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from oreflow.model import EntitySpec, Parent
 
 
-def field_messages(spec: EntitySpec) -> Column:
+def field_messages(spec: EntitySpec) -> str:
     """Messages of the failed list-form rules, in rule order; empty when the row is fine."""
-    return F.array_compact(
-        F.array(*[F.when(F.expr(r.fails), F.expr(r.message)) for r in spec.list_rules])
-    )
+    arms = ", ".join(f"CASE WHEN {r.fails} THEN {r.message} END" for r in spec.list_rules)
+    return f"array_compact(array({arms}))"
 
 
-def field_errors(spec: EntitySpec) -> Column:
+def field_errors(spec: EntitySpec) -> str:
     """Failed named rules as ``array<struct<rule, message>>``."""
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(F.expr(r.fails), F.struct(F.lit(r.name).alias("rule"), F.expr(r.message).alias("message")))
-                for r in spec.list_rules
-            ]
-        )
+    arms = ", ".join(
+        f"CASE WHEN {r.fails} THEN named_struct('rule', '{r.name}', 'message', {r.message}) END"
+        for r in spec.list_rules
     )
+    return f"array_compact(array({arms}))"
 
 
-def any_field_error(spec: EntitySpec) -> Column:
-    return F.coalesce(F.expr(" OR ".join(f"({r.fails})" for r in spec.list_rules)), F.lit(False))
+def any_field_error(spec: EntitySpec) -> str:
+    return f"coalesce({' OR '.join(f'({r.fails})' for r in spec.list_rules)}, false)"
 
 
-def fields_valid(spec: EntitySpec) -> Column:
+def fields_valid(spec: EntitySpec) -> str:
     """Pass predicate of the load rules.  A null operand gives null, so a filter drops the row."""
-    return reduce(and_, [~F.expr(r.fails) for r in spec.rules], F.lit(True))
+    return " AND ".join(f"NOT ({r.fails})" for r in spec.rules) or "true"
 
 
-def _arm(failed: Column, text: str) -> Column:
-    # Every arm ends in otherwise(''): Spark's concat is null as soon as one part is.
-    return F.when(failed, F.lit(text)).otherwise(F.lit(""))
+def _arm(failed: str, text: str) -> str:
+    # Every arm ends in ELSE '': Spark's concat is null as soon as one part is.
+    return f"CASE WHEN {failed} THEN '{text}' ELSE '' END"
 
 
-def parent_missing(spec: EntitySpec, parent: Parent, absent: Column) -> Column:
+def _parent_missing(spec: EntitySpec, parent: Parent, absent: str) -> str:
     """Whether a missing parent is to be reported for this row."""
-    if parent.after_fields:
-        return fields_valid(spec) & absent
-    return (F.col(parent.column) > 0) & absent
+    gate = fields_valid(spec) if parent.after_fields else f"{parent.column} > 0"
+    return f"{gate} AND {absent}"
 
 
-def failure_reason(spec: EntitySpec, absent: dict[str, Column] | None = None) -> Column:
+def failure_reason(spec: EntitySpec, absent: dict[str, str] | None = None) -> str:
     """Joined reasons of a row, '' when there are none.
 
-    ``absent`` maps a parent entity to a boolean Column telling that the row's parent is not there.
-    Orders record a missing parent as a text of its own, without the '; ' that ends all other reasons.
+    ``absent`` maps a parent entity to a predicate telling that the row's parent is not there.  Orders
+    record a missing parent as a text of its own, without the '; ' that ends all other reasons.
     """
     absent = absent or {}
-    arms = [_arm(F.expr(r.fails), f"{r.message}; ") for r in spec.rules]
+    arms = [_arm(r.fails, f"{r.message}; ") for r in spec.rules]
     suffix = "" if spec.name == "orders" else "; "
     for parent in spec.parents:
         if parent.entity in absent:
-            arms.append(_arm(parent_missing(spec, parent, absent[parent.entity]), parent.message + suffix))
-    return F.concat(*arms)
+            arms.append(_arm(_parent_missing(spec, parent, absent[parent.entity]), parent.message + suffix))
+    return f"concat({', '.join(arms)})"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.functions.columns import record_hash, round_to_millis
+from oreflow.functions.columns import record_hash, round_to_millis, timestamp_literal
 from oreflow.model import EntitySpec, RunContext
 
 
@@ -25,23 +25,25 @@ def enforce_contract(df: DataFrame, spec: EntitySpec) -> DataFrame:
 
     The checks ride along with the write, so they cost no scan of their own.
     """
-    problem = F.concat_ws("", *[F.when(F.expr(p), F.lit(f"{spec.name}: {n}; ")) for n, p in violations(spec).items()])
-    return df.withColumn(spec.key, F.when(problem != "", F.raise_error(problem)).otherwise(F.col(spec.key)))
+    arms = ", ".join(f"CASE WHEN {p} THEN '{spec.name}: {n}; ' END" for n, p in violations(spec).items())
+    problem = f"concat_ws('', {arms})"
+    return df.withColumn(
+        spec.key, F.expr(f"CASE WHEN {problem} <> '' THEN raise_error({problem}) ELSE {spec.key} END")
+    )
 
 
 def fingerprint(snapshot: DataFrame, spec: EntitySpec) -> DataFrame:
     """A source snapshot as landing rows: contract columns, source rounding and ``record_hash``."""
-    rounded = {c: round_to_millis(F.col(c)) for c in spec.millis_columns}
-    return snapshot.select(*spec.columns).withColumns({**rounded, "record_hash": record_hash(spec)})
+    columns = [f"{round_to_millis(c)} AS {c}" if c in spec.millis_columns else c for c in spec.columns]
+    return snapshot.selectExpr(*columns, f"{record_hash(spec)} AS record_hash")
 
 
 def stamp_lineage(df: DataFrame, ctx: RunContext) -> DataFrame:
-    return df.withColumns(
-        {
-            "ingested_at": F.lit(ctx.at).cast("timestamp_ntz"),
-            "pipeline_run_id": F.lit(ctx.pipeline_run_id),
-            "batch_id": F.lit(ctx.batch_id),
-        }
+    return df.selectExpr(
+        "*",
+        f"{timestamp_literal(ctx.at)} AS ingested_at",
+        f"'{ctx.pipeline_run_id}' AS pipeline_run_id",
+        f"'{ctx.batch_id}' AS batch_id",
     )
 
 

@@ -22,7 +22,7 @@ def run_metrics(runs: DataFrame) -> DataFrame:
         "started_at",
         "completed_at",
         "status",
-        duration_ms(F.col("started_at"), F.col("completed_at")).alias("duration_ms"),
+        F.expr(duration_ms("started_at", "completed_at")).alias("duration_ms"),
         "error_message",
     )
 
@@ -36,7 +36,7 @@ def stage_run_metrics(stages: DataFrame) -> DataFrame:
         "completed_at",
         "status",
         "rows_processed",
-        duration_ms(F.col("started_at"), F.col("completed_at")).alias("duration_ms"),
+        F.expr(duration_ms("started_at", "completed_at")).alias("duration_ms"),
         "error_message",
     )
 
@@ -98,43 +98,41 @@ def pipeline_health(
         quarantine_metrics(quarantine),
         event_metrics(events),
     )
-    return joined.select(
+    zeroed = "invalid_customers", "validation_errors", "retry_count", "recovery_count"
+    return joined.selectExpr(
         RUN,
         "pipeline_name",
         "started_at",
         "completed_at",
         "status",
         "duration_ms",
-        or_zero(F.col("bronze_rows_processed")).alias("bronze_rows_processed"),
-        or_zero(F.col("silver_rows_processed")).alias("silver_rows_processed"),
+        *[f"{or_zero(c)} AS {c}" for c in ("bronze_rows_processed", "silver_rows_processed")],
         # Stage durations stay null for a run without stage rows, so that averages leave it out.
         "bronze_duration_ms",
         "silver_duration_ms",
-        or_zero(F.col("invalid_customers")).alias("invalid_customers"),
-        or_zero(F.col("validation_errors")).alias("validation_errors"),
-        or_zero(F.col("retry_count")).alias("retry_count"),
-        or_zero(F.col("recovery_count")).alias("recovery_count"),
+        *[f"{or_zero(c)} AS {c}" for c in zeroed],
         "error_message",
     )
 
 
 def pipeline_daily_metrics(health: DataFrame) -> DataFrame:
-    succeeded, failed = F.count_if(F.col("status") == "SUCCESS"), F.count_if(F.col("status") == "FAILED")
+    succeeded = "count_if(status = 'SUCCESS')"
+    measures = {
+        "total_runs": "count(*)",
+        "successful_runs": succeeded,
+        "failed_runs": "count_if(status = 'FAILED')",
+        "success_rate_pct": success_rate_pct(succeeded, "count(*)"),
+        "retry_count": "sum(retry_count)",
+        "recovery_count": "sum(recovery_count)",
+        "invalid_customers": "sum(invalid_customers)",
+        "validation_errors": "sum(validation_errors)",
+        "average_duration_ms": average_decimal("duration_ms"),
+        "max_duration_ms": "max(duration_ms)",
+        "average_bronze_duration_ms": average_decimal("bronze_duration_ms"),
+        "average_silver_duration_ms": average_decimal("silver_duration_ms"),
+    }
     return (
         completed_only(health)
-        .groupBy(metric_date(F.col("started_at")).alias("metric_date"))
-        .agg(
-            F.count("*").alias("total_runs"),
-            succeeded.alias("successful_runs"),
-            failed.alias("failed_runs"),
-            success_rate_pct(succeeded, F.count("*")).alias("success_rate_pct"),
-            F.sum("retry_count").alias("retry_count"),
-            F.sum("recovery_count").alias("recovery_count"),
-            F.sum("invalid_customers").alias("invalid_customers"),
-            F.sum("validation_errors").alias("validation_errors"),
-            average_decimal(F.col("duration_ms")).alias("average_duration_ms"),
-            F.max("duration_ms").alias("max_duration_ms"),
-            average_decimal(F.col("bronze_duration_ms")).alias("average_bronze_duration_ms"),
-            average_decimal(F.col("silver_duration_ms")).alias("average_silver_duration_ms"),
-        )
+        .groupBy(F.expr(metric_date("started_at")).alias("metric_date"))
+        .agg(*[F.expr(sql).alias(name) for name, sql in measures.items()])
     )

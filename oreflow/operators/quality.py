@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oreflow.functions.columns import timestamp_literal
 from oreflow.functions.rules import any_field_error, field_errors
 from oreflow.model import CUSTOMERS, DEFAULT_INVALID_RATE_THRESHOLD, DUPLICATE_RULE, EntitySpec, RunContext
 from oreflow.operators.bronze import repeated_keys
@@ -37,7 +38,7 @@ def _replicate(df: DataFrame, copies: str) -> DataFrame:
 def _per_id(snapshot: DataFrame, spec: EntitySpec) -> DataFrame:
     """Row and error facts per id in one combinable aggregate over narrow columns."""
     return (
-        snapshot.select(spec.key, any_field_error(spec).alias("_bad"))
+        snapshot.selectExpr(spec.key, f"{any_field_error(spec)} AS _bad")
         .groupBy(spec.key)
         .agg(F.count("*").alias("_rows"), F.max("_bad").alias("_bad"))
         .select(spec.key, "_rows", ((F.col("_rows") > 1) | F.col("_bad")).alias("_invalid"))
@@ -89,13 +90,13 @@ def customer_errors(
     columns = list(spec.columns)
     field = (
         snapshot.filter(any_field_error(spec))
-        .select(*columns, F.explode(field_errors(spec)).alias("_e"))
-        .select(*columns, F.col("_e.rule").alias("validation_rule"), F.col("_e.message").alias("validation_message"))
+        .selectExpr(*columns, f"explode({field_errors(spec)}) AS _e")
+        .selectExpr(*columns, "_e.rule AS validation_rule", "_e.message AS validation_message")
     )
-    repeated = duplicate_customers(snapshot, spec, invalid).select(
+    repeated = duplicate_customers(snapshot, spec, invalid).selectExpr(
         *columns,
-        F.lit(DUPLICATE_RULE).alias("validation_rule"),
-        F.concat(F.lit("Duplicate CustomerID="), F.col(spec.key).cast("string")).alias("validation_message"),
+        f"'{DUPLICATE_RULE}' AS validation_rule",
+        f"concat('Duplicate CustomerID=', {spec.key}) AS validation_message",
     )
     return field.unionByName(repeated)
 
@@ -152,12 +153,11 @@ def customer_quality_gate(metrics: DataFrame, threshold: float | str = DEFAULT_I
 
 def quarantine_customers(errors: DataFrame, ctx: RunContext) -> DataFrame:
     """Error rows as customer quarantine rows.  There is no check for earlier ones: each attempt leaves its own."""
-    return errors.withColumns(
-        {
-            "quarantined_at": F.lit(ctx.at).cast("timestamp_ntz"),
-            "resolved_at": F.lit(None).cast("timestamp_ntz"),
-            "pipeline_run_id": F.lit(ctx.pipeline_run_id),
-        }
+    return errors.selectExpr(
+        "*",
+        f"{timestamp_literal(ctx.at)} AS quarantined_at",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS resolved_at",
+        f"'{ctx.pipeline_run_id}' AS pipeline_run_id",
     )
 
 

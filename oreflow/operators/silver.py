@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oreflow.functions.columns import timestamp_literal
 from oreflow.functions.rules import failure_reason, fields_valid
 from oreflow.model import EntitySpec, Parent, RunContext
 
@@ -13,7 +14,11 @@ INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
 def _parent_keys(parents: dict[str, DataFrame], parent: Parent) -> DataFrame:
     # Only the key of the parent is read and shuffled.  It is unique, so the join cannot fan out.
-    return parents[parent.entity].select(F.col(parent.column).alias(f"_{parent.entity}_key"))
+    return parents[parent.entity].selectExpr(f"{parent.column} AS _{parent.entity}_key")
+
+
+def _refers(parent: Parent) -> Column:
+    return F.expr(f"{parent.column} = _{parent.entity}_key")
 
 
 def with_parents(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
@@ -23,43 +28,33 @@ def with_parents(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySp
     otherwise splits hot referencing keys at run time (adaptive skew join splits the left side).
     """
     for parent in spec.parents:
-        keys = _parent_keys(parents, parent)
-        batch = batch.join(keys, F.col(parent.column) == F.col(f"_{parent.entity}_key"), "left")
+        batch = batch.join(_parent_keys(parents, parent), _refers(parent), "left")
     return batch
 
 
-def _absent(spec: EntitySpec) -> dict[str, Column]:
-    return {p.entity: F.col(f"_{p.entity}_key").isNull() for p in spec.parents}
-
-
 def check_batch(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
-    """The batch slice with ``failure_reason`` ('' when fine) and ``trusted`` (may enter Silver)."""
-    absent = _absent(spec)
-    trusted = fields_valid(spec)
-    for missing in absent.values():
-        trusted = trusted & ~missing
-    return (
-        with_parents(batch, parents, spec)
-        .withColumns({"failure_reason": failure_reason(spec, absent), "trusted": trusted})
-        .drop(*[f"_{p.entity}_key" for p in spec.parents])
+    """The batch's records with ``failure_reason``: '' for a row that may enter Silver."""
+    absent = {p.entity: f"_{p.entity}_key IS NULL" for p in spec.parents}
+    return with_parents(batch, parents, spec).selectExpr(
+        *spec.columns, f"{failure_reason(spec, absent)} AS failure_reason"
     )
 
 
+def rejected_rows(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
+    return check_batch(batch, parents, spec).filter("failure_reason <> ''")
+
+
 def orphans(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
     """Rows whose own fields pass but whose parent is missing (single-parent entities)."""
     (parent,) = spec.parents
-    keys = _parent_keys(parents, parent)
-    return batch.filter(fields_valid(spec)).join(
-        keys, F.col(parent.column) == F.col(f"_{parent.entity}_key"), "left_anti"
-    )
+    return batch.filter(fields_valid(spec)).join(_parent_keys(parents, parent), _refers(parent), "left_anti")
 
 
 def promotable(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
     """Rows that may enter Silver: fields pass and every parent is there."""
     trusted = batch.filter(fields_valid(spec)) if spec.rules else batch
     for parent in spec.parents:
-        keys = _parent_keys(parents, parent)
-        trusted = trusted.join(keys, F.col(parent.column) == F.col(f"_{parent.entity}_key"), "left_semi")
+        trusted = trusted.join(_parent_keys(parents, parent), _refers(parent), "left_semi")
     return trusted
 
 
@@ -73,33 +68,32 @@ def quarantine_new(
     """
     if quarantine is None:
         return rejected
-    held = quarantine.filter(F.col("batch_id") == ctx.batch_id).select(
-        F.col(spec.key).alias("_held_key"), F.col("failure_reason").alias("_held_reason")
+    held = quarantine.filter(F.col("batch_id") == ctx.batch_id).selectExpr(
+        f"{spec.key} AS _held_key", "failure_reason AS _held_reason"
     )
-    same = F.col(spec.key) == F.col("_held_key")
+    same = f"{spec.key} = _held_key"
     if spec.name == "orders":
         orphan = spec.parents[0].message
-        same = same & ((F.col("failure_reason") != orphan) | (F.col("_held_reason") == orphan))
-    return rejected.join(held, same, "left_anti")
+        same += f" AND (failure_reason <> '{orphan}' OR _held_reason = '{orphan}')"
+    return rejected.join(held, F.expr(same), "left_anti")
 
 
 def quarantine_rows(
-    checked: DataFrame, quarantine: DataFrame | None, spec: EntitySpec, ctx: RunContext
+    rejected: DataFrame, quarantine: DataFrame | None, spec: EntitySpec, ctx: RunContext
 ) -> DataFrame:
-    """New quarantine rows of a checked batch, one per bad record with all its reasons."""
-    rejected = checked.filter(F.col("failure_reason") != "").select(*spec.columns, "failure_reason")
-    return quarantine_new(rejected, quarantine, spec, ctx).withColumns(
-        {
-            "pipeline_run_id": F.lit(ctx.pipeline_run_id),
-            "quarantined_at": F.lit(ctx.at).cast("timestamp_ntz"),
-            "batch_id": F.lit(ctx.batch_id),
-        }
+    """Rejected rows as new quarantine rows, one per bad record with all its reasons."""
+    return quarantine_new(rejected, quarantine, spec, ctx).selectExpr(
+        *spec.columns,
+        "failure_reason",
+        f"'{ctx.pipeline_run_id}' AS pipeline_run_id",
+        f"{timestamp_literal(ctx.at)} AS quarantined_at",
+        f"'{ctx.batch_id}' AS batch_id",
     )
 
 
-def hash_changed(batch_hash: Column, silver_hash: Column) -> Column:
-    """Null on either side means 'not changed', as with SQL's <>."""
-    return batch_hash != silver_hash
+# A null fingerprint on either side means 'not changed', as with SQL's <>.
+def hash_changed(batch_hash: str, silver_hash: str) -> str:
+    return f"{batch_hash} <> {silver_hash}"
 
 
 def silver_new(batch: DataFrame, silver: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -108,10 +102,10 @@ def silver_new(batch: DataFrame, silver: DataFrame, spec: EntitySpec) -> DataFra
 
 def silver_changed(batch: DataFrame, silver: DataFrame, spec: EntitySpec) -> DataFrame:
     """Batch rows whose key is in Silver with another fingerprint."""
-    current = silver.select(F.col(spec.key).alias("_key"), F.col("record_hash").alias("_hash"))
-    return batch.join(
-        current, (F.col(spec.key) == F.col("_key")) & hash_changed(F.col("record_hash"), F.col("_hash"))
-    ).drop("_key", "_hash")
+    current = silver.selectExpr(f"{spec.key} AS _key", "record_hash AS _hash")
+    return batch.join(current, F.expr(f"{spec.key} = _key AND {hash_changed('record_hash', '_hash')}")).drop(
+        "_key", "_hash"
+    )
 
 
 def silver_merge(trusted: DataFrame, silver: DataFrame | None, spec: EntitySpec, ctx: RunContext) -> DataFrame:
@@ -120,39 +114,38 @@ def silver_merge(trusted: DataFrame, silver: DataFrame | None, spec: EntitySpec,
     One full outer join on the key, unique on both sides: each side is shuffled once, every row is
     classified once, and counts are a group over ``merge_action``.  Keys missing from the batch are kept.
     """
-    loaded = F.lit(ctx.at).cast("timestamp_ntz")
+    loaded, key = timestamp_literal(ctx.at), spec.key
     if silver is None:
-        unset = {c: F.lit(None).cast(spec.columns[c]) for c in spec.unset_in_silver}
-        return trusted.select(
-            *[unset.get(c, F.col(c)).alias(c) for c in spec.columns],
+        unset = {c: f"CAST(NULL AS {spec.columns[c]}) AS {c}" for c in spec.unset_in_silver}
+        return trusted.selectExpr(
+            *[unset.get(c, c) for c in spec.columns],
             "record_hash",
-            F.col("ingested_at").alias("source_ingested_at"),
-            loaded.alias("processed_at"),
-            F.lit(INSERT).alias("merge_action"),
+            "ingested_at AS source_ingested_at",
+            f"{loaded} AS processed_at",
+            f"'{INSERT}' AS merge_action",
         )
 
-    incoming = trusted.select(
-        *[F.col(c).alias(f"_b_{c}") for c in spec.columns if c not in spec.unset_in_silver],
-        F.col("record_hash").alias("_b_record_hash"),
-        F.col("ingested_at").alias("_b_source_ingested_at"),
+    incoming = trusted.selectExpr(
+        *[f"{c} AS _b_{c}" for c in spec.columns if c not in spec.unset_in_silver],
+        "record_hash AS _b_record_hash",
+        "ingested_at AS _b_source_ingested_at",
     )
-    in_batch, in_silver = F.col(f"_b_{spec.key}").isNotNull(), F.col(spec.key).isNotNull()
-    changed = hash_changed(F.col("_b_record_hash"), F.col("record_hash"))
     action = (
-        F.when(~in_silver, F.lit(INSERT)).when(in_batch & changed, F.lit(UPDATE)).otherwise(F.lit(KEEP))
+        f"CASE WHEN {key} IS NULL THEN '{INSERT}' WHEN _b_{key} IS NOT NULL "
+        f"AND {hash_changed('_b_record_hash', 'record_hash')} THEN '{UPDATE}' ELSE '{KEEP}' END AS merge_action"
     )
-    take = F.col("merge_action") != KEEP
+    taken = f"merge_action <> '{KEEP}'"
 
-    def pick(name: str) -> Column:
-        return F.when(take, F.col(f"_b_{name}")).otherwise(F.col(name)).alias(name)
+    def pick(name: str) -> str:
+        return f"CASE WHEN {taken} THEN _b_{name} ELSE {name} END AS {name}"
 
-    joined = incoming.join(silver, F.col(f"_b_{spec.key}") == F.col(spec.key), "full_outer")
-    return joined.withColumn("merge_action", action).select(
-        F.coalesce(spec.key, f"_b_{spec.key}").alias(spec.key),
-        *[F.col(c) if c in spec.unset_in_silver else pick(c) for c in spec.attributes],
+    joined = incoming.join(silver, F.expr(f"_b_{key} = {key}"), "full_outer")
+    return joined.selectExpr("*", action).selectExpr(
+        f"coalesce({key}, _b_{key}) AS {key}",
+        *[c if c in spec.unset_in_silver else pick(c) for c in spec.attributes],
         pick("record_hash"),
         pick("source_ingested_at"),
-        F.when(take, loaded).otherwise(F.col("processed_at")).alias("processed_at"),
+        f"CASE WHEN {taken} THEN {loaded} ELSE processed_at END AS processed_at",
         "merge_action",
     )
 

@@ -17,6 +17,7 @@ from oreflow.operators import customers as c
 from oreflow.plans import loads
 from oreflow.plans.scenario import CONTEXTS, EMAIL_SUFFIX, FIRST, HANDLED, INTERRUPTED, SECOND, Scenario, shown
 from oreflow.sources import testdata
+from oreflow.sources.local import local_rows
 from oreflow.sources.scratch import scratch_path
 from oreflow.sources.warehouse import Warehouse
 
@@ -119,15 +120,15 @@ def hashes(entity: str, s: Scenario) -> DataFrame:
 
 
 def iso_timestamp(s: Scenario) -> DataFrame:
-    midnight = F.to_date("ts").cast("timestamp_ntz")
-    return testdata.table(s.spark, s.sf_dir, "events").select(
-        "event_id", fc.iso_timestamp(F.col("ts")).alias("iso_text"), fc.iso_timestamp(midnight).alias("iso_midnight")
+    midnight = "CAST(to_date(ts) AS TIMESTAMP_NTZ)"
+    return testdata.table(s.spark, s.sf_dir, "events").selectExpr(
+        "event_id", f"{fc.iso_timestamp('ts')} AS iso_text", f"{fc.iso_timestamp(midnight)} AS iso_midnight"
     )
 
 
 def decimal_text(s: Scenario) -> DataFrame:
-    return s.source("products").select(
-        "product_id", *[fc.decimal_text(F.col(x)).alias(f"{x}_text") for x in ("unit_cost", "unit_price")]
+    return s.source("products").selectExpr(
+        "product_id", *[f"{fc.decimal_text(x)} AS {x}_text" for x in ("unit_cost", "unit_price")]
     )
 
 
@@ -140,33 +141,30 @@ def failure_reasons(entity: str, s: Scenario) -> DataFrame:
 
 
 def duration_ms(s: Scenario) -> DataFrame:
-    return s.runs().select(
-        "pipeline_run_id", fc.duration_ms(F.col("started_at"), F.col("completed_at")).alias("duration_ms")
-    )
+    return s.runs().selectExpr("pipeline_run_id", f"{fc.duration_ms('started_at', 'completed_at')} AS duration_ms")
 
 
 def metric_date(s: Scenario) -> DataFrame:
-    return s.runs().select("pipeline_run_id", fc.metric_date(F.col("started_at")).alias("metric_date"))
+    return s.runs().selectExpr("pipeline_run_id", f"{fc.metric_date('started_at')} AS metric_date")
 
 
 def null_defaults(s: Scenario) -> DataFrame:
     stages = monitoring.stage_metrics(s.stages())
-    rows = F.col("bronze_rows_processed")
-    return s.runs().join(stages, "pipeline_run_id", "left").select(
-        "pipeline_run_id",
-        fc.or_zero(rows).alias("rows_or_zero"),
-        F.nullif(fc.or_zero(rows), F.lit(0).cast("bigint")).alias("rows_or_null"),
+    rows = fc.or_zero("bronze_rows_processed")
+    return s.runs().join(stages, "pipeline_run_id", "left").selectExpr(
+        "pipeline_run_id", f"{rows} AS rows_or_zero", f"nullif({rows}, 0L) AS rows_or_null"
     )
 
 
 def success_rate_pct(s: Scenario) -> DataFrame:
-    rate = fc.success_rate_pct(F.count_if(F.col("status") == "SUCCESS"), F.count("*"))
-    return s.runs().groupBy(fc.metric_date(F.col("started_at")).alias("metric_date")).agg(rate.alias("success_rate_pct"))
+    rate = F.expr(fc.success_rate_pct("count_if(status = 'SUCCESS')", "count(*)"))
+    day = F.expr(fc.metric_date("started_at"))
+    return s.runs().groupBy(day.alias("metric_date")).agg(rate.alias("success_rate_pct"))
 
 
 def stable_batch_id(s: Scenario) -> DataFrame:
-    name = F.concat(F.lit("load:"), F.col("pipeline_run_id"))
-    return s.runs().select("pipeline_run_id", fc.stable_id(name).alias("batch_id"))
+    name = "concat('load:', pipeline_run_id)"
+    return s.runs().selectExpr("pipeline_run_id", f"{fc.stable_id(name)} AS batch_id")
 
 
 # --- predicates ----------------------------------------------------------------------------------------
@@ -184,7 +182,7 @@ def valid_customers(s: Scenario) -> DataFrame:
 
 def validate_list(entity: str, s: Scenario) -> DataFrame:
     spec = ENTITIES[entity]
-    return s.source(entity).select(spec.key, F.posexplode(field_messages(spec)).alias("position", "message"))
+    return s.source(entity).selectExpr(spec.key, f"posexplode({field_messages(spec)}) AS (position, message)")
 
 
 def field_valid(entity: str, s: Scenario) -> DataFrame:
@@ -196,9 +194,9 @@ def batch_scope(s: Scenario) -> DataFrame:
 
 
 def hash_changed(s: Scenario) -> DataFrame:
-    held = s.silver("products", 1).select("product_id", F.col("record_hash").alias("held"))
-    changed = silver.hash_changed(F.col("record_hash"), F.col("held"))
-    return s.batch("products").join(held, "product_id").select("product_id", _flag(changed, "changed"))
+    held = s.silver("products", 1).selectExpr("product_id", "record_hash AS held")
+    changed = silver.hash_changed("record_hash", "held")
+    return s.batch("products").join(held, "product_id").selectExpr("product_id", f"CAST({changed} AS INT) AS changed")
 
 
 def email_suffix_like(s: Scenario) -> DataFrame:
@@ -283,7 +281,7 @@ def avg_duration(s: Scenario) -> DataFrame:
     return (
         monitoring.run_metrics(s.runs())
         .groupBy("pipeline_name", "status")
-        .agg(fc.average_decimal(F.col("duration_ms")).alias("average_duration_ms"))
+        .agg(F.expr(fc.average_decimal("duration_ms")).alias("average_duration_ms"))
     )
 
 
@@ -363,7 +361,7 @@ def quarantine_customers(s: Scenario) -> DataFrame:
 
 
 def quarantine(entity: str, s: Scenario) -> DataFrame:
-    return silver.quarantine_rows(s.checked(entity), None, ENTITIES[entity], SECOND)
+    return silver.quarantine_rows(s.rejected(entity), None, ENTITIES[entity], SECOND)
 
 
 def promote_after_recovery(s: Scenario) -> DataFrame:
@@ -371,9 +369,9 @@ def promote_after_recovery(s: Scenario) -> DataFrame:
     batch, before = s.batch("orders"), s.silver("orders", 1)
     early, late = s.parents("orders", 1), s.parents("orders", 2)
     first = silver.silver_merge(silver.promotable(batch, early, ORDERS), before, ORDERS, INTERRUPTED)
-    evidence = silver.quarantine_rows(silver.check_batch(batch, early, ORDERS), None, ORDERS, INTERRUPTED)
+    evidence = silver.quarantine_rows(silver.rejected_rows(batch, early, ORDERS), None, ORDERS, INTERRUPTED)
     second = silver.silver_merge(silver.promotable(batch, late, ORDERS), first.drop("merge_action"), ORDERS, SECOND)
-    again = silver.quarantine_rows(silver.check_batch(batch, late, ORDERS), evidence, ORDERS, SECOND)
+    again = silver.quarantine_rows(silver.rejected_rows(batch, late, ORDERS), evidence, ORDERS, SECOND)
     attempt = [F.lit(n).alias("attempt") for n in (1, 2)]
     return _sum_facts([_silver_facts(first, evidence, attempt[0]), _silver_facts(second, again, attempt[1])], "attempt")
 
@@ -412,7 +410,7 @@ def _stage_rows(spark: SparkSession, results: dict[str, list[loads.StageResult]]
         for x in stages
     ]
     ddl = "batch_id STRING, stage_name STRING, rows_inserted BIGINT, rows_updated BIGINT, rows_quarantined BIGINT"
-    return spark.createDataFrame(rows, ddl)
+    return local_rows(spark, rows, ddl)
 
 
 def run_entity(s: Scenario) -> DataFrame:

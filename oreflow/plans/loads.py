@@ -26,7 +26,8 @@ from oreflow.model import (
 from oreflow.operators.bronze import bronze_new_rows, enforce_contract, fingerprint, reject_repeated_keys
 from oreflow.operators.lifecycle import BatchRejectedError, batch_transition, successful_batches
 from oreflow.operators.quality import customer_quality_gate, invalid_ids, process_customers
-from oreflow.operators.silver import check_batch, quarantine_rows, silver_merge
+from oreflow.operators.silver import quarantine_rows, rejected_rows, silver_merge
+from oreflow.sources.local import local_rows
 from oreflow.sources.warehouse import Warehouse
 
 Extractor = Callable[[], DataFrame]
@@ -64,6 +65,7 @@ class Journal:
     def __init__(self, warehouse: Warehouse, ctx: RunContext, pipeline_name: str):
         self.warehouse, self.ctx, self.pipeline_name = warehouse, ctx, pipeline_name
         self.run_started = self.batch_started = None
+        self._ended_stages: list[tuple] = []
 
     def _seq(self) -> int:
         return time.time_ns() // 1000 * 1000 + next(self._tick) % 1000
@@ -86,8 +88,8 @@ class Journal:
     def claim_batch(self) -> None:
         """Take the batch for this attempt, or raise when it is running, done or another pipeline's."""
         log = self.warehouse.log("batches").filter(F.col("batch_id") == self.ctx.batch_id)
-        request = self.warehouse.spark.createDataFrame(
-            [(self.ctx.batch_id, self.pipeline_name)], "batch_id STRING, pipeline_name STRING"
+        request = local_rows(
+            self.warehouse.spark, [(self.ctx.batch_id, self.pipeline_name)], "batch_id STRING, pipeline_name STRING"
         )
         claim = batch_transition(request, log).first()
         if claim.message is not None:
@@ -97,27 +99,33 @@ class Journal:
 
     def close(self, status: str, rows: int | None = None, error: str | None = None) -> None:
         """Close the batch, if this attempt holds it, and the run."""
+        self._write_stages()
         if self.batch_started is not None:
             self._batch_row(_now(), status, rows, error)
         self._run_row(_now(), status, error)
 
+    def _write_stages(self, *started: tuple) -> None:
+        rows, self._ended_stages = [*self._ended_stages, *started], []
+        if rows:
+            self.warehouse.append_log("stage_runs", rows)
+
     @contextmanager
     def stage(self, name: str) -> Iterator[dict]:
+        """Logs a stage's start at once, and its end together with the next start or the end of the run."""
         stage_id, started, info = str(uuid.uuid4()), _now(), {"rows_processed": None}
 
-        def row(completed: datetime | None, status: str, error: str | None = None) -> None:
-            self.warehouse.append_log(
-                "stage_runs",
-                [(stage_id, self.ctx.pipeline_run_id, name, started, completed, status, info["rows_processed"], error, self._seq())],
-            )
+        def row(completed: datetime | None, status: str, error: str | None = None) -> tuple:
+            rows = info["rows_processed"]
+            run_id = self.ctx.pipeline_run_id
+            return (stage_id, run_id, name, started, completed, status, rows, error, self._seq())
 
-        row(None, "RUNNING")
+        self._write_stages(row(None, "RUNNING"))
         try:
             yield info
         except Exception as exc:
-            row(_now(), "FAILED", str(exc))
+            self._ended_stages.append(row(_now(), "FAILED", str(exc)))
             raise
-        row(_now(), "SUCCESS")
+        self._ended_stages.append(row(_now(), "SUCCESS"))
 
 
 def batch_is_successful(warehouse: Warehouse, batch_id: str) -> bool:
@@ -204,13 +212,7 @@ def load_silver(warehouse: Warehouse, spec: EntitySpec, ctx: RunContext) -> dict
     if spec.has_quarantine:
         parents = {p.entity: warehouse.silver_or_empty(ENTITIES[p.entity]) for p in spec.parents}
         stage = f"{spec.name}_rejected"
-        rejected = warehouse.stage(
-            stage,
-            ctx,
-            check_batch(batch, parents, spec)
-            .filter(F.col("failure_reason") != "")
-            .select(*spec.columns, "failure_reason"),
-        )
+        rejected = warehouse.stage(stage, ctx, rejected_rows(batch, parents, spec))
         held = warehouse.quarantine_part(spec, ctx)
         quarantined = warehouse.append_quarantine(spec, ctx, quarantine_rows(rejected, held, spec, ctx))
         batch = batch.filter(fields_valid(spec)).join(rejected.select(spec.key), spec.key, "left_anti")

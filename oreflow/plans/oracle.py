@@ -100,9 +100,9 @@ CTES["orders_2"] = f"""
             ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS total_amount
     FROM orders"""
 CTES["order_items_2"] = f"""
-    SELECT CASE WHEN l_orderkey % 487 = 3 THEN -1 ELSE 1 END * CAST('0x' || substr(sha256(l_orderkey || '|'
-            || l_linenumber || '|' || l_partkey || '|' || l_suppkey || '|' || CAST(l_quantity AS INTEGER)), 1, 15)
-            AS BIGINT) AS order_item_id,
+    SELECT CASE WHEN l_orderkey % 487 = 3 THEN -1 ELSE 1 END * (l_orderkey * 10000000000 +
+            (((l_linenumber * 51 + CAST(l_quantity AS BIGINT)) * 1000000000 + l_partkey) * 10000000 + l_suppkey)
+            % 9999999967) AS order_item_id,
         l_orderkey AS order_id,
         CASE WHEN l_partkey % 503 = 7 THEN l_partkey + {NOWHERE} ELSE l_partkey END AS product_id,
         CASE WHEN l_orderkey % 499 = 1 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity,

@@ -16,7 +16,7 @@ from oreflow.functions.columns import hash_hex
 from oreflow.model import ENTITIES, RunContext
 from oreflow.operators.bronze import fingerprint, stamp_lineage
 from oreflow.operators.quality import valid_customers
-from oreflow.operators.silver import check_batch, promotable, silver_merge
+from oreflow.operators.silver import promotable, rejected_rows, silver_merge
 from oreflow.sources import testdata
 
 FIRST = RunContext("00000000-0000-4000-8000-0000000000a1", "00000000-0000-4000-8000-0000000000b1", datetime(2024, 2, 1))
@@ -41,7 +41,7 @@ EMAIL_SUFFIX = "@example.test"
 
 def shown(df: DataFrame) -> DataFrame:
     """Query output form: the binary fingerprint as lower-case hex."""
-    return df.withColumn("record_hash", hash_hex()) if "record_hash" in df.columns else df
+    return df.withColumn("record_hash", F.expr(hash_hex()))
 
 
 def once(method):
@@ -103,13 +103,8 @@ class Scenario:
         return self.merged(entity, batch).drop("merge_action")
 
     @once
-    def checked(self, entity: str) -> DataFrame:
-        return check_batch(self.batch(entity), self.parents(entity), ENTITIES[entity])
-
     def rejected(self, entity: str) -> DataFrame:
-        return self.checked(entity).filter(F.col("failure_reason") != "").select(
-            *ENTITIES[entity].columns, "failure_reason"
-        )
+        return rejected_rows(self.batch(entity), self.parents(entity), ENTITIES[entity])
 
     def held_quarantine(self, entity: str) -> DataFrame:
         """Evidence the interrupted attempt left behind."""

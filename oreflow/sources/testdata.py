@@ -27,6 +27,8 @@ SOURCE_DDL = {
 # Added to a key to make it point nowhere, or to give a row the older key it had in an earlier snapshot.
 NOWHERE = 1_000_000_000_000_000
 OLDER_KEY = 2_000_000_000_000_000
+# Odd and not divisible by five, just below ten digits.
+LINE_MODULUS = 9_999_999_967
 
 MAPPINGS = {
     "customers": (
@@ -69,10 +71,11 @@ MAPPINGS = {
     "order_items": (
         "lineitem",
         (
-            # No unique key in the source: 60 bits of a digest over the columns that are unique together.
-            "CASE WHEN l_orderkey % 487 = 3 THEN -1 ELSE 1 END * CAST(conv(substr(sha2(concat_ws('|', l_orderkey, "
-            "l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INT)), 256), 1, 15), 16, 10) AS BIGINT) "
-            "AS order_item_id",
+            # The source has no unique key.  Ten digits mixed from the columns that tell an order's lines apart
+            # follow the order key; exact 64-bit arithmetic up to 9e8 orders.
+            "CASE WHEN l_orderkey % 487 = 3 THEN -1 ELSE 1 END * (l_orderkey * 10000000000 + "
+            "(((l_linenumber * 51 + CAST(l_quantity AS BIGINT)) * 1000000000 + l_partkey) * 10000000 + l_suppkey) "
+            f"% {LINE_MODULUS}) AS order_item_id",
             "l_orderkey AS order_id",
             f"CASE WHEN l_partkey % 503 = 7 THEN l_partkey + {NOWHERE} ELSE l_partkey END AS product_id",
             "CASE WHEN l_orderkey % 499 = 1 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity",
@@ -150,8 +153,8 @@ def _pipeline_name() -> Column:
     return F.when(F.col("user_id") % 5 == 0, COMMERCE_PIPELINE).otherwise(CUSTOMER_PIPELINE)
 
 
-def _batch_id() -> Column:
-    return stable_id(F.concat(F.lit("load:"), F.col("pipeline_run_id")))
+def _batch_id(prefix: str = "load:") -> Column:
+    return F.expr(stable_id(f"concat('{prefix}', pipeline_run_id)"))
 
 
 def pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,9 +264,8 @@ def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One claim per run: mostly its own batch, some by another pipeline, some for a batch never seen."""
     days = _events(spark, sf_dir).select("user_id", "day").distinct()
     run = days.withColumn("pipeline_run_id", _run_id())
-    unseen = stable_id(F.concat(F.lit("new:"), F.col("pipeline_run_id")))
     return run.select(
-        F.when(F.col("user_id") % 11 == 0, unseen).otherwise(_batch_id()).alias("batch_id"),
+        F.when(F.col("user_id") % 11 == 0, _batch_id("new:")).otherwise(_batch_id()).alias("batch_id"),
         F.when(F.col("user_id") % 7 == 0, "nightly").otherwise(_pipeline_name()).alias("pipeline_name"),
     )
 

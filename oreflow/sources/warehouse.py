@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from oreflow.model import BATCH_LOG_DDL, EVENT_LOG_DDL, LEDGER_DDL, RUN_LOG_DDL, STAGE_LOG_DDL, EntitySpec, RunContext
 from oreflow.operators.silver import merge_counts
+from oreflow.sources.local import local_rows
 
 LOGS = {
     "pipeline_runs": RUN_LOG_DDL,
@@ -37,6 +38,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = keep_versions
+        self._published: dict[str, list[tuple[int, str]]] = {}
 
     # --- files ---------------------------------------------------------------------------------------
 
@@ -61,7 +63,7 @@ class Warehouse:
         return (reader.option("basePath", base) if base else reader).parquet(path)
 
     def empty(self, ddl: str) -> DataFrame:
-        return self.spark.createDataFrame([], ddl)
+        return local_rows(self.spark, [], ddl)
 
     # --- stage ---------------------------------------------------------------------------------------
 
@@ -126,16 +128,22 @@ class Warehouse:
 
     # --- silver --------------------------------------------------------------------------------------
 
-    def _versions(self, spec: EntitySpec) -> list:
-        """The newest published versions of an entity, at most ``keep_versions``."""
-        ledger = self.log("silver_ledger").filter(F.col("entity") == spec.name)
-        return ledger.orderBy(F.desc("version")).limit(self.keep_versions + 1).collect()
+    def _versions(self, spec: EntitySpec) -> list[tuple[int, str]]:
+        """``(version, path)`` of the newest published versions, newest first.
+
+        Read from the ledger once and then kept up to date by this object: a warehouse has one writer.
+        """
+        if spec.name not in self._published:
+            ledger = self.log("silver_ledger").filter(F.col("entity") == spec.name)
+            newest = ledger.orderBy(F.desc("version")).limit(self.keep_versions).select("version", "path")
+            self._published[spec.name] = [tuple(row) for row in newest.collect()]
+        return self._published[spec.name]
 
     def silver(self, spec: EntitySpec) -> DataFrame | None:
         versions = self._versions(spec)
         if not versions:
             return None
-        return self.spark.read.schema(spec.silver_ddl).parquet(f"{self.root}/{versions[0].path}")
+        return self.spark.read.schema(spec.silver_ddl).parquet(f"{self.root}/{versions[0][1]}")
 
     def silver_or_empty(self, spec: EntitySpec) -> DataFrame:
         found = self.silver(spec)
@@ -146,7 +154,7 @@ class Warehouse:
     ) -> dict[str, int]:
         """Write the next state in one pass, then make it current by one ledger row."""
         versions = self._versions(spec)
-        version = versions[0].version + 1 if versions else 1
+        version = versions[0][0] + 1 if versions else 1
         path = f"silver/{spec.name}/{version}-{ctx.pipeline_run_id}"
         merged.write.mode("overwrite").parquet(f"{self.root}/{path}")
         # Reads back one dictionary-encoded column of the committed files.
@@ -157,8 +165,10 @@ class Warehouse:
             "silver_ledger",
             [(spec.name, version, path, ctx.pipeline_run_id, ctx.batch_id, *counts.values(), ctx.at)],
         )
-        for old in versions[self.keep_versions - 1 :]:
-            self._delete(f"{self.root}/{old.path}")
+        current = [(version, path), *versions]
+        for _, old in current[self.keep_versions :]:
+            self._delete(f"{self.root}/{old}")
+        self._published[spec.name] = current[: self.keep_versions]
         return counts
 
     # --- logs ----------------------------------------------------------------------------------------
@@ -169,6 +179,5 @@ class Warehouse:
 
     def append_log(self, name: str, rows: list[tuple] | DataFrame) -> None:
         if not isinstance(rows, DataFrame):
-            # A handful of rows the driver made itself: one file.
-            rows = self.spark.createDataFrame(rows, LOGS[name]).coalesce(1)
+            rows = local_rows(self.spark, rows, LOGS[name]).coalesce(1)
         rows.write.mode("append").parquet(f"{self.root}/ops/{name}")

@@ -6,6 +6,7 @@ def session(cpus: str = "8") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("oreflow")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
