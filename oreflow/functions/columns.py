@@ -18,11 +18,12 @@ def timestamp_literal(at: datetime) -> str:
 
 
 def iso_timestamp(ts: str) -> str:
-    """ISO-8601 text; the six-digit fraction is printed only when it is not zero."""
-    return (
-        f"concat(date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss\"), "
-        f"CASE WHEN date_format({ts}, 'SSSSSS') = '000000' THEN '' ELSE date_format({ts}, '.SSSSSS') END)"
-    )
+    """ISO-8601 text of a zone-free time; the six-digit fraction is printed only when it is not zero.
+
+    Built on the cast to text, which depends on no session time zone and drops trailing zeros.
+    """
+    text = f"replace(CAST({ts} AS STRING), ' ', 'T')"
+    return f"CASE WHEN char_length({text}) > 19 THEN rpad({text}, 26, '0') ELSE {text} END"
 
 
 def decimal_text(value: str) -> str:
@@ -53,13 +54,18 @@ def hash_hex(value: str = "record_hash") -> str:
 
 def round_to_millis(ts: str) -> str:
     """Round half up to a whole millisecond, without leaving local (zone-free) time."""
-    over = f"CAST(date_format({ts}, 'SSSSSS') AS INT) % 1000"
+    over = f"CAST(rpad(substring(CAST({ts} AS STRING), 21), 6, '0') AS INT) % 1000"
     return f"timestampadd(MICROSECOND, CASE WHEN {over} >= 500 THEN 1000 - {over} ELSE -({over}) END, {ts})"
 
 
+def _epoch_millis(ts: str) -> str:
+    # Read as UTC whatever the session's zone is, so that no local clock change falls between two times.
+    return f"unix_millis(CAST(concat(CAST({ts} AS STRING), 'Z') AS TIMESTAMP))"
+
+
 def duration_ms(start: str, end: str) -> str:
     """Millisecond boundaries crossed between two times; null while there is no end."""
-    return f"unix_millis(CAST({end} AS TIMESTAMP)) - unix_millis(CAST({start} AS TIMESTAMP))"
+    return f"{_epoch_millis(end)} - {_epoch_millis(start)}"
 
 
 def metric_date(ts: str) -> str:

@@ -135,10 +135,10 @@ def failure_summary(failed_runs: DataFrame, attempts: DataFrame) -> DataFrame:
         F.coalesce("error_message", F.lit(FAILED_WITHOUT_ERROR)).alias("error_message"),
         "try_number",
     )
-    # A later failure of the same stage replaces the earlier one; equal times fall back to the texts.
-    rank = F.struct(position, -F.unix_micros(F.col("ended_at").cast("timestamp")), "error_type", "error_message")
+    # A later failure of the same stage replaces the earlier one; equal times fall back to try and texts.
+    rank = F.struct(-position, "ended_at", "try_number", "error_type", "error_message")
     first = (
-        attempts.filter(F.col("state") == "failed").groupBy("pipeline_run_id").agg(F.min_by(detail, rank).alias("_d"))
+        attempts.filter(F.col("state") == "failed").groupBy("pipeline_run_id").agg(F.max_by(detail, rank).alias("_d"))
     )
     return failed_runs.select("pipeline_run_id").join(first, "pipeline_run_id", "left").select(
         "pipeline_run_id",

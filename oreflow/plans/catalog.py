@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,16 @@ def _warehouse(spark: SparkSession, label: str) -> Warehouse:
     return Warehouse(spark, scratch_path(spark, label))
 
 
+@contextmanager
+def _throwaway(spark: SparkSession, label: str) -> Iterator[Warehouse]:
+    """A warehouse for a query whose result does not read from it."""
+    warehouse = _warehouse(spark, label)
+    try:
+        yield warehouse
+    finally:
+        warehouse.remove()
+
+
 def _key_and_hash(df: DataFrame, entity: str) -> DataFrame:
     return shown(df.select(ENTITIES[entity].key, "record_hash"))
 
@@ -415,25 +426,28 @@ def _stage_rows(spark: SparkSession, results: dict[str, list[loads.StageResult]]
 
 def run_entity(s: Scenario) -> DataFrame:
     """Customers, then the orders that need them, each through Bronze and Silver."""
-    warehouse, stages = _warehouse(s.spark, "entity"), []
-    for spec in (CUSTOMERS, ORDERS):
-        stages += loads.run_entity(warehouse, spec, partial(s.source, spec.name), SECOND)
+    stages = []
+    with _throwaway(s.spark, "entity") as warehouse:
+        for spec in (CUSTOMERS, ORDERS):
+            stages += loads.run_entity(warehouse, spec, partial(s.source, spec.name), SECOND)
     return _stage_rows(s.spark, {SECOND.batch_id: stages})
 
 
 def run_commerce(s: Scenario) -> DataFrame:
     """Both batches through all five entities; stage results per batch."""
-    warehouse, results = _warehouse(s.spark, "commerce"), {}
-    for number, ctx in CONTEXTS.items():
-        extractors = {entity: partial(s.source, entity, number) for entity in ENTITIES}
-        results[ctx.batch_id] = loads.run_commerce(warehouse, extractors, ctx).stages
+    results = {}
+    with _throwaway(s.spark, "commerce") as warehouse:
+        for number, ctx in CONTEXTS.items():
+            extractors = {entity: partial(s.source, entity, number) for entity in ENTITIES}
+            results[ctx.batch_id] = loads.run_commerce(warehouse, extractors, ctx).stages
     return _stage_rows(s.spark, results)
 
 
 def run_customer(s: Scenario) -> DataFrame:
-    warehouse, results = _warehouse(s.spark, "customer"), {}
-    for number, ctx in CONTEXTS.items():
-        results[ctx.batch_id] = loads.run_customer(warehouse, partial(s.source, "customers", number), ctx).stages
+    results = {}
+    with _throwaway(s.spark, "customer") as warehouse:
+        for number, ctx in CONTEXTS.items():
+            results[ctx.batch_id] = loads.run_customer(warehouse, partial(s.source, "customers", number), ctx).stages
     return _stage_rows(s.spark, results)
 
 

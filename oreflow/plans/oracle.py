@@ -34,7 +34,7 @@ SINGLE_PARENT = {"orders": "customers", "payments": "orders"}
 
 HANDLED = {
     "customers": "phone < '555-2'",
-    "products": "unit_price < 1000",
+    "products": "product_name < 'm'",
     "orders": "order_date < TIMESTAMP '1996-01-01 00:00:00'",
     "order_items": "quantity < 25",
     "payments": "payment_date < TIMESTAMP '1996-01-01 00:00:00'",

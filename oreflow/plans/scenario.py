@@ -30,7 +30,7 @@ CONTEXTS = {1: FIRST, 2: SECOND}
 # The rows the interrupted attempt had already handled.
 HANDLED = {
     "customers": "phone < '555-2'",
-    "products": "unit_price < 1000",
+    "products": "product_name < 'm'",
     "orders": "order_date < TIMESTAMP_NTZ '1996-01-01 00:00:00'",
     "order_items": "quantity < 25",
     "payments": "payment_date < TIMESTAMP_NTZ '1996-01-01 00:00:00'",

@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="oreflow-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``.  Only a local session may go without the setting."""
-    base = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
+    base = spark.conf.get(SETTING, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{SETTING} must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="oreflow-")
-        spark.conf.set(SETTING, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/oreflow/{label}-{uuid.uuid4()}"

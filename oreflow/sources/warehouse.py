@@ -62,6 +62,10 @@ class Warehouse:
         reader = self.spark.read.schema(ddl)
         return (reader.option("basePath", base) if base else reader).parquet(path)
 
+    def remove(self) -> None:
+        """Delete everything below the root."""
+        self._delete(self.root)
+
     def empty(self, ddl: str) -> DataFrame:
         return local_rows(self.spark, [], ddl)
 
