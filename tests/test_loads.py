@@ -1,0 +1,133 @@
+import pytest
+
+from oreflow.model import CUSTOMERS, ENTITIES, ORDERS
+from oreflow.operators.lifecycle import BatchRejectedError, latest_state
+from oreflow.operators.quality import DataQualityError
+from oreflow.plans import loads
+from tests import rows
+
+
+def graph(spark, **changed):
+    """One row per entity, with a consistent chain of references; ``changed`` replaces an entity's rows."""
+    given = {
+        "customers": [rows.customer(990001)],
+        "products": [rows.product(990001)],
+        "orders": [rows.order(990001, customer_id=990001, total="100.00")],
+        "order_items": [rows.item(990001, order_id=990001, product_id=990001, price="50.00")],
+        "payments": [rows.payment(990001, order_id=990001)],
+    } | changed
+    return {e: (lambda e=e: rows.frame(spark, ENTITIES[e], *given[e])) for e in ENTITIES}
+
+
+def state(warehouse, log, key):
+    return latest_state(warehouse.log(log), key).collect()
+
+
+def test_five_entities_end_to_end(spark, warehouse):
+    result = loads.run_commerce(warehouse, graph(spark), rows.context())
+    assert [s.stage_name for s in result.stages] == [f"{e}_{layer}" for e in ENTITIES for layer in ("bronze", "silver")]
+    assert all((s.rows_inserted, s.rows_updated, s.rows_quarantined) == (1, 0, 0) for s in result.stages)
+    (run,) = state(warehouse, "pipeline_runs", "pipeline_run_id")
+    (batch,) = state(warehouse, "batches", "batch_id")
+    assert (run.status, run.pipeline_name, batch.status, batch.rows_processed) == ("SUCCESS", "commerce", "SUCCESS", 5)
+    stages = state(warehouse, "stage_runs", "stage_run_id")
+    assert {s.status for s in stages} == {"SUCCESS"}
+    assert sorted(s.stage_name for s in stages) == sorted([s.stage_name for s in result.stages] + ["customers_validate"])
+    assert loads.batch_is_successful(warehouse, "batch-1")
+    for spec in ENTITIES.values():
+        assert warehouse.silver(spec).count() == 1
+        assert warehouse.quarantine(spec).count() == 0
+
+
+def test_a_finished_batch_cannot_be_claimed_again(spark, warehouse):
+    loads.run_commerce(warehouse, graph(spark), rows.context("r1"))
+    with pytest.raises(BatchRejectedError, match="has already completed successfully"):
+        loads.run_commerce(warehouse, graph(spark), rows.context("r2"))
+    runs = {r.pipeline_run_id: r.status for r in state(warehouse, "pipeline_runs", "pipeline_run_id")}
+    assert runs == {"r1": "SUCCESS", "r2": "FAILED"}
+    assert state(warehouse, "batches", "batch_id")[0].status == "SUCCESS"
+
+
+def test_a_running_batch_and_a_foreign_batch_are_refused(spark, warehouse):
+    journal = loads.Journal(warehouse, rows.context("r1"), "commerce")
+    journal.start_run()
+    journal.claim_batch()
+    with pytest.raises(BatchRejectedError, match="is already running"):
+        loads.run_commerce(warehouse, graph(spark), rows.context("r2"))
+    with pytest.raises(BatchRejectedError, match="belongs to pipeline 'commerce', not 'customer_pipeline'"):
+        loads.run_customer(warehouse, graph(spark)["customers"], rows.context("r3"))
+    assert state(warehouse, "batches", "batch_id")[0].status == "RUNNING"
+
+
+def test_a_failed_batch_is_retried_and_finished(spark, warehouse):
+    def lost():
+        raise ConnectionError("source went away")
+
+    with pytest.raises(ConnectionError):
+        loads.run_commerce(warehouse, graph(spark) | {"orders": lost}, rows.context("r1"))
+    (batch,) = state(warehouse, "batches", "batch_id")
+    assert (batch.status, batch.error_message, batch.rows_processed) == ("FAILED", "source went away", None)
+    failed = [s.stage_name for s in state(warehouse, "stage_runs", "stage_run_id") if s.status == "FAILED"]
+    assert failed == ["orders_bronze"]
+
+    result = loads.run_commerce(warehouse, graph(spark), rows.context("r2"))
+    inserted = {s.stage_name: s.rows_inserted for s in result.stages}
+    assert [inserted[f"{e}_bronze"] for e in ENTITIES] == [0, 0, 1, 1, 1]
+    (batch,) = state(warehouse, "batches", "batch_id")
+    assert (batch.status, batch.error_message, batch.rows_processed) == ("SUCCESS", None, 3)
+
+
+def test_the_first_failing_stage_stops_the_run(spark, warehouse):
+    twice = [rows.order(1, customer_id=990001), rows.order(1, customer_id=990001)]
+    with pytest.raises(ValueError, match="occurs twice"):
+        loads.run_commerce(warehouse, graph(spark, orders=twice), rows.context())
+    names = {s.stage_name for s in state(warehouse, "stage_runs", "stage_run_id")}
+    assert "orders_bronze" in names
+    assert not names & {"orders_silver", "order_items_bronze", "payments_bronze"}
+
+
+def test_invalid_customers_are_kept_out_and_recorded(spark, warehouse):
+    people = [rows.customer(i) for i in range(1, 40)] + [rows.customer(990001), rows.customer(50, first=None)]
+    result = loads.run_commerce(warehouse, graph(spark, customers=people), rows.context())
+    assert result.stages[0].rows_inserted == 40
+    (bad,) = warehouse.quarantine(CUSTOMERS).collect()
+    assert (bad.customer_id, bad.validation_rule, bad.pipeline_run_id) == (50, "FIRST_NAME_REQUIRED", "run-1")
+
+
+def test_evidence_stays_when_the_gate_stops_the_load(spark, warehouse):
+    people = [rows.customer(1), rows.customer(2, last="")]
+    for attempt in (1, 2):
+        with pytest.raises(DataQualityError, match="50.00% exceeds threshold 5.00%"):
+            loads.run_customer(warehouse, graph(spark, customers=people)["customers"], rows.context(f"r{attempt}"))
+    kept = warehouse.quarantine(CUSTOMERS).collect()
+    assert sorted(r.pipeline_run_id for r in kept) == ["r1", "r2"]
+    assert warehouse.bronze(CUSTOMERS).count() == 0
+    assert state(warehouse, "batches", "batch_id")[0].status == "FAILED"
+
+
+def test_customer_flow(spark, warehouse):
+    people = [rows.customer(1), rows.customer(2), rows.customer(3, email="bad")]
+    result = loads.run_customer(warehouse, graph(spark, customers=people)["customers"], rows.context(), threshold=0.5)
+    assert [(s.stage_name, s.rows_inserted) for s in result.stages] == [("customer_bronze", 2), ("customer_silver", 2)]
+    stages = {s.stage_name: s.rows_processed for s in state(warehouse, "stage_runs", "stage_run_id")}
+    assert stages == {
+        "customer_bronze": None,
+        "extract": 3,
+        "validate": 3,
+        "quarantine_invalid_customers": 1,
+        "load_bronze_customers": 2,
+        "customer_silver": 2,
+    }
+
+
+def test_one_entity_without_a_journal(spark, warehouse):
+    stages = loads.run_entity(warehouse, ORDERS, graph(spark)["orders"], rows.context())
+    assert [(s.stage_name, s.rows_inserted, s.rows_quarantined) for s in stages] == [
+        ("orders_bronze", 1, 0),
+        ("orders_silver", 0, 1),
+    ]
+
+
+def test_an_empty_snapshot_loads_nothing(spark, warehouse):
+    result = loads.run_commerce(warehouse, graph(spark, **{e: [] for e in ENTITIES}), rows.context())
+    assert {s.rows_inserted for s in result.stages} == {0}
