@@ -10,6 +10,7 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
