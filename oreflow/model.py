@@ -289,7 +289,12 @@ EVENT_LOG_DDL = (
     "pipeline_run_id STRING, batch_id STRING, pipeline_name STRING, stage_name STRING, event_type STRING, "
     "event_time TIMESTAMP_NTZ, dag_run_id STRING, try_number INT, error_type STRING, event_message STRING"
 )
-LEDGER_DDL = (
+# Ledgers: what has been published.  A folder that no ledger row names does not count.
+BRONZE_LEDGER_DDL = (
+    "entity STRING, batch_id STRING, path STRING, pipeline_run_id STRING, rows_inserted BIGINT, "
+    "published_at TIMESTAMP_NTZ"
+)
+SILVER_LEDGER_DDL = (
     "entity STRING, version BIGINT, path STRING, pipeline_run_id STRING, batch_id STRING, rows_inserted BIGINT, "
-    "rows_updated BIGINT, rows_quarantined BIGINT, published_at TIMESTAMP_NTZ"
+    "rows_updated BIGINT, published_at TIMESTAMP_NTZ"
 )

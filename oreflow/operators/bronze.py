@@ -57,21 +57,18 @@ def batch_scope(bronze: DataFrame, batch_id: str) -> DataFrame:
     return bronze.filter(F.col("batch_id") == batch_id)
 
 
-def rows_not_loaded(staged: DataFrame, bronze: DataFrame | None, spec: EntitySpec, ctx: RunContext) -> DataFrame:
-    """Landing rows whose key the batch does not hold yet (all of them for a first attempt)."""
-    if bronze is None:
-        return staged
-    return staged.join(batch_scope(bronze, ctx.batch_id).select(spec.key), spec.key, "left_anti")
+def bronze_new_rows(rows: DataFrame, bronze: DataFrame | None, spec: EntitySpec, ctx: RunContext) -> DataFrame:
+    """The rows whose key the batch does not hold yet, stamped with the attempt's lineage.
 
-
-def bronze_new_rows(staged: DataFrame, bronze: DataFrame | None, spec: EntitySpec, ctx: RunContext) -> DataFrame:
-    """The rows this attempt adds to Bronze, stamped with its lineage."""
-    return stamp_lineage(rows_not_loaded(staged, bronze, spec, ctx), ctx)
+    All of them for a batch's first attempt, which therefore needs no shuffle.
+    """
+    if bronze is not None:
+        rows = rows.join(batch_scope(bronze, ctx.batch_id).select(spec.key), spec.key, "left_anti")
+    return stamp_lineage(rows, ctx)
 
 
-def reject_repeated_keys(staged: DataFrame, bronze: DataFrame | None, spec: EntitySpec, ctx: RunContext) -> None:
+def reject_repeated_keys(rows: DataFrame, spec: EntitySpec, ctx: RunContext) -> None:
     """Stop the load when a key would enter the same batch twice."""
-    new_keys = rows_not_loaded(staged.select(spec.key), bronze, spec, ctx)
-    found = repeated_keys(new_keys, spec.key).limit(1).collect()
+    found = repeated_keys(rows, spec.key).limit(1).collect()
     if found:
         raise DuplicateKeyError(f"{spec.name}: {spec.key}={found[0][0]} occurs twice in batch {ctx.batch_id}")

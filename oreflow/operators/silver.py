@@ -108,22 +108,26 @@ def silver_changed(batch: DataFrame, silver: DataFrame, spec: EntitySpec) -> Dat
     )
 
 
+def as_inserted(trusted: DataFrame, spec: EntitySpec, ctx: RunContext) -> DataFrame:
+    """Batch rows in Silver form, as they are when their key is new."""
+    unset = {c: f"CAST(NULL AS {spec.columns[c]}) AS {c}" for c in spec.unset_in_silver}
+    return trusted.selectExpr(
+        *[unset.get(c, c) for c in spec.columns],
+        "record_hash",
+        "ingested_at AS source_ingested_at",
+        f"{timestamp_literal(ctx.at)} AS processed_at",
+    )
+
+
 def silver_merge(trusted: DataFrame, silver: DataFrame | None, spec: EntitySpec, ctx: RunContext) -> DataFrame:
-    """The next Silver state with a ``merge_action`` per row (insert, update or keep).
+    """The next Silver state with a ``merge_action`` per row (insert, update or keep), in one pass.
 
     One full outer join on the key, unique on both sides: each side is shuffled once, every row is
     classified once, and counts are a group over ``merge_action``.  Keys missing from the batch are kept.
     """
-    loaded, key = timestamp_literal(ctx.at), spec.key
+    key = spec.key
     if silver is None:
-        unset = {c: f"CAST(NULL AS {spec.columns[c]}) AS {c}" for c in spec.unset_in_silver}
-        return trusted.selectExpr(
-            *[unset.get(c, c) for c in spec.columns],
-            "record_hash",
-            "ingested_at AS source_ingested_at",
-            f"{loaded} AS processed_at",
-            f"'{INSERT}' AS merge_action",
-        )
+        return as_inserted(trusted, spec, ctx).selectExpr("*", f"'{INSERT}' AS merge_action")
 
     incoming = trusted.selectExpr(
         *[f"{c} AS _b_{c}" for c in spec.columns if c not in spec.unset_in_silver],
@@ -145,14 +149,46 @@ def silver_merge(trusted: DataFrame, silver: DataFrame | None, spec: EntitySpec,
         *[c if c in spec.unset_in_silver else pick(c) for c in spec.attributes],
         pick("record_hash"),
         pick("source_ingested_at"),
-        f"CASE WHEN {taken} THEN {loaded} ELSE processed_at END AS processed_at",
+        f"CASE WHEN {taken} THEN {timestamp_literal(ctx.at)} ELSE processed_at END AS processed_at",
         "merge_action",
     )
 
 
-def merge_counts(merged: DataFrame) -> DataFrame:
-    """One row: ``rows_inserted`` and ``rows_updated``."""
-    return merged.agg(
+def silver_changes(trusted: DataFrame, silver: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Key and ``merge_action`` of the batch rows that change Silver.  Only keys and fingerprints are shuffled."""
+    held = silver.selectExpr(f"{spec.key} AS _key", "record_hash AS _hash")
+    action = (
+        f"CASE WHEN _key IS NULL THEN '{INSERT}' WHEN {hash_changed('record_hash', '_hash')} THEN '{UPDATE}' END"
+    )
+    return (
+        trusted.select(spec.key, "record_hash")
+        .join(held, F.expr(f"{spec.key} = _key"), "left")
+        .selectExpr(spec.key, f"{action} AS merge_action")
+        .filter("merge_action IS NOT NULL")
+    )
+
+
+def apply_changes(
+    batch: DataFrame, silver: DataFrame, changes: DataFrame, spec: EntitySpec, ctx: RunContext
+) -> DataFrame:
+    """The next Silver state, given the changes as a written table.
+
+    The planner knows that table's size: when it is small its keys are broadcast, and neither Silver nor
+    the batch is shuffled; when it is large both are, once.
+    """
+    key = spec.key
+    incoming = as_inserted(batch.join(changes.select(key), key, "left_semi"), spec, ctx)
+    if spec.unset_in_silver:
+        # An update leaves these columns as they are.
+        kept_values = silver.select(key, *spec.unset_in_silver)
+        incoming = incoming.drop(*spec.unset_in_silver).join(kept_values, key, "left")
+    updated = changes.filter(F.col("merge_action") == UPDATE).select(key)
+    return silver.join(updated, key, "left_anti").unionByName(incoming)
+
+
+def merge_counts(actions: DataFrame) -> DataFrame:
+    """One row: ``rows_inserted`` and ``rows_updated`` of a merge or of its changes."""
+    return actions.agg(
         F.count_if(F.col("merge_action") == INSERT).alias("rows_inserted"),
         F.count_if(F.col("merge_action") == UPDATE).alias("rows_updated"),
     )

@@ -71,7 +71,8 @@ def bronze_append(entity: str, s: Scenario) -> DataFrame:
     steps = ((FIRST, s.landed(entity, 1)), (INTERRUPTED, s.landed(entity).filter(HANDLED[entity])), (SECOND, s.landed(entity)))
     for ctx, rows in steps:
         held = warehouse.bronze_batch(spec, ctx.batch_id)
-        warehouse.append_bronze(spec, ctx, b.enforce_contract(b.bronze_new_rows(rows, held, spec, ctx), spec))
+        new = b.enforce_contract(b.bronze_new_rows(rows, held, spec, ctx), spec)
+        warehouse.append_bronze(spec, ctx, new, unique=entity == "customers")
     written = warehouse.bronze(spec)
     return shown(written.select(spec.key, "batch_id", "pipeline_run_id", "ingested_at", "record_hash"))
 
@@ -108,9 +109,11 @@ def quarantine_append(s: Scenario) -> DataFrame:
 def silver_publish(s: Scenario) -> DataFrame:
     """Two versions published, the current one read through the ledger."""
     warehouse = _warehouse(s.spark, "silver")
-    for ctx, batch in ((FIRST, 1), (SECOND, 2)):
-        merged = silver.silver_merge(s.batch("products", batch), warehouse.silver(PRODUCTS), PRODUCTS, ctx)
-        warehouse.publish_silver(PRODUCTS, ctx, merged)
+    warehouse.publish_silver(PRODUCTS, FIRST, silver.as_inserted(s.batch("products", 1), PRODUCTS, FIRST))
+    batch, held = s.batch("products"), warehouse.silver(PRODUCTS)
+    changes = warehouse.stage("products_changes", SECOND, silver.silver_changes(batch, held, PRODUCTS))
+    state = silver.apply_changes(batch, held, changes, PRODUCTS, SECOND)
+    warehouse.publish_silver(PRODUCTS, SECOND, state, silver.merge_counts(changes).first().asDict())
     return shown(warehouse.silver(PRODUCTS))
 
 

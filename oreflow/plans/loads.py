@@ -23,10 +23,17 @@ from oreflow.model import (
     EntitySpec,
     RunContext,
 )
-from oreflow.operators.bronze import bronze_new_rows, enforce_contract, fingerprint, reject_repeated_keys
+from oreflow.operators.bronze import bronze_new_rows, enforce_contract, fingerprint
 from oreflow.operators.lifecycle import BatchRejectedError, batch_transition, successful_batches
 from oreflow.operators.quality import customer_quality_gate, invalid_ids, process_customers
-from oreflow.operators.silver import quarantine_rows, rejected_rows, silver_merge
+from oreflow.operators.silver import (
+    apply_changes,
+    as_inserted,
+    merge_counts,
+    quarantine_rows,
+    rejected_rows,
+    silver_changes,
+)
 from oreflow.sources.local import local_rows
 from oreflow.sources.warehouse import Warehouse
 
@@ -176,52 +183,61 @@ def load_bronze(
     validate: bool = True,
 ) -> int:
     """Land a snapshot once per (batch, key); returns the rows this attempt added."""
-    staged = warehouse.stage(spec.name, ctx, fingerprint(snapshot, spec))
-    checked = spec is CUSTOMERS and validate
-    if checked:
-        staged = _accept_customers(warehouse, staged, ctx, journal, threshold, CustomerStages())
-    inserted = _append_staged(warehouse, spec, staged, ctx, unique=checked)
-    _clear(warehouse, spec, ctx)
+    rows = fingerprint(snapshot, spec)
+    if not (spec is CUSTOMERS and validate):
+        # Read from the source once and written once: the key check runs on what was written.
+        return _append(warehouse, spec, rows, ctx)
+    staged = warehouse.stage(spec.name, ctx, rows)
+    valid = _accept_customers(warehouse, staged, ctx, journal, threshold, CustomerStages())
+    inserted = _append(warehouse, spec, valid, ctx, unique=True)
+    _clear_customers(warehouse, ctx)
     return inserted
 
 
-def _append_staged(warehouse: Warehouse, spec: EntitySpec, staged: DataFrame, ctx: RunContext, unique: bool) -> int:
+def _append(warehouse: Warehouse, spec: EntitySpec, rows: DataFrame, ctx: RunContext, unique: bool = False) -> int:
+    # Validated customers are unique already: every repeated id was taken out.
     held = warehouse.bronze_batch(spec, ctx.batch_id)
-    if not unique:
-        # Validated customers are unique already: every repeated id was taken out.
-        reject_repeated_keys(staged, held, spec, ctx)
-    return warehouse.append_bronze(spec, ctx, enforce_contract(bronze_new_rows(staged, held, spec, ctx), spec))
+    new = enforce_contract(bronze_new_rows(rows, held, spec, ctx), spec)
+    return warehouse.append_bronze(spec, ctx, new, unique)
 
 
-def _clear(warehouse: Warehouse, spec: EntitySpec, ctx: RunContext) -> None:
-    warehouse.clear_stage(spec.name, ctx)
-    if spec is CUSTOMERS:
-        warehouse.clear_stage("customers_invalid", ctx)
+def _clear_customers(warehouse: Warehouse, ctx: RunContext) -> None:
+    warehouse.clear_stage(CUSTOMERS.name, ctx)
+    warehouse.clear_stage("customers_invalid", ctx)
 
 
 def load_silver(warehouse: Warehouse, spec: EntitySpec, ctx: RunContext) -> dict[str, int]:
     """Bring one batch into the entity's current state; callable on its own, for instance after parents arrived.
 
-    Rejected rows are written to the stage first.  The merge then removes them by key, with the very
-    shuffle that it needs anyway, instead of repeating the parent joins or copying the whole batch.
+    Rejected keys and then changed keys are written to the stage.  So the parent joins run once, wide rows
+    take part only in the last step, and a batch that changes nothing leaves the published state alone.
     """
+    stages, quarantined = [], 0
+
+    def stage(label: str, rows: DataFrame) -> DataFrame:
+        stages.append(f"{spec.name}_{label}")
+        return warehouse.stage(stages[-1], ctx, rows)
+
     batch = warehouse.bronze_batch(spec, ctx.batch_id)
     if batch is None:
-        batch = warehouse.empty(spec.bronze_ddl)
-    quarantined = 0
+        return {"rows_inserted": 0, "rows_updated": 0, "rows_quarantined": 0}
     if spec.has_quarantine:
         parents = {p.entity: warehouse.silver_or_empty(ENTITIES[p.entity]) for p in spec.parents}
-        stage = f"{spec.name}_rejected"
-        rejected = warehouse.stage(stage, ctx, rejected_rows(batch, parents, spec))
+        rejected = stage("rejected", rejected_rows(batch, parents, spec))
         held = warehouse.quarantine_part(spec, ctx)
         quarantined = warehouse.append_quarantine(spec, ctx, quarantine_rows(rejected, held, spec, ctx))
         batch = batch.filter(fields_valid(spec)).join(rejected.select(spec.key), spec.key, "left_anti")
-    counts = warehouse.publish_silver(
-        spec, ctx, silver_merge(batch, warehouse.silver(spec), spec, ctx), quarantined
-    )
-    if spec.has_quarantine:
-        warehouse.clear_stage(stage, ctx)
-    return counts
+    silver = warehouse.silver(spec)
+    if silver is None:
+        counts = warehouse.publish_silver(spec, ctx, as_inserted(batch, spec, ctx))
+    else:
+        changes = stage("changes", silver_changes(batch, silver, spec))
+        counts = merge_counts(changes).first().asDict()
+        if any(counts.values()):
+            warehouse.publish_silver(spec, ctx, apply_changes(batch, silver, changes, spec, ctx), counts)
+    for name in stages:
+        warehouse.clear_stage(name, ctx)
+    return {**counts, "rows_quarantined": quarantined}
 
 
 def run_entity(
@@ -285,8 +301,8 @@ def run_customer(
         names = CustomerStages(validate="validate", quarantine="quarantine_invalid_customers")
         valid = _accept_customers(warehouse, staged, ctx, journal, threshold, names)
         with journal.stage("load_bronze_customers") as info:
-            inserted = info["rows_processed"] = _append_staged(warehouse, spec, valid, ctx, unique=True)
-        _clear(warehouse, spec, ctx)
+            inserted = info["rows_processed"] = _append(warehouse, spec, valid, ctx, unique=True)
+        _clear_customers(warehouse, ctx)
         with journal.stage("customer_silver") as info:
             counts = load_silver(warehouse, spec, ctx)
             info["rows_processed"] = counts["rows_inserted"] + counts["rows_updated"]

@@ -3,14 +3,15 @@
 Layout below ``root``::
 
     stage/<name>/<run id>/                       rows of one attempt, removed after the load
-    bronze/<entity>/batch_id=<id>/               append-only, one folder per batch
+    bronze/<entity>/batch_id=<id>/<run id>/      append-only, one folder per attempt that added rows
     quarantine/<entity>/<batch_id|pipeline_run_id>=<id>/   append-only evidence
     silver/<entity>/<version>-<run id>/          complete current state, written once, never changed
-    ops/<log>/                                   append-only logs and the ledger of published versions
+    ops/<log>/                                   append-only logs, and the ledgers of what is published
 
-A Silver version counts only once its ledger row is there, so an attempt that dies leaves at most an
-unreferenced folder.  Counts are read back from committed files: lost executors and repeated tasks cannot
-change them.  Readers name the one folder they need, so no job lists other batches or versions.
+A Bronze folder or Silver version counts only once its ledger row is there: an attempt that dies leaves at
+most a folder that nobody reads.  Counts are read back from written files, so lost executors and repeated
+tasks cannot change them.  Readers name the folders they need, so no job lists other batches or versions.
+A warehouse has one writer; each object reads the ledgers once and then keeps them up to date itself.
 """
 
 from __future__ import annotations
@@ -18,8 +19,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.model import BATCH_LOG_DDL, EVENT_LOG_DDL, LEDGER_DDL, RUN_LOG_DDL, STAGE_LOG_DDL, EntitySpec, RunContext
-from oreflow.operators.silver import merge_counts
+from oreflow.model import (
+    BATCH_LOG_DDL,
+    BRONZE_LEDGER_DDL,
+    EVENT_LOG_DDL,
+    RUN_LOG_DDL,
+    SILVER_LEDGER_DDL,
+    STAGE_LOG_DDL,
+    EntitySpec,
+    RunContext,
+)
+from oreflow.operators.bronze import reject_repeated_keys
 from oreflow.sources.local import local_rows
 
 LOGS = {
@@ -27,7 +37,8 @@ LOGS = {
     "stage_runs": STAGE_LOG_DDL,
     "batches": BATCH_LOG_DDL,
     "events": EVENT_LOG_DDL,
-    "silver_ledger": LEDGER_DDL,
+    "bronze_ledger": BRONZE_LEDGER_DDL,
+    "silver_ledger": SILVER_LEDGER_DDL,
 }
 
 
@@ -39,6 +50,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.keep_versions = keep_versions
         self._published: dict[str, list[tuple[int, str]]] = {}
+        self._landed: dict[str, list[tuple[str, str]]] = {}
 
     # --- files ---------------------------------------------------------------------------------------
 
@@ -89,25 +101,49 @@ class Warehouse:
 
     # --- bronze --------------------------------------------------------------------------------------
 
+    def _folders(self, spec: EntitySpec) -> list[tuple[str, str]]:
+        """``(batch_id, path)`` of every published Bronze folder: one per attempt that added rows."""
+        if spec.name not in self._landed:
+            ledger = self.log("bronze_ledger").filter(F.col("entity") == spec.name)
+            self._landed[spec.name] = [tuple(row) for row in ledger.select("batch_id", "path").collect()]
+        return self._landed[spec.name]
+
+    def _read_bronze(self, spec: EntitySpec, paths: list[str]) -> DataFrame:
+        reader = self.spark.read.schema(spec.bronze_ddl).option("basePath", f"{self.root}/bronze/{spec.name}")
+        return reader.parquet(*[f"{self.root}/{path}" for path in paths])
+
     def bronze(self, spec: EntitySpec) -> DataFrame:
         """All batches; filters on ``batch_id`` prune folders."""
-        path = f"{self.root}/bronze/{spec.name}"
-        found = self._read(path, spec.bronze_ddl)
-        return self.empty(spec.bronze_ddl) if found is None else found
+        paths = [path for _, path in self._folders(spec)]
+        return self._read_bronze(spec, paths) if paths else self.empty(spec.bronze_ddl)
 
     def bronze_batch(self, spec: EntitySpec, batch_id: str) -> DataFrame | None:
-        base = f"{self.root}/bronze/{spec.name}"
-        return self._read(f"{base}/batch_id={batch_id}", spec.bronze_ddl, base)
+        paths = [path for batch, path in self._folders(spec) if batch == batch_id]
+        return self._read_bronze(spec, paths) if paths else None
 
     def batch_exists(self, spec: EntitySpec, batch_id: str) -> bool:
-        found = self.bronze_batch(spec, batch_id)
-        return found is not None and not found.isEmpty()
+        return self.bronze_batch(spec, batch_id) is not None
+
+    def append_bronze(self, spec: EntitySpec, ctx: RunContext, rows: DataFrame, unique: bool = False) -> int:
+        """Write an attempt's rows once, check their keys as written, then publish; returns their number.
 
-    def append_bronze(self, spec: EntitySpec, ctx: RunContext, rows: DataFrame) -> int:
-        """Add rows to the context's batch; returns how many this attempt has put there."""
-        target = f"{self.root}/bronze/{spec.name}/batch_id={ctx.batch_id}"
-        rows.drop("batch_id").write.mode("append").parquet(target)
-        return self.bronze_batch(spec, ctx.batch_id).filter(F.col("pipeline_run_id") == ctx.pipeline_run_id).count()
+        ``unique`` tells that the rows are known to have no key twice.
+        """
+        path = f"bronze/{spec.name}/batch_id={ctx.batch_id}/{ctx.pipeline_run_id}"
+        rows.drop("batch_id").write.mode("overwrite").parquet(f"{self.root}/{path}")
+        written = self._read_bronze(spec, [path])
+        count = written.count()
+        try:
+            if not unique:
+                reject_repeated_keys(written, spec, ctx)
+        except Exception:
+            self._delete(f"{self.root}/{path}")
+            raise
+        if count:
+            row = (spec.name, ctx.batch_id, path, ctx.pipeline_run_id, count, ctx.at)
+            self.append_log("bronze_ledger", [row])
+            self._folders(spec).append((ctx.batch_id, path))
+        return count
 
     # --- quarantine ----------------------------------------------------------------------------------
 
@@ -133,10 +169,7 @@ class Warehouse:
     # --- silver --------------------------------------------------------------------------------------
 
     def _versions(self, spec: EntitySpec) -> list[tuple[int, str]]:
-        """``(version, path)`` of the newest published versions, newest first.
-
-        Read from the ledger once and then kept up to date by this object: a warehouse has one writer.
-        """
+        """``(version, path)`` of the newest published versions, newest first."""
         if spec.name not in self._published:
             ledger = self.log("silver_ledger").filter(F.col("entity") == spec.name)
             newest = ledger.orderBy(F.desc("version")).limit(self.keep_versions).select("version", "path")
@@ -154,20 +187,22 @@ class Warehouse:
         return self.empty(spec.silver_ddl) if found is None else found
 
     def publish_silver(
-        self, spec: EntitySpec, ctx: RunContext, merged: DataFrame, rows_quarantined: int = 0
+        self, spec: EntitySpec, ctx: RunContext, rows: DataFrame, counts: dict[str, int] | None = None
     ) -> dict[str, int]:
-        """Write the next state in one pass, then make it current by one ledger row."""
+        """Write the next state, then make it current by one ledger row.  Without counts all rows are new."""
         versions = self._versions(spec)
         version = versions[0][0] + 1 if versions else 1
         path = f"silver/{spec.name}/{version}-{ctx.pipeline_run_id}"
-        merged.write.mode("overwrite").parquet(f"{self.root}/{path}")
-        # Reads back one dictionary-encoded column of the committed files.
-        actions = self.spark.read.schema("merge_action STRING").parquet(f"{self.root}/{path}")
-        inserted, updated = merge_counts(actions).first()
-        counts = {"rows_inserted": inserted, "rows_updated": updated, "rows_quarantined": rows_quarantined}
+        rows.write.mode("overwrite").parquet(f"{self.root}/{path}")
+        if counts is None:
+            written = self.spark.read.schema(spec.silver_ddl).parquet(f"{self.root}/{path}").count()
+            counts = {"rows_inserted": written, "rows_updated": 0}
         self.append_log(
             "silver_ledger",
-            [(spec.name, version, path, ctx.pipeline_run_id, ctx.batch_id, *counts.values(), ctx.at)],
+            [
+                (spec.name, version, path, ctx.pipeline_run_id, ctx.batch_id, counts["rows_inserted"],
+                 counts["rows_updated"], ctx.at)
+            ],
         )
         current = [(version, path), *versions]
         for _, old in current[self.keep_versions :]:

@@ -70,6 +70,18 @@ def test_stage_replaces_only_its_own_run(spark, warehouse):
     assert not warehouse._exists(f"{warehouse.root}/stage/orders/r2")
 
 
+def test_an_attempt_that_was_not_published_is_not_read(spark, warehouse):
+    """A folder left behind by a lost driver has no ledger row."""
+    load_bronze(warehouse, ORDERS, rows.orders(spark, rows.order(1)), rows.context("r1"))
+    lost = rows.bronze(rows.orders(spark, rows.order(2)), "orders", rows.context("r2"))
+    lost.drop("batch_id").write.parquet(f"{warehouse.root}/bronze/orders/batch_id=batch-1/r2")
+    fresh = type(warehouse)(spark, warehouse.root)
+    assert [r.order_id for r in fresh.bronze(ORDERS).collect()] == [1]
+    both = rows.orders(spark, rows.order(1), rows.order(2))
+    assert load_bronze(fresh, ORDERS, both, rows.context("r3")) == 1
+    assert sorted(r.order_id for r in fresh.bronze_batch(ORDERS, "batch-1").collect()) == [1, 2]
+
+
 def test_a_finished_load_leaves_no_stage_rows(spark, warehouse):
     load_bronze(warehouse, CUSTOMERS, rows.customers(spark, rows.customer()), rows.context())
     for name in ("customers", "customers_invalid"):

@@ -61,7 +61,7 @@ def test_field_rules_reach_the_scan(spark, warehouse):
 def test_a_merge_shuffles_each_side_once(spark, warehouse):
     first, second = rows.context("r1", "b1"), rows.context("r2", "b2")
     rows.land(warehouse, "products", rows.products(spark, rows.product(1)), first)
-    warehouse.publish_silver(PRODUCTS, first, silver.silver_merge(warehouse.bronze_batch(PRODUCTS, "b1"), None, PRODUCTS, first))
+    warehouse.publish_silver(PRODUCTS, first, silver.as_inserted(warehouse.bronze_batch(PRODUCTS, "b1"), PRODUCTS, first))
     rows.land(warehouse, "products", rows.products(spark, rows.product(2)), second)
     merged = silver.silver_merge(warehouse.bronze_batch(PRODUCTS, "b2"), warehouse.silver(PRODUCTS), PRODUCTS, second)
     assert plan(merged).count("Exchange hashpartitioning") == 2
