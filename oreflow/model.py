@@ -68,6 +68,8 @@ class EntitySpec:
     rules: tuple[Rule, ...] = ()
     list_rules: tuple[ListRule, ...] = ()
     parents: tuple[Parent, ...] = ()
+    # Not null in Silver only; Bronze accepts what the source has.
+    required_in_silver: tuple[str, ...] = ()
     # Columns a Silver load never fills: NULL on insert and untouched on update.
     unset_in_silver: tuple[str, ...] = ()
     # Columns whose time part is rounded to milliseconds on the way into Bronze.
@@ -150,6 +152,7 @@ CUSTOMERS = EntitySpec(
         ListRule("last_name IS NULL OR last_name = ''", "'LastName is required'", "LAST_NAME_REQUIRED"),
         ListRule("email <> '' AND NOT contains(email, '@')", "concat('Invalid email \\'', email, '\\'')", "EMAIL_FORMAT"),
     ),
+    required_in_silver=("first_name", "last_name"),
     unset_in_silver=("created_at",),
     millis_columns=("created_at",),
 )

@@ -20,12 +20,18 @@ def violations(spec: EntitySpec) -> dict[str, str]:
     return checks
 
 
-def enforce_contract(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Fail the job that evaluates ``df`` on the first row that breaks the contract.
+def silver_violations(spec: EntitySpec) -> dict[str, str]:
+    return {f"{c} must not be null": f"{c} IS NULL" for c in spec.required_in_silver}
+
+
+def enforce_contract(df: DataFrame, spec: EntitySpec, checks: dict[str, str]) -> DataFrame:
+    """Fail the job that evaluates ``df`` on the first row for which a check's predicate is true.
 
     The checks ride along with the write, so they cost no scan of their own.
     """
-    arms = ", ".join(f"CASE WHEN {p} THEN '{spec.name}: {n}; ' END" for n, p in violations(spec).items())
+    if not checks:
+        return df
+    arms = ", ".join(f"CASE WHEN {p} THEN '{spec.name}: {n}; ' END" for n, p in checks.items())
     problem = f"concat_ws('', {arms})"
     return df.withColumn(
         spec.key, F.expr(f"CASE WHEN {problem} <> '' THEN raise_error({problem}) ELSE {spec.key} END")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.model import CUSTOMERS, EVENT_TYPES, RUN_STATUSES, EntitySpec
-from oreflow.operators.bronze import violations
+from oreflow.model import EVENT_TYPES, RUN_STATUSES, EntitySpec
+from oreflow.operators.bronze import silver_violations, violations
 
 
 class ContractError(ValueError):
@@ -18,10 +18,7 @@ def _one_of(column: str, values: tuple[str, ...]) -> str:
 
 
 def silver_checks(spec: EntitySpec) -> dict[str, str]:
-    checks = violations(spec)
-    if spec is CUSTOMERS:
-        checks |= {f"{c} must not be null": f"{c} IS NULL" for c in ("first_name", "last_name")}
-    return checks | {"record_hash must not be null": "record_hash IS NULL"}
+    return violations(spec) | silver_violations(spec) | {"record_hash must not be null": "record_hash IS NULL"}
 
 
 BATCH_CHECKS = {"status is not allowed": _one_of("status", RUN_STATUSES)}

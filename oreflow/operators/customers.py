@@ -19,8 +19,12 @@ def latest_customers(bronze: DataFrame) -> DataFrame:
 
 
 def ordered(df: DataFrame, key: str) -> DataFrame:
-    """Key order; the other columns break ties, which also lets the range partitioner split a hot key."""
-    return df.orderBy(key, *[c for c in df.columns if c != key])
+    """Key order.  The other columns and a salt break ties, so that the range partitioner can split a hot key
+
+    even into equal rows.  The salt is seeded and drawn over the scan: a repeated task draws the same.
+    """
+    rest = [c for c in df.columns if c != key]
+    return df.withColumn("_salt", F.rand(0)).orderBy(key, *rest, "_salt").drop("_salt")
 
 
 def email_suffix(suffix: str) -> Column:

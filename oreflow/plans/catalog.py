@@ -71,7 +71,7 @@ def bronze_append(entity: str, s: Scenario) -> DataFrame:
     steps = ((FIRST, s.landed(entity, 1)), (INTERRUPTED, s.landed(entity).filter(HANDLED[entity])), (SECOND, s.landed(entity)))
     for ctx, rows in steps:
         held = warehouse.bronze_batch(spec, ctx.batch_id)
-        new = b.enforce_contract(b.bronze_new_rows(rows, held, spec, ctx), spec)
+        new = b.enforce_contract(b.bronze_new_rows(rows, held, spec, ctx), spec, b.violations(spec))
         warehouse.append_bronze(spec, ctx, new, unique=entity == "customers")
     written = warehouse.bronze(spec)
     return shown(written.select(spec.key, "batch_id", "pipeline_run_id", "ingested_at", "record_hash"))

@@ -23,7 +23,7 @@ from oreflow.model import (
     EntitySpec,
     RunContext,
 )
-from oreflow.operators.bronze import bronze_new_rows, enforce_contract, fingerprint
+from oreflow.operators.bronze import bronze_new_rows, enforce_contract, fingerprint, silver_violations, violations
 from oreflow.operators.lifecycle import BatchRejectedError, batch_transition, successful_batches
 from oreflow.operators.quality import customer_quality_gate, invalid_ids, process_customers
 from oreflow.operators.silver import (
@@ -149,12 +149,18 @@ class CustomerStages:
 
 
 def _accept_customers(
-    warehouse: Warehouse, staged: DataFrame, ctx: RunContext, journal: Journal | None, threshold: float, names: CustomerStages
+    warehouse: Warehouse,
+    stage: Callable[[str, DataFrame], DataFrame],
+    staged: DataFrame,
+    ctx: RunContext,
+    journal: Journal | None,
+    threshold: float,
+    names: CustomerStages,
 ) -> DataFrame:
     """Validate, keep the evidence, then apply the gate: rejected rows stay on record even if it fails."""
     spec = CUSTOMERS
     with _stage(journal, names.validate) as info:
-        invalid = warehouse.stage("customers_invalid", ctx, invalid_ids(staged, spec))
+        invalid = stage("customers_invalid", invalid_ids(staged, spec))
         result = process_customers(staged, ctx, spec, invalid)
         info["rows_processed"] = staged.count()
     if not invalid.isEmpty():
@@ -187,56 +193,59 @@ def load_bronze(
     if not (spec is CUSTOMERS and validate):
         # Read from the source once and written once: the key check runs on what was written.
         return _append(warehouse, spec, rows, ctx)
-    staged = warehouse.stage(spec.name, ctx, rows)
-    valid = _accept_customers(warehouse, staged, ctx, journal, threshold, CustomerStages())
-    inserted = _append(warehouse, spec, valid, ctx, unique=True)
-    _clear_customers(warehouse, ctx)
-    return inserted
+    with _staging(warehouse, ctx) as stage:
+        staged = stage(spec.name, rows)
+        valid = _accept_customers(warehouse, stage, staged, ctx, journal, threshold, CustomerStages())
+        return _append(warehouse, spec, valid, ctx, unique=True)
+
+
+@contextmanager
+def _staging(warehouse: Warehouse, ctx: RunContext) -> Iterator[Callable[[str, DataFrame], DataFrame]]:
+    """Yields ``stage(name, rows)``; what was staged is removed when the block ends, however it ends."""
+    names = []
+
+    def stage(name: str, rows: DataFrame) -> DataFrame:
+        names.append(name)
+        return warehouse.stage(name, ctx, rows)
+
+    try:
+        yield stage
+    finally:
+        for name in names:
+            warehouse.clear_stage(name, ctx)
 
 
 def _append(warehouse: Warehouse, spec: EntitySpec, rows: DataFrame, ctx: RunContext, unique: bool = False) -> int:
     # Validated customers are unique already: every repeated id was taken out.
     held = warehouse.bronze_batch(spec, ctx.batch_id)
-    new = enforce_contract(bronze_new_rows(rows, held, spec, ctx), spec)
+    new = enforce_contract(bronze_new_rows(rows, held, spec, ctx), spec, violations(spec))
     return warehouse.append_bronze(spec, ctx, new, unique)
 
 
-def _clear_customers(warehouse: Warehouse, ctx: RunContext) -> None:
-    warehouse.clear_stage(CUSTOMERS.name, ctx)
-    warehouse.clear_stage("customers_invalid", ctx)
-
-
 def load_silver(warehouse: Warehouse, spec: EntitySpec, ctx: RunContext) -> dict[str, int]:
     """Bring one batch into the entity's current state; callable on its own, for instance after parents arrived.
 
     Rejected keys and then changed keys are written to the stage.  So the parent joins run once, wide rows
     take part only in the last step, and a batch that changes nothing leaves the published state alone.
     """
-    stages, quarantined = [], 0
-
-    def stage(label: str, rows: DataFrame) -> DataFrame:
-        stages.append(f"{spec.name}_{label}")
-        return warehouse.stage(stages[-1], ctx, rows)
-
-    batch = warehouse.bronze_batch(spec, ctx.batch_id)
+    batch, quarantined = warehouse.bronze_batch(spec, ctx.batch_id), 0
     if batch is None:
         return {"rows_inserted": 0, "rows_updated": 0, "rows_quarantined": 0}
-    if spec.has_quarantine:
-        parents = {p.entity: warehouse.silver_or_empty(ENTITIES[p.entity]) for p in spec.parents}
-        rejected = stage("rejected", rejected_rows(batch, parents, spec))
-        held = warehouse.quarantine_part(spec, ctx)
-        quarantined = warehouse.append_quarantine(spec, ctx, quarantine_rows(rejected, held, spec, ctx))
-        batch = batch.filter(fields_valid(spec)).join(rejected.select(spec.key), spec.key, "left_anti")
-    silver = warehouse.silver(spec)
-    if silver is None:
-        counts = warehouse.publish_silver(spec, ctx, as_inserted(batch, spec, ctx))
-    else:
-        changes = stage("changes", silver_changes(batch, silver, spec))
-        counts = merge_counts(changes).first().asDict()
-        if any(counts.values()):
-            warehouse.publish_silver(spec, ctx, apply_changes(batch, silver, changes, spec, ctx), counts)
-    for name in stages:
-        warehouse.clear_stage(name, ctx)
+    with _staging(warehouse, ctx) as stage:
+        if spec.has_quarantine:
+            parents = {p.entity: warehouse.silver_or_empty(ENTITIES[p.entity]) for p in spec.parents}
+            rejected = stage(f"{spec.name}_rejected", rejected_rows(batch, parents, spec))
+            held = warehouse.quarantine_part(spec, ctx)
+            quarantined = warehouse.append_quarantine(spec, ctx, quarantine_rows(rejected, held, spec, ctx))
+            batch = batch.filter(fields_valid(spec)).join(rejected.select(spec.key), spec.key, "left_anti")
+        checked, silver = enforce_contract(batch, spec, silver_violations(spec)), warehouse.silver(spec)
+        if silver is None:
+            counts = warehouse.publish_silver(spec, ctx, as_inserted(checked, spec, ctx))
+        else:
+            changes = stage(f"{spec.name}_changes", silver_changes(batch, silver, spec))
+            counts = merge_counts(changes).first().asDict()
+            if any(counts.values()):
+                warehouse.publish_silver(spec, ctx, apply_changes(checked, silver, changes, spec, ctx), counts)
     return {**counts, "rows_quarantined": quarantined}
 
 
@@ -295,14 +304,14 @@ def run_customer(
         journal.claim_batch()
         with journal.stage("customer_bronze"):
             pass
-        with journal.stage("extract") as info:
-            staged = warehouse.stage(spec.name, ctx, fingerprint(extract(), spec))
-            info["rows_processed"] = staged.count()
-        names = CustomerStages(validate="validate", quarantine="quarantine_invalid_customers")
-        valid = _accept_customers(warehouse, staged, ctx, journal, threshold, names)
-        with journal.stage("load_bronze_customers") as info:
-            inserted = info["rows_processed"] = _append(warehouse, spec, valid, ctx, unique=True)
-        _clear_customers(warehouse, ctx)
+        with _staging(warehouse, ctx) as stage:
+            with journal.stage("extract") as info:
+                staged = stage(spec.name, fingerprint(extract(), spec))
+                info["rows_processed"] = staged.count()
+            names = CustomerStages(validate="validate", quarantine="quarantine_invalid_customers")
+            valid = _accept_customers(warehouse, stage, staged, ctx, journal, threshold, names)
+            with journal.stage("load_bronze_customers") as info:
+                inserted = info["rows_processed"] = _append(warehouse, spec, valid, ctx, unique=True)
         with journal.stage("customer_silver") as info:
             counts = load_silver(warehouse, spec, ctx)
             info["rows_processed"] = counts["rows_inserted"] + counts["rows_updated"]

@@ -273,9 +273,9 @@ CTES["rejected_early"] = f"""
 
 
 def stage_counts(entity: str, n: int, prefix: str = "") -> str:
-    quarantined = f"(SELECT count(*) FROM rejected_{entity}_{n})" if entity in CHECKED else "0"
+    quarantined = f"(SELECT count(*) FROM rejected_{entity}_{n})" if entity in CHECKED else "CAST(0 AS BIGINT)"
     if n == 1:
-        counts = f"(SELECT count(*) FROM trusted_{entity}_1) AS rows_inserted, 0 AS rows_updated"
+        counts = f"(SELECT count(*) FROM trusted_{entity}_1) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated"
     else:
         counts = (
             f"(SELECT count(*) FROM new_{entity}) AS rows_inserted, "
@@ -287,7 +287,7 @@ def stage_counts(entity: str, n: int, prefix: str = "") -> str:
 def bronze_counts(entity: str, n: int, prefix: str = "") -> str:
     return (
         f"SELECT {prefix}'{entity}_bronze' AS stage_name, (SELECT count(*) FROM batch_{entity}_{n}) AS rows_inserted, "
-        "0 AS rows_updated, 0 AS rows_quarantined"
+        "CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_quarantined"
     )
 
 
@@ -594,7 +594,7 @@ def _queries() -> dict[str, str]:
         for n in (1, 2)
         for f in (
             lambda n: f"SELECT '{BATCH[n]}' AS batch_id, 'customers_bronze' AS stage_name, (SELECT count(*) FROM "
-            f"batch_customers_{n}) AS rows_inserted, 0 AS rows_updated, 0 AS rows_quarantined",
+            f"batch_customers_{n}) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_quarantined",
             lambda n: stage_counts("customers", n, f"'{BATCH[n]}' AS batch_id, "),
         )
     )
@@ -626,13 +626,13 @@ def _first_load(entity: str, n: int, prefix: str) -> str:
     if entity == "customers":
         return (
             f"SELECT {prefix}'customers_silver' AS stage_name, (SELECT count(*) FROM batch_customers_{n}) "
-            "AS rows_inserted, 0 AS rows_updated, 0 AS rows_quarantined"
+            "AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_quarantined"
         )
     present = f"customer_id IN (SELECT customer_id FROM batch_customers_{n})"
     good = f"{VALID['orders']} AND {present}"
     return (
         f"SELECT {prefix}'orders_silver' AS stage_name, (SELECT count(*) FROM batch_orders_{n} WHERE {good}) "
-        f"AS rows_inserted, 0 AS rows_updated, (SELECT count(*) FROM batch_orders_{n} WHERE NOT ({good})) "
+        f"AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, (SELECT count(*) FROM batch_orders_{n} WHERE NOT ({good})) "
         "AS rows_quarantined"
     )
 

@@ -2,6 +2,7 @@ import pytest
 
 from oreflow.model import CUSTOMERS, ENTITIES, ORDERS, PRODUCTS, RunContext
 from oreflow.operators.bronze import DuplicateKeyError
+from oreflow.operators.quality import DataQualityError
 from oreflow.plans.loads import load_bronze
 from oreflow.sources import jdbc
 from tests import rows
@@ -88,6 +89,12 @@ def test_a_finished_load_leaves_no_stage_rows(spark, warehouse):
         assert not warehouse._exists(f"{warehouse.root}/stage/{name}/run-1")
 
 
+def test_a_failed_load_leaves_no_stage_rows(spark, warehouse):
+    with pytest.raises(DataQualityError):
+        load_bronze(warehouse, CUSTOMERS, rows.customers(spark, rows.customer(first="")), rows.context())
+    assert not warehouse._exists(f"{warehouse.root}/stage/customers/run-1")
+
+
 def test_ids_that_cannot_name_a_folder_are_refused():
     for bad in ("", "a/b", "../x", "a=b"):
         with pytest.raises(ValueError, match="not usable as an id"):

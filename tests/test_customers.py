@@ -2,6 +2,7 @@ from collections import Counter
 
 import pytest
 
+from oreflow.model import CUSTOMERS
 from oreflow.operators import customers as c
 from oreflow.operators import quality as q
 from oreflow.sources.local import local_rows
@@ -85,6 +86,14 @@ def test_threshold_is_checked(threshold):
         q.check_threshold(threshold)
 
 
+def test_key_order_splits_equal_rows(spark):
+    many = rows.customers(spark, rows.customer(5)).crossJoin(spark.range(20_000, numPartitions=4).select())
+    parts = c.ordered(many.unionByName(rows.customers(spark, rows.customer(9), rows.customer(1))), "customer_id")
+    assert parts.columns == list(CUSTOMERS.columns)
+    keys = [r.customer_id for r in parts.select("customer_id").collect()]
+    assert keys == sorted(keys) and len(keys) == 20_002
+
+
 def test_latest_version_per_id(spark):
     first = rows.bronze(rows.customers(spark, rows.customer(key=1, phone="a"), rows.customer(key=2)), "customers", rows.context("r1", "b1", 1))
     second = rows.bronze(rows.customers(spark, rows.customer(key=1, phone="b")), "customers", rows.context("r2", "b2", 2))

@@ -170,6 +170,13 @@ def test_stepwise_changes_equal_the_one_pass_merge(spark):
     assert sorted(map(tuple, stepwise.collect())) == sorted(map(tuple, merged.collect()))
 
 
+def test_silver_customers_need_names(spark, warehouse):
+    rows.land(warehouse, "customers", rows.customers(spark, rows.customer(first=None)), rows.context())
+    with pytest.raises(Exception, match="customers: first_name must not be null"):
+        load_silver(warehouse, CUSTOMERS, rows.context())
+    assert warehouse.silver(CUSTOMERS) is None
+
+
 def test_superseded_versions_are_removed(spark, warehouse):
     for day in (1, 2, 3, 4):
         load(warehouse, "products", rows.products(spark, rows.product(day)), rows.context(f"r{day}", f"b{day}", day))
