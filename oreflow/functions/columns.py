@@ -84,6 +84,17 @@ def average_decimal(value: str) -> str:
     return f"CAST(avg(CAST({value} AS DECIMAL(18,2))) AS DECIMAL(18,2))"
 
 
+def guid_sort_key(guid: str) -> str:
+    """Text that sorts the way SQL Server sorts a uniqueidentifier: by byte, from the last group to the first.
+
+    The first three groups are stored least significant byte first, so their bytes compare in reverse.
+    """
+    text = f"lower({guid})"
+    # (first character, length) of the bytes in order of weight
+    spans = [(25, 12), (20, 4), (17, 2), (15, 2), (12, 2), (10, 2), (7, 2), (5, 2), (3, 2), (1, 2)]
+    return f"concat({', '.join(f'substring({text}, {start}, {n})' for start, n in spans)})"
+
+
 def stable_id(name: str, namespace: uuid.UUID = uuid.NAMESPACE_URL) -> str:
     """Name-based (version 5) UUID of a text expression, equal to Python's ``uuid.uuid5``."""
     digest = f"sha1(concat(unhex('{namespace.hex}'), encode({name}, 'UTF-8')))"

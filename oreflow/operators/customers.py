@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from oreflow.functions.columns import guid_sort_key
 from oreflow.model import CUSTOMERS
 
 
-def latest_customers(bronze: DataFrame) -> DataFrame:
-    """Newest Bronze version per id; equal load times fall back to the batch id (text order).
+def latest_customers(bronze: DataFrame, guid_order: bool = False) -> DataFrame:
+    """Newest Bronze version per id; equal load times fall back to the batch id.
+
+    Batch ids compare as text, or with ``guid_order`` the way SQL Server compares a uniqueidentifier.
 
     The rank limit of 1 is applied inside each input partition before the shuffle, so that an id with very
     many versions sends one row per task.
     """
-    newest = Window.partitionBy(CUSTOMERS.key).orderBy(F.desc("ingested_at"), F.desc("batch_id"))
+    batch = F.expr(guid_sort_key("batch_id")) if guid_order else F.col("batch_id")
+    newest = Window.partitionBy(CUSTOMERS.key).orderBy(F.desc("ingested_at"), batch.desc())
     return bronze.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 

@@ -143,6 +143,8 @@ class Warehouse:
             row = (spec.name, ctx.batch_id, path, ctx.pipeline_run_id, count, ctx.at)
             self.append_log("bronze_ledger", [row])
             self._folders(spec).append((ctx.batch_id, path))
+        else:
+            self._delete(f"{self.root}/{path}")
         return count
 
     # --- quarantine ----------------------------------------------------------------------------------

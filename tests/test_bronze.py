@@ -22,6 +22,7 @@ def test_a_batch_loads_once_and_another_batch_again(spark, warehouse, entity):
     assert not warehouse.batch_exists(spec, "b1")
     assert load_bronze(warehouse, spec, df, rows.context("r1", "b1")) == 1
     assert load_bronze(warehouse, spec, df, rows.context("r2", "b1")) == 0
+    assert not warehouse._exists(f"{warehouse.root}/bronze/{entity}/batch_id=b1/r2")
     assert load_bronze(warehouse, spec, df, rows.context("r3", "b2")) == 1
     assert warehouse.batch_exists(spec, "b1")
     kept = warehouse.bronze(spec).select("pipeline_run_id", "batch_id").collect()

@@ -1,7 +1,9 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from oreflow.functions.columns import guid_sort_key
 from oreflow.model import CUSTOMERS
 from oreflow.operators import customers as c
 from oreflow.operators import quality as q
@@ -102,6 +104,19 @@ def test_latest_version_per_id(spark):
     assert sorted((r.customer_id, r.phone, r.batch_id) for r in latest.collect()) == [(1, "c", "b3"), (2, "555-0100", "b1")]
 
 
+def test_guid_order_compares_the_last_group_first(spark):
+    low = "ffffffff-ffff-ffff-ffff-000000000001"
+    high = "00000000-0000-0000-0000-000000000002"
+    parts = [rows.bronze(rows.customers(spark, rows.customer(phone=b)), "customers", rows.context("r", b)) for b in (low, high)]
+    both = parts[0].unionByName(parts[1])
+    assert c.latest_customers(both).first().phone == low
+    assert c.latest_customers(both, guid_order=True).first().phone == high
+    # Within the first group the last byte weighs most.
+    ids = ["01000000-0000-0000-0000-000000000000", "00000002-0000-0000-0000-000000000000", "00000001-0000-0000-0000-000000000000"]
+    df = local_rows(spark, [(i,) for i in ids], "id STRING").orderBy(F.expr(guid_sort_key("id")))
+    assert [r.id for r in df.collect()] == [ids[0], ids[2], ids[1]]
+
+
 def test_hash_lookup(spark):
     ddl = "customer_id BIGINT, email STRING, record_hash BINARY"
     latest = local_rows(
