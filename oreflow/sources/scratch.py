@@ -1,26 +1,60 @@
-"""Where jobs put intermediate tables: the shared folder of the session's checkpoint setting."""
+"""Where jobs put intermediate tables: the folder that driver and executors share.
+
+That is ``spark.checkpoint.dir``, else the checkpoint folder given to the context.  There is no fallback to a
+machine-local folder: a session that has neither is refused.  ``share_locally`` gives a single-machine session
+one, for tests, benchmarks and the entry point.
+"""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_written: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="oreflow-")
+def share_locally(spark: SparkSession) -> None:
+    """Give a session of one machine a folder of its own; any other session has to bring one."""
+    if shared_folder(spark):
+        return
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"{SETTING} must name a folder that driver and executors share (master is {master})")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="oreflow-"))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``.  Only a local session may go without the setting."""
-    base = spark.conf.get(SETTING, None)
+    """A fresh path below the shared folder."""
+    base = shared_folder(spark)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{SETTING} must name a folder that all executors share")
-        base = _local_folder()
-    return f"{base.rstrip('/')}/oreflow/{label}-{uuid.uuid4()}"
+        raise RuntimeError(f"{SETTING} must name a folder that driver and executors share")
+    path = f"{base.rstrip('/')}/oreflow/{label}-{uuid.uuid4()}"
+    _written.append(path)
+    return path
+
+
+def written(rows: DataFrame, label: str) -> DataFrame:
+    """The rows written once and read back: cuts lineage and survives lost executors."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(hadoop_path, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Remove what this process wrote, once no result that reads from it is in use any more."""
+    while _written:
+        remove(spark, _written.pop())

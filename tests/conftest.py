@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from oreflow.sources.scratch import sweep  # noqa: E402
 from oreflow.sources.warehouse import Warehouse  # noqa: E402
 from tests.session import session  # noqa: E402
 
@@ -13,6 +14,7 @@ from tests.session import session  # noqa: E402
 def spark():
     spark = session()
     yield spark
+    sweep(spark)
     spark.stop()
 
 

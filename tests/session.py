@@ -1,5 +1,7 @@
 from pyspark.sql import SparkSession
 
+from oreflow.sources.scratch import share_locally
+
 
 def session(cpus: str = "8") -> SparkSession:
     spark = (
@@ -14,4 +16,5 @@ def session(cpus: str = "8") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    share_locally(spark)
     return spark
