@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.llm import bytebpe, tokencount
+from oreflow.llm import bytebpe, decontam, quality, tokencount, tokenfile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,17 +15,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.token_ids(_table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.byte_bpe_digest(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_token_counts": op4_token_counts, "op8_byte_bpe": op8_byte_bpe}
+    return {
+        "op1_token_ids": op1_token_ids,
+        "op4_token_counts": op4_token_counts,
+        "op5_decontaminate": op5_decontaminate,
+        "op6_quality": op6_quality,
+        "op8_byte_bpe": op8_byte_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_decontaminate": decontam.SQL}
