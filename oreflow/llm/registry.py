@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.llm import bytebpe, decontam, quality, tokencount, tokenfile
+from oreflow.llm import bytebpe, decontam, langid, quality, tokencount, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,17 +31,27 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(_table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.byte_bpe_digest(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_ids": op1_token_ids,
         "op4_token_counts": op4_token_counts,
         "op5_decontaminate": op5_decontaminate,
         "op6_quality": op6_quality,
+        "op7_language": op7_language,
         "op8_byte_bpe": op8_byte_bpe,
+        "op10_toxicity": op10_toxicity,
     }
 
 
