@@ -29,8 +29,14 @@ class Packed(NamedTuple):
     escaped: np.ndarray  # uint64
 
 
+_BITS_BELOW = 1 << 16
+_FEW_BITS = np.array([x.bit_length() for x in range(_BITS_BELOW)], dtype=np.uint8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bit lengths, as bytes."""
+    if not len(values) or values.max() < _BITS_BELOW:
+        return _FEW_BITS[values]
     out = np.zeros(len(values), dtype=np.uint8)
     for shift in (32, 16, 8, 4, 2, 1):
         high = values >= np.uint64(1) << np.uint64(shift)
@@ -65,14 +71,13 @@ def pack(values: np.ndarray, block: int = BLOCK) -> Packed:
         values[escaped_at] = 0
     if not n:
         return Packed(0, np.empty(0, np.uint64), np.zeros(1, np.int64), escaped_at, escaped)
-    at = np.arange(n)
-    left = np.minimum((at // block + 1) * block, n) - at  # a word never reaches into the next block
+    left = np.tile(np.arange(block, 0, -1, dtype=np.uint16), -(-n // block))[:n]
+    left[n - 1 - (n - 1) % block :] -= np.uint16(left[n - 1] - 1)  # a word never reaches into the next block
     selector = np.full(n, 15, dtype=np.uint8)
     widest = _widest(_bits(values))
     for s in range(14, -1, -1):
         count, bits = SELECTORS[s]
-        if count <= block:
-            selector[(widest[count] <= bits) & (left >= count)] = s
+        np.copyto(selector, np.uint8(s), where=(widest[count] <= bits) & (left >= count))
     # Words follow one another within a block; all blocks are walked in step.
     lanes = np.arange(0, n, block)
     ends = np.minimum(lanes + block, n)
@@ -93,8 +98,10 @@ def pack(values: np.ndarray, block: int = BLOCK) -> Packed:
         which = np.flatnonzero(chosen == s)
         if bits and len(which):
             places = first[which]
-            for j in range(count):
-                words[which] |= values[places + j] << np.uint64(j * bits)
+            packed = values[places]
+            for j in range(1, count):
+                packed |= values[places + j] << np.uint64(j * bits)
+            words[which] |= packed
     return Packed(n, words, offsets, escaped_at, escaped)
 
 

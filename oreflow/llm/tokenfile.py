@@ -28,7 +28,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 GROUP_IDS = 1 << 18
 KEPT_UNITS = 1 << 20
-_WORD_END = "</w>"
+KEPT_CHARS = 1 << 25
 
 
 class UnitEncoder:
@@ -37,71 +37,74 @@ class UnitEncoder:
     The normalizer turns white space into spaces, the pattern drops them, and no match of it holds both a letter
     and a stop; special strings hold neither white space nor a stop.  So a text may be cut at white space and
     between a letter and a stop, and its ids are those of the units, one after the other.  Anything else between
-    white space is a unit as a whole.
+    white space is a unit as a whole.  A run of letters is one match, which goes to the library's model directly.
+    Lower-casing letter by letter, as the normalizer does, may come first where no special string can arise.
     """
 
     _letter, _stop = "A-Za-zÀ-ÖØ-öø-ÿ", ".,!?;:"
     _units = re.compile(
         rf"[{_letter}]++(?=[{_stop} \t\n\r]|\Z)|[{_stop}]++(?=[{_letter} \t\n\r]|\Z)|[^ \t\n\r]+"
     ).findall
-    _plain = re.compile(rf"[{_letter}]+|[{_stop}]+").fullmatch
+    _word = re.compile(rf"[{_letter}]+").fullmatch
 
     def __init__(self, path: str, kept: int = KEPT_UNITS):
         self.tokenizer = Tokenizer.from_file(path)
         self.kept = kept
-        size = self.tokenizer.get_vocab_size()
-        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(_WORD_END) for i in range(size)])
+        letters = [chr(x) for x in range(256) if self._word(chr(x))]
+        self.alphabet = str.maketrans({x: self._as_bytes(x) for x in letters})
+        probe = "".join(letters)
+        self.direct = self._model(probe) == self.tokenizer.encode(probe, add_special_tokens=False).ids
         self._forget()
 
+    def _as_bytes(self, text: str) -> str:
+        return "".join(x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
+
+    def _model(self, word: str) -> list[int]:
+        low = word.lower()
+        return [x.id for x in self.tokenizer.model.tokenize(low if low.isascii() else low.translate(self.alphabet))]
+
     def _forget(self) -> None:
         self.number = _Numbers()
-        self.slot = np.empty(0, dtype=np.int64)  # of each number, its place in begin
+        self.chars = 0
         self.ids = np.empty(0, dtype=np.uint32)
         self.begin = np.zeros(1, dtype=np.int64)
 
     def _learn(self, units: list[str]) -> None:
-        """Have the library encode units that have got the next numbers.
-
-        Runs of letters or stops are one match each, whose last id alone ends a word, so many go to the library as
-        one text; the others, and any text in which that does not hold, go one by one.
-        """
-        plain = [i for i, x in enumerate(units) if self._plain(x)]
-        single = [i for i, x in enumerate(units) if not self._plain(x)]
-        runs = [plain[i : i + 512] for i in range(0, len(plain), 512)]
-        texts = [" ".join([units[i] for i in run]) for run in runs]
-        order, ids, counts = [], [], []
-        for run, got in zip(runs, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            found = np.asarray(got.ids, dtype=np.uint32)
-            ends = np.flatnonzero(self.ends[found]) + 1
-            if len(ends) == len(run) and ends[-1] == len(found):
-                order += run
-                ids.append(found)
-                counts.append(np.diff(ends, prepend=0))
-            else:
-                single += run
-        got = [x.ids for x in self.tokenizer.encode_batch([units[i] for i in single], add_special_tokens=False)]
-        order += single
-        ids.append(np.array([y for x in got for y in x], dtype=np.uint32))
-        counts.append(np.fromiter(map(len, got), dtype=np.int64, count=len(got)))
-        slot = np.empty(len(order), dtype=np.int64)
-        slot[order] = np.arange(len(self.slot), len(self.slot) + len(order))
-        self.slot = np.concatenate([self.slot, slot])
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(counts))])
-        self.ids = np.concatenate([self.ids, *ids])
+        """Have the library encode units that have got the next numbers."""
+        found = [self._model(x) if self.direct and self._word(x) else None for x in units]
+        rest = [i for i, x in enumerate(found) if x is None]
+        got = self.tokenizer.encode_batch([units[i] for i in rest], add_special_tokens=False)
+        for i, x in zip(rest, got, strict=True):
+            found[i] = x.ids
+        self.chars += sum(map(len, units))
+        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        ids = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=counts.sum())
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    @staticmethod
+    def _lower(text: str) -> str:
+        if "<|" in text:
+            return text
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+        return text.lower()
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has)."""
-        if len(self.number) > self.kept:
+        if len(self.number) > self.kept or self.chars > KEPT_CHARS:
             self._forget()
-        split = [self._units(x) for x in texts]
+        split = [self._units(self._lower(x)) for x in texts]
         per_text = np.concatenate([[0], np.cumsum(np.fromiter(map(len, split), dtype=np.int64, count=len(split)))])
         known = len(self.number)
         units = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=per_text[-1])
         if len(self.number) > known:
             self._learn(list(islice(self.number, known, None)))
-        at = self.slot[units]
-        begin = self.begin[at]
-        sizes = self.begin[at + 1] - begin
+        begin = self.begin[units]
+        sizes = self.begin[units + 1] - begin
         stops = np.concatenate([[0], np.cumsum(sizes)])
         out = self.ids[np.arange(stops[-1]) + np.repeat(begin - stops[:-1], sizes)]
         return out, np.diff(stops[per_text])
