@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.llm import bytebpe, decontam, langid, quality, tokencount, tokenfile, toxicity
+from oreflow.llm import bytebpe, decontam, langid, ngramjoin, quality, tokencount, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_ids(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.similar(_table(spark, sf_dir, "documents")).drop("key")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_ids": op1_token_ids,
+        "op3_ngram_join": op3_ngram_join,
         "op4_token_counts": op4_token_counts,
         "op5_decontaminate": op5_decontaminate,
         "op6_quality": op6_quality,
@@ -56,4 +61,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": decontam.SQL}
+    return {"op3_ngram_join": ngramjoin.SQL, "op5_decontaminate": decontam.SQL}
