@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.llm.components import components
+from oreflow.llm.groups import binary_bytes, whole_groups
 from oreflow.llm.text import Words, mix, per_slice, shingle_hashes, text_bytes
 from oreflow.sources.scratch import written
 
@@ -150,31 +151,6 @@ def dealt(rows: DataFrame, key: str, size: str, chunk: int = CHUNK) -> DataFrame
     ).repartition(key, "x", "y").sortWithinPartitions(key, "x", "y")
 
 
-def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Tables of sorted rows that hold every group whole, with where its groups begin, and the end."""
-
-    def begins(table: pa.Table) -> np.ndarray:
-        change = np.zeros(len(table), dtype=bool)
-        change[:1] = True
-        for key in keys:
-            values = table.column(key).to_numpy()
-            change[1:] |= values[1:] != values[:-1]
-        return np.flatnonzero(change)
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(map(len, held)) >= rows:
-            table = pa.Table.from_batches(held).combine_chunks()
-            first = begins(table)
-            if len(first) > 1:
-                yield table.slice(0, first[-1]), first
-                held = table.slice(first[-1]).to_batches()
-    if held and sum(map(len, held)):
-        table = pa.Table.from_batches(held).combine_chunks()
-        yield table, np.append(begins(table), len(table))
-
-
 def _meetings(part: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows that meet in each group, some at a time: all of one part, or one part's with the other's."""
     sizes = np.diff(first)
@@ -199,18 +175,10 @@ def _meetings(part: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray)
 
 
 def _sketch_matrix(column: pa.ChunkedArray) -> np.ndarray:
-    data, _ = _binary(column)
+    data, _ = binary_bytes(column)
     return data.reshape(len(column), HASHES)
 
 
-def _binary(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    array = array.cast(pa.large_binary())
-    _, offsets, data = array.buffers()
-    at = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1]
-    return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
-
-
 def _tie_bands(threshold: float, tolerance: float) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, first in whole_groups(batches, ["band", "x", "y"]):
@@ -256,7 +224,7 @@ def _verify(threshold: float, tolerance: float, shingle: int) -> Callable:
     def verified(table: pa.Table, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of rows of one group whose similarity reaches the threshold."""
         part, x, y = (table.column(c).to_numpy() for c in ("part", "x", "y"))
-        grams, begin = exact_shingles(Words(*_binary(table.column("text"))), shingle)
+        grams, begin = exact_shingles(Words(*binary_bytes(table.column("text"))), shingle)
         n = np.diff(begin)
         held = np.zeros(int(grams.max()) + 1 if len(grams) else 1, dtype=bool)
         left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from oreflow.llm import bytebpe, decontam, langid, ngramjoin, quality, tokencount, tokenfile, toxicity
+from oreflow.llm import bytebpe, decontam, langid, ngramjoin, preference, quality, tokencount, tokenfile, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +21,10 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_ids(_table(spark, sf_dir, "documents"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.similar(_table(spark, sf_dir, "documents")).drop("key")
 
@@ -43,6 +49,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.byte_bpe_digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = preference.preferences(preference.swapped_replies(_table(spark, sf_dir, "conversations")))
+    return found.withColumns({x: preference.spans_text(x) for x in ("chosen_spans", "rejected_spans")})
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -50,15 +61,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_ids": op1_token_ids,
+        "op2_top_k": op2_top_k,
         "op3_ngram_join": op3_ngram_join,
         "op4_token_counts": op4_token_counts,
         "op5_decontaminate": op5_decontaminate,
         "op6_quality": op6_quality,
         "op7_language": op7_language,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_preferences": op9_preferences,
         "op10_toxicity": op10_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_join": ngramjoin.SQL, "op5_decontaminate": decontam.SQL}
+    return {
+        "op2_top_k": topk.SQL,
+        "op3_ngram_join": ngramjoin.SQL,
+        "op5_decontaminate": decontam.SQL,
+        "op9_preferences": preference.SQL,
+    }
