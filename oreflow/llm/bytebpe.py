@@ -13,6 +13,7 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from oreflow.llm.text import per_slice
 
@@ -60,7 +61,7 @@ def byte_bpe_ids(docs: DataFrame, path: str | None = None, text: str = "text", i
         return pa.RecordBatch.from_arrays(columns, names=[*kept, ids])
 
     plain = docs.select(*kept)
-    schema = plain.schema.add(ids, "array<int>")
+    schema = T.StructType([*plain.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     return plain.mapInArrow(per_slice(work, text), schema)
 
 
@@ -78,7 +79,7 @@ def byte_bpe_text(rows: DataFrame, path: str | None = None, ids: str = "ids", ou
             )
 
     plain = rows.select(*kept)
-    return plain.mapInArrow(run, plain.schema.add(out, "binary"))
+    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField(out, T.BinaryType())]))
 
 
 DIGEST_DDL = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

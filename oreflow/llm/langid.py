@@ -109,7 +109,7 @@ def languages(docs: DataFrame, content: dict[str, bytes] | None = None, min_marg
     ``min_margin``, and for all if nothing was learned.  Ties go to the language first by name.  Repeated rows: one row each.
     Only the text enters a prediction; other columns are not read.
     """
-    held = tuple((learn(docs) if content is None else content).items())
+    held = tuple(sorted((learn(docs) if content is None else content).items()))
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
         decide = compressors(held).decide

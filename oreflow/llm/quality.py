@@ -175,7 +175,7 @@ def fit(
     y = np.asarray(y, dtype=float)
     base = y.mean() if len(y) else 0.5
     model = AdditiveModel(float(np.log((base + 1e-4) / (1 - base + 1e-4))))
-    if not 0 < base < 1:
+    if not len(y) or not 0 < base < 1:
         return model
     model.edges = [_edges(x[:, j], bins) for j in range(x.shape[1])]
     model.coarse = [_edges(x[:, j], coarse) for j in range(x.shape[1])]

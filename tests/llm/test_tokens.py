@@ -1,0 +1,125 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from oreflow.llm import bytebpe, simple8b, tokencount, tokenfile
+from tests.llm.conftest import MESSY, prose
+
+PIECES = list("ab cd  \n\t.,'A1é") + [
+    "the ", "ing", "　", "\xa0", "​", "日本", "😀", "é", " \n", "\r", "<s>", "</s>", "▁", "\0", "   ",
+    "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'re", "İ", "Σ", "\x1c", "\x85", "ß", "K", ";̸",
+]
+
+
+def odd_texts(n: int) -> list[str]:
+    rng = random.Random(1)
+    return ["".join(rng.choices(PIECES, k=rng.randint(0, 30))) for _ in range(n)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 70_000), st.just(0), st.integers(0, (1 << 64) - 1)), max_size=400), st.sampled_from([4, 64, 1024]))
+def test_simple8b_round_trip(values, block):
+    values = np.array(values, dtype=np.uint64)
+    packed = simple8b.pack(values, block)
+    assert (simple8b.unpack(packed) == values).all()
+    for i in range(-(-len(values) // block)):
+        assert (simple8b.unpack_block(packed, i, block) == values[i * block : (i + 1) * block]).all()
+
+
+def test_simple8b_packs_zeros_and_small_ids_tightly():
+    assert len(simple8b.pack(np.zeros(240 * 4, np.uint64), 960).words) == 4
+    ids = np.random.default_rng(1).integers(0, 1 << 15, 4096)
+    assert len(simple8b.pack(ids).words) <= 4096 / 4 + 8
+
+
+def test_word_units_give_the_library_s_ids():
+    encode = tokenfile.encoder(public_tokenizers.path(tokenfile.TOKENIZER))
+    texts = odd_texts(3000) + [prose(i, 200) for i in range(5)] + ["", "I'm, you're. ALL CAPS!!"]
+    ids, counts = encode(texts)
+    want = encode.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [x.ids for x in want]
+    assert encode.direct
+
+
+def test_units_are_forgotten_in_bounds():
+    encode = tokenfile.UnitEncoder(public_tokenizers.path(tokenfile.TOKENIZER), kept=10)
+    for _ in range(3):
+        ids, counts = encode([prose(3, 50)])
+        assert ids.tolist() == encode.tokenizer.encode(prose(3, 50), add_special_tokens=False).ids
+    assert len(encode.number) < 60
+
+
+def test_token_files(spark, messy, no_docs):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(tokenfile.TOKENIZER))
+    found = tokenfile.token_ids(messy).orderBy("start").collect()
+    assert [x["doc_id"] for x in found] == sorted((x[0] for x in MESSY), key=lambda x: (x is not None, x))
+    at = 0
+    texts = sorted(MESSY, key=lambda x: (x[0] is not None, x[0] or 0))
+    for row, (_, text, _) in zip(found, texts, strict=True):
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert tokenfile.token_ids(no_docs).count() == 0
+
+
+def test_groups_hold_whole_documents(spark, sf, tmp_path):
+    docs, out = sf("documents", "0.001"), str(tmp_path / "shards")
+    tokenfile.write_token_shards(docs, out, group_ids=2000, shards=3)
+    files = spark.read.parquet(out)
+    assert files.select("shard").distinct().count() == 3
+    one, many = tokenfile.token_ids(docs), tokenfile.read_token_shards(spark, out)
+    assert one.exceptAll(many).count() == 0 and files.filter("size(doc_ids) = 0").count() == 0
+
+
+def test_counts_are_the_library_s():
+    path = public_tokenizers.path(tokencount.MODEL)
+    model, count = sentencepiece.SentencePieceProcessor(model_file=path), tokencount.TokenCounter(path, kept=20_000)
+    assert count.exact_split and len(count.single) > 10_000
+    texts = odd_texts(4000) + [prose(i, 300) for i in range(5)]
+    assert count(texts) == list(map(len, model.encode(texts)))
+    count.exact_split = False
+    assert count(texts[:50]) == list(map(len, model.encode(texts[:50])))
+
+
+def test_token_counts(messy, no_docs):
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(tokencount.MODEL))
+    want = sorted(((a, len((b or "").encode()), len(model.encode(b or "")), len(model.encode(b or "")) > 4096) for a, b, _ in MESSY), key=str)
+    assert sorted(map(tuple, tokencount.token_counts(messy).collect()), key=str) == want
+    assert tokencount.token_counts(no_docs).count() == 0
+
+
+def test_long_texts_are_cut_only_where_nothing_changes():
+    bpe = bytebpe.encoding(public_tokenizers.path(bytebpe.RANKS))
+    for text in odd_texts(2000) + [prose(4, 400)]:
+        assert bytebpe.encode(bpe, text * 2, 10).tolist() == bpe.encode_ordinary(text * 2)
+
+
+def test_byte_bpe(spark, messy, no_docs):
+    bpe = bytebpe.encoding(public_tokenizers.path(bytebpe.RANKS))
+
+    def row(doc_id, text):
+        data = np.array(bpe.encode_ordinary(text or ""), dtype="<u4")
+        return doc_id, len(data), hashlib.sha256(data.tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+    want = sorted((row(a, b) for a, b, _ in MESSY), key=str)
+    assert sorted(map(tuple, bytebpe.byte_bpe_digest(messy).collect()), key=str) == want
+    assert bytebpe.byte_bpe_digest(no_docs).count() == 0
+    ids = bytebpe.byte_bpe_ids(messy)
+    assert set(messy.columns) - {"ids"} <= set(ids.columns)
+    for x in bytebpe.byte_bpe_text(ids.select("doc_id", "text", "ids")).collect():
+        assert bytes(x["decoded"]) == (x["text"] or "").encode()
+    cut = spark.createDataFrame([(bpe.encode_ordinary("日本語😀")[:1],), (None,)], "ids array<int>")
+    assert [bytes(x["decoded"]) for x in bytebpe.byte_bpe_text(cut).collect()][1] == b""
+
+
+@pytest.mark.parametrize("text", ["", "a", "No boundary" * 10])
+def test_pieces_join_to_the_text(text):
+    assert "".join(bytebpe.pieces(text, 8)) == text
