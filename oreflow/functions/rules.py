@@ -43,13 +43,11 @@ def _parent_missing(spec: EntitySpec, parent: Parent, absent: str) -> str:
 def failure_reason(spec: EntitySpec, absent: dict[str, str] | None = None) -> str:
     """Joined reasons of a row, '' when there are none.
 
-    ``absent`` maps a parent entity to a predicate telling that the row's parent is not there.  Orders
-    record a missing parent as a text of its own, without the '; ' that ends all other reasons.
+    ``absent`` maps a parent entity to a predicate telling that the row's parent is not there.
     """
     absent = absent or {}
     arms = [_arm(r.fails, f"{r.message}; ") for r in spec.rules]
-    suffix = "" if spec.name == "orders" else "; "
     for parent in spec.parents:
         if parent.entity in absent:
-            arms.append(_arm(_parent_missing(spec, parent, absent[parent.entity]), parent.message + suffix))
+            arms.append(_arm(_parent_missing(spec, parent, absent[parent.entity]), parent.message + spec.parent_suffix))
     return f"concat({', '.join(arms)})"

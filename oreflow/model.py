@@ -74,6 +74,13 @@ class EntitySpec:
     unset_in_silver: tuple[str, ...] = ()
     # Columns whose time part is rounded to milliseconds on the way into Bronze.
     millis_columns: tuple[str, ...] = ()
+    # Checked by its list rules before it lands: repeated ids and broken rows stay out, a gate may stop the load, and
+    # quarantine holds a row for each failed rule and attempt.
+    checked_before_bronze: bool = False
+    # What ends the reason that tells of a missing parent.
+    parent_suffix: str = "; "
+    # Quarantine of a missing parent is held back only by an entry with that very reason, not by any entry.
+    parent_reason_apart: bool = False
 
     @property
     def attributes(self) -> list[str]:
@@ -83,6 +90,10 @@ class EntitySpec:
     def has_quarantine(self) -> bool:
         return bool(self.rules or self.parents)
 
+    @property
+    def quarantine_partition(self) -> str:
+        return "pipeline_run_id" if self.checked_before_bronze else "batch_id"
+
     def ddl(self, extra: str = "") -> str:
         return ", ".join(f"{c} {t}" for c, t in self.columns.items()) + extra
 
@@ -104,7 +115,7 @@ class EntitySpec:
 
     @property
     def quarantine_ddl(self) -> str:
-        if self.name == "customers":
+        if self.checked_before_bronze:
             return (
                 self.ddl(", validation_rule STRING, validation_message STRING")
                 + ", quarantined_at TIMESTAMP_NTZ, resolved_at TIMESTAMP_NTZ, pipeline_run_id STRING"
@@ -155,6 +166,7 @@ CUSTOMERS = EntitySpec(
     required_in_silver=("first_name", "last_name"),
     unset_in_silver=("created_at",),
     millis_columns=("created_at",),
+    checked_before_bronze=True,
 )
 
 PRODUCTS = EntitySpec(
@@ -204,13 +216,15 @@ ORDERS = EntitySpec(
     parents=(
         Parent("customers", "customer_id", "CustomerID does not exist in silver.Customers", after_fields=True),
     ),
+    parent_suffix="",
+    parent_reason_apart=True,
 )
 
 ORDER_ITEMS = EntitySpec(
     name="order_items",
     key="order_item_id",
     columns={
-        "order_item_id": "BIGINT",
+        "order_item_id": "DECIMAL(38,0)",
         "order_id": "BIGINT",
         "product_id": "BIGINT",
         "quantity": "INT",
@@ -298,6 +312,6 @@ BRONZE_LEDGER_DDL = (
     "published_at TIMESTAMP_NTZ"
 )
 SILVER_LEDGER_DDL = (
-    "entity STRING, version BIGINT, path STRING, pipeline_run_id STRING, batch_id STRING, rows_inserted BIGINT, "
-    "rows_updated BIGINT, published_at TIMESTAMP_NTZ"
+    "entity STRING, version BIGINT, path STRING, paths ARRAY<STRING>, pipeline_run_id STRING, batch_id STRING, "
+    "rows_inserted BIGINT, rows_updated BIGINT, published_at TIMESTAMP_NTZ"
 )

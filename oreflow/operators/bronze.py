@@ -31,11 +31,14 @@ def enforce_contract(df: DataFrame, spec: EntitySpec, checks: dict[str, str]) ->
     """
     if not checks:
         return df
-    arms = ", ".join(f"CASE WHEN {p} THEN '{spec.name}: {n}; ' END" for n, p in checks.items())
-    problem = f"concat_ws('', {arms})"
-    return df.withColumn(
-        spec.key, F.expr(f"CASE WHEN {problem} <> '' THEN raise_error({problem}) ELSE {spec.key} END")
-    )
+    return guarded(df, spec.name, spec.key, checks)
+
+
+def guarded(df: DataFrame, table: str, column: str, checks: dict[str, str]) -> DataFrame:
+    """``column`` fails to evaluate in a row for which a check's predicate is true; a good row builds no text."""
+    broken = " OR ".join(f"({p})" for p in checks.values())
+    arms = ", ".join(f"CASE WHEN {p} THEN '{table}: {n}; ' END" for n, p in checks.items())
+    return df.withColumn(column, F.expr(f"CASE WHEN {broken} THEN raise_error(concat_ws('', {arms})) ELSE {column} END"))
 
 
 def fingerprint(snapshot: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -73,8 +76,12 @@ def bronze_new_rows(rows: DataFrame, bronze: DataFrame | None, spec: EntitySpec,
     return stamp_lineage(rows, ctx)
 
 
-def reject_repeated_keys(rows: DataFrame, spec: EntitySpec, ctx: RunContext) -> None:
-    """Stop the load when a key would enter the same batch twice."""
-    found = repeated_keys(rows, spec.key).limit(1).collect()
-    if found:
-        raise DuplicateKeyError(f"{spec.name}: {spec.key}={found[0][0]} occurs twice in batch {ctx.batch_id}")
+def count_unique(rows: DataFrame, spec: EntitySpec, ctx: RunContext) -> int:
+    """The number of rows, in the same aggregate that stops the load when a key would enter the batch twice."""
+    per_key = rows.groupBy(spec.key).agg(F.count("*").alias("_n"))
+    total, repeated = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)), F.min(F.when(F.col("_n") > 1, F.col(spec.key)))
+    ).first()
+    if repeated is not None:
+        raise DuplicateKeyError(f"{spec.name}: {spec.key}={repeated} occurs twice in batch {ctx.batch_id}")
+    return total

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from oreflow.functions.columns import timestamp_literal
 from oreflow.functions.rules import any_field_error, field_errors
 from oreflow.model import CUSTOMERS, DEFAULT_INVALID_RATE_THRESHOLD, DUPLICATE_RULE, EntitySpec, RunContext
-from oreflow.operators.bronze import repeated_keys
+from oreflow.sources.scratch import written
 
 # Copies are written out in chunks of this many rows, so that one heavily repeated row is spread over tasks.
 COPY_CHUNK = 10_000
+# Parts into which equal rows are dealt before they are counted.
+SALTS = 64
 
 
 class DataQualityError(RuntimeError):
@@ -53,27 +55,35 @@ def invalid_ids(snapshot: DataFrame, spec: EntitySpec = CUSTOMERS) -> DataFrame:
     return _per_id(snapshot, spec).filter("_invalid").select(spec.key, "_rows")
 
 
+def _staged_invalid(snapshot: DataFrame, spec: EntitySpec, invalid: DataFrame | None) -> DataFrame:
+    """The invalid ids as a written table, unless they were handed over: its size is then known, and a join with it
+    is not tied to an aggregate."""
+    return written(invalid_ids(snapshot, spec), "customer-invalid") if invalid is None else invalid
+
+
+def dealt_rows(snapshot: DataFrame, repeated: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Rows of repeated ids, dealt out by all columns and a ``_salt``."""
+    rows = snapshot.select(*spec.columns).join(repeated, spec.key, "left_semi")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
+    return rows.withColumn("_salt", salt).repartition(*spec.columns, "_salt")
+
+
 def duplicate_customers(
     snapshot: DataFrame, spec: EntitySpec = CUSTOMERS, invalid: DataFrame | None = None
 ) -> DataFrame:
     """Second and later rows of every repeated id; the first is the smallest over all columns.
 
-    A window would sort all rows of one id in one task.  Instead equal rows are counted before the
-    shuffle, the first row per id comes from a combinable minimum, and each distinct row is then
-    repeated as often as it exceeds that first one.
+    A window would sort all rows of one id in one task, and so would any step that keeps rows dealt out by id.
+    Instead rows of repeated ids are dealt out by all their columns and a salt, equal ones are counted in two steps,
+    the first row per id is a minimum that each task takes before the shuffle, and each distinct row is then
+    repeated as often as it exceeds that first one.  The repeated ids, the counts and the first rows are written
+    tables, so that both joins on the id are of bare shuffles, which adaptive skew join can split.
     """
     rest = spec.attributes
-    if invalid is None:
-        repeated = repeated_keys(snapshot, spec.key)
-    else:
-        repeated = invalid.filter("_rows > 1").select(spec.key)
-    copies = (
-        snapshot.select(*spec.columns)
-        .join(repeated, spec.key, "left_semi")
-        .groupBy(*spec.columns)
-        .agg(F.count("*").alias("_n"))
-    )
-    first = copies.groupBy(spec.key).agg(F.min(F.struct(*rest)).alias("_first"))
+    repeated = _staged_invalid(snapshot, spec, invalid).filter("_rows > 1").select(spec.key)
+    salted = dealt_rows(snapshot, repeated, spec).groupBy(*spec.columns, "_salt").agg(F.count("*").alias("_n"))
+    copies = written(salted.groupBy(*spec.columns).agg(F.sum("_n").alias("_n")), "customer-copies")
+    first = written(copies.groupBy(spec.key).agg(F.min(F.struct(*rest)).alias("_first")), "customer-first")
     extra = (
         copies.join(first, spec.key)
         .withColumn("_n", F.col("_n") - F.when(F.struct(*rest).eqNullSafe(F.col("_first")), 1).otherwise(0))
@@ -88,6 +98,7 @@ def customer_errors(
 ) -> DataFrame:
     """One row per (row, failed rule)."""
     columns = list(spec.columns)
+    invalid = _staged_invalid(snapshot, spec, invalid)
     field = (
         snapshot.filter(any_field_error(spec))
         .selectExpr(*columns, f"explode({field_errors(spec)}) AS _e")
@@ -105,7 +116,7 @@ def valid_customers(
     snapshot: DataFrame, spec: EntitySpec = CUSTOMERS, invalid: DataFrame | None = None
 ) -> DataFrame:
     """Rows whose id has no error at all; every row of a repeated id goes."""
-    tainted = invalid_ids(snapshot, spec) if invalid is None else invalid
+    tainted = _staged_invalid(snapshot, spec, invalid)
     return snapshot.join(tainted.select(spec.key), spec.key, "left_anti")
 
 
@@ -165,6 +176,7 @@ def process_customers(
     snapshot: DataFrame, ctx: RunContext, spec: EntitySpec = CUSTOMERS, invalid: DataFrame | None = None
 ) -> ProcessResult:
     """Validate, quarantine and filter a customer snapshot; the caller decides when to apply the gate."""
+    invalid = _staged_invalid(snapshot, spec, invalid)
     return ProcessResult(
         valid=valid_customers(snapshot, spec, invalid),
         quarantine=quarantine_customers(customer_errors(snapshot, spec, invalid), ctx),

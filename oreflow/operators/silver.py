@@ -63,8 +63,8 @@ def quarantine_new(
 ) -> DataFrame:
     """Rejected rows that the batch's quarantine does not hold yet.
 
-    One entry per (batch, key) is enough, except for an order with a missing customer, which is only held
-    back by an entry with that very reason.
+    One entry per (batch, key) is enough, except where a missing parent's reason stands apart: such a row is only
+    held back by an entry with that very reason.
     """
     if quarantine is None:
         return rejected
@@ -72,8 +72,8 @@ def quarantine_new(
         f"{spec.key} AS _held_key", "failure_reason AS _held_reason"
     )
     same = f"{spec.key} = _held_key"
-    if spec.name == "orders":
-        orphan = spec.parents[0].message
+    if spec.parent_reason_apart:
+        orphan = spec.parents[0].message + spec.parent_suffix
         same += f" AND (failure_reason <> '{orphan}' OR _held_reason = '{orphan}')"
     return rejected.join(held, F.expr(same), "left_anti")
 

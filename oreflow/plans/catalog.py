@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,10 +16,11 @@ from oreflow.operators import bronze as b
 from oreflow.operators import contracts, lifecycle, monitoring, quality, silver
 from oreflow.operators import customers as c
 from oreflow.plans import loads
+from oreflow.plans.health import warehouse_health
 from oreflow.plans.scenario import CONTEXTS, EMAIL_SUFFIX, FIRST, HANDLED, INTERRUPTED, SECOND, Scenario, shown
 from oreflow.sources import testdata
 from oreflow.sources.local import local_rows
-from oreflow.sources.scratch import scratch_path
+from oreflow.sources.scratch import scratch_path, written
 from oreflow.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,9 +67,9 @@ def stage_replace_run(s: Scenario) -> DataFrame:
 
 
 def bronze_append(entity: str, s: Scenario) -> DataFrame:
-    """Batch 1, an interrupted attempt at batch 2, and the attempt that adds what was missing."""
+    """Batch 1, an interrupted attempt at batch 2, the attempt that adds what was missing, and the same once more."""
     spec, warehouse = ENTITIES[entity], _warehouse(s.spark, f"bronze-{entity}")
-    steps = ((FIRST, s.landed(entity, 1)), (INTERRUPTED, s.landed(entity).filter(HANDLED[entity])), (SECOND, s.landed(entity)))
+    steps = ((FIRST, s.landed(entity, 1)), (INTERRUPTED, s.landed(entity).filter(HANDLED[entity])), (SECOND, s.landed(entity)), (SECOND, s.landed(entity)))
     for ctx, rows in steps:
         held = warehouse.bronze_batch(spec, ctx.batch_id)
         new = b.enforce_contract(b.bronze_new_rows(rows, held, spec, ctx), spec, b.violations(spec))
@@ -84,7 +85,7 @@ def quarantine_append(s: Scenario) -> DataFrame:
     warehouse.append_quarantine(CUSTOMERS, SECOND, errors)
     parts = [
         warehouse.quarantine(CUSTOMERS).select(
-            F.lit("customers").alias("entity"), F.col("customer_id").alias("record_key"), "pipeline_run_id",
+            F.lit("customers").alias("entity"), F.col("customer_id").cast("string").alias("record_key"), "pipeline_run_id",
             F.col("validation_message").alias("reason"),
         )
     ]
@@ -96,7 +97,7 @@ def quarantine_append(s: Scenario) -> DataFrame:
             warehouse.append_quarantine(spec, ctx, silver.quarantine_rows(rows, held, spec, ctx))
         parts.append(
             warehouse.quarantine(spec).select(
-                F.lit(entity).alias("entity"), F.col(spec.key).alias("record_key"), "pipeline_run_id",
+                F.lit(entity).alias("entity"), F.col(spec.key).cast("string").alias("record_key"), "pipeline_run_id",
                 F.col("failure_reason").alias("reason"),
             )
         )
@@ -112,18 +113,30 @@ def silver_publish(s: Scenario) -> DataFrame:
     warehouse.publish_silver(PRODUCTS, FIRST, silver.as_inserted(s.batch("products", 1), PRODUCTS, FIRST))
     batch, held = s.batch("products"), warehouse.silver(PRODUCTS)
     changes = warehouse.stage("products_changes", SECOND, silver.silver_changes(batch, held, PRODUCTS))
-    state = silver.apply_changes(batch, held, changes, PRODUCTS, SECOND)
-    warehouse.publish_silver(PRODUCTS, SECOND, state, silver.merge_counts(changes).first().asDict())
+    buckets = warehouse.touched_buckets(PRODUCTS, changes)
+    state = silver.apply_changes(batch, warehouse.silver(PRODUCTS, buckets), changes, PRODUCTS, SECOND)
+    warehouse.publish_silver(PRODUCTS, SECOND, state, silver.merge_counts(changes).first().asDict(), buckets)
     return shown(warehouse.silver(PRODUCTS))
 
 
 def ops_log_append(s: Scenario) -> DataFrame:
-    """Start rows and completion rows appended separately, then reduced to the current state."""
+    """All four logs, start rows and completion rows appended separately, then reduced to the current state."""
     warehouse = _warehouse(s.spark, "ops")
-    log = testdata.run_log(s.spark, s.sf_dir)
+    runs, batches = testdata.run_log(s.spark, s.sf_dir), testdata.batch_log(s.spark, s.sf_dir)
     for seq in (1, 2):
-        warehouse.append_log("pipeline_runs", log.filter(F.col("seq") == seq))
-    return lifecycle.latest_state(warehouse.log("pipeline_runs"), "pipeline_run_id")
+        warehouse.append_log("pipeline_runs", runs.filter(F.col("seq") == seq))
+        warehouse.append_log("batches", batches.filter(F.col("seq") == seq))
+    warehouse.append_log("stage_runs", s.stages().withColumn("seq", F.lit(1).cast("bigint")))
+    warehouse.append_log("events", testdata.event_log(s.spark, s.sf_dir))
+    rows = [
+        lifecycle.latest_state(warehouse.log(name), key).select(F.lit(name).alias("log"), F.col(key).alias("id"), "status")
+        for name, key in (("pipeline_runs", "pipeline_run_id"), ("batches", "batch_id"), ("stage_runs", "stage_run_id"))
+    ]
+    rows.append(warehouse.log("events").select(F.lit("events").alias("log"), "pipeline_run_id", "event_type"))
+    result = rows[0]
+    for more in rows[1:]:
+        result = result.union(more)
+    return result
 
 
 # --- projections ---------------------------------------------------------------------------------------
@@ -208,7 +221,7 @@ def batch_scope(s: Scenario) -> DataFrame:
 
 
 def hash_changed(s: Scenario) -> DataFrame:
-    held = s.silver("products", 1).selectExpr("product_id", "record_hash AS held")
+    held = s.published("products", 1).selectExpr("product_id", "record_hash AS held")
     changed = silver.hash_changed("record_hash", "held")
     return s.batch("products").join(held, "product_id").selectExpr("product_id", f"CAST({changed} AS INT) AS changed")
 
@@ -261,11 +274,11 @@ def promotable(entity: str, s: Scenario) -> DataFrame:
 
 
 def silver_changed(entity: str, s: Scenario) -> DataFrame:
-    return _key_and_hash(silver.silver_changed(s.trusted(entity), s.silver(entity, 1), ENTITIES[entity]), entity)
+    return _key_and_hash(silver.silver_changed(s.trusted(entity), s.published(entity, 1), ENTITIES[entity]), entity)
 
 
 def silver_new(entity: str, s: Scenario) -> DataFrame:
-    return _key_and_hash(silver.silver_new(s.trusted(entity), s.silver(entity, 1), ENTITIES[entity]), entity)
+    return _key_and_hash(silver.silver_new(s.trusted(entity), s.published(entity, 1), ENTITIES[entity]), entity)
 
 
 def quarantine_new(entity: str, s: Scenario) -> DataFrame:
@@ -285,7 +298,7 @@ def health_join(s: Scenario) -> DataFrame:
 
 def silver_hash_lookup(s: Scenario) -> DataFrame:
     """Latest Bronze versions against the Silver of the batch before: some match, differ or are missing."""
-    return c.silver_hash_lookup(c.latest_customers(s.bronze("customers")), s.silver("customers", 1), EMAIL_SUFFIX)
+    return c.silver_hash_lookup(c.latest_customers(s.bronze("customers")), s.published("customers", 1), EMAIL_SUFFIX)
 
 
 # --- aggregates, windows, top-n ------------------------------------------------------------------------
@@ -360,7 +373,11 @@ def newest_runs(n: int, s: Scenario) -> DataFrame:
 
 
 def batch_exists(s: Scenario) -> DataFrame:
-    return b.batch_scope(s.bronze("customers"), SECOND.batch_id).select("batch_id").limit(1)
+    """Asked of the ledger, once the batch has landed."""
+    with _throwaway(s.spark, "exists") as warehouse:
+        warehouse.append_bronze(CUSTOMERS, SECOND, s.batch("customers"), unique=True)
+        found = [(x,) for x in (SECOND.batch_id, "never-loaded") if warehouse.batch_exists(CUSTOMERS, x)]
+    return local_rows(s.spark, found, "batch_id STRING")
 
 
 # --- merges, gate, lifecycle ---------------------------------------------------------------------------
@@ -380,10 +397,11 @@ def quarantine(entity: str, s: Scenario) -> DataFrame:
 
 def promote_after_recovery(s: Scenario) -> DataFrame:
     """Batch 2 of orders loaded before and after its customers arrived."""
-    batch, before = s.batch("orders"), s.silver("orders", 1)
+    batch, before = s.batch("orders"), s.published("orders", 1)
     early, late = s.parents("orders", 1), s.parents("orders", 2)
     first = silver.silver_merge(silver.promotable(batch, early, ORDERS), before, ORDERS, INTERRUPTED)
     evidence = silver.quarantine_rows(silver.rejected_rows(batch, early, ORDERS), None, ORDERS, INTERRUPTED)
+    first, evidence = written(first, "recovery-first"), written(evidence, "recovery-evidence")
     second = silver.silver_merge(silver.promotable(batch, late, ORDERS), first.drop("merge_action"), ORDERS, SECOND)
     again = silver.quarantine_rows(silver.rejected_rows(batch, late, ORDERS), evidence, ORDERS, SECOND)
     attempt = [F.lit(n).alias("attempt") for n in (1, 2)]
@@ -454,6 +472,18 @@ def run_customer(s: Scenario) -> DataFrame:
     return _stage_rows(s.spark, results)
 
 
+def customer_run_health(s: Scenario) -> DataFrame:
+    """Health over the logs that runs leave: batch 1, an attempt at batch 2 that the gate stops, and its retry."""
+    warehouse = _warehouse(s.spark, "health")
+    for number, ctx, threshold in ((1, FIRST, 1.0), (2, INTERRUPTED, 0.0), (2, SECOND, 1.0)):
+        with suppress(quality.DataQualityError):
+            loads.run_customer(warehouse, partial(s.source, "customers", number), ctx, threshold)
+    return warehouse_health(warehouse).select(
+        "pipeline_run_id", "status", "bronze_rows_processed", "silver_rows_processed", "invalid_customers",
+        "validation_errors", "retry_count", "recovery_count",
+    )
+
+
 # --- monitoring ----------------------------------------------------------------------------------------
 
 
@@ -494,7 +524,7 @@ def catalog() -> dict[str, Query]:
         avg_duration, customer_invalid_rate, batch_rows_processed, stage_result_counts,
         latest_customers, duplicate_customers, latest_state, customers_ordered, batch_exists,
         quarantine_customers, promote_after_recovery, customer_quality_gate, process_customers,
-        batch_transition, batch_complete, batch_is_successful, run_entity, run_commerce, run_customer,
+        batch_transition, batch_complete, batch_is_successful, run_entity, run_commerce, run_customer, customer_run_health,
         failure_summary,
     ):
         entries[query.__name__] = query
@@ -515,4 +545,10 @@ def catalog() -> dict[str, Query]:
 
 
 def _bind(run: Callable[[Scenario], DataFrame]) -> Query:
-    return lambda spark, sf_dir: run(Scenario(spark, sf_dir))
+    return lambda spark, sf_dir: _line_keys_as_text(run(Scenario(spark, sf_dir)))
+
+
+def _line_keys_as_text(df: DataFrame) -> DataFrame:
+    """Query output form: keys beyond 64 bits as text."""
+    wide = [name for name, kind in df.dtypes if kind == "decimal(38,0)"]
+    return df.withColumns({name: F.col(name).cast("string") for name in wide}) if wide else df

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -24,7 +22,16 @@ from oreflow.model import (
     RunContext,
 )
 from oreflow.operators.bronze import bronze_new_rows, enforce_contract, fingerprint, silver_violations, violations
-from oreflow.operators.lifecycle import BatchRejectedError, batch_transition, successful_batches
+from oreflow.operators.lifecycle import (
+    CLAIM_RETRY,
+    RECOVERED_MESSAGE,
+    RETRY_WITHOUT_ERROR,
+    UNKNOWN_ERROR,
+    BatchRejectedError,
+    batch_transition,
+    latest_state,
+    successful_batches,
+)
 from oreflow.operators.quality import customer_quality_gate, invalid_ids, process_customers
 from oreflow.operators.silver import (
     apply_changes,
@@ -65,42 +72,65 @@ def _now() -> datetime:
 
 
 class Journal:
-    """Writes the run, stage and batch logs of one attempt."""
+    """Writes the run, stage, batch and event logs of one attempt.
 
-    _tick = itertools.count()
+    Log rows of an id are numbered on from the last one in the log, so no clock decides which is current.
+    """
 
     def __init__(self, warehouse: Warehouse, ctx: RunContext, pipeline_name: str):
         self.warehouse, self.ctx, self.pipeline_name = warehouse, ctx, pipeline_name
         self.run_started = self.batch_started = None
+        self._run_seq = self._batch_seq = 0
+        self._retried = False
+        self._tries = 1
         self._ended_stages: list[tuple] = []
 
-    def _seq(self) -> int:
-        return time.time_ns() // 1000 * 1000 + next(self._tick) % 1000
+    def _last_seq(self, log: DataFrame) -> int:
+        return log.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
 
     def _run_row(self, completed: datetime | None, status: str, error: str | None) -> None:
+        self._run_seq += 1
         row = (
             self.ctx.pipeline_run_id, self.pipeline_name, self.ctx.batch_id, self.run_started, completed, status,
-            error, self._seq(),
+            error, self._run_seq,
         )
         self.warehouse.append_log("pipeline_runs", [row])
 
     def _batch_row(self, completed: datetime | None, status: str, rows: int | None, error: str | None) -> None:
-        row = (self.ctx.batch_id, self.pipeline_name, self.batch_started, completed, status, rows, error, self._seq())
+        self._batch_seq += 1
+        row = (self.ctx.batch_id, self.pipeline_name, self.batch_started, completed, status, rows, error, self._batch_seq)
         self.warehouse.append_log("batches", [row])
 
+    def _event(self, kind: str, error: str | None, message: str) -> None:
+        row = (
+            self.ctx.pipeline_run_id, self.ctx.batch_id, self.pipeline_name, "prepare_run", kind, _now(), None,
+            self._tries, error, message,
+        )
+        self.warehouse.append_log("events", [row])
+
     def start_run(self) -> None:
+        self._run_seq = self._last_seq(self.warehouse.log("pipeline_runs", self.ctx.pipeline_run_id))
         self.run_started = _now()
         self._run_row(None, "RUNNING", None)
 
     def claim_batch(self) -> None:
-        """Take the batch for this attempt, or raise when it is running, done or another pipeline's."""
-        log = self.warehouse.log("batches").filter(F.col("batch_id") == self.ctx.batch_id)
+        """Take the batch for this attempt, or raise when it is running, done or another pipeline's.
+
+        Taking a failed batch again is a retry, and goes into the event log with what had failed.
+        """
+        log = self.warehouse.log("batches", self.ctx.batch_id)
         request = local_rows(
             self.warehouse.spark, [(self.ctx.batch_id, self.pipeline_name)], "batch_id STRING, pipeline_name STRING"
         )
         claim = batch_transition(request, log).first()
         if claim.message is not None:
             raise BatchRejectedError(claim.message)
+        self._batch_seq = self._last_seq(log)
+        self._retried = claim.outcome == CLAIM_RETRY
+        if self._retried:
+            self._tries = log.filter("status = 'RUNNING'").count() + 1
+            failed = latest_state(log, "batch_id").first()
+            self._event("RETRY", UNKNOWN_ERROR, failed.error_message or RETRY_WITHOUT_ERROR)
         self.batch_started = _now()
         self._batch_row(None, "RUNNING", None, None)
 
@@ -109,8 +139,24 @@ class Journal:
         self._write_stages()
         if self.batch_started is not None:
             self._batch_row(_now(), status, rows, error)
+            if self._retried and status == "SUCCESS":
+                self._event("RECOVERED", None, RECOVERED_MESSAGE)
         self._run_row(_now(), status, error)
 
+    @contextmanager
+    def run(self) -> Iterator[None]:
+        """One attempt from its run row to its end: closed as failed by any exception, an interrupt included.
+
+        The run is on record before the batch is claimed, so a refused attempt leaves a FAILED run behind.
+        """
+        self.start_run()
+        try:
+            self.claim_batch()
+            yield
+        except BaseException as exc:
+            self.close("FAILED", error=str(exc) or type(exc).__name__)
+            raise
+
     def _write_stages(self, *started: tuple) -> None:
         rows, self._ended_stages = [*self._ended_stages, *started], []
         if rows:
@@ -124,43 +170,43 @@ class Journal:
         def row(completed: datetime | None, status: str, error: str | None = None) -> tuple:
             rows = info["rows_processed"]
             run_id = self.ctx.pipeline_run_id
-            return (stage_id, run_id, name, started, completed, status, rows, error, self._seq())
+            return (stage_id, run_id, name, started, completed, status, rows, error, 1 if status == "RUNNING" else 2)
 
         self._write_stages(row(None, "RUNNING"))
         try:
             yield info
-        except Exception as exc:
-            self._ended_stages.append(row(_now(), "FAILED", str(exc)))
+        except BaseException as exc:
+            self._ended_stages.append(row(_now(), "FAILED", str(exc) or type(exc).__name__))
             raise
         self._ended_stages.append(row(_now(), "SUCCESS"))
 
 
 def batch_is_successful(warehouse: Warehouse, batch_id: str) -> bool:
-    log = warehouse.log("batches").filter(F.col("batch_id") == batch_id)
+    log = warehouse.log("batches", batch_id)
     return not successful_batches(log).isEmpty()
 
 
 @dataclass(frozen=True)
-class CustomerStages:
-    """Stage names of the customer checks in the two flows."""
+class CheckStages:
+    """Stage names of the checks before Bronze; the two flows have their own."""
 
-    validate: str = "customers_validate"
-    quarantine: str = "customers_quarantine"
+    validate: str
+    quarantine: str
 
 
-def _accept_customers(
+def _accept(
     warehouse: Warehouse,
+    spec: EntitySpec,
     stage: Callable[[str, DataFrame], DataFrame],
     staged: DataFrame,
     ctx: RunContext,
     journal: Journal | None,
     threshold: float,
-    names: CustomerStages,
+    names: CheckStages,
 ) -> DataFrame:
     """Validate, keep the evidence, then apply the gate: rejected rows stay on record even if it fails."""
-    spec = CUSTOMERS
     with _stage(journal, names.validate) as info:
-        invalid = stage("customers_invalid", invalid_ids(staged, spec))
+        invalid = stage(f"{spec.name}_invalid", invalid_ids(staged, spec))
         result = process_customers(staged, ctx, spec, invalid)
         info["rows_processed"] = staged.count()
     if not invalid.isEmpty():
@@ -190,12 +236,13 @@ def load_bronze(
 ) -> int:
     """Land a snapshot once per (batch, key); returns the rows this attempt added."""
     rows = fingerprint(snapshot, spec)
-    if not (spec is CUSTOMERS and validate):
+    if not (spec.checked_before_bronze and validate):
         # Read from the source once and written once: the key check runs on what was written.
         return _append(warehouse, spec, rows, ctx)
     with _staging(warehouse, ctx) as stage:
         staged = stage(spec.name, rows)
-        valid = _accept_customers(warehouse, stage, staged, ctx, journal, threshold, CustomerStages())
+        names = CheckStages(f"{spec.name}_validate", f"{spec.name}_quarantine")
+        valid = _accept(warehouse, spec, stage, staged, ctx, journal, threshold, names)
         return _append(warehouse, spec, valid, ctx, unique=True)
 
 
@@ -245,7 +292,10 @@ def load_silver(warehouse: Warehouse, spec: EntitySpec, ctx: RunContext) -> dict
             changes = stage(f"{spec.name}_changes", silver_changes(batch, silver, spec))
             counts = merge_counts(changes).first().asDict()
             if any(counts.values()):
-                warehouse.publish_silver(spec, ctx, apply_changes(checked, silver, changes, spec, ctx), counts)
+                # Only buckets with a changed key are read wide and written again.
+                buckets = warehouse.touched_buckets(spec, changes)
+                state = apply_changes(checked, warehouse.silver(spec, buckets), changes, spec, ctx)
+                warehouse.publish_silver(spec, ctx, state, counts, buckets)
     return {**counts, "rows_quarantined": quarantined}
 
 
@@ -275,19 +325,47 @@ def run_commerce(
     ctx = ctx or new_context()
     journal = Journal(warehouse, ctx, COMMERCE_PIPELINE)
     stages: list[StageResult] = []
-    # The run is on record before the batch is claimed, so a refused attempt leaves a FAILED run behind.
-    journal.start_run()
-    try:
-        journal.claim_batch()
+    with journal.run():
         for spec in ENTITIES.values():
             stages += run_entity(warehouse, spec, extractors[spec.name], ctx, journal, threshold)
-    except Exception as exc:
-        journal.close("FAILED", error=str(exc))
-        raise
     journal.close("SUCCESS", rows=sum(s.rows_inserted for s in stages if s.stage_name.endswith("_bronze")))
     return RunResult(ctx.pipeline_run_id, ctx.batch_id, "SUCCESS", stages)
 
 
+def customer_bronze(
+    warehouse: Warehouse,
+    extract: Extractor,
+    ctx: RunContext,
+    journal: Journal | None = None,
+    threshold: float = DEFAULT_INVALID_RATE_THRESHOLD,
+) -> StageResult:
+    """The customer flow up to Bronze, as a step of its own that may be repeated under the same ids.
+
+    A batch that has been loaded successfully is left alone: nothing is extracted.
+    """
+    spec = CUSTOMERS
+    if batch_is_successful(warehouse, ctx.batch_id):
+        return StageResult("customer_bronze")
+    with _stage(journal, "customer_bronze") as whole, _staging(warehouse, ctx) as stage:
+        with _stage(journal, "extract") as info:
+            staged = stage(spec.name, fingerprint(extract(), spec))
+            info["rows_processed"] = staged.count()
+        names = CheckStages(validate="validate", quarantine="quarantine_invalid_customers")
+        valid = _accept(warehouse, spec, stage, staged, ctx, journal, threshold, names)
+        with _stage(journal, "load_bronze_customers") as info:
+            info["rows_processed"] = inserted = _append(warehouse, spec, valid, ctx, unique=True)
+        whole["rows_processed"] = inserted
+    return StageResult("customer_bronze", inserted)
+
+
+def customer_silver(warehouse: Warehouse, ctx: RunContext, journal: Journal | None = None) -> StageResult:
+    """The customer flow from Bronze to Silver, as a step of its own."""
+    with _stage(journal, "customer_silver") as info:
+        counts = load_silver(warehouse, CUSTOMERS, ctx)
+        info["rows_processed"] = counts["rows_inserted"] + counts["rows_updated"]
+    return StageResult("customer_silver", **counts)
+
+
 def run_customer(
     warehouse: Warehouse,
     extract: Extractor,
@@ -295,29 +373,13 @@ def run_customer(
     threshold: float = DEFAULT_INVALID_RATE_THRESHOLD,
     pipeline_name: str = CUSTOMER_PIPELINE,
 ) -> RunResult:
-    """The customer-only flow with its finer stages."""
+    """The customer-only flow with its finer stages, both steps under one run."""
     ctx = ctx or new_context()
     journal = Journal(warehouse, ctx, pipeline_name)
-    spec = CUSTOMERS
-    journal.start_run()
-    try:
-        journal.claim_batch()
-        with journal.stage("customer_bronze"):
-            pass
-        with _staging(warehouse, ctx) as stage:
-            with journal.stage("extract") as info:
-                staged = stage(spec.name, fingerprint(extract(), spec))
-                info["rows_processed"] = staged.count()
-            names = CustomerStages(validate="validate", quarantine="quarantine_invalid_customers")
-            valid = _accept_customers(warehouse, stage, staged, ctx, journal, threshold, names)
-            with journal.stage("load_bronze_customers") as info:
-                inserted = info["rows_processed"] = _append(warehouse, spec, valid, ctx, unique=True)
-        with journal.stage("customer_silver") as info:
-            counts = load_silver(warehouse, spec, ctx)
-            info["rows_processed"] = counts["rows_inserted"] + counts["rows_updated"]
-    except Exception as exc:
-        journal.close("FAILED", error=str(exc))
-        raise
-    journal.close("SUCCESS", rows=inserted)
-    stages = [StageResult("customer_bronze", inserted), StageResult("customer_silver", **counts)]
+    with journal.run():
+        stages = [
+            customer_bronze(warehouse, extract, ctx, journal, threshold),
+            customer_silver(warehouse, ctx, journal),
+        ]
+    journal.close("SUCCESS", rows=stages[0].rows_inserted)
     return RunResult(ctx.pipeline_run_id, ctx.batch_id, "SUCCESS", stages)

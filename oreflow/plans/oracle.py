@@ -13,7 +13,7 @@ RUN = {1: "00000000-0000-4000-8000-0000000000a1", 2: "00000000-0000-4000-8000-00
 BATCH = {1: "00000000-0000-4000-8000-0000000000b1", 2: "00000000-0000-4000-8000-0000000000b2"}
 LOADED = {1: "TIMESTAMP '2024-02-01 00:00:00'", 2: "TIMESTAMP '2024-02-02 00:00:00'"}
 INTERRUPTED_RUN = "00000000-0000-4000-8000-0000000000a3"
-NOWHERE, OLDER_KEY = 10**15, 2 * 10**15
+NOWHERE, OLDER_KEY, OLDER_LINE_KEY = 10**15, 2 * 10**15, 5 * 10**37
 
 KEY = {
     "customers": "customer_id",
@@ -100,9 +100,9 @@ CTES["orders_2"] = f"""
             ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS total_amount
     FROM orders"""
 CTES["order_items_2"] = f"""
-    SELECT CASE WHEN l_orderkey % 487 = 3 THEN -1 ELSE 1 END * (l_orderkey * 10000000000 +
-            (((l_linenumber * 51 + CAST(l_quantity AS BIGINT)) * 1000000000 + l_partkey) * 10000000 + l_suppkey)
-            % 9999999967) AS order_item_id,
+    SELECT CASE WHEN l_orderkey % 487 = 3 THEN -1 ELSE 1 END * (l_orderkey::HUGEINT * 100000000000000000000000::HUGEINT +
+            l_linenumber::HUGEINT * 1000000000000000000000::HUGEINT + l_quantity::HUGEINT * 10000000000000000000::HUGEINT +
+            l_partkey::HUGEINT * 1000000000::HUGEINT + l_suppkey::HUGEINT) AS order_item_id,
         l_orderkey AS order_id,
         CASE WHEN l_partkey % 503 = 7 THEN l_partkey + {NOWHERE} ELSE l_partkey END AS product_id,
         CASE WHEN l_orderkey % 499 = 1 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
@@ -133,7 +133,7 @@ EARLIER = {
 for entity, key in KEY.items():
     changed, value = EARLIER[entity]
     CTES[f"{entity}_1"] = f"""
-    SELECT * REPLACE (CASE WHEN {key} % 25 = 24 THEN {key} + {OLDER_KEY} ELSE {key} END AS {key},
+    SELECT * REPLACE (CASE WHEN {key} % 25 = 24 THEN {key} + {OLDER_LINE_KEY if entity == 'order_items' else OLDER_KEY} ELSE {key} END AS {key},
         CASE WHEN {key} % 10 = 1 THEN {value} ELSE {changed} END AS {changed})
     FROM {entity}_2"""
 
@@ -456,16 +456,21 @@ def _queries() -> dict[str, str]:
     q["stage_replace_run"] = f"""
     SELECT pipeline_run_id, order_id, record_hash FROM bronze_orders"""
     q["quarantine_append"] = f"""
-    SELECT 'customers' AS entity, customer_id AS record_key, '{RUN[2]}' AS pipeline_run_id,
+    SELECT 'customers' AS entity, customer_id::VARCHAR AS record_key, '{RUN[2]}' AS pipeline_run_id,
         validation_message AS reason FROM customer_errors_2""" + "".join(
         f"""
     UNION ALL
-    SELECT '{entity}', {KEY[entity]}, CASE WHEN {HANDLED[entity]} THEN '{INTERRUPTED_RUN}' ELSE '{RUN[2]}' END,
+    SELECT '{entity}', {KEY[entity]}::VARCHAR, CASE WHEN {HANDLED[entity]} THEN '{INTERRUPTED_RUN}' ELSE '{RUN[2]}' END,
         failure_reason FROM rejected_{entity}_2"""
         for entity in CHECKED
     )
     q["silver_publish"] = "SELECT * FROM silver_products_2"
-    q["ops_log_append"] = RUN_STATE
+    q["ops_log_append"] = """
+    SELECT 'pipeline_runs' AS log, pipeline_run_id AS id, status FROM runs
+    UNION ALL SELECT 'batches', batch_id, status FROM runs
+    UNION ALL SELECT 'stage_runs', stage_run_id, status FROM stages
+    UNION ALL SELECT 'events', pipeline_run_id, CASE event_type WHEN 'error' THEN 'RETRY' ELSE 'RECOVERED' END
+    FROM marked WHERE event_type IN ('error', 'signup')"""
     q["iso_timestamp"] = f"""
     SELECT event_id, {iso('ts')} AS iso_text, strftime(ts, '%Y-%m-%dT00:00:00') AS iso_midnight FROM events"""
     q["decimal_text"] = """
@@ -598,6 +603,20 @@ def _queries() -> dict[str, str]:
             lambda n: stage_counts("customers", n, f"'{BATCH[n]}' AS batch_id, "),
         )
     )
+    def health_row(run: str, n: int, ok: bool, retry: int, recovered: int) -> str:
+        loaded = f"(SELECT count(*) FROM batch_customers_{n})" if ok else "CAST(0 AS BIGINT)"
+        changed = "(SELECT count(*) FROM changed_customers) + (SELECT count(*) FROM new_customers)" if n == 2 else loaded
+        return (
+            f"SELECT '{run}' AS pipeline_run_id, '{'SUCCESS' if ok else 'FAILED'}' AS status, "
+            f"{loaded} AS bronze_rows_processed, {changed if ok else loaded} AS silver_rows_processed, "
+            f"(SELECT count(DISTINCT customer_id) FROM customer_errors_{n}) AS invalid_customers, "
+            f"(SELECT count(*) FROM customer_errors_{n}) AS validation_errors, "
+            f"CAST({retry} AS BIGINT) AS retry_count, CAST({recovered} AS BIGINT) AS recovery_count"
+        )
+
+    q["customer_run_health"] = " UNION ALL ".join(
+        (health_row(RUN[1], 1, True, 0, 0), health_row(INTERRUPTED_RUN, 2, False, 0, 0), health_row(RUN[2], 2, True, 1, 1))
+    )
     q["retry_events"] = """
     SELECT pipeline_run_id, batch_id, pipeline_name, stage_name,
         CASE state WHEN 'up_for_retry' THEN 'RETRY' ELSE 'RECOVERED' END AS event_type, ended_at AS event_time,
@@ -696,4 +715,11 @@ def _with_ctes(sql: str) -> str:
 
 
 def oracle() -> dict[str, str]:
-    return {name: _with_ctes(sql) for name, sql in _queries().items()}
+    return {name: _line_keys_as_text(name, _with_ctes(sql)) for name, sql in _queries().items()}
+
+
+def _line_keys_as_text(name: str, sql: str) -> str:
+    """Line keys are beyond what a double holds, and shown as text."""
+    if "order_items" not in name:
+        return sql
+    return f"SELECT * REPLACE (order_item_id::VARCHAR AS order_item_id) FROM ({sql})"

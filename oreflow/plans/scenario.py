@@ -1,7 +1,8 @@
 """Two batches over the mapped source tables: the inputs that the catalog's queries share.
 
-Batch 1 is the earlier snapshot, batch 2 the current one.  Everything is lazy; a query evaluates only
-the parts and columns it selects.
+Batch 1 is the earlier snapshot, batch 2 the current one.  A query evaluates only the parts and columns it selects.
+Silver that others build on is written once per scenario, as a load would publish it: children and the next merge
+read that table, and no plan holds the chain of its ancestors.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from oreflow.operators.bronze import fingerprint, stamp_lineage
 from oreflow.operators.quality import valid_customers
 from oreflow.operators.silver import promotable, rejected_rows, silver_merge
 from oreflow.sources import testdata
+from oreflow.sources.scratch import written
 
 FIRST = RunContext("00000000-0000-4000-8000-0000000000a1", "00000000-0000-4000-8000-0000000000b1", datetime(2024, 2, 1))
 SECOND = RunContext("00000000-0000-4000-8000-0000000000a2", "00000000-0000-4000-8000-0000000000b2", datetime(2024, 2, 2))
@@ -87,7 +89,7 @@ class Scenario:
         return self.batch(entity, 1).unionByName(part)
 
     def parents(self, entity: str, batch: int = 2) -> dict[str, DataFrame]:
-        return {p.entity: self.silver(p.entity, batch) for p in ENTITIES[entity].parents}
+        return {p.entity: self.published(p.entity, batch) for p in ENTITIES[entity].parents}
 
     @once
     def trusted(self, entity: str, batch: int = 2) -> DataFrame:
@@ -95,13 +97,17 @@ class Scenario:
 
     @once
     def merged(self, entity: str, batch: int = 2) -> DataFrame:
-        before = self.silver(entity, 1) if batch == 2 else None
+        before = self.published(entity, 1) if batch == 2 else None
         return silver_merge(self.trusted(entity, batch), before, ENTITIES[entity], CONTEXTS[batch])
 
     @once
     def silver(self, entity: str, batch: int = 2) -> DataFrame:
         return self.merged(entity, batch).drop("merge_action")
 
+    @once
+    def published(self, entity: str, batch: int = 2) -> DataFrame:
+        return written(self.silver(entity, batch), f"silver-{entity}-{batch}")
+
     @once
     def rejected(self, entity: str) -> DataFrame:
         return rejected_rows(self.batch(entity), self.parents(entity), ENTITIES[entity])

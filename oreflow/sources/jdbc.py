@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from oreflow.model import EntitySpec
 
+ROWS_PER_PARTITION = 1_000_000
+
 
 def source_name(column: str) -> str:
     """Source spelling of a column: order_item_id -> OrderItemID."""
@@ -23,17 +25,26 @@ def read_snapshot(
     table: str,
     options: dict[str, str],
     key_range: tuple[int, int] | None = None,
-    partitions: int = 200,
+    partitions: int | None = None,
+    rows_per_partition: int = ROWS_PER_PARTITION,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
     """The full source table, read by key ranges in parallel.
 
-    ``options`` are the usual JDBC ones (url, driver, user, fetchsize, ...).  Without ``key_range`` the
-    bounds come from one min/max query that the source answers from its key index.
+    ``options`` are the usual JDBC ones (url, driver, user, fetchsize, ...).  Without ``key_range`` or ``partitions``
+    the bounds and the number of rows come from one query that the source answers from its key index; the number of
+    ranges follows the rows.  Ranges are even in the key: where keys lie in clusters, pass ``predicates``, SQL
+    conditions on the source's columns that part the table, one for each task.
     """
-    if key_range is None:
-        bounds = f"SELECT min({source_name(spec.key)}) AS lo, max({source_name(spec.key)}) AS hi FROM {table}"
-        low, high = spark.read.format("jdbc").options(**options).option("query", bounds).load().first()
-        key_range = (low or 0, high or 0)
+    if predicates is not None:
+        rest = {k: v for k, v in options.items() if k != "url"}
+        return spark.read.jdbc(options["url"], snapshot_query(spec, table), predicates=predicates, properties=rest)
+    if key_range is None or partitions is None:
+        key = source_name(spec.key)
+        facts = f"SELECT min({key}) AS lo, max({key}) AS hi, count(*) AS n FROM {table}"
+        low, high, n = spark.read.format("jdbc").options(**options).option("query", facts).load().first()
+        key_range = key_range or (low or 0, high or 0)
+        partitions = partitions or max(1, -(-n // rows_per_partition))
     return (
         spark.read.format("jdbc")
         .options(**options)

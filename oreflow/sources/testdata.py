@@ -27,8 +27,9 @@ SOURCE_DDL = {
 # Added to a key to make it point nowhere, or to give a row the older key it had in an earlier snapshot.
 NOWHERE = 1_000_000_000_000_000
 OLDER_KEY = 2_000_000_000_000_000
-# Odd and not divisible by five, just below ten digits.
-LINE_MODULUS = 9_999_999_967
+# The line key has 38 digits: 14 of the order key and room above it, 2 of the line number, 2 of the quantity, 10 of
+# the part and 9 of the supplier.  Its older-key mark lies above all packed keys.
+OLDER_LINE_KEY = 5 * 10**37
 
 MAPPINGS = {
     "customers": (
@@ -71,11 +72,10 @@ MAPPINGS = {
     "order_items": (
         "lineitem",
         (
-            # The source has no unique key.  Ten digits mixed from the columns that tell an order's lines apart
-            # follow the order key; exact 64-bit arithmetic up to 9e8 orders.
-            "CASE WHEN l_orderkey % 487 = 3 THEN -1 ELSE 1 END * (l_orderkey * 10000000000 + "
-            "(((l_linenumber * 51 + CAST(l_quantity AS BIGINT)) * 1000000000 + l_partkey) * 10000000 + l_suppkey) "
-            f"% {LINE_MODULUS}) AS order_item_id",
+            # The source has no unique key: the columns that tell lines apart, side by side in decimal digits.
+            "CAST(concat(CASE WHEN l_orderkey % 487 = 3 THEN '-' ELSE '' END, l_orderkey, lpad(l_linenumber, 2, '0'), "
+            "lpad(CAST(l_quantity AS BIGINT), 2, '0'), lpad(l_partkey, 10, '0'), lpad(l_suppkey, 9, '0')) "
+            "AS DECIMAL(38,0)) AS order_item_id",
             "l_orderkey AS order_id",
             f"CASE WHEN l_partkey % 503 = 7 THEN l_partkey + {NOWHERE} ELSE l_partkey END AS product_id",
             "CASE WHEN l_orderkey % 499 = 1 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity",
@@ -130,9 +130,10 @@ def earlier_snapshot(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame
     """
     spec: EntitySpec = ENTITIES[entity]
     changed, value = EARLIER_VALUES[entity]
-    key = spec.key
+    key, kind = spec.key, spec.columns[spec.key]
+    older = f"CAST('{OLDER_LINE_KEY}' AS {kind})" if entity == "order_items" else OLDER_KEY
     values = {
-        key: f"CASE WHEN {key} % 25 = 24 THEN {key} + {OLDER_KEY} ELSE {key} END",
+        key: f"CASE WHEN {key} % 25 = 24 THEN CAST({key} + {older} AS {kind}) ELSE {key} END",
         changed: f"CASE WHEN {key} % 10 = 1 THEN {value} ELSE {changed} END",
     }
     return snapshot(spark, sf_dir, entity).selectExpr(*[f"{values.get(c, c)} AS {c}" for c in spec.columns])
@@ -225,6 +226,16 @@ def pipeline_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as rows of the event log, without the details that the source does not have."""
+    none = F.lit(None)
+    return pipeline_events(spark, sf_dir).select(
+        "pipeline_run_id", _batch_id().alias("batch_id"), none.cast("string").alias("pipeline_name"),
+        F.lit("bronze").alias("stage_name"), "event_type", "event_time", none.cast("string").alias("dag_run_id"),
+        none.cast("int").alias("try_number"), none.cast("string").alias("error_type"), none.cast("string").alias("event_message"),
+    )
+
+
 def customer_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _events(spark, sf_dir)

@@ -3,20 +3,25 @@
 Layout below ``root``::
 
     stage/<name>/<run id>/                       rows of one attempt, removed after the load
-    bronze/<entity>/batch_id=<id>/<run id>/      append-only, one folder per attempt that added rows
-    quarantine/<entity>/<batch_id|pipeline_run_id>=<id>/   append-only evidence
-    silver/<entity>/<version>-<run id>/          complete current state, written once, never changed
-    ops/<log>/                                   append-only logs, and the ledgers of what is published
-
-A Bronze folder or Silver version counts only once its ledger row is there: an attempt that dies leaves at
-most a folder that nobody reads.  Counts are read back from written files, so lost executors and repeated
-tasks cannot change them.  Readers name the folders they need, so no job lists other batches or versions.
-A warehouse has one writer; each object reads the ledgers once and then keeps them up to date itself.
+    bronze/<entity>/batch_id=<id>/<write>/       append-only, one folder per write that added rows
+    quarantine/<entity>/<batch_id|pipeline_run_id>=<id>/<write>/   append-only evidence
+    silver/<entity>/<version>-<write>/silver_bucket=<n>/   current state in buckets of the key, never changed
+    ops/<log>/part=<p>/                          append-only logs, and the ledgers of what is published
+
+``<write>`` is the run id and a suffix that no other write has, so an attempt repeated under the same ids never
+meets its earlier files.  A Bronze folder or Silver version counts only once its ledger row is there, and nothing
+that a ledger row names is overwritten: an attempt that dies leaves at most a folder that nobody reads.  Counts are
+read back from written files, so lost executors and repeated tasks cannot change them.  Readers name the folders
+they need, so no job lists other batches or versions.  A warehouse has one writer; each object reads the ledgers
+once and then keeps them up to date itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.model import (
@@ -29,7 +34,8 @@ from oreflow.model import (
     EntitySpec,
     RunContext,
 )
-from oreflow.operators.bronze import reject_repeated_keys
+from oreflow.operators.bronze import count_unique, guarded
+from oreflow.operators.contracts import BATCH_CHECKS, EVENT_CHECKS
 from oreflow.sources.local import local_rows
 
 LOGS = {
@@ -40,17 +46,36 @@ LOGS = {
     "bronze_ledger": BRONZE_LEDGER_DDL,
     "silver_ledger": SILVER_LEDGER_DDL,
 }
+# What each log is looked up by; its hash names the folder of the row.
+LOG_KEYS = {
+    "pipeline_runs": "pipeline_run_id",
+    "stage_runs": "pipeline_run_id",
+    "batches": "batch_id",
+    "events": "pipeline_run_id",
+    "bronze_ledger": "batch_id",
+    "silver_ledger": "entity",
+}
+# Enforced on every row that enters a log: (column, checks).
+LOG_CHECKS = {
+    "pipeline_runs": ("status", BATCH_CHECKS),
+    "stage_runs": ("status", BATCH_CHECKS),
+    "batches": ("status", BATCH_CHECKS),
+    "events": ("event_type", EVENT_CHECKS),
+}
+SILVER_BUCKETS = 32
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2):
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2, silver_buckets: int = SILVER_BUCKETS):
+        """``silver_buckets`` holds for tables not yet published: a Silver table keeps the number it began with."""
         if keep_versions < 1:
             raise ValueError("at least one Silver version has to be kept")
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = keep_versions
-        self._published: dict[str, list[tuple[int, str]]] = {}
-        self._landed: dict[str, list[tuple[str, str]]] = {}
+        self.silver_buckets = silver_buckets
+        self._published: dict[str, list[tuple[int, str, list[str | None]]]] = {}
+        self._landed: dict[tuple[str, str], list[str]] = {}
 
     # --- files ---------------------------------------------------------------------------------------
 
@@ -67,6 +92,14 @@ class Warehouse:
         files, hadoop_path = self._hadoop_path(path)
         files.delete(hadoop_path, True)
 
+    def _children(self, path: str) -> set[str]:
+        files, hadoop_path = self._hadoop_path(path)
+        return {x.getPath().getName() for x in files.listStatus(hadoop_path)} if files.exists(hadoop_path) else set()
+
+    @staticmethod
+    def _write_name(ctx: RunContext) -> str:
+        return f"{ctx.pipeline_run_id}-{uuid.uuid4().hex[:12]}"
+
     def _read(self, path: str, ddl: str, base: str | None = None) -> DataFrame | None:
         """A folder with a declared schema (no inference, no footer reads), or None when it is not there."""
         if not self._exists(path):
@@ -101,124 +134,175 @@ class Warehouse:
 
     # --- bronze --------------------------------------------------------------------------------------
 
-    def _folders(self, spec: EntitySpec) -> list[tuple[str, str]]:
-        """``(batch_id, path)`` of every published Bronze folder: one per attempt that added rows."""
-        if spec.name not in self._landed:
-            ledger = self.log("bronze_ledger").filter(F.col("entity") == spec.name)
-            self._landed[spec.name] = [tuple(row) for row in ledger.select("batch_id", "path").collect()]
-        return self._landed[spec.name]
+    def _folders(self, spec: EntitySpec, batch_id: str) -> list[str]:
+        """Paths of a batch's published Bronze folders: one for each write that added rows."""
+        if (spec.name, batch_id) not in self._landed:
+            ledger = self.log("bronze_ledger", batch_id).filter(F.col("entity") == spec.name)
+            self._landed[spec.name, batch_id] = [row["path"] for row in ledger.select("path").collect()]
+        return self._landed[spec.name, batch_id]
 
     def _read_bronze(self, spec: EntitySpec, paths: list[str]) -> DataFrame:
         reader = self.spark.read.schema(spec.bronze_ddl).option("basePath", f"{self.root}/bronze/{spec.name}")
         return reader.parquet(*[f"{self.root}/{path}" for path in paths])
 
     def bronze(self, spec: EntitySpec) -> DataFrame:
-        """All batches; filters on ``batch_id`` prune folders."""
-        paths = [path for _, path in self._folders(spec)]
+        """All batches; filters on ``batch_id`` prune folders.
+
+        The one reader that needs the whole ledger of an entity: a path for each write that added rows.
+        """
+        ledger = self.log("bronze_ledger").filter(F.col("entity") == spec.name)
+        paths = [row["path"] for row in ledger.select("path").collect()]
         return self._read_bronze(spec, paths) if paths else self.empty(spec.bronze_ddl)
 
     def bronze_batch(self, spec: EntitySpec, batch_id: str) -> DataFrame | None:
-        paths = [path for batch, path in self._folders(spec) if batch == batch_id]
+        paths = self._folders(spec, batch_id)
         return self._read_bronze(spec, paths) if paths else None
 
     def batch_exists(self, spec: EntitySpec, batch_id: str) -> bool:
-        return self.bronze_batch(spec, batch_id) is not None
+        return bool(self._folders(spec, batch_id))
 
     def append_bronze(self, spec: EntitySpec, ctx: RunContext, rows: DataFrame, unique: bool = False) -> int:
-        """Write an attempt's rows once, check their keys as written, then publish; returns their number.
+        """Write rows once into a folder of their own, check their keys as written, then publish; returns their number.
 
         ``unique`` tells that the rows are known to have no key twice.
         """
-        path = f"bronze/{spec.name}/batch_id={ctx.batch_id}/{ctx.pipeline_run_id}"
-        rows.drop("batch_id").write.mode("overwrite").parquet(f"{self.root}/{path}")
+        path = f"bronze/{spec.name}/batch_id={ctx.batch_id}/{self._write_name(ctx)}"
+        rows.drop("batch_id").write.parquet(f"{self.root}/{path}")
         written = self._read_bronze(spec, [path])
-        count = written.count()
         try:
-            if not unique:
-                reject_repeated_keys(written, spec, ctx)
+            count = written.count() if unique else count_unique(written, spec, ctx)
         except Exception:
             self._delete(f"{self.root}/{path}")
             raise
         if count:
             row = (spec.name, ctx.batch_id, path, ctx.pipeline_run_id, count, ctx.at)
+            folders = self._folders(spec, ctx.batch_id)
             self.append_log("bronze_ledger", [row])
-            self._folders(spec).append((ctx.batch_id, path))
+            folders.append(path)
         else:
             self._delete(f"{self.root}/{path}")
         return count
 
     # --- quarantine ----------------------------------------------------------------------------------
 
-    @staticmethod
-    def _quarantine_partition(spec: EntitySpec) -> str:
-        return "pipeline_run_id" if spec.name == "customers" else "batch_id"
-
     def quarantine(self, spec: EntitySpec) -> DataFrame:
         found = self._read(f"{self.root}/quarantine/{spec.name}", spec.quarantine_ddl)
         return self.empty(spec.quarantine_ddl) if found is None else found
 
     def quarantine_part(self, spec: EntitySpec, ctx: RunContext) -> DataFrame | None:
         """This batch's evidence (this run's, for customers), or None."""
-        base, column = f"{self.root}/quarantine/{spec.name}", self._quarantine_partition(spec)
+        base, column = f"{self.root}/quarantine/{spec.name}", spec.quarantine_partition
         return self._read(f"{base}/{column}={getattr(ctx, column)}", spec.quarantine_ddl, base)
 
     def append_quarantine(self, spec: EntitySpec, ctx: RunContext, rows: DataFrame) -> int:
-        column = self._quarantine_partition(spec)
-        target = f"{self.root}/quarantine/{spec.name}/{column}={getattr(ctx, column)}"
-        rows.drop(column).write.mode("append").parquet(target)
-        return self.quarantine_part(spec, ctx).filter(F.col("pipeline_run_id") == ctx.pipeline_run_id).count()
+        """Add evidence in a folder of its own; returns the number of rows that this call added."""
+        column = spec.quarantine_partition
+        target = f"{self.root}/quarantine/{spec.name}/{column}={getattr(ctx, column)}/{self._write_name(ctx)}"
+        rows.drop(column).write.parquet(target)
+        return self.spark.read.schema(spec.quarantine_ddl).parquet(target).count()
 
     # --- silver --------------------------------------------------------------------------------------
 
-    def _versions(self, spec: EntitySpec) -> list[tuple[int, str]]:
-        """``(version, path)`` of the newest published versions, newest first."""
+    def _versions(self, spec: EntitySpec) -> list[tuple[int, str, list[str | None]]]:
+        """Version, folder, and path of every bucket, of the newest published versions, newest first."""
         if spec.name not in self._published:
-            ledger = self.log("silver_ledger").filter(F.col("entity") == spec.name)
-            newest = ledger.orderBy(F.desc("version")).limit(self.keep_versions).select("version", "path")
-            self._published[spec.name] = [tuple(row) for row in newest.collect()]
+            newest = self.log("silver_ledger", spec.name).orderBy(F.desc("version")).limit(self.keep_versions)
+            self._published[spec.name] = [tuple(row) for row in newest.select("version", "path", "paths").collect()]
         return self._published[spec.name]
 
-    def silver(self, spec: EntitySpec) -> DataFrame | None:
+    def silver_bucket(self, spec: EntitySpec) -> Column:
+        """The bucket that a key belongs to."""
+        versions = self._versions(spec)
+        n = len(versions[0][2]) if versions else self.silver_buckets
+        return F.pmod(F.xxhash64(F.col(spec.key).cast("string")), F.lit(n)).cast("int")
+
+    def silver(self, spec: EntitySpec, buckets: set[int] | None = None) -> DataFrame | None:
+        """The current state, or some buckets of it."""
         versions = self._versions(spec)
         if not versions:
             return None
-        return self.spark.read.schema(spec.silver_ddl).parquet(f"{self.root}/{versions[0][1]}")
+        paths = [x for i, x in enumerate(versions[0][2]) if x is not None and (buckets is None or i in buckets)]
+        if not paths:
+            return self.empty(spec.silver_ddl)
+        return self.spark.read.schema(spec.silver_ddl).parquet(*[f"{self.root}/{x}" for x in paths])
 
     def silver_or_empty(self, spec: EntitySpec) -> DataFrame:
         found = self.silver(spec)
         return self.empty(spec.silver_ddl) if found is None else found
 
+    def touched_buckets(self, spec: EntitySpec, changes: DataFrame) -> set[int]:
+        """Buckets with a changed key: at most as many values as there are buckets."""
+        return {row[0] for row in changes.select(self.silver_bucket(spec)).distinct().collect()}
+
     def publish_silver(
-        self, spec: EntitySpec, ctx: RunContext, rows: DataFrame, counts: dict[str, int] | None = None
+        self,
+        spec: EntitySpec,
+        ctx: RunContext,
+        rows: DataFrame,
+        counts: dict[str, int] | None = None,
+        buckets: set[int] | None = None,
     ) -> dict[str, int]:
-        """Write the next state, then make it current by one ledger row.  Without counts all rows are new."""
+        """Write the next state, then make it current by one ledger row.  Without counts all rows are new.
+
+        With ``buckets``, ``rows`` is the state of these alone; the others keep the files they have.
+        """
         versions = self._versions(spec)
-        version = versions[0][0] + 1 if versions else 1
-        path = f"silver/{spec.name}/{version}-{ctx.pipeline_run_id}"
-        rows.write.mode("overwrite").parquet(f"{self.root}/{path}")
+        version, held = (versions[0][0] + 1, versions[0][2]) if versions else (1, [None] * self.silver_buckets)
+        path = f"silver/{spec.name}/{version}-{self._write_name(ctx)}"
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        part = F.pmod(F.xxhash64(F.col(spec.key).cast("string"), F.lit("file")), F.lit(max(1, partitions // len(held))))
+        placed = rows.withColumn("silver_bucket", self.silver_bucket(spec)).repartition("silver_bucket", part)
+        placed.write.partitionBy("silver_bucket").parquet(f"{self.root}/{path}")
+        found = self._children(f"{self.root}/{path}")
+        paths = [
+            f"{path}/silver_bucket={i}" if f"silver_bucket={i}" in found
+            else None if buckets is None or i in buckets else old
+            for i, old in enumerate(held)
+        ]
         if counts is None:
-            written = self.spark.read.schema(spec.silver_ddl).parquet(f"{self.root}/{path}").count()
+            new = [f"{self.root}/{x}" for x in paths if x is not None and x.startswith(f"{path}/")]
+            written = self.spark.read.schema(spec.silver_ddl).parquet(*new).count() if new else 0
             counts = {"rows_inserted": written, "rows_updated": 0}
         self.append_log(
             "silver_ledger",
             [
-                (spec.name, version, path, ctx.pipeline_run_id, ctx.batch_id, counts["rows_inserted"],
+                (spec.name, version, path, paths, ctx.pipeline_run_id, ctx.batch_id, counts["rows_inserted"],
                  counts["rows_updated"], ctx.at)
             ],
         )
-        current = [(version, path), *versions]
-        for _, old in current[self.keep_versions :]:
-            self._delete(f"{self.root}/{old}")
+        current = [(version, path, paths), *versions]
+        self._forget(current[: self.keep_versions], current[self.keep_versions :])
         self._published[spec.name] = current[: self.keep_versions]
         return counts
 
+    def _forget(self, kept: list[tuple], dropped: list[tuple]) -> None:
+        """Remove files of dropped versions that no kept version names."""
+        named = {x for _, _, paths in kept for x in paths if x is not None}
+        folders = {x.rsplit("/", 1)[0] for x in named}
+        for _, folder, paths in dropped:
+            gone = [x for x in paths if x is not None and x not in named]
+            for x in {y.rsplit("/", 1)[0] for y in gone} - folders:
+                self._delete(f"{self.root}/{x}")
+            for x in gone:
+                if x.rsplit("/", 1)[0] in folders:
+                    self._delete(f"{self.root}/{x}")
+
     # --- logs ----------------------------------------------------------------------------------------
 
-    def log(self, name: str) -> DataFrame:
-        found = self._read(f"{self.root}/ops/{name}", LOGS[name])
-        return self.empty(LOGS[name]) if found is None else found
+    def log(self, name: str, key: str | None = None) -> DataFrame:
+        """A log, or its rows of one id, for which only that id's folder is read."""
+        found = self._read(f"{self.root}/ops/{name}", LOGS[name] + ", part STRING")
+        if found is None:
+            return self.empty(LOGS[name])
+        if key is not None:
+            part = "p" + hashlib.md5(key.encode()).hexdigest()[0]
+            found = found.filter((F.col("part") == part) & (F.col(LOG_KEYS[name]) == key))
+        return found.drop("part")
 
     def append_log(self, name: str, rows: list[tuple] | DataFrame) -> None:
         if not isinstance(rows, DataFrame):
             rows = local_rows(self.spark, rows, LOGS[name]).coalesce(1)
-        rows.write.mode("append").parquet(f"{self.root}/ops/{name}")
+        if name in LOG_CHECKS:
+            rows = guarded(rows, name, *LOG_CHECKS[name])
+        part = F.concat(F.lit("p"), F.substring(F.md5(F.coalesce(F.col(LOG_KEYS[name]), F.lit("")).cast("binary")), 1, 1))
+        rows.withColumn("part", part).write.mode("append").partitionBy("part").parquet(f"{self.root}/ops/{name}")

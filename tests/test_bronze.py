@@ -43,6 +43,41 @@ def test_a_key_twice_in_a_batch_stops_the_load(spark, warehouse):
     assert warehouse.bronze(ORDERS).count() == 0
 
 
+@pytest.mark.parametrize("entity", ["products", "customers"])
+def test_an_attempt_repeated_under_the_same_ids_loses_nothing(spark, warehouse, entity):
+    spec, ctx = ENTITIES[entity], rows.context()
+    make = {"products": rows.product, "customers": rows.customer}[entity]
+    two, three = [rows.frame(spark, spec, *[make(key=k) for k in range(n)]) for n in (2, 3)]
+    assert load_bronze(warehouse, spec, two, ctx) == 2
+    assert load_bronze(warehouse, spec, two, ctx) == 0
+    assert warehouse.bronze(spec).count() == 2
+    assert load_bronze(warehouse, spec, three, ctx) == 1
+    assert load_bronze(warehouse, spec, two, ctx) == 0
+    fresh = type(warehouse)(spark, warehouse.root)
+    for held in (warehouse, fresh):
+        assert sorted(r[0] for r in held.bronze_batch(spec, ctx.batch_id).select(spec.key).collect()) == [0, 1, 2]
+
+
+def test_a_repeat_that_brings_a_key_twice_leaves_what_was_published(spark, warehouse):
+    ctx = rows.context()
+    assert load_bronze(warehouse, ORDERS, rows.orders(spark, rows.order(key=1)), ctx) == 1
+    twice = rows.orders(spark, rows.order(key=1), rows.order(key=2), rows.order(key=2, status="Pending"))
+    with pytest.raises(DuplicateKeyError, match="order_id=2"):
+        load_bronze(warehouse, ORDERS, twice, ctx)
+    assert [r.order_id for r in warehouse.bronze(ORDERS).collect()] == [1]
+
+
+def test_line_keys_are_exact_for_large_parts(spark):
+    from oreflow.sources.testdata import MAPPINGS
+
+    row = "1000000000000L + {o} AS l_orderkey, 9000000000L AS l_partkey, {s}L AS l_suppkey, 7 AS l_linenumber, 50.0D AS l_quantity"
+    table = spark.sql(" UNION ALL ".join(f"SELECT {row.format(o=o, s=s)}, 1.0D AS l_extendedprice" for o in (0, 1) for s in (10**8, 10**8 + 1)))
+    found = table.selectExpr(*MAPPINGS["order_items"][1])
+    assert dict(found.dtypes)["order_item_id"] == "decimal(38,0)"
+    keys = sorted(int(r.order_item_id) for r in found.collect())
+    assert keys[0] == 10**12 * 10**23 + 7 * 10**21 + 50 * 10**19 + 9 * 10**9 * 10**9 + 10**8 and len(set(keys)) == 4
+
+
 def test_repeats_of_a_key_the_batch_already_holds_are_skipped(spark, warehouse):
     load_bronze(warehouse, ORDERS, rows.orders(spark, rows.order(key=1)), rows.context("r1"))
     df = rows.orders(spark, rows.order(key=1), rows.order(key=1, status="Pending"))
@@ -124,6 +159,28 @@ class Reader:
         return self.settings
 
 
+def test_jdbc_partitions_follow_the_rows_or_are_given():
+    class Counted(Reader):
+        def load(self):
+            return self if "query" in self.settings and "dbtable" not in self.settings else self.settings
+
+        def first(self):
+            self.asked = self.settings.pop("query")
+            return 5, 4_000_000, 3_500_001
+
+        def jdbc(self, url, table, predicates, properties):
+            return url, predicates, properties
+
+    class Session:
+        read = Counted()
+
+    settings = jdbc.read_snapshot(Session, ORDERS, "dbo.Orders", {"url": "jdbc:x"})
+    assert "count(*)" in Session.read.asked and settings["numPartitions"] == 4
+    assert (settings["lowerBound"], settings["upperBound"]) == (5, 4_000_001)
+    given = jdbc.read_snapshot(Session, ORDERS, "dbo.Orders", {"url": "jdbc:x", "user": "u"}, predicates=["OrderID < 5", "OrderID >= 5"])
+    assert given == ("jdbc:x", ["OrderID < 5", "OrderID >= 5"], {"user": "u"})
+
+
 def test_jdbc_extraction_is_partitioned_on_the_key():
     class Session:
         read = Reader()

@@ -76,6 +76,18 @@ def test_order_hash_changes_with_each_column(spark, change):
     assert digest(spark, ORDERS, rows.order()) != digest(spark, ORDERS, rows.order(**change))
 
 
+@pytest.mark.parametrize("change", [{"order_id": 2}, {"product_id": 2}, {"quantity": 3}, {"price": "25.01"}])
+def test_item_hash_changes_with_each_column(spark, change):
+    assert digest(spark, ORDER_ITEMS, rows.item()) != digest(spark, ORDER_ITEMS, rows.item(**change))
+
+
+@pytest.mark.parametrize(
+    "change", [{"order_id": 2}, {"date": datetime(2027, 1, 1)}, {"method": "PayPal"}, {"amount": "100.01"}, {"status": "Failed"}]
+)
+def test_payment_hash_changes_with_each_column(spark, change):
+    assert digest(spark, PAYMENTS, rows.payment()) != digest(spark, PAYMENTS, rows.payment(**change))
+
+
 def test_hash_leaves_out_key_and_created_at(spark):
     assert digest(spark, CUSTOMERS, rows.customer()) == digest(spark, CUSTOMERS, rows.customer(key=9, created=None))
 

@@ -1,9 +1,13 @@
+from dataclasses import replace
+
 import pytest
 
-from oreflow.model import CUSTOMERS, ENTITIES, ORDERS
+from oreflow.model import CUSTOMERS, ENTITIES, ORDERS, EntitySpec, ListRule, Parent, Rule
 from oreflow.operators.lifecycle import BatchRejectedError, latest_state
 from oreflow.operators.quality import DataQualityError
 from oreflow.plans import loads
+from oreflow.plans.health import warehouse_daily_metrics, warehouse_health
+from oreflow.sources.local import local_rows
 from tests import rows
 
 
@@ -111,7 +115,7 @@ def test_customer_flow(spark, warehouse):
     assert [(s.stage_name, s.rows_inserted) for s in result.stages] == [("customer_bronze", 2), ("customer_silver", 2)]
     stages = {s.stage_name: s.rows_processed for s in state(warehouse, "stage_runs", "stage_run_id")}
     assert stages == {
-        "customer_bronze": None,
+        "customer_bronze": 2,
         "extract": 3,
         "validate": 3,
         "quarantine_invalid_customers": 1,
@@ -120,6 +124,109 @@ def test_customer_flow(spark, warehouse):
     }
 
 
+def test_a_run_repeated_under_the_same_ids_finishes_what_it_began(spark, warehouse):
+    def lost():
+        raise ConnectionError("source went away")
+
+    ctx = rows.context("r1")
+    with pytest.raises(ConnectionError):
+        loads.run_commerce(warehouse, graph(spark) | {"payments": lost}, ctx)
+    result = loads.run_commerce(warehouse, graph(spark), ctx)
+    inserted = {s.stage_name: (s.rows_inserted, s.rows_quarantined) for s in result.stages}
+    assert [inserted[f"{e}_bronze"][0] for e in ENTITIES] == [0, 0, 0, 0, 1]
+    assert {x[1] for x in inserted.values()} == {0}
+    assert all(warehouse.bronze(spec).count() == warehouse.silver(spec).count() == 1 for spec in ENTITIES.values())
+    (run,) = state(warehouse, "pipeline_runs", "pipeline_run_id")
+    assert run.status == "SUCCESS"
+    seq = sorted(r.seq for r in warehouse.log("pipeline_runs").collect())
+    assert seq == [1, 2, 3, 4]
+    with pytest.raises(BatchRejectedError, match="has already completed successfully"):
+        loads.run_commerce(warehouse, graph(spark), ctx)
+    assert all(warehouse.bronze(spec).count() == 1 for spec in ENTITIES.values())
+
+
+def test_health_over_the_logs_of_a_failed_and_a_retried_run(spark, warehouse):
+    people = [rows.customer(1), rows.customer(2, last="")]
+    extract = graph(spark, customers=people)["customers"]
+    with pytest.raises(DataQualityError):
+        loads.run_customer(warehouse, extract, rows.context("r1"))
+    loads.run_customer(warehouse, extract, rows.context("r2"), threshold=0.5)
+    got = {r.pipeline_run_id: r for r in warehouse_health(warehouse).collect()}
+    assert sorted(got) == ["r1", "r2"]
+    first, second = got["r1"], got["r2"]
+    assert (first.status, first.bronze_rows_processed, first.invalid_customers, first.retry_count) == ("FAILED", 0, 1, 0)
+    assert (second.status, second.bronze_rows_processed, second.silver_rows_processed) == ("SUCCESS", 1, 1)
+    assert (second.retry_count, second.recovery_count, second.bronze_duration_ms is not None) == (1, 1, True)
+    events = sorted(warehouse.log("events").collect(), key=lambda r: r.event_type)
+    assert [(e.event_type, e.try_number) for e in events] == [("RECOVERED", 2), ("RETRY", 2)]
+    assert "exceeds threshold" in events[1].event_message
+    (day,) = warehouse_daily_metrics(warehouse).collect()
+    assert (day.total_runs, day.failed_runs, day.retry_count) == (2, 1, 1)
+
+
+def test_customer_steps_can_be_repeated_on_their_own(spark, warehouse):
+    ctx = rows.context()
+    journal = loads.Journal(warehouse, ctx, "customer_pipeline")
+    journal.start_run()
+    journal.claim_batch()
+    extract = graph(spark)["customers"]
+    assert loads.customer_bronze(warehouse, extract, ctx, journal).rows_inserted == 1
+    assert loads.customer_bronze(warehouse, extract, ctx, journal).rows_inserted == 0
+    assert loads.customer_silver(warehouse, ctx, journal).rows_inserted == 1
+    assert loads.customer_silver(warehouse, ctx, journal).rows_inserted == 0
+    journal.close("SUCCESS", rows=1)
+
+    def never():
+        raise AssertionError("extracted a finished batch again")
+
+    assert loads.customer_bronze(warehouse, never, rows.context("later")).rows_inserted == 0
+
+
+def test_an_interrupt_closes_batch_and_run(spark, warehouse):
+    def interrupted():
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        loads.run_customer(warehouse, interrupted, rows.context("r1"))
+    assert state(warehouse, "batches", "batch_id")[0].status == "FAILED"
+    assert {s.status for s in state(warehouse, "stage_runs", "stage_run_id")} == {"FAILED"}
+    loads.run_customer(warehouse, graph(spark)["customers"], rows.context("r2"))
+    assert state(warehouse, "batches", "batch_id")[0].status == "SUCCESS"
+
+
+def test_the_log_and_not_the_clock_decides_what_is_current(spark, warehouse, monkeypatch):
+    monkeypatch.setattr(loads, "_now", lambda: rows.DAY)
+    loads.run_customer(warehouse, graph(spark)["customers"], rows.context("r1"))
+    assert state(warehouse, "batches", "batch_id")[0].status == "SUCCESS"
+
+
+def test_a_log_refuses_a_status_that_is_not_allowed(warehouse):
+    with pytest.raises(Exception, match="batches: status is not allowed"):
+        warehouse.append_log("batches", [("b", "p", rows.DAY, None, "DONE", None, None, 1)])
+    assert warehouse.log("batches").count() == 0
+
+
+def test_a_sixth_entity_needs_only_its_spec(spark, warehouse):
+    shops = EntitySpec(
+        name="shops", key="shop_id", columns={"shop_id": "BIGINT", "owner": "STRING", "customer_id": "BIGINT"},
+        hash_columns=("owner", "customer_id"), required=("shop_id",),
+        rules=(Rule("ShopID must be greater than zero", "shop_id <= 0"),),
+        list_rules=(ListRule("owner IS NULL", "'Owner is required'", "OWNER_REQUIRED"),),
+        parents=(Parent("customers", "customer_id", "CustomerID does not exist", after_fields=True),),
+    )
+    loads.run_customer(warehouse, graph(spark)["customers"], rows.context("r0", "b0"))
+    given = lambda: local_rows(spark, [(1, "a", 990001), (2, "b", 5), (-3, "c", 990001)], shops.ddl())
+    bronze, silver = loads.run_entity(warehouse, shops, given, rows.context())
+    assert (bronze.rows_inserted, silver.rows_inserted, silver.rows_quarantined) == (3, 1, 2)
+    reasons = sorted(r.failure_reason for r in warehouse.quarantine(shops).collect())
+    assert reasons == ["CustomerID does not exist; ", "ShopID must be greater than zero; "]
+    guarded = replace(shops, name="guarded_shops", rules=(), parents=(), checked_before_bronze=True)
+    people = lambda: local_rows(spark, [(1, "a", 1), (2, None, 1), (3, "c", 1), (3, "d", 1)], guarded.ddl())
+    bronze, silver = loads.run_entity(warehouse, guarded, people, rows.context(), threshold=1.0)
+    assert (bronze.rows_inserted, silver.rows_inserted) == (1, 1)
+    assert sorted(r.validation_rule for r in warehouse.quarantine(guarded).collect()) == ["DUPLICATE_CUSTOMER_ID", "OWNER_REQUIRED"]
+
+
 def test_one_entity_without_a_journal(spark, warehouse):
     stages = loads.run_entity(warehouse, ORDERS, graph(spark)["orders"], rows.context())
     assert [(s.stage_name, s.rows_inserted, s.rows_quarantined) for s in stages] == [

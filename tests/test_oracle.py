@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from oreflow.plans.catalog import catalog
+from oreflow.plans.oracle import oracle
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog(), oracle()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +27,11 @@ def test_query_equals_sql(spark, con, name):
     assert n > 0
 
 
+def test_the_entry_point_offers_every_query():
+    assert QUERIES.keys() <= entry.queries().keys() and SQL.items() <= entry.oracle_sql().items()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
+
+
 def test_entry_is_lazy_and_has_rows(spark):
     df = entry.entry(spark)
     assert "order_id" in df.columns

@@ -16,7 +16,8 @@ from tests import rows
 
 SF = "/root/testdata/sf0.001"
 # These write tables while they are built; their steps are the same operators.
-WRITING = {"run_entity", "run_commerce", "run_customer", "stage_replace_run", "quarantine_append", "silver_publish", "ops_log_append"}
+WRITING = {"run_entity", "run_commerce", "run_customer", "stage_replace_run", "quarantine_append", "silver_publish", "ops_log_append",
+           "batch_exists", "customer_run_health"}
 LAZY = [name for name in catalog() if name not in WRITING and not name.startswith("bronze_append")]
 
 
@@ -45,8 +46,21 @@ def test_no_cross_join_python_or_global_window(spark, name):
 
 def test_parents_are_read_by_key_only(spark):
     text = plan(Scenario(spark, SF).trusted("order_items").select("order_item_id"))
-    parts = [line for line in text.splitlines() if "part.parquet" in line]
-    assert parts and all("ReadSchema: struct<p_partkey:bigint>" in line for line in parts)
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert len(read) == 3 and {"order_id:bigint", "product_id:bigint"} < set(read)
+
+
+@pytest.mark.parametrize(("entity", "scans"), [("orders", 3), ("order_items", 4), ("payments", 3)])
+def test_a_silver_query_scans_its_source_its_parents_and_its_last_state_once(spark, entity, scans):
+    text = plan(Scenario(spark, SF).silver(entity))
+    assert text.count("FileScan parquet") == scans
+    assert text.count("Join") == scans - 1
+
+
+def test_stage_counts_read_written_tables(spark):
+    text = plan(catalog()["stage_result_counts"](spark, SF))
+    # Five merges and three sets of rejected rows, each over one source, its parents' keys and its last state.
+    assert text.count("FileScan parquet") <= 22
 
 
 def test_field_rules_reach_the_scan(spark, warehouse):
@@ -156,12 +170,25 @@ def test_a_hot_customer_id_is_validated_whole(spark, small_skew):
         "CAST(NULL AS TIMESTAMP_NTZ) AS created_at",
     )
     duplicates = quality.duplicate_customers(df)
+    assert "skew=true" in final_plan(duplicates) and "skew=true" in final_plan(quality.valid_customers(df))
     assert duplicates.count() == n // 3 - 1
     assert quality.valid_customers(df).count() == n - n // 3
     first = df.filter("customer_id = 7").agg(F.min("first_name")).first()[0]
     assert duplicates.filter(F.col("first_name") == first).count() == 0
 
 
+def test_rows_of_one_id_are_counted_in_many_tasks(spark, small_skew):
+    """Neither equal nor different rows of one id are dealt out by that id alone."""
+    df = spark.range(40_000, numPartitions=8).selectExpr(
+        "7L AS customer_id", "concat('f', id % 2) AS first_name", "'l' AS last_name", "'a@x' AS email", "'1' AS phone",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS created_at",
+    )
+    dealt = quality.dealt_rows(df, quality.invalid_ids(df).select("customer_id"), quality.CUSTOMERS)
+    sizes = [r[1] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 20_000
+    assert quality.duplicate_customers(df).count() == 39_999
+
+
 def test_quarantine_counts_distinct_customers_in_two_steps(spark):
     text = plan(catalog()["quarantine_metrics"](spark, SF))
     assert text.count("HashAggregate") == 4

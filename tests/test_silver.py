@@ -177,7 +177,31 @@ def test_silver_customers_need_names(spark, warehouse):
     assert warehouse.silver(CUSTOMERS) is None
 
 
+def test_a_one_key_change_writes_one_bucket(spark, warehouse):
+    first, second = rows.context("r1", "b1", 1), rows.context("r2", "b2", 2)
+    many = [rows.product(k) for k in range(1, 200)]
+    load(warehouse, "products", rows.products(spark, *many), first)
+    before = set(warehouse.silver(PRODUCTS).inputFiles())
+    assert load(warehouse, "products", rows.products(spark, rows.product(7, name="new")), second) == (0, 1, 0)
+    for held in (warehouse, type(warehouse)(spark, warehouse.root)):
+        assert held.silver(PRODUCTS).count() == 199
+        assert held.silver(PRODUCTS).filter("product_id = 7").first().product_name == "new"
+    paths = warehouse._versions(PRODUCTS)
+    changed = [i for i, (a, b) in enumerate(zip(paths[0][2], paths[1][2], strict=True)) if a != b]
+    assert len(changed) == 1 and len(paths[0][2]) == 32
+    after = set(warehouse.silver(PRODUCTS).inputFiles())
+    assert len(before - after) == 1
+
+
+def test_evidence_is_counted_once_when_a_load_is_repeated(spark, warehouse):
+    ctx = rows.context()
+    assert load(warehouse, "orders", rows.orders(spark, rows.order(1, customer_id=77)), ctx) == (0, 0, 1)
+    assert counts(load_silver(warehouse, ORDERS, ctx)) == (0, 0, 0)
+    assert warehouse.quarantine(ORDERS).count() == 1
+
+
 def test_superseded_versions_are_removed(spark, warehouse):
+    warehouse.silver_buckets = 1
     for day in (1, 2, 3, 4):
         load(warehouse, "products", rows.products(spark, rows.product(day)), rows.context(f"r{day}", f"b{day}", day))
     ledger = sorted(warehouse.log("silver_ledger").collect(), key=lambda r: r.version)
