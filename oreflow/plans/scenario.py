@@ -1,8 +1,8 @@
 """Two batches over the mapped source tables: the inputs that the catalog's queries share.
 
 Batch 1 is the earlier snapshot, batch 2 the current one.  A query evaluates only the parts and columns it selects.
-Silver that others build on is written once per scenario, as a load would publish it: children and the next merge
-read that table, and no plan holds the chain of its ancestors.
+The keys that a parent's Silver holds are written once per scenario: children read that narrow table, and no plan
+holds the chain of its ancestors.
 """
 
 from __future__ import annotations
@@ -89,7 +89,7 @@ class Scenario:
         return self.batch(entity, 1).unionByName(part)
 
     def parents(self, entity: str, batch: int = 2) -> dict[str, DataFrame]:
-        return {p.entity: self.published(p.entity, batch) for p in ENTITIES[entity].parents}
+        return {p.entity: self.silver_keys(p.entity, batch) for p in ENTITIES[entity].parents}
 
     @once
     def trusted(self, entity: str, batch: int = 2) -> DataFrame:
@@ -97,7 +97,7 @@ class Scenario:
 
     @once
     def merged(self, entity: str, batch: int = 2) -> DataFrame:
-        before = self.published(entity, 1) if batch == 2 else None
+        before = self.silver(entity, 1) if batch == 2 else None
         return silver_merge(self.trusted(entity, batch), before, ENTITIES[entity], CONTEXTS[batch])
 
     @once
@@ -105,8 +105,12 @@ class Scenario:
         return self.merged(entity, batch).drop("merge_action")
 
     @once
-    def published(self, entity: str, batch: int = 2) -> DataFrame:
-        return written(self.silver(entity, batch), f"silver-{entity}-{batch}")
+    def silver_keys(self, entity: str, batch: int = 2) -> DataFrame:
+        """What a child needs of its parent: the keys in Silver after a batch.  Nothing ever leaves Silver."""
+        keys = self.trusted(entity, batch).select(ENTITIES[entity].key)
+        if batch == 2:
+            keys = keys.unionByName(self.silver_keys(entity, 1)).distinct()
+        return written(keys, f"silver-keys-{entity}-{batch}")
 
     @once
     def rejected(self, entity: str) -> DataFrame:

@@ -30,6 +30,7 @@ OLDER_KEY = 2_000_000_000_000_000
 # The line key has 38 digits: 14 of the order key and room above it, 2 of the line number, 2 of the quantity, 10 of
 # the part and 9 of the supplier.  Its older-key mark lies above all packed keys.
 OLDER_LINE_KEY = 5 * 10**37
+LINE_SIGN = "CASE WHEN l_orderkey % 487 = 3 THEN -1L ELSE 1L END"
 
 MAPPINGS = {
     "customers": (
@@ -73,9 +74,10 @@ MAPPINGS = {
         "lineitem",
         (
             # The source has no unique key: the columns that tell lines apart, side by side in decimal digits.
-            "CAST(concat(CASE WHEN l_orderkey % 487 = 3 THEN '-' ELSE '' END, l_orderkey, lpad(l_linenumber, 2, '0'), "
-            "lpad(CAST(l_quantity AS BIGINT), 2, '0'), lpad(l_partkey, 10, '0'), lpad(l_suppkey, 9, '0')) "
-            "AS DECIMAL(38,0)) AS order_item_id",
+            # Two 64-bit halves, checked for overflow, and one exact decimal of both.
+            f"CAST(CAST({LINE_SIGN} * (l_orderkey * 10000 + l_linenumber * 100 + CAST(l_quantity AS BIGINT)) "
+            "AS DECIMAL(19,0)) * CAST('10000000000000000000' AS DECIMAL(20,0)) "
+            f"+ CAST({LINE_SIGN} * (l_partkey * 1000000000 + l_suppkey) AS DECIMAL(19,0)) AS DECIMAL(38,0)) AS order_item_id",
             "l_orderkey AS order_id",
             f"CASE WHEN l_partkey % 503 = 7 THEN l_partkey + {NOWHERE} ELSE l_partkey END AS product_id",
             "CASE WHEN l_orderkey % 499 = 1 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity",
