@@ -249,6 +249,8 @@ def _verify(threshold: float, tolerance: float, shingle: int) -> Callable:
         for table, first in whole_groups(batches, ["root", "x", "y"], rows=1):
             for start, stop in zip(first[:-1], first[1:], strict=True):
                 group = table.slice(start, stop - start)
+                # A doc_id's texts with equal sets, such as by case alone, stand for one node.
+                group = group.take(np.sort(np.unique(group.column("node").to_numpy(), return_index=True)[1]))
                 node, copies = group.column("node").to_numpy(), group.column("copies").to_numpy()
                 a, b = verified(group, _sketch_matrix(group.column("sketch")))
                 links = np.bincount(a, copies[b], len(node)) + np.bincount(b, copies[a], len(node))
@@ -272,6 +274,15 @@ def _among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, key, "left_semi")
 
 
+def _once(rows: DataFrame, again: DataFrame) -> DataFrame:
+    """Rows without repeats of the same doc_id and text; ``again`` holds the doc_ids that occur more than once."""
+    if again.isEmpty():
+        return rows
+    return rows.join(again, "doc_id", "left_anti").unionByName(
+        rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    )
+
+
 def similar(
     docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, tolerance: float = TOLERANCE, chunk: int = CHUNK
 ) -> DataFrame:
@@ -312,9 +323,10 @@ def similar(
     )
     inside = written(inside, "join-inside")
     wanted = written(inside.select(F.col("node_doc").alias("doc_id")).distinct(), "join-wanted")
-    texts = _among(plain, wanted, "doc_id").withColumnRenamed("doc_id", "node_doc")
-    texts = inside.join(texts, "node_doc")
-    # An id may stand for several texts: only the one whose set this is.
+    repeated = _among(drawn.select("doc_id"), wanted, "doc_id").groupBy("doc_id").count().filter("count > 1")
+    texts = _once(_among(plain, wanted, "doc_id"), written(repeated.select("doc_id"), "join-repeated"))
+    texts = inside.join(texts.withColumnRenamed("doc_id", "node_doc"), "node_doc")
+    # An id may stand for several texts: only one whose set this is.
     checked = texts.mapInArrow(per_slice(_right_text(shingle)), texts.drop("node_doc", "digest").schema)
     found = written(
         dealt(checked, "root", "size", chunk).mapInArrow(_verify(threshold, tolerance, shingle), "u long, v long, links long"),
@@ -355,15 +367,11 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     them.  Rows without a doc_id all stay.
     """
     found = written(similar(docs, threshold).filter("doc_id is not null"), "join-similar")
-    key = F.md5(F.col("text").cast("binary"))
-    gone = found.filter("doc_id != class_id").select(F.col("doc_id").alias("id"), F.col("key").alias("md5")).distinct()
-    kept = docs.join(gone, (F.col("doc_id") == F.col("id")) & key.eqNullSafe(F.col("md5")), "left_anti")
+    key = F.md5(docs["text"].cast("binary"))
+    gone = written(found.filter("doc_id != class_id").select("doc_id", "key").distinct(), "join-gone")
+    kept = docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & key.eqNullSafe(gone["key"]), "left_anti")
     again = written(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "join-again")
-    if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").unionByName(
-        kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    )
+    return _once(kept, again)
 
 
 SQL = r"""

@@ -20,7 +20,7 @@ MESSY = [
 ]
 #: Columns whose names the operators use themselves.
 DDL = "doc_id long, text string, lang string"
-CLASHING = ["row", "node", "n", "key", "score", "x", "label", "shard", "digest", "w", "h", "part", "size", "ids"]
+CLASHING = ["row", "node", "n", "key", "score", "x", "label", "shard", "digest", "w", "h", "part", "size", "ids", "id", "md5", "bad_id", "class_id"]
 
 
 @pytest.fixture(scope="session", autouse=True)

@@ -73,6 +73,15 @@ def test_contamination_without_items_or_documents(spark, messy, no_docs):
     assert kept.columns == messy.columns
 
 
+def test_only_equal_rows_share_their_fate(spark):
+    rows = [(None, prose(101, 40)), (None, "clean words"), (None, None), (1, "ONE"), (1, "other words"), (2, "")]
+    docs = spark.createDataFrame([(a, b, "x", "y") for a, b in rows], "doc_id long, text string, bad_id string, row string")
+    kept = decontam.without_contaminated(docs, spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert sorted((str(x["doc_id"]), str(x["text"])) for x in kept.collect()) == [
+        ("1", "other words"), ("2", ""), ("None", "None"), ("None", "clean words")]
+
+
 def test_documents_are_read_once_and_never_crossed(spark, sf):
     found = decontam.contamination(sf("documents", "0.001"), sf("benchmark", "0.001"))
     plan = found._jdf.queryExecution().executedPlan().toString()
@@ -119,6 +128,8 @@ def similar_rows():
     rows += [(1000 + i, near(50, 200, [i * 3])) for i in range(60)]  # one large group, all alike
     rows += [(2000 + i, near(51, 150, range(0, i * 7, 7))) for i in range(12)]  # a chain
     rows += [(3000 + i, prose(52, 60) + " " + prose(600 + i, 240)) for i in range(40)]  # a shared passage only
+    rows += [(5000 + i // 3, near(53, 80, [i // 3])) for i in range(9)]  # repeated rows, alike to others
+    rows += [(5010, near(53, 80, [4]).upper()), (5010, near(53, 80, [4])), (5011, near(53, 80, [5]))]  # one set, two texts
     rows += [(4000, "a b c d e"), (4001, "A, b c d e!"), (4002, "a b c d"), (4003, "a b c d"), (4004, "a b c d e f g h i"),
              (4005, "a b c d e f g h i j")]  # the last two: 5 of 6
     return rows
