@@ -50,30 +50,37 @@ def _run_hashes(array: str, k: int) -> Column:
     return F.transform(array, lambda _, at: _run_hash(array, at, k))
 
 
-def _meet(docs: DataFrame, grams: DataFrame, lengths: list[int], window: int, broadcast_rows: int) -> DataFrame:
+def _meet(docs: DataFrame, ids: list[str], grams: DataFrame, lengths: list[int], window: int, broadcast_rows: int) -> DataFrame:
     """Every place where a document holds one of the shingles, with the words around it, and a row for each document.
 
-    The shingles are broadcast if they are few enough; else both sides are shuffled by the shingle's hash.
+    If the shingles are few enough they are broadcast, and documents are read in one pass.  Else only the hashes of
+    documents' shingles are shuffled, and documents with a hit join their hits again by row.
     """
-    split = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w")
-    ).withColumn("n", F.size("w"))
+    split = docs.select(F.monotonically_increasing_id().alias("row"), *ids, words(F.col("text")).alias("w"))
+    split = split.withColumn("n", F.size("w"))
     runs = [_run_hashes("w", k) for k in lengths]
-    mark = F.xxhash64(F.lit(_MARK))
-    laid = split.select("row", "doc_id", "n", "w", F.posexplode(F.concat(*runs, F.array(mark))).alias("p", "h"))
     known = grams.select("k", F.array_join("g", " ").alias("gram"), "g").distinct()
     hashed = known.withColumn("h", F.coalesce(*[F.when(F.col("k") == k, _run_hash("g", F.lit(0), k)) for k in lengths], F.lit(0)))
-    lone = known.sparkSession.range(1).select(F.lit(0).alias("k"), F.lit(None).cast("string").alias("gram"), mark.alias("h"))
-    dictionary = written(hashed.select("k", "gram", "h").unionByName(lone), "decontam-shingles")
-    if dictionary.count() <= broadcast_rows:
-        dictionary = F.broadcast(dictionary)
+    dictionary = written(hashed.select("k", "gram", "h"), "decontam-shingles")
+    # Place p lists the runs of one length after those of another.
     at = F.when(F.col("n") > 0, F.col("p") % F.col("n")).otherwise(0)
-    text = F.array_join(F.slice("w", at + 1, F.col("k")), " ")
-    is_mark = F.col("gram").isNull() & (F.col("p") == F.col("n") * len(lengths))
-    met = laid.join(dictionary, "h").filter(is_mark | (F.col("gram").isNotNull() & (F.col("gram") == text)))
+    length = F.when(F.col("n") > 0, F.get(F.array(*[F.lit(k) for k in lengths]), F.expr("p div n").cast("int")))
+    same = (length == F.col("k")) & (F.array_join(F.slice("w", at + 1, F.col("k")), " ") == F.col("gram"))
     low = F.greatest(at - (window - F.col("k")), F.lit(0))
     near = F.when(F.col("gram").isNotNull(), F.slice("w", low + 1, at + window - low))
-    return met.select("row", "doc_id", "n", "gram", at.alias("at"), low.alias("low"), near.alias("near")).distinct()
+    found = ["row", *ids, "n", "gram", at.alias("at"), low.alias("low"), near.alias("near")]
+
+    if dictionary.count() <= broadcast_rows:
+        mark = F.xxhash64(F.lit(_MARK))
+        lone = docs.sparkSession.range(1).select(F.lit(0).alias("k"), F.lit(None).cast("string").alias("gram"), mark.alias("h"))
+        laid = split.select("row", *ids, "n", "w", F.posexplode(F.concat(*runs, F.array(mark))).alias("p", "h"))
+        is_mark = F.col("gram").isNull() & (F.col("p") == F.col("n") * len(lengths))
+        return laid.join(F.broadcast(dictionary.unionByName(lone)), "h").filter(is_mark | same).select(*found)
+
+    split = written(split, "decontam-words")
+    hits = split.select("row", F.posexplode(F.concat(*runs)).alias("p", "h")).join(dictionary, "h").drop("h")
+    places = hits.join(split, "row").filter(same).select(*found)
+    return places.unionByName(split.select("row", *ids, "n"), allowMissingColumns=True)
 
 
 def _covered(occurrences: DataFrame) -> DataFrame:
@@ -92,8 +99,9 @@ def contamination(
     shingle: int = 5,
     per_hit: int = 20,
     broadcast_rows: int = 1_000_000,
+    ids: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
+    """Per row of ``docs``: its ``ids``, ``n_words, n_hit, n_items, items_sha256, contaminated``.
 
     A word is hit when it lies in an occurrence of a window of an item; a document is contaminated when it has a
     hit word and at least one word in ``per_hit`` is hit.  Null or wordless texts have no words and are clean;
@@ -103,7 +111,7 @@ def contamination(
     windows = written(item_windows(items.select("item_id", "text"), window), "decontam-windows")
     grams = window_shingles(windows, shingle)
     lengths = sorted(row["k"] for row in grams.select("k").distinct().collect()) or [shingle]  # at most ``shingle`` values
-    met = written(_meet(docs.select("doc_id", "text"), grams, lengths, window, broadcast_rows), "decontam-met")
+    met = written(_meet(docs.select(*ids, "text"), list(ids), grams, lengths, window, broadcast_rows), "decontam-met")
     places = met.filter(F.col("gram").isNotNull())
 
     rarity = places.groupBy("gram").agg(F.count("*").alias("places"))
@@ -130,28 +138,32 @@ def contamination(
         .join(windows.select("win", "item_id").filter(F.col("item_id").isNotNull()).distinct(), "win")
         .groupBy("row").agg(F.collect_set("item_id").alias("found"))
     )
-    every = met.filter(F.col("gram").isNull()).select("row", "doc_id", F.col("n").cast("long").alias("n_words"))
+    every = met.filter(F.col("gram").isNull()).select("row", *ids, F.col("n").cast("long").alias("n_words"))
     found = F.coalesce("found", F.array().cast("array<bigint>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    ids = F.array_join(F.array_sort(F.transform(found, lambda x: x.cast("string"))), ",")
+    listing = F.array_join(F.array_sort(F.transform(found, lambda x: x.cast("string"))), ",")
     return (
         every.join(_covered(occurrences), "row", "left")
         .join(listed, "row", "left")
         .select(
-            "doc_id",
+            *ids,
             "n_words",
             n_hit.alias("n_hit"),
             F.size(found).cast("long").alias("n_items"),
-            F.sha2(ids, 256).alias("items_sha256"),
+            F.sha2(listing, 256).alias("items_sha256"),
             ((n_hit > 0) & (n_hit * per_hit >= F.col("n_words"))).alias("contaminated"),
         )
     )
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated ones; rows of one doc_id, or of none, share their fate."""
-    bad = written(contamination(docs, items).filter("contaminated").select("doc_id").distinct(), "decontam-bad")
-    return docs.join(bad.withColumnRenamed("doc_id", "bad_id"), F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    """``docs`` without the contaminated ones; only rows of the same doc_id, or of none, and the same text share their fate."""
+    md5 = F.md5(F.col("text").cast("binary"))
+    keyed = docs.select(F.col("doc_id").alias("bad_id"), md5.alias("bad_text"), "text")
+    found = contamination(keyed, items, ids=("bad_id", "bad_text"))
+    bad = written(found.filter("contaminated").select("bad_id", "bad_text").distinct(), "decontam-bad")
+    same_text = F.md5(docs["text"].cast("binary")).eqNullSafe(bad["bad_text"])
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & same_text, "left_anti")
 
 
 SQL = r"""
