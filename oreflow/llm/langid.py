@@ -23,6 +23,7 @@ from oreflow.llm.text import per_slice
 UNKNOWN = "und"
 DICTIONARY_BYTES = 1 << 17
 SAMPLE_DOCS = 200
+SAMPLE_CHARS = 2 * DICTIONARY_BYTES
 PIECE_BYTES = 2048
 LEVEL = 6
 SHARPNESS = 0.25  # of the score: nats for a byte
@@ -89,13 +90,17 @@ def compressors(content: tuple[tuple[str, bytes], ...]) -> Compressors:
 
 
 def learn(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> dict[str, bytes]:
-    """Dictionaries from about ``per_lang`` documents of each language, of the learning fold, chosen by a hash of the id."""
+    """Dictionaries from about ``per_lang`` documents of each language, of the learning fold, chosen by a hash of the id.
+
+    A document counts once, however often it is repeated, and gives at most ``SAMPLE_CHARS`` characters to choose from.
+    """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     counts = known.groupBy("lang").count().collect()  # a row for each language
     if not counts:
         return {}
     part = F.coalesce(*[F.when(F.col("lang") == row["lang"], share(row["count"], per_lang)) for row in counts])
-    sample = known.filter(placed_below(part)).select("lang", "doc_id", "text")
+    chosen = known.filter(placed_below(part)).select("lang", "doc_id", F.left("text", F.lit(SAMPLE_CHARS)).alias("text"))
+    sample = chosen.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     return dictionaries([(row["lang"], row["text"]) for row in sample.orderBy("lang", "doc_id").collect()])
 
 

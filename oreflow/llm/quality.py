@@ -232,9 +232,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def learn(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
-    """Fit on about ``sample`` labelled rows of the learning fold; their features come to the driver, no texts do."""
+    """Fit on about ``sample`` labelled rows of the learning fold, one for each doc_id, however often it is repeated.
+
+    Their features come to the driver, no texts do.
+    """
     chosen = written(labelled_sample(labels, "quality", sample), "quality-sample")
-    table = rows.join(chosen, "doc_id").select("doc_id", "x", "label").orderBy("doc_id").toArrow()
+    once = rows.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.min("label").alias("label"))
+    table = once.orderBy("doc_id").toArrow()
     if not table.num_rows:
         return fit(np.empty((0, len(FEATURES))), np.empty(0))
     return fit(_matrix(table.column("x").combine_chunks()), table.column("label").to_numpy())
@@ -243,7 +247,7 @@ def learn(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveM
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, held_out, score, predicted``.
 
-    Null text: as empty; it gets a score too.  Repeated rows: one row each, and each counts in the fit.  Without
+    Null text: as empty; it gets a score too.  Repeated rows: one row each; a doc_id counts once in the fit.  Without
     labels every score is the same.  Nothing but the text enters a score; other columns are not read.
     """
     rows = written(feature_rows(docs), "quality-features")

@@ -19,6 +19,7 @@ from oreflow.llm.text import per_slice
 
 MODEL = "piece_bpe_32k.model"
 KEPT_COUNTS = 1 << 20
+KEPT_CHARS = 1 << 25
 _SPACE = "▁"
 _LETTER, _STOPS = "[A-Za-zÀ-ÖØ-öø-ÿ]", ".,;:!?"
 
@@ -31,6 +32,7 @@ class TokenCounter:
         self.kept = kept
         self.single: dict[str, int] = {}
         self.counts: dict[str, int] = {}
+        self.chars = 0
         self.exact_split = self.prove()
 
     def prove(self) -> bool:
@@ -67,6 +69,7 @@ class TokenCounter:
         One that begins with a space is encoded without it, as the library puts a mark there.  Any other is encoded
         after a line end, with which nothing merges; the mark and the line end before it are two tokens.
         """
+        self.chars += sum(map(len, fresh))
         spaced = [x for x in fresh if x[0] == " " and x != " "]
         self.counts.update(zip(spaced, map(len, self.model.encode([x[1:] for x in spaced], num_threads=1)), strict=True))
         self.counts[" "] = 1
@@ -79,8 +82,8 @@ class TokenCounter:
         plain = [bool(x) and self.exact_split and "\0" not in x and _SPACE not in x for x in texts]
         split = [self._split(" " + x) if y else [] for x, y in zip(texts, plain, strict=True)]
         fresh = set().union(*split)
-        if len(self.counts) + len(fresh) > self.kept:
-            self.counts = dict(self.single)
+        if len(self.counts) + len(fresh) > self.kept or self.chars > KEPT_CHARS:
+            self.counts, self.chars = dict(self.single), 0
         self._learn([x for x in fresh if x not in self.counts])
         known = self.counts.__getitem__
         return [

@@ -142,13 +142,15 @@ def _selected(counts: pa.Table, n: int, n_toxic: int, most: int) -> tuple[np.nda
 
 
 def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> OrdinalModel:
-    """Fit on about ``most`` labelled rows of the learning fold.
+    """Fit on about ``most`` labelled rows of the learning fold, one for each doc_id, however often it is repeated.
 
     Their texts stay on the executors: slots are chosen from summed counts, and only occurrences of the chosen
     ones come to the driver.
     """
     chosen = written(labelled_sample(labels, "toxic", most), "toxicity-sample")
-    sample = written(docs.select("doc_id", "text").join(chosen, "doc_id"), "toxicity-texts")
+    labelled = docs.select("doc_id", "text").join(chosen, "doc_id")
+    once = labelled.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    sample = written(once, "toxicity-texts")
     n, n_toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < n_toxic < n:
         cut = -30.0 if n and n_toxic == n else 30.0
