@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from oreflow.llm.joins import checked
 from oreflow.sources.scratch import written
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -163,7 +164,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = contamination(keyed, items, ids=("bad_id", "bad_text"))
     bad = written(found.filter("contaminated").select("bad_id", "bad_text").distinct(), "decontam-bad")
     same_text = F.md5(docs["text"].cast("binary")).eqNullSafe(bad["bad_text"])
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & same_text, "left_anti")
+    return docs.join(checked(bad), docs["doc_id"].eqNullSafe(bad["bad_id"]) & same_text, "left_anti")
 
 
 SQL = r"""

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.components import components
 from oreflow.llm.groups import binary_bytes, whole_groups
+from oreflow.llm.joins import checked
 from oreflow.llm.text import Words, mix, per_slice, shingle_hashes, text_bytes
 from oreflow.sources.scratch import written
 
@@ -35,7 +36,6 @@ BAND = 4  # values in a band: at similarity 0.8 all 32 bands differ once in twen
 STEP = 16  # values compared at a time
 TOLERANCE = 1e-8
 CHUNK = 256
-BROADCAST_ROWS = 1_000_000
 _PAIRS_AT_ONCE = 1 << 19
 _rng = np.random.default_rng(0x5EED)
 _XOR = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
@@ -271,7 +271,7 @@ def _runs(values: np.ndarray) -> tuple[list[int], list[int], list[int]]:
 
 def _among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is among the ids, which are broadcast if they are few enough."""
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, key, "left_semi")
+    return rows.join(checked(ids), key, "left_semi")
 
 
 def _once(rows: DataFrame, again: DataFrame) -> DataFrame:
@@ -327,9 +327,9 @@ def similar(
     texts = _once(_among(plain, wanted, "doc_id"), written(repeated.select("doc_id"), "join-repeated"))
     texts = inside.join(texts.withColumnRenamed("doc_id", "node_doc"), "node_doc")
     # An id may stand for several texts: only one whose set this is.
-    checked = texts.mapInArrow(per_slice(_right_text(shingle)), texts.drop("node_doc", "digest").schema)
+    right = texts.mapInArrow(per_slice(_right_text(shingle)), texts.drop("node_doc", "digest").schema)
     found = written(
-        dealt(checked, "root", "size", chunk).mapInArrow(_verify(threshold, tolerance, shingle), "u long, v long, links long"),
+        dealt(right, "root", "size", chunk).mapInArrow(_verify(threshold, tolerance, shingle), "u long, v long, links long"),
         "join-found",
     )
     links = found.groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
@@ -369,7 +369,7 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = written(similar(docs, threshold).filter("doc_id is not null"), "join-similar")
     key = F.md5(docs["text"].cast("binary"))
     gone = written(found.filter("doc_id != class_id").select("doc_id", "key").distinct(), "join-gone")
-    kept = docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & key.eqNullSafe(gone["key"]), "left_anti")
+    kept = docs.join(checked(gone), (docs["doc_id"] == gone["doc_id"]) & key.eqNullSafe(gone["key"]), "left_anti")
     again = written(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "join-again")
     return _once(kept, again)
 
