@@ -62,10 +62,14 @@ def _staged_invalid(snapshot: DataFrame, spec: EntitySpec, invalid: DataFrame |
 
 
 def dealt_rows(snapshot: DataFrame, repeated: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Rows of repeated ids, dealt out by all columns and a ``_salt``."""
+    """Rows of repeated ids, dealt out by all columns and a ``_salt``.
+
+    The salt is written with the rows before it becomes a shuffle key: after a shuffled join rows come in any order,
+    and a task that runs again would give equal rows other salts than those already counted.
+    """
     rows = snapshot.select(*spec.columns).join(repeated, spec.key, "left_semi")
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
-    return rows.withColumn("_salt", salt).repartition(*spec.columns, "_salt")
+    return written(rows.withColumn("_salt", salt), "customer-salted").repartition(*spec.columns, "_salt")
 
 
 def duplicate_customers(
@@ -76,8 +80,8 @@ def duplicate_customers(
     A window would sort all rows of one id in one task, and so would any step that keeps rows dealt out by id.
     Instead rows of repeated ids are dealt out by all their columns and a salt, equal ones are counted in two steps,
     the first row per id is a minimum that each task takes before the shuffle, and each distinct row is then
-    repeated as often as it exceeds that first one.  The repeated ids, the counts and the first rows are written
-    tables, so that both joins on the id are of bare shuffles, which adaptive skew join can split.
+    repeated as often as it exceeds that first one.  The repeated ids, the salted rows, the counts and the first rows
+    are written tables, so that both joins on the id are of bare shuffles, which adaptive skew join can split.
     """
     rest = spec.attributes
     repeated = _staged_invalid(snapshot, spec, invalid).filter("_rows > 1").select(spec.key)

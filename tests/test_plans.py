@@ -189,6 +189,26 @@ def test_rows_of_one_id_are_counted_in_many_tasks(spark, small_skew):
     assert quality.duplicate_customers(df).count() == 39_999
 
 
+def test_rows_keep_their_salt_when_they_come_in_another_order(spark, small_skew):
+    """As after a lost executor: every run of the snapshot's tasks gives its rows in a new order."""
+
+    def shuffled(batches):
+        import numpy as np
+
+        for batch in batches:
+            yield batch.take(np.random.default_rng().permutation(len(batch)))
+
+    df = spark.range(2_000, numPartitions=4).selectExpr(
+        "id % 40 AS customer_id", "concat('f', id % 80) AS first_name", "'l' AS last_name", "'a@x' AS email", "'1' AS phone",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS created_at",
+    )
+    ids = quality.invalid_ids(df).select("customer_id")
+    dealt = quality.dealt_rows(df.mapInArrow(shuffled, df.schema), ids, quality.CUSTOMERS)
+    salts = [dealt.groupBy(*dealt.columns).count().collect() for _ in range(2)]
+    assert sum(r["count"] for r in salts[0]) == 2_000
+    assert set(salts[0]) == set(salts[1])
+
+
 def test_quarantine_counts_distinct_customers_in_two_steps(spark):
     text = plan(catalog()["quarantine_metrics"](spark, SF))
     assert text.count("HashAggregate") == 4
