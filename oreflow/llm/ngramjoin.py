@@ -269,17 +269,18 @@ def _runs(values: np.ndarray) -> tuple[list[int], list[int], list[int]]:
     return values[starts].tolist(), starts.tolist(), np.append(starts[1:], len(values)).tolist() if len(starts) else []
 
 
-def _among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among the ids, which are broadcast if they are few enough."""
-    return rows.join(checked(ids), key, "left_semi")
+def _same(rows: DataFrame, pairs: DataFrame) -> Column:
+    """Whether doc_id and text of a row are those of a pair of doc_id and ``key``; nulls are equal."""
+    return rows["doc_id"].eqNullSafe(pairs["doc_id"]) & F.md5(rows["text"].cast("binary")).eqNullSafe(pairs["key"])
 
 
 def _once(rows: DataFrame, again: DataFrame) -> DataFrame:
-    """Rows without repeats of the same doc_id and text; ``again`` holds the doc_ids that occur more than once."""
+    """Rows without repeats of the same doc_id and text; ``again`` holds those pairs of them that occur more than once."""
     if again.isEmpty():
         return rows
-    return rows.join(again, "doc_id", "left_anti").unionByName(
-        rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    some = checked(again)
+    return rows.join(some, _same(rows, again), "left_anti").unionByName(
+        rows.join(some, _same(rows, again), "left_semi").dropDuplicates(["doc_id", "text"])
     )
 
 
@@ -294,10 +295,18 @@ def similar(
     and wordless texts have no links and are their own class.  Repeated rows are copies of each other.  A row
     without doc_id shares the class of its copies but has no other links.  Other columns are not read.
     """
+    return _classed(docs, threshold, shingle, tolerance, chunk, nameless=False).drop("class_row")
+
+
+def _classed(docs: DataFrame, threshold: float, shingle: int, tolerance: float, chunk: int, nameless: bool) -> DataFrame:
+    """The rows of ``similar`` with ``class_row``, which tells classes apart whatever their doc_ids; null without words.
+
+    ``nameless`` compares rows without doc_id like all others.  A class of only such rows has no ``class_id``.
+    """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     drawn = sketches(plain, shingle)
     drawn = written(drawn.select(F.monotonically_increasing_id().alias("row"), "*"), "join-sketches")
-    named: Column = F.when(F.col("doc_id").isNotNull(), F.col("row"))
+    named: Column = F.col("row") if nameless else F.when(F.col("doc_id").isNotNull(), F.col("row"))
     sets = written(
         drawn.filter("n > 0").groupBy("digest").agg(
             F.min(named).alias("node"), F.min_by("doc_id", named).alias("node_doc"), F.min("doc_id").alias("least_doc"),
@@ -306,7 +315,7 @@ def similar(
         "join-sets",
     )
     nodes = written(
-        drawn.drop("doc_id", "key", "digest", "n").withColumnRenamed("row", "node").join(sets.filter("node is not null"), "node"),
+        drawn.drop("doc_id", "digest", "n").withColumnRenamed("row", "node").join(sets.filter("node is not null"), "node"),
         "join-nodes",
     )
 
@@ -319,15 +328,18 @@ def similar(
 
     sizes = written(clusters.groupBy("root").agg(F.count("*").alias("size")), "join-cluster-sizes")
     inside = clusters.join(sizes, "root").join(
-        nodes.select("node", "node_doc", "digest", "sketch", "copies"), "node"
+        nodes.select("node", "node_doc", "key", "sketch", "copies"), "node"
     )
     inside = written(inside, "join-inside")
-    wanted = written(inside.select(F.col("node_doc").alias("doc_id")).distinct(), "join-wanted")
-    repeated = _among(drawn.select("doc_id"), wanted, "doc_id").groupBy("doc_id").count().filter("count > 1")
-    texts = _once(_among(plain, wanted, "doc_id"), written(repeated.select("doc_id"), "join-repeated"))
-    texts = inside.join(texts.withColumnRenamed("doc_id", "node_doc"), "node_doc")
-    # An id may stand for several texts: only one whose set this is.
-    right = texts.mapInArrow(per_slice(_right_text(shingle)), texts.drop("node_doc", "digest").schema)
+    wanted = written(inside.select(F.col("node_doc").alias("doc_id"), "key").distinct(), "join-wanted")
+    few = checked(wanted)
+    asked = drawn["doc_id"].eqNullSafe(wanted["doc_id"]) & (drawn["key"] == wanted["key"])
+    repeated = drawn.select("doc_id", "key").join(few, asked, "left_semi").groupBy("doc_id", "key").count().filter("count > 1")
+    texts = _once(plain.join(few, _same(plain, wanted), "left_semi"), written(repeated.select("doc_id", "key"), "join-repeated"))
+    # An id may stand for several texts, and so may its absence: a text is met by both.
+    texts = texts.select(F.col("doc_id").alias("text_doc"), F.md5(F.col("text").cast("binary")).alias("text_key"), "text")
+    right = inside.join(texts, F.col("node_doc").eqNullSafe(F.col("text_doc")) & (F.col("key") == F.col("text_key")))
+    right = right.drop("node_doc", "key", "text_doc", "text_key")
     found = written(
         dealt(right, "root", "size", chunk).mapInArrow(_verify(threshold, tolerance, shingle), "u long, v long, links long"),
         "join-found",
@@ -336,41 +348,38 @@ def similar(
     joined = components(found.select("u", "v"))
     roots = joined.join(nodes.select("node", "least_doc"), "node")
     least = roots.groupBy("root").agg(F.min("least_doc").alias("class_doc"))
-    linked = joined.join(least, "root").join(links, "node").select("node", "class_doc", "links")
+    linked = joined.join(least, "root").join(links, "node").select("node", "root", "class_doc", "links")
     classes = written(sets.join(linked, "node", "left"), "join-classes").select(
-        "digest", F.coalesce("class_doc", "least_doc").alias("class_doc"),
+        "digest", F.coalesce("root", "node").alias("class_row"), F.coalesce("class_doc", "least_doc").alias("class_doc"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
     rows = drawn.select("doc_id", "key", F.when(F.col("n") > 0, F.col("digest")).alias("digest"), F.col("n").alias("n_shingles"))
     return rows.join(classes, "digest", "left").select(
         "doc_id", F.coalesce("class_doc", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.col("n_shingles").cast("long").alias("n_shingles"), "key",
+        F.col("n_shingles").cast("long").alias("n_shingles"), "key", "class_row",
     )
 
 
-def _right_text(shingle: int) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        words = Words(*text_bytes(piece.column("text")))
-        hashes, first = shingle_hashes(words.hashes(), words.first, shingle)
-        digests = piece.column("digest").to_pylist()
-        own = (np.unique(hashes[a:b]).tobytes() for a, b in zip(first[:-1], first[1:], strict=True))
-        right = [hashlib.blake2b(x, digest_size=16).digest() == y for x, y in zip(own, digests, strict=True)]
-        return piece.filter(pa.array(right, pa.bool_())).drop_columns(["node_doc", "digest"])
-
-    return work
-
-
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class, that with the class's smallest doc_id.
 
-    Of rows with the same doc_id and text one stays; two texts of one doc_id are not compared to choose between
-    them.  Rows without a doc_id all stay.
+    Rows without a doc_id are compared like all others, and of those of a class one stays, beside the one with a
+    doc_id.  Of a class's texts under one doc_id the one of the smallest MD5 stays, of repeated rows one.  Null and
+    wordless texts without a doc_id all stay.
     """
-    found = written(similar(docs, threshold).filter("doc_id is not null"), "join-similar")
-    key = F.md5(docs["text"].cast("binary"))
-    gone = written(found.filter("doc_id != class_id").select("doc_id", "key").distinct(), "join-gone")
-    kept = docs.join(checked(gone), (docs["doc_id"] == gone["doc_id"]) & key.eqNullSafe(gone["key"]), "left_anti")
-    again = written(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "join-again")
+    columns = ["doc_id", "class_id", "class_row", "key"]
+    found = written(_classed(docs, threshold, SHINGLE, TOLERANCE, CHUNK, nameless=True).select(columns), "join-similar")
+    heads = found.filter("class_row is not null and (doc_id is null or doc_id = class_id)")
+    sides = heads.groupBy("class_row", F.col("doc_id").isNull().alias("nameless")).agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    several = written(sides.filter("first != last").select("class_row", "nameless", "first"), "join-several")
+    same = (heads["class_row"] == several["class_row"]) & (heads["doc_id"].isNull() == several["nameless"])
+    others = heads.join(checked(several), same & (heads["key"] != several["first"])).select("doc_id", "key")
+    far = found.filter("doc_id != class_id").select("doc_id", "key")
+    gone = written(far.unionByName(others).distinct(), "join-gone")
+    kept = docs.join(checked(gone), _same(docs, gone), "left_anti")
+    # Rows with neither doc_id nor words are no copies of each other.
+    known = found.filter("doc_id is not null or class_row is not null")
+    again = written(known.groupBy("doc_id", "key").count().filter("count > 1").select("doc_id", "key"), "join-again")
     return _once(kept, again)
 
 

@@ -154,6 +154,21 @@ def test_join_of_messy_rows(spark, messy, no_docs):
     assert sorted(x["text"] for x in ngramjoin.one_of_each(same).collect()) == ["other words are here now", "p q r s t"]
 
 
+def test_rows_with_no_or_one_doc_id_keep_one_of_a_group(spark):
+    none = [(None, near(70, 200, [3 * i])) for i in range(6)] + [(None, near(70, 200, [3]))] * 4  # near and exact copies
+    mixed = [(None, near(71, 200, [3 * i])) for i in range(3)] + [(9, near(71, 200, [50])), (8, near(71, 200, [90]))]
+    one = [(7, near(72, 200, [3 * i])) for i in range(4)] + [(7, prose(73, 90)), (7, prose(73, 90)), (6, prose(74, 90))]
+    bare = [(None, None), (None, None), (None, "..."), (None, "..."), (4, "..."), (4, "..."), (5, None)]
+    table = spark.createDataFrame([(*x, "x", "y") for x in none + mixed + one + bare], "doc_id long, text string, key string, class_row string")
+    kept = [(x["doc_id"], x["text"]) for x in ngramjoin.one_of_each(table.repartition(5)).collect()]
+    held = lambda rows: sorted((str(x[0]) for x in kept if x[1] in {t for _, t in rows}))
+    assert held(none) == ["None"]
+    assert held(mixed) == ["8", "None"]
+    assert held(one) == ["6", "7", "7"] and (7, prose(73, 90)) in kept
+    assert held(bare) == ["4", "5", "None", "None", "None", "None"]
+    assert len(kept) == 1 + 2 + 3 + 6
+
+
 def test_pruning_drops_far_pairs_and_keeps_near_ones():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
