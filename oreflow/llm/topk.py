@@ -27,8 +27,13 @@ _WHOLE = 1 << 62
 
 
 def _quantized(values: np.ndarray) -> np.ndarray | None:
-    scaled = np.floor(values.astype(np.float64) * SCALE)
-    return scaled.astype(np.int64) if np.isfinite(scaled).all() and (np.abs(scaled) < _WHOLE).all() else None
+    if not np.isfinite(values).all():
+        return None
+    with np.errstate(over="ignore"):
+        scaled = np.floor(values.astype(np.float64) * SCALE)
+    if not (np.abs(scaled) < _WHOLE).all():
+        raise OverflowError("256 times a component may not fit into 62 bits")
+    return scaled.astype(np.int64)
 
 
 def _quantize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,8 +56,8 @@ def _quantize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def quantized(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     """``vec_id, dim, vector``: floor(256 x) of every component, as 64-bit integers.
 
-    Left out are rows without an id, and vectors that are null or hold a null, a component that is not finite, or one
-    beyond 62 bits.  Of an id's different vectors the least counts.
+    Left out are rows without an id, and vectors that are null or hold a null or a component that is not finite.  A
+    finite component beyond 62 bits is an error.  Of an id's different vectors the least counts.
     """
     plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(column).alias("vector"))
     rows = plain.mapInArrow(_quantize, "vec_id long, dim int, vector binary")

@@ -68,6 +68,16 @@ def test_scores_beyond_doubles_are_exact():
     assert found.tolist() == [1, 0] and score.tolist() == [(1 << 60) + 12, (1 << 60) + 9]
 
 
+@pytest.mark.parametrize("large", [float(1 << 54), -1e30, 1e308])
+def test_a_finite_vector_too_large_is_not_dropped(spark, large):
+    rows = [(0, [1.0, 2.0]), (1, [large, 1.0]), (2, [float("-inf"), 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="62 bits"):
+        topk.quantized(table).count()
+    assert topk.quantized(table.filter("vec_id <> 1")).count() == 1
+    assert topk._quantized(np.array([2.0**53, -(2.0**53)])).tolist() == [1 << 61, -(1 << 61)]
+
+
 def turns(*pairs):
     return [{"role": r, "text": t} for r, t in pairs]
 
