@@ -12,7 +12,7 @@ derives all shared interiors, and expands the proof of each leaf on its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from hashlib import sha256
 from typing import NamedTuple
 
@@ -147,12 +147,10 @@ class Branch:
 # --- as Spark jobs ---------------------------------------------------------------------------------------
 
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted leaves as rows of up to ``CHUNK`` leaves of one tree."""
-    held: list[pa.RecordBatch] = []
-    tree = None
+def _pack(chunk: int) -> Callable:
+    """Sorted leaves as rows of up to ``chunk`` leaves of one tree."""
 
-    def row() -> pa.RecordBatch:
+    def row(tree: str, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
         text = lambda name: pa.array(["".join(table.column(name).to_pylist()).encode()], pa.binary())
         ids = pa.concat_arrays(table.column("id").chunks)
@@ -161,20 +159,25 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["tree", "ids", "leaves", "seen"],
         )
 
-    for batch in batches:
-        trees = np.array(batch.column("tree").to_pylist(), dtype=object)
-        change = np.flatnonzero(trees[1:] != trees[:-1]) + 1 if len(trees) else []
-        for start, stop in zip([0, *change], [*change, len(trees)], strict=True):
-            while start < stop:
-                size = sum(map(len, held))
-                if held and (trees[start] != tree or size == CHUNK):
-                    yield row()
-                    held, size = [], 0
-                tree, take = trees[start], min(stop - start, CHUNK - size)
-                held.append(batch.slice(start, take))
-                start += take
-    if held:
-        yield row()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        tree = None
+        for batch in batches:
+            trees = np.array(batch.column("tree").to_pylist(), dtype=object)
+            change = np.flatnonzero(trees[1:] != trees[:-1]) + 1 if len(trees) else []
+            for start, stop in zip([0, *change], [*change, len(trees)], strict=True):
+                while start < stop:
+                    size = sum(map(len, held))
+                    if held and (trees[start] != tree or size == chunk):
+                        yield row(tree, held)
+                        held, size = [], 0
+                    tree, take = trees[start], min(stop - start, chunk - size)
+                    held.append(batch.slice(start, take))
+                    start += take
+        if held:
+            yield row(tree, held)
+
+    return run
 
 
 def _placed(chunks: DataFrame) -> DataFrame:
@@ -248,11 +251,11 @@ class Forest(NamedTuple):
     roots: DataFrame
 
 
-def forest(leaves: DataFrame) -> Forest:
+def forest(leaves: DataFrame, chunk: int = CHUNK) -> Forest:
     """The trees of ``tree, id, leaf, seen``; leaves ascend by id, nulls first, then by the leaf.  ``seen`` goes along."""
     kind = leaves.schema["id"].dataType.simpleString()
     ordered = leaves.repartitionByRange("tree", "id", "leaf").sortWithinPartitions("tree", "id", "leaf")
-    packed = ordered.mapInArrow(_pack, f"tree string, ids array<{kind}>, leaves binary, seen binary")
+    packed = ordered.mapInArrow(_pack(chunk), f"tree string, ids array<{kind}>, leaves binary, seen binary")
     packed = written(packed.select(F.monotonically_increasing_id().alias("chunk"), "*"), "merkle-chunks")
     places = written(_placed(packed), "merkle-places")
     chunks = packed.drop("tree").join(checked(places), "chunk")
@@ -277,7 +280,7 @@ def _hex(nodes: bytes) -> list[bytes]:
     return [nodes[i : i + _HEX] for i in range(0, len(nodes), _HEX)]
 
 
-def _paths(kind: pa.DataType):
+def _paths(kind: pa.DataType) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, branch in _branches(batch):
@@ -324,7 +327,7 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def manifest(docs: DataFrame) -> tuple[Forest, Forest]:
+def manifest(docs: DataFrame, chunk: int = CHUNK) -> tuple[Forest, Forest]:
     """The trees of ``docs``, one per lang, and the tree of their subroots.
 
     Leaves are digests of the columns ``FIELDS``; others are not read, so their names may be any.  A null is a value
@@ -332,7 +335,7 @@ def manifest(docs: DataFrame) -> tuple[Forest, Forest]:
     Equal doc_ids follow each other by their leaf, repeated rows are leaves of their own.  An empty table has neither
     trees nor root.
     """
-    return _trees(_leaves(docs, F.lit(None).cast("boolean")))
+    return _trees(_leaves(docs, F.lit(None).cast("boolean")), chunk)
 
 
 def _leaves(docs: DataFrame, lower: Column) -> DataFrame:
@@ -347,22 +350,22 @@ def _leaves(docs: DataFrame, lower: Column) -> DataFrame:
     return rows.withColumn("seen", F.coalesce("seen", "leaf"))
 
 
-def _trees(leaves: DataFrame) -> tuple[Forest, Forest]:
-    trees = forest(written(leaves, "merkle-leaves"))
+def _trees(leaves: DataFrame, chunk: int) -> tuple[Forest, Forest]:
+    trees = forest(written(leaves, "merkle-leaves"), chunk)
     tops = trees.roots.select(
         F.lit("").alias("tree"), F.col("tree").alias("id"), F.col("subroot").alias("leaf"), F.col("subroot").alias("seen")
     )
-    return trees, forest(tops)
+    return trees, forest(tops, chunk)
 
 
-def verified_manifest(docs: DataFrame) -> DataFrame:
+def verified_manifest(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Per row ``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified``, as ``manifest`` builds the trees.
 
     The proof is a leaf's siblings joined from the bottom, left to right, through its group's tree and that of the
     subroots.  It is held against the row with the text's A-Z in lower case where the CRC-32 of the doc_id is a multiple
     of 3, else against the row itself.  A row without doc_id is not changed.
     """
-    trees, top = _trees(_leaves(docs, F.crc32(F.col("doc_id").cast("string")) % 3 == 0))
+    trees, top = _trees(_leaves(docs, F.crc32(F.col("doc_id").cast("string")) % 3 == 0), chunk)
     root = top.roots.first()
     above = proofs(top).select(
         F.col("id").alias("tree"), F.col("leaf").alias("subroot"), "path", F.lit(root and root["subroot"]).cast("string").alias("root")

@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bytebpe, decontam, langid, merkle, ngramjoin, preference, quality, tokencount, tokenfile, topk, toxicity
+from oreflow.llm import bytebpe, decontam, langid, merkle, ngramjoin, preference, quality, simhash, tokencount, tokenfile, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_preferences": op9_preferences,
         "op10_toxicity": op10_toxicity,
+        "op12_simhash": op12_simhash,
         "op13_merkle": op13_merkle,
         "pipeline": corpus_pipeline.run,
     }
