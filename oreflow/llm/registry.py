@@ -8,7 +8,21 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bytebpe, decontam, langid, merkle, ngramjoin, preference, quality, simhash, tokencount, tokenfile, topk, toxicity
+from oreflow.llm import (
+    bytebpe,
+    decontam,
+    langid,
+    merkle,
+    ngramjoin,
+    preference,
+    quality,
+    simhash,
+    tokencount,
+    tokenfile,
+    topk,
+    toxicity,
+    vectorcodes,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +72,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(_table(spark, sf_dir, "documents"))
 
@@ -78,6 +96,7 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_preferences": op9_preferences,
         "op10_toxicity": op10_toxicity,
+        "op11_vector_codes": op11_vector_codes,
         "op12_simhash": op12_simhash,
         "op13_merkle": op13_merkle,
         "pipeline": corpus_pipeline.run,
@@ -90,5 +109,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_ngram_join": ngramjoin.SQL,
         "op5_decontaminate": decontam.SQL,
         "op9_preferences": preference.SQL,
+        "op11_vector_codes": vectorcodes.SQL,
         "op13_merkle": merkle.SQL,
     }
