@@ -70,10 +70,24 @@ def kept_vectors(vectors: DataFrame, column: str) -> DataFrame:
 # --- codebooks and bounds --------------------------------------------------------------------------------
 
 
-def displacements(history: list[np.ndarray], groups: list[np.ndarray]) -> np.ndarray:
+def near_groups(book: np.ndarray, most: int) -> list[list[np.ndarray]]:
+    """For each part its entries in up to ``most`` groups of neighbours: halves along the widest component, and so on."""
+
+    def halves(entries: np.ndarray, points: np.ndarray, into: int) -> list[np.ndarray]:
+        if into < 2 or len(entries) < 2:
+            return [np.sort(entries)]
+        widest = np.ptp(points[entries], axis=0).argmax() if points.shape[1] else 0
+        order = entries[np.argsort(points[entries, widest], kind="stable")] if points.shape[1] else entries
+        middle = len(entries) // 2
+        return halves(order[:middle], points, into // 2) + halves(order[middle:], points, into - into // 2)
+
+    return [halves(np.arange(len(points)), points, most) for points in book]
+
+
+def displacements(history: list[np.ndarray], groups: list[list[np.ndarray]]) -> np.ndarray:
     """By stamp, part and group: how far an entry of the group has moved at most since then, as the crow flies."""
     moved = [np.sqrt(((history[-1] - book).astype(np.float64) ** 2).sum(axis=2)) * _SLACK for book in history]
-    return np.stack([np.stack([x[:, g].max(axis=1) for g in groups], axis=1) for x in moved])
+    return np.stack([np.stack([[x[part, g].max() for g in each] for part, each in enumerate(groups)]) for x in moved])
 
 
 class State(NamedTuple):
@@ -95,36 +109,34 @@ def _squares(x: np.ndarray, book: np.ndarray) -> np.ndarray:
     return found.astype(np.int64)
 
 
-def _below(squares: np.ndarray) -> np.ndarray:
-    """Distances as 32-bit floats, rounded down."""
-    return np.nextafter(np.sqrt(squares.astype(np.float64)).astype(np.float32), np.float32(-np.inf))
+def _below(distances: np.ndarray) -> np.ndarray:
+    """As 16-bit floats, rounded down; what is beyond these becomes their largest."""
+    return np.nextafter(np.clip(distances, -60_000, 60_000).astype(np.float16), np.float16(-np.inf))
 
 
-def assign(vectors: np.ndarray, history: list[np.ndarray], groups: list[np.ndarray], old: State | None) -> State:
+def assign(vectors: np.ndarray, history: list[np.ndarray], groups: list[list[np.ndarray]], old: State | None) -> State:
     """Every part's nearest entry of the last codebook, ties to the lower index."""
     now, book = len(history) - 1, history[-1]
     n, parts, size = len(vectors), book.shape[0], book.shape[2]
     code, error = np.zeros((n, parts), np.uint8), np.zeros((n, parts), np.int64)
-    low, stamp = np.zeros((n, parts, len(groups)), np.float32), np.full((n, parts, len(groups)), now, np.uint8)
+    count = len(groups[0])
+    low, stamp = np.zeros((n, parts, count), np.float16), np.full((n, parts, count), now, np.uint8)
     moved, scanned = displacements(history, groups), 0
-    home = np.zeros(book.shape[1], np.int64)
-    for i, group in enumerate(groups):
-        home[group] = i
     every = np.arange(n)
     for part in range(parts):
         x = vectors[:, part * size : (part + 1) * size].astype(np.int64)
         if old is None:
             best, nearest = np.full(n, np.iinfo(np.int64).max), np.full(n, -1)
-            need = np.ones((n, len(groups)), bool)
+            need = np.ones((n, count), bool)
         else:
             nearest = old.code[:, part].astype(np.int64)
             best = ((x - book[part, nearest]) ** 2).sum(axis=1)
-            lowered = old.low[:, part].astype(np.float64) - moved[old.stamp[:, part], part, np.arange(len(groups))]
+            lowered = old.low[:, part].astype(np.float64) - moved[old.stamp[:, part], part, np.arange(count)]
             need = lowered <= np.sqrt(best.astype(np.float64))[:, None] * _SLACK
             low[:, part], stamp[:, part] = old.low[:, part], old.stamp[:, part]
         first_entry, first_best = nearest, best
         seen = []
-        for i, group in enumerate(groups):
+        for i, group in enumerate(groups[part]):
             rows = np.flatnonzero(need[:, i])
             scanned += len(rows)
             far = _squares(x[rows], book[part, group])
@@ -137,22 +149,22 @@ def assign(vectors: np.ndarray, history: list[np.ndarray], groups: list[np.ndarr
             second = far.min(axis=1, initial=np.iinfo(np.int64).max)
             seen.append((rows, entry, square, second))
         for i, (rows, entry, square, second) in enumerate(seen):
-            low[rows, part, i] = _below(np.where(entry == nearest[rows], second, square))
+            low[rows, part, i] = _below(np.sqrt(np.where(entry == nearest[rows], second, square).astype(np.float64)))
             stamp[rows, part, i] = now
         if old is not None:
             # An entry that was left belongs to the others of its group from now on.
+            home = np.zeros(book.shape[1], np.int64)
+            for i, group in enumerate(groups[part]):
+                home[group] = i
             group = home[first_entry]
             left = (first_entry != nearest) & ~need[every, group]
             rows, at = every[left], group[left]
-            low[rows, part, at] = np.minimum(
-                np.nextafter(lowered[rows, at].astype(np.float32), np.float32(-np.inf)), _below(first_best[rows])
-            )
+            low[rows, part, at] = _below(np.minimum(lowered[rows, at], np.sqrt(first_best[rows].astype(np.float64))))
             stamp[rows, part, at] = now
         code[:, part], error[:, part] = nearest, best
     return State(code, error, low, stamp, scanned)
 
 
-STATE = {"code": (np.uint8, "c"), "low": (np.float32, "cg"), "stamp": (np.uint8, "cg")}
 STATE_DDL = "code binary, error long, low binary, stamp binary, scanned long"
 
 
@@ -168,8 +180,9 @@ def _matrix(column: pa.Array, kind: type, *shape: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), *shape)
 
 
-def _assigned(history: list[np.ndarray], groups: list[np.ndarray]) -> Callable:
+def _assigned(history: list[np.ndarray], groups: list[list[np.ndarray]]) -> Callable:
     parts, _, size = history[-1].shape
+    count = len(groups[0])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +192,7 @@ def _assigned(history: list[np.ndarray], groups: list[np.ndarray]) -> Callable:
             old = None
             if "code" in batch.schema.names:
                 read = lambda name, kind, *shape: _matrix(batch.column(name), kind, parts, *shape)  # noqa: B023, E731
-                old = State(read("code", np.uint8), None, read("low", np.float32, len(groups)), read("stamp", np.uint8, len(groups)), 0)
+                old = State(read("code", np.uint8), None, read("low", np.float16, count), read("stamp", np.uint8, count), 0)
             found = assign(vectors, history, groups, old)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(x) for x in ("vec_id", "label", "vector")), _bytes(found.code), pa.array(found.error.sum(axis=1)),
@@ -255,7 +268,7 @@ def compressed(
     if not seeds:
         return Codes(odd, [])
     book = np.stack(seeds).astype(np.int64).reshape(len(seeds), parts, -1).transpose(1, 0, 2)
-    some = [x for x in np.array_split(np.arange(len(seeds)), groups) if len(x)]
+    some = near_groups(book, groups)
     history, now = [book], rows.filter(fits)
     base = f"vec_id long, label {rows.schema['label'].dataType.simpleString()}, vector binary"
     for _ in range(rounds):

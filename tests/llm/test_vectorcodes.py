@@ -90,7 +90,8 @@ def test_bounds_change_no_code_and_spare_scans(groups):
     rng = np.random.default_rng(groups)
     vectors = (256 * (rng.normal(size=(12, 32))[rng.integers(0, 12, 3000)] + 0.3 * rng.normal(size=(3000, 32)))).astype(np.int64)
     book = vectors[:64].reshape(64, 4, 8).transpose(1, 0, 2).copy()
-    some = [x for x in np.array_split(np.arange(64), groups)]
+    some = vc.near_groups(book, groups)
+    assert all(len(x) == groups and sorted(np.concatenate(x).tolist()) == list(range(64)) for x in some)
     history, state, scans = [book], None, []
     for _ in range(7):
         state = vc.assign(vectors, history, some, state)
@@ -102,8 +103,8 @@ def test_bounds_change_no_code_and_spare_scans(groups):
             far = np.sqrt(((x[:, None, :] - history[-1][part][None]) ** 2).sum(axis=2))
             far[np.arange(len(x)), state.code[:, part]] = np.inf
             moved = vc.displacements(history, some)
-            for i, group in enumerate(some):
-                low = state.low[:, part, i] - moved[state.stamp[:, part, i], part, i]
+            for i, group in enumerate(some[part]):
+                low = state.low[:, part, i].astype(float) - moved[state.stamp[:, part, i], part, i]
                 assert (low <= far[:, group].min(axis=1)).all()
         following = history[-1].copy()
         for part in range(4):
@@ -116,7 +117,7 @@ def test_bounds_change_no_code_and_spare_scans(groups):
 def test_net_displacement_is_at_most_the_steps():
     rng = np.random.default_rng(1)
     history = list(np.cumsum(rng.integers(-9, 9, size=(5, 2, 8, 3)), axis=0))
-    groups = [np.arange(4), np.arange(4, 8)]
+    groups = [[np.arange(4), np.arange(4, 8)]] * 2
     net = vc.displacements(history, groups)
     steps = sum(vc.displacements(history[i : i + 2], groups)[0] for i in range(4))
     assert (net[0] <= steps * vc._SLACK).all() and (net[0] < 0.9 * steps).any() and (net[-1] == 0).all()
