@@ -26,6 +26,7 @@ from oreflow.sources.scratch import written
 
 ARITY = 8
 CHUNK = 2048
+STEP = 4
 _HEX = 64  # bytes of a digest as text
 _RUN = ARITY * _HEX
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -210,21 +211,45 @@ def _outer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _crossed(low: int) -> Callable:
+    """The nodes up to level ``low + STEP`` that those of one subtree of that height make."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        tree, top = rows[0]["tree"], rows[0]["top"]
+        levels: dict[int, dict[int, str]] = {}
+        for row in rows:
+            levels.setdefault(row["level"], {})[row["place"]] = row["node"]
+        made = []
+        for level in range(low, min(low + STEP, top)):
+            runs: dict[int, list[str]] = {}
+            here = levels.get(level, {})
+            for place in sorted(here):
+                runs.setdefault(place // ARITY, []).append(here[place])
+            for place, nodes in runs.items():
+                node = digest("".join(nodes).encode()).decode()
+                levels.setdefault(level + 1, {})[place] = node
+                made.append({"tree": tree, "level": level + 1, "place": place, "node": node, "top": top})
+        kinds = [("tree", pa.string()), ("level", pa.int32()), ("place", pa.int64()), ("node", pa.string()), ("top", pa.int32())]
+        return pa.Table.from_pylist(made, pa.schema(kinds))
+
+    return run
+
+
 def _store(chunks: DataFrame) -> DataFrame:
-    """The nodes at the edges of chunks and all that cross them, up to each tree's root."""
+    """The nodes at the edges of chunks and all that cross them, up to each tree's root.
+
+    ``STEP`` levels are joined at a time, by subtrees of at most ``ARITY ** STEP`` nodes.
+    """
     edges = written(chunks.select("tree", "start", "total", "leaves").mapInArrow(_outer, NODE_DDL), "merkle-edges")
-    store, crossing = edges, None
-    for level in range(edges.agg(F.max("top")).first()[0] or 0):
-        here = edges.filter(F.col("level") == level)
-        here = here if crossing is None else here.unionByName(crossing)
-        run = F.array_sort(F.collect_list(F.struct("place", "node")))
-        above = here.filter(F.col("top") > level).groupBy("tree", "top", F.expr(f"place div {ARITY}").alias("up")).agg(
-            F.sha2(F.concat_ws("", F.transform(run, lambda x: x["node"])).cast("binary"), 256).alias("node")
-        )
-        crossing = written(
-            above.select("tree", F.lit(level + 1).alias("level"), F.col("up").alias("place"), "node", "top"), "merkle-crossing"
-        )
-        store = store.unionByName(crossing)
+    store, made = edges, None
+    for low in range(0, edges.agg(F.max("top")).first()[0] or 0, STEP):
+        here = edges.filter(F.col("level").between(low, low + STEP - 1))
+        here = here if made is None else here.unionByName(made.filter(F.col("level") == low))
+        above = F.floor(F.col("place") / F.pow(F.lit(ARITY), low + STEP - F.col("level"))).cast("long")
+        crossing = here.filter("level < top").groupBy("tree", above.alias("above")).applyInArrow(_crossed(low), NODE_DDL)
+        made = written(crossing, "merkle-crossing")
+        store = store.unionByName(made)
     return store
 
 
@@ -264,7 +289,7 @@ def forest(leaves: DataFrame, chunk: int = CHUNK) -> Forest:
     fetched = asked.join(store.drop("top"), ["tree", "level", "place"])
     arms = fetched.groupBy("chunk").agg(F.collect_list(F.struct("level", "place", "node")).alias("arms"))
     roots = store.filter("level = top").select("tree", F.col("node").alias("subroot"))
-    return Forest(chunks.join(written(arms, "merkle-arms"), "chunk", "left"), written(roots, "merkle-roots"))
+    return Forest(chunks.join(arms, "chunk", "left"), roots)
 
 
 PATH_DDL = "array<struct<left:string,right:string>>"
@@ -370,7 +395,7 @@ def verified_manifest(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     above = proofs(top).select(
         F.col("id").alias("tree"), F.col("leaf").alias("subroot"), "path", F.lit(root and root["subroot"]).cast("string").alias("root")
     )
-    return trees.chunks.join(written(above, "merkle-above"), "tree").mapInArrow(_verify, CHECKED_DDL)
+    return trees.chunks.join(above, "tree").mapInArrow(_verify, CHECKED_DDL)
 
 
 SQL = r"""
