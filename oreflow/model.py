@@ -302,6 +302,9 @@ BATCH_LOG_DDL = (
     "batch_id STRING, pipeline_name STRING, started_at TIMESTAMP_NTZ, completed_at TIMESTAMP_NTZ, "
     "status STRING, rows_processed BIGINT, error_message STRING, seq BIGINT"
 )
+# As a warehouse keeps them: the stage with its error's type, the batch with the run that holds it.
+STAGE_RECORD_DDL = STAGE_LOG_DDL + ", error_type STRING"
+BATCH_RECORD_DDL = BATCH_LOG_DDL + ", pipeline_run_id STRING"
 EVENT_LOG_DDL = (
     "pipeline_run_id STRING, batch_id STRING, pipeline_name STRING, stage_name STRING, event_type STRING, "
     "event_time TIMESTAMP_NTZ, dag_run_id STRING, try_number INT, error_type STRING, event_message STRING"

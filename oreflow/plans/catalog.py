@@ -15,7 +15,7 @@ from oreflow.model import COMMERCE_PIPELINE, CUSTOMER_PIPELINE, CUSTOMERS, ENTIT
 from oreflow.operators import bronze as b
 from oreflow.operators import contracts, lifecycle, monitoring, quality, silver
 from oreflow.operators import customers as c
-from oreflow.plans import loads
+from oreflow.plans import loads, steps
 from oreflow.plans.health import warehouse_health
 from oreflow.plans.scenario import CONTEXTS, EMAIL_SUFFIX, FIRST, HANDLED, INTERRUPTED, SECOND, Scenario, shown
 from oreflow.sources import testdata
@@ -495,6 +495,76 @@ def failure_summary(s: Scenario) -> DataFrame:
     return lifecycle.failure_summary(s.runs().filter("status = 'FAILED'"), testdata.task_attempts(s.spark, s.sf_dir))
 
 
+def batch_request_stream(s: Scenario) -> DataFrame:
+    """Claims and completions of every batch, judged one after another."""
+    return lifecycle.batch_transition(testdata.request_stream(s.spark, s.sf_dir), testdata.known_batches(s.spark, s.sf_dir))
+
+
+def _month_attempts(s: Scenario) -> DataFrame:
+    return lifecycle.stage_attempts(testdata.month_runs(s.spark, s.sf_dir), testdata.stage_executions(s.spark, s.sf_dir))
+
+
+def stage_attempts(s: Scenario) -> DataFrame:
+    """Every execution of a stage as one of the tries of its batch."""
+    return _month_attempts(s).drop("dag_run_id")
+
+
+def logged_retry_events(s: Scenario) -> DataFrame:
+    """Retries and recoveries that follow from the stage log alone."""
+    return lifecycle.retry_events(_month_attempts(s)).drop("dag_run_id")
+
+
+def logged_failure_summary(s: Scenario) -> DataFrame:
+    """First failed stage of each failed run, from the stage log."""
+    failed = testdata.month_runs(s.spark, s.sf_dir).filter("status = 'FAILED'")
+    return lifecycle.failure_summary(failed, _month_attempts(s), states=("failed", "up_for_retry"))
+
+
+def _lost() -> DataFrame:
+    raise ConnectionError("source went away")
+
+
+def customer_steps(s: Scenario) -> DataFrame:
+    """Batch 2 in separate steps, each by a warehouse object that knows nothing of the others; the source is lost once.
+
+    Every step is called twice.  What the logs hold in the end: one current row of run and batch, the stages, the events.
+    """
+    root = scratch_path(s.spark, "steps")
+    extract = partial(s.source, "customers", 2)
+    fresh = lambda: Warehouse(s.spark, root)
+    loads.run_customer(fresh(), partial(s.source, "customers", 1), FIRST, 1.0)
+    run_id = SECOND.pipeline_run_id
+    for _ in range(2):
+        steps.prepare(fresh(), SECOND.batch_id, run_id)
+    with suppress(ConnectionError):
+        steps.customer_bronze_step(fresh(), _lost, run_id, 1.0)
+    for _ in range(2):
+        steps.customer_bronze_step(fresh(), extract, run_id, 1.0)
+    for _ in range(2):
+        steps.customer_silver_step(fresh(), run_id)
+    for _ in range(2):
+        steps.complete(fresh(), run_id)
+    warehouse = fresh()
+    of_run = F.col("pipeline_run_id") == run_id
+    runs = lifecycle.latest_state(warehouse.log("pipeline_runs"), "pipeline_run_id").filter(of_run)
+    batches = lifecycle.latest_state(warehouse.log("batches"), "batch_id").filter(of_run)
+    stages = lifecycle.latest_state(warehouse.log("stage_runs"), "stage_run_id").filter(of_run)
+    stages = stages.groupBy("stage_name", "status", "error_type").agg(F.sum("rows_processed").alias("n"))
+    none = F.lit(None).cast("bigint")
+    result = runs.select(
+        F.lit("run").alias("log"), F.lit("").alias("name"), "status", none.alias("n"), F.col("error_message").alias("error")
+    )
+    for more in (
+        batches.select(F.lit("batch"), F.lit(""), "status", "rows_processed", "error_message"),
+        stages.select(F.lit("stage"), "stage_name", "status", "n", "error_type"),
+        warehouse.log("events").filter(of_run).select(
+            F.lit("event"), "stage_name", "event_type", F.col("try_number").cast("bigint"), "error_type"
+        ),
+    ):
+        result = result.union(more)
+    return result
+
+
 def catalog() -> dict[str, Query]:
     entries: dict[str, Callable[[Scenario], DataFrame]] = {}
     for entity in ENTITIES:
@@ -525,7 +595,7 @@ def catalog() -> dict[str, Query]:
         latest_customers, duplicate_customers, latest_state, customers_ordered, batch_exists,
         quarantine_customers, promote_after_recovery, customer_quality_gate, process_customers,
         batch_transition, batch_complete, batch_is_successful, run_entity, run_commerce, run_customer, customer_run_health,
-        failure_summary,
+        failure_summary, batch_request_stream, stage_attempts, logged_retry_events, logged_failure_summary, customer_steps,
     ):
         entries[query.__name__] = query
     entries |= {

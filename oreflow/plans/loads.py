@@ -1,4 +1,8 @@
-"""The loads: one entity's Bronze and Silver steps, the customer run and the five-entity run."""
+"""The loads: one entity's Bronze and Silver steps, the customer run and the five-entity run.
+
+An attempt's log is all that its steps share: ``attempt_state`` folds its ids, start times and sequence numbers from
+the log rows, so any process can carry it on (see ``steps``).
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from oreflow.functions.rules import fields_valid
@@ -63,14 +67,53 @@ class RunResult:
     stages: list[StageResult]
 
 
-def new_context(batch_id: str | None = None, pipeline_run_id: str | None = None) -> RunContext:
-    return RunContext(pipeline_run_id or str(uuid.uuid4()), batch_id or str(uuid.uuid4()), _now())
+class AttemptClosedError(ValueError):
+    """The attempt is not running, so no step can be added to it."""
 
 
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def new_context(batch_id: str | None = None, pipeline_run_id: str | None = None) -> RunContext:
+    return RunContext(pipeline_run_id or str(uuid.uuid4()), batch_id or str(uuid.uuid4()), _now())
+
+
+def _last_seq(log: DataFrame) -> int:
+    return log.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+
+
+def _error(exc: BaseException) -> str:
+    return str(exc) or type(exc).__name__
+
+
+@dataclass(frozen=True)
+class AttemptState:
+    """An attempt as its log rows tell it; ``ctx.at`` is the time its run began."""
+
+    ctx: RunContext
+    pipeline_name: str
+    status: str
+    holds_batch: bool
+    run_seq: int
+    batch_started: datetime | None
+    batch_seq: int
+
+
+def attempt_state(warehouse: Warehouse, pipeline_run_id: str) -> AttemptState | None:
+    """The attempt's current state, or None if no run row names it.  Reads the folders of its run and batch only."""
+    runs = warehouse.log("pipeline_runs", pipeline_run_id)
+    run = runs.orderBy(F.desc("seq")).first()
+    if run is None:
+        return None
+    batch = warehouse.log("batches", run.batch_id).orderBy(F.desc("seq")).first()
+    holds = batch is not None and batch.status == "RUNNING" and batch.pipeline_run_id == pipeline_run_id
+    return AttemptState(
+        RunContext(pipeline_run_id, run.batch_id, run.started_at), run.pipeline_name, run.status, holds, run.seq,
+        batch.started_at if holds else None, batch.seq if batch else 0,
+    )
+
+
 class Journal:
     """Writes the run, stage, batch and event logs of one attempt.
 
@@ -81,12 +124,22 @@ class Journal:
         self.warehouse, self.ctx, self.pipeline_name = warehouse, ctx, pipeline_name
         self.run_started = self.batch_started = None
         self._run_seq = self._batch_seq = 0
-        self._retried = False
-        self._tries = 1
         self._ended_stages: list[tuple] = []
 
-    def _last_seq(self, log: DataFrame) -> int:
-        return log.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+    @classmethod
+    def resumed(cls, warehouse: Warehouse, pipeline_run_id: str) -> Journal:
+        """The journal of an attempt that another process began.  It has to be running and to hold its batch."""
+        state = attempt_state(warehouse, pipeline_run_id)
+        if state is None:
+            raise AttemptClosedError(f"Run {pipeline_run_id} has not been prepared.")
+        if state.status != "RUNNING" or not state.holds_batch:
+            raise AttemptClosedError(f"Run {pipeline_run_id} is not running batch {state.ctx.batch_id}: it is {state.status}.")
+        journal = cls(warehouse, state.ctx, state.pipeline_name)
+        journal.run_started, journal._run_seq = state.ctx.at, state.run_seq
+        journal.batch_started, journal._batch_seq = state.batch_started, state.batch_seq
+        return journal
+
+    # --- rows ----------------------------------------------------------------------------------------
 
     def _run_row(self, completed: datetime | None, status: str, error: str | None) -> None:
         self._run_seq += 1
@@ -98,25 +151,46 @@ class Journal:
 
     def _batch_row(self, completed: datetime | None, status: str, rows: int | None, error: str | None) -> None:
         self._batch_seq += 1
-        row = (self.ctx.batch_id, self.pipeline_name, self.batch_started, completed, status, rows, error, self._batch_seq)
+        row = (
+            self.ctx.batch_id, self.pipeline_name, self.batch_started, completed, status, rows, error, self._batch_seq,
+            self.ctx.pipeline_run_id,
+        )
         self.warehouse.append_log("batches", [row])
 
-    def _event(self, kind: str, error: str | None, message: str) -> None:
+    def _event(self, kind: str, stage: str, tries: int, error: str | None, message: str) -> None:
         row = (
-            self.ctx.pipeline_run_id, self.ctx.batch_id, self.pipeline_name, "prepare_run", kind, _now(), None,
-            self._tries, error, message,
+            self.ctx.pipeline_run_id, self.ctx.batch_id, self.pipeline_name, stage, kind, _now(), None, tries, error, message,
         )
         self.warehouse.append_log("events", [row])
 
+    def _retry(self, failed: Row | None, tries: int, message: str | None = None) -> None:
+        """RETRY of what failed: the stage, its error's type and message, and the number of the try that begins."""
+        if failed is None:
+            self._event("RETRY", "prepare_run", tries, UNKNOWN_ERROR, message or RETRY_WITHOUT_ERROR)
+        else:
+            kind, text = failed.error_type or UNKNOWN_ERROR, failed.error_message or RETRY_WITHOUT_ERROR
+            self._event("RETRY", failed.stage_name, tries, kind, text)
+
+    def _stages_of(self, pipeline_run_id: str) -> DataFrame:
+        return latest_state(self.warehouse.log("stage_runs", pipeline_run_id), "stage_run_id")
+
+    def _first_failure(self, pipeline_run_id: str | None) -> Row | None:
+        """The first stage of a run that failed: the outermost, for it begins before those inside it."""
+        if pipeline_run_id is None:
+            return None
+        return self._stages_of(pipeline_run_id).filter("status = 'FAILED'").orderBy("started_at", F.desc("completed_at")).first()
+
+    # --- run and batch -------------------------------------------------------------------------------
+
     def start_run(self) -> None:
-        self._run_seq = self._last_seq(self.warehouse.log("pipeline_runs", self.ctx.pipeline_run_id))
+        self._run_seq = _last_seq(self.warehouse.log("pipeline_runs", self.ctx.pipeline_run_id))
         self.run_started = _now()
         self._run_row(None, "RUNNING", None)
 
     def claim_batch(self) -> None:
         """Take the batch for this attempt, or raise when it is running, done or another pipeline's.
 
-        Taking a failed batch again is a retry, and goes into the event log with what had failed.
+        Taking a failed batch again is a retry, and goes into the event log with the stage that had failed.
         """
         log = self.warehouse.log("batches", self.ctx.batch_id)
         request = local_rows(
@@ -125,38 +199,52 @@ class Journal:
         claim = batch_transition(request, log).first()
         if claim.message is not None:
             raise BatchRejectedError(claim.message)
-        self._batch_seq = self._last_seq(log)
-        self._retried = claim.outcome == CLAIM_RETRY
-        if self._retried:
-            self._tries = log.filter("status = 'RUNNING'").count() + 1
-            failed = latest_state(log, "batch_id").first()
-            self._event("RETRY", UNKNOWN_ERROR, failed.error_message or RETRY_WITHOUT_ERROR)
+        self._batch_seq = _last_seq(log)
+        if claim.outcome == CLAIM_RETRY:
+            last = latest_state(log, "batch_id").first()
+            tries = log.filter("status = 'RUNNING'").count() + 1
+            self._retry(self._first_failure(last.pipeline_run_id), tries, last.error_message)
         self.batch_started = _now()
         self._batch_row(None, "RUNNING", None, None)
 
+    def _recovered(self) -> None:
+        """RECOVERED for the failure that made this attempt a retry, if it is one."""
+        log = self.warehouse.log("batches", self.ctx.batch_id)
+        claims = log.filter(F.col("status") == "RUNNING").count()
+        failed = log.filter("status = 'FAILED'").orderBy(F.desc("seq")).first()
+        if failed is not None:
+            stage = self._first_failure(failed.pipeline_run_id)
+            self._event("RECOVERED", stage.stage_name if stage else "prepare_run", claims, None, RECOVERED_MESSAGE)
+
     def close(self, status: str, rows: int | None = None, error: str | None = None) -> None:
         """Close the batch, if this attempt holds it, and the run."""
         self._write_stages()
         if self.batch_started is not None:
+            if status == "SUCCESS":
+                self._recovered()
             self._batch_row(_now(), status, rows, error)
-            if self._retried and status == "SUCCESS":
-                self._event("RECOVERED", None, RECOVERED_MESSAGE)
         self._run_row(_now(), status, error)
 
     @contextmanager
-    def run(self) -> Iterator[None]:
+    def run(self) -> Iterator[dict]:
         """One attempt from its run row to its end: closed as failed by any exception, an interrupt included.
 
-        The run is on record before the batch is claimed, so a refused attempt leaves a FAILED run behind.
+        The run is on record before the batch is claimed, so a refused attempt leaves a FAILED run behind.  Success is
+        recorded inside the guard: when even that fails, the batch is closed as failed and can be taken again.  The
+        block puts the rows it landed into ``rows`` of what this yields.
         """
+        info: dict = {"rows": None}
         self.start_run()
         try:
             self.claim_batch()
-            yield
+            yield info
+            self.close("SUCCESS", rows=info["rows"])
         except BaseException as exc:
-            self.close("FAILED", error=str(exc) or type(exc).__name__)
+            self.close("FAILED", error=_error(exc))
             raise
 
+    # --- stages --------------------------------------------------------------------------------------
+
     def _write_stages(self, *started: tuple) -> None:
         rows, self._ended_stages = [*self._ended_stages, *started], []
         if rows:
@@ -167,19 +255,38 @@ class Journal:
         """Logs a stage's start at once, and its end together with the next start or the end of the run."""
         stage_id, started, info = str(uuid.uuid4()), _now(), {"rows_processed": None}
 
-        def row(completed: datetime | None, status: str, error: str | None = None) -> tuple:
-            rows = info["rows_processed"]
-            run_id = self.ctx.pipeline_run_id
-            return (stage_id, run_id, name, started, completed, status, rows, error, 1 if status == "RUNNING" else 2)
+        def row(completed: datetime | None, status: str, error: BaseException | None = None) -> tuple:
+            rows, run_id = info["rows_processed"], self.ctx.pipeline_run_id
+            text, kind = (None, None) if error is None else (_error(error), type(error).__name__)
+            return (stage_id, run_id, name, started, completed, status, rows, text, 1 if status == "RUNNING" else 2, kind)
 
         self._write_stages(row(None, "RUNNING"))
         try:
             yield info
         except BaseException as exc:
-            self._ended_stages.append(row(_now(), "FAILED", str(exc) or type(exc).__name__))
+            self._ended_stages.append(row(_now(), "FAILED", exc))
             raise
         self._ended_stages.append(row(_now(), "SUCCESS"))
 
+    @contextmanager
+    def step(self, name: str) -> Iterator[None]:
+        """A part of the attempt that a process of its own carries out and may repeat; its stage rows are written when it ends.
+
+        Repeating a step of which the last try in this run failed is a RETRY, its success then RECOVERED.
+        """
+        tries = self._stages_of(self.ctx.pipeline_run_id).filter(F.col("stage_name") == name).orderBy(F.desc("started_at")).collect()
+        failures = 0
+        while failures < len(tries) and tries[failures].status == "FAILED":
+            failures += 1
+        if failures:
+            self._retry(tries[0], failures + 1)
+        try:
+            yield
+            if failures:
+                self._event("RECOVERED", name, failures + 1, None, RECOVERED_MESSAGE)
+        finally:
+            self._write_stages()
+
 
 def batch_is_successful(warehouse: Warehouse, batch_id: str) -> bool:
     log = warehouse.log("batches", batch_id)
@@ -325,10 +432,10 @@ def run_commerce(
     ctx = ctx or new_context()
     journal = Journal(warehouse, ctx, COMMERCE_PIPELINE)
     stages: list[StageResult] = []
-    with journal.run():
+    with journal.run() as info:
         for spec in ENTITIES.values():
             stages += run_entity(warehouse, spec, extractors[spec.name], ctx, journal, threshold)
-    journal.close("SUCCESS", rows=sum(s.rows_inserted for s in stages if s.stage_name.endswith("_bronze")))
+        info["rows"] = sum(s.rows_inserted for s in stages if s.stage_name.endswith("_bronze"))
     return RunResult(ctx.pipeline_run_id, ctx.batch_id, "SUCCESS", stages)
 
 
@@ -376,10 +483,10 @@ def run_customer(
     """The customer-only flow with its finer stages, both steps under one run."""
     ctx = ctx or new_context()
     journal = Journal(warehouse, ctx, pipeline_name)
-    with journal.run():
+    with journal.run() as info:
         stages = [
             customer_bronze(warehouse, extract, ctx, journal, threshold),
             customer_silver(warehouse, ctx, journal),
         ]
-    journal.close("SUCCESS", rows=stages[0].rows_inserted)
+        info["rows"] = stages[0].rows_inserted
     return RunResult(ctx.pipeline_run_id, ctx.batch_id, "SUCCESS", stages)

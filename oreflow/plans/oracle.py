@@ -362,6 +362,45 @@ CTES["attempts"] = f"""
     FROM marked"""
 
 
+# Batches of a user's month: their requests in order, and the executions of their stages.
+CTES["requests"] = """
+    SELECT user_id || '-' || strftime(ts, '%Y-%m') AS batch_id, event_id AS seq, event_type IN ('view', 'click') AS is_claim,
+        CASE WHEN event_type NOT IN ('view', 'click') THEN NULL WHEN event_id % 6 = 0 THEN 'nightly' ELSE pipeline_name END AS pipeline_name,
+        CASE WHEN event_type IN ('view', 'click') THEN NULL WHEN event_type <> 'error' AND event_id % 9 = 0 THEN 'SUCCESS'
+            ELSE 'FAILED' END AS status,
+        row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m') ORDER BY event_id) AS n
+    FROM marked"""
+CTES["request_fold"] = """
+    WITH RECURSIVE fold AS (
+        SELECT batch_id, 0::BIGINT AS n, max(CASE WHEN user_id % 3 = 0 THEN pipeline_name END) AS owner,
+            max(CASE WHEN user_id % 3 <> 0 THEN NULL WHEN user_id % 2 = 0 THEN 'FAILED' ELSE 'RUNNING' END) AS now_is,
+            NULL::VARCHAR AS pipeline_name, NULL::BIGINT AS seq, false AS is_claim, NULL::VARCHAR AS owner_before, NULL::VARCHAR AS was
+        FROM (SELECT *, user_id || '-' || strftime(ts, '%Y-%m') AS batch_id FROM marked) GROUP BY batch_id
+        UNION ALL
+        SELECT f.batch_id, r.n, CASE WHEN r.is_claim THEN coalesce(f.owner, r.pipeline_name) ELSE f.owner END,
+            CASE WHEN NOT r.is_claim THEN CASE WHEN f.now_is IS NOT NULL THEN r.status END
+                WHEN f.now_is IS NULL OR (f.now_is = 'FAILED' AND f.owner = r.pipeline_name) THEN 'RUNNING' ELSE f.now_is END,
+            r.pipeline_name, r.seq, r.is_claim, f.owner, f.now_is
+        FROM fold f JOIN requests r ON r.batch_id = f.batch_id AND r.n = f.n + 1)
+    SELECT * FROM fold"""
+CTES["lined"] = """
+    SELECT *, user_id || '-' || strftime(ts, '%Y-%m') AS batch_id,
+        CASE event_id % 3 WHEN 0 THEN 'prepare_run' WHEN 1 THEN 'bronze' ELSE 'silver' END AS stage_name,
+        CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'RUNNING' ELSE 'SUCCESS' END AS status,
+        CASE WHEN event_type = 'error' AND event_id % 5 <> 0 THEN 'TransientError' END AS error_type,
+        CASE WHEN event_type = 'error' AND event_id % 5 <> 0 THEN 'event ' || event_id END AS error_message
+    FROM marked"""
+CTES["tries"] = """
+    SELECT pipeline_run_id, batch_id, pipeline_name, stage_name,
+        CAST(row_number() OVER (PARTITION BY batch_id, stage_name, streak ORDER BY ts, event_id) AS INTEGER) AS try_number,
+        CASE WHEN status = 'SUCCESS' THEN 'success' WHEN status = 'RUNNING' THEN 'running' WHEN again THEN 'up_for_retry'
+            ELSE 'failed' END AS state, error_type, error_message, ts AS ended_at
+    FROM (
+        SELECT *, lead(event_id) OVER w IS NOT NULL AS again,
+            coalesce(sum(CAST(status = 'SUCCESS' AS INTEGER)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS streak
+        FROM lined WINDOW w AS (PARTITION BY batch_id, stage_name ORDER BY ts, event_id))"""
+
+
 def average(value: str) -> str:
     """Mean rounded half up to two decimals, in integer hundredths."""
     total, n = f"CAST(sum({value}) AS HUGEINT)", f"count({value})"
@@ -585,6 +624,48 @@ def _queries() -> dict[str, str]:
             WHEN 'REJECT_SUCCESS' THEN 'Batch ' || batch_id || ' has already completed successfully.'
             WHEN 'REJECT_RUNNING' THEN 'Batch ' || batch_id || ' is already running.' END AS message
     FROM judged"""
+    q["batch_request_stream"] = """
+    SELECT batch_id, pipeline_name, seq, was AS current_status, outcome,
+        CASE WHEN outcome LIKE 'CLAIM%' THEN 'RUNNING' ELSE was END AS new_status,
+        CASE outcome
+            WHEN 'REJECT_OTHER_PIPELINE' THEN
+                'Batch ' || batch_id || ' belongs to pipeline ''' || owner || ''', not ''' || pipeline_name || '''.'
+            WHEN 'REJECT_SUCCESS' THEN 'Batch ' || batch_id || ' has already completed successfully.'
+            WHEN 'REJECT_RUNNING' THEN 'Batch ' || batch_id || ' is already running.' END AS message
+    FROM (
+        SELECT *, CASE WHEN was IS NULL THEN 'CLAIM_NEW' WHEN owner_before <> pipeline_name THEN 'REJECT_OTHER_PIPELINE'
+            WHEN was = 'FAILED' THEN 'CLAIM_RETRY' WHEN was = 'SUCCESS' THEN 'REJECT_SUCCESS'
+            ELSE 'REJECT_RUNNING' END AS outcome
+        FROM request_fold WHERE is_claim)"""
+    q["stage_attempts"] = "SELECT * FROM tries"
+    q["logged_retry_events"] = """
+    SELECT pipeline_run_id, batch_id, pipeline_name, stage_name,
+        CASE state WHEN 'up_for_retry' THEN 'RETRY' ELSE 'RECOVERED' END AS event_type, ended_at AS event_time, try_number,
+        CASE state WHEN 'up_for_retry' THEN coalesce(error_type, 'UnknownError') END AS error_type,
+        CASE state WHEN 'up_for_retry' THEN coalesce(error_message, 'Task retry requested without an exception.')
+            ELSE 'Task succeeded after one or more retries.' END AS event_message
+    FROM tries WHERE state = 'up_for_retry' OR (state = 'success' AND try_number > 1)"""
+    q["logged_failure_summary"] = """
+    SELECT pipeline_run_id, stage_name, coalesce(error_type, 'UnknownError') AS error_type,
+        coalesce(error_message, 'Task failed without an exception.') AS error_message, try_number
+    FROM tries WHERE state IN ('failed', 'up_for_retry')
+    QUALIFY row_number() OVER (PARTITION BY pipeline_run_id ORDER BY
+        CASE stage_name WHEN 'prepare_run' THEN 1 WHEN 'bronze' THEN 2 ELSE 3 END, ended_at DESC, try_number DESC) = 1"""
+    landed = "(SELECT count(*) FROM batch_customers_2)"
+    q["customer_steps"] = f"""
+    SELECT 'run' AS log, '' AS name, 'SUCCESS' AS status, CAST(NULL AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS error
+    UNION ALL SELECT 'batch', '', 'SUCCESS', {landed}, NULL
+    UNION ALL SELECT 'stage', 'extract', 'FAILED', NULL, 'ConnectionError'
+    UNION ALL SELECT 'stage', 'customer_bronze', 'FAILED', NULL, 'ConnectionError'
+    UNION ALL SELECT 'stage', 'extract', 'SUCCESS', 2 * (SELECT count(*) FROM customers_2), NULL
+    UNION ALL SELECT 'stage', 'validate', 'SUCCESS', 2 * (SELECT count(*) FROM customers_2), NULL
+    UNION ALL SELECT 'stage', 'quarantine_invalid_customers', 'SUCCESS', 2 * (SELECT count(*) FROM customer_errors_2), NULL
+    UNION ALL SELECT 'stage', 'load_bronze_customers', 'SUCCESS', {landed}, NULL
+    UNION ALL SELECT 'stage', 'customer_bronze', 'SUCCESS', {landed}, NULL
+    UNION ALL SELECT 'stage', 'customer_silver', 'SUCCESS',
+        (SELECT count(*) FROM changed_customers) + (SELECT count(*) FROM new_customers), NULL
+    UNION ALL SELECT 'event', 'customer_bronze', 'RETRY', 2, 'ConnectionError'
+    UNION ALL SELECT 'event', 'customer_bronze', 'RECOVERED', 2, NULL"""
     q["batch_complete"] = BATCH_STATE
     q["batch_is_successful"] = f"SELECT batch_id, rows_processed FROM ({BATCH_STATE}) WHERE status = 'SUCCESS'"
     q["run_entity"] = " UNION ALL ".join(

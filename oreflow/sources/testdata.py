@@ -310,3 +310,54 @@ def task_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("ts").alias("ended_at"),
         )
     )
+
+
+def _month_batch() -> Column:
+    """Batches that many runs share: one for each user and month."""
+    return F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM"))
+
+
+def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims and completions of batches in the order of the events: views and clicks claim, the rest completes."""
+    claims = F.col("event_type").isin("view", "click")
+    rival = F.when(F.col("event_id") % 6 == 0, "nightly").otherwise(_pipeline_name())
+    status = F.when((F.col("event_type") != "error") & (F.col("event_id") % 9 == 0), "SUCCESS").otherwise("FAILED")
+    return _events(spark, sf_dir).select(
+        _month_batch().alias("batch_id"), F.col("event_id").cast("bigint").alias("seq"),
+        F.when(claims, "CLAIM").otherwise("COMPLETE").alias("kind"), F.when(claims, rival).alias("pipeline_name"),
+        F.when(~claims, status).alias("status"),
+    )
+
+
+def known_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch log that knows every third user's batches before the stream begins."""
+    batches = _events(spark, sf_dir).filter("user_id % 3 = 0").select(
+        "user_id", _month_batch().alias("batch_id"), _pipeline_name().alias("pipeline_name")
+    )
+    status = F.when(F.col("user_id") % 2 == 0, "FAILED").otherwise("RUNNING")
+    return batches.distinct().select("batch_id", "pipeline_name", status.alias("status"), F.lit(1).cast("bigint").alias("seq"))
+
+
+def month_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of a user's day, each an attempt at the batch of its month."""
+    runs = _events(spark, sf_dir).groupBy("user_id", "day").agg(
+        F.min("ts").alias("ts"), F.bool_or(F.col("event_type") == "error").alias("failed")
+    )
+    return runs.select(
+        _run_id().alias("pipeline_run_id"), _month_batch().alias("batch_id"), _pipeline_name().alias("pipeline_name"),
+        F.when(F.col("failed"), "FAILED").otherwise("SUCCESS").alias("status"),
+    )
+
+
+def stage_executions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One execution of a stage per event; errors failed, and some are without a type."""
+    number, failed = F.col("event_id"), F.col("event_type") == "error"
+    stage = F.when(number % 3 == 0, "prepare_run").when(number % 3 == 1, "bronze").otherwise("silver")
+    told = failed & (number % 5 != 0)
+    return _events(spark, sf_dir).select(
+        F.lpad(number.cast("string"), 12, "0").alias("stage_run_id"), _run_id().alias("pipeline_run_id"), stage.alias("stage_name"),
+        F.col("ts").alias("started_at"), F.col("ts").alias("completed_at"),
+        F.when(failed, "FAILED").when(F.col("event_type") == "signup", "RUNNING").otherwise("SUCCESS").alias("status"),
+        F.when(told, "TransientError").alias("error_type"),
+        F.when(told, F.concat(F.lit("event "), number.cast("string"))).alias("error_message"),
+    )

@@ -25,12 +25,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.model import (
-    BATCH_LOG_DDL,
+    BATCH_RECORD_DDL,
     BRONZE_LEDGER_DDL,
     EVENT_LOG_DDL,
     RUN_LOG_DDL,
     SILVER_LEDGER_DDL,
-    STAGE_LOG_DDL,
+    STAGE_RECORD_DDL,
     EntitySpec,
     RunContext,
 )
@@ -40,8 +40,8 @@ from oreflow.sources.local import local_rows
 
 LOGS = {
     "pipeline_runs": RUN_LOG_DDL,
-    "stage_runs": STAGE_LOG_DDL,
-    "batches": BATCH_LOG_DDL,
+    "stage_runs": STAGE_RECORD_DDL,
+    "batches": BATCH_RECORD_DDL,
     "events": EVENT_LOG_DDL,
     "bronze_ledger": BRONZE_LEDGER_DDL,
     "silver_ledger": SILVER_LEDGER_DDL,
@@ -300,8 +300,10 @@ class Warehouse:
         return found.drop("part")
 
     def append_log(self, name: str, rows: list[tuple] | DataFrame) -> None:
+        """A row may leave out the last columns of its log."""
         if not isinstance(rows, DataFrame):
-            rows = local_rows(self.spark, rows, LOGS[name]).coalesce(1)
+            columns = len(LOGS[name].split(", "))
+            rows = local_rows(self.spark, [(*row, *[None] * (columns - len(row))) for row in rows], LOGS[name]).coalesce(1)
         if name in LOG_CHECKS:
             rows = guarded(rows, name, *LOG_CHECKS[name])
         part = F.concat(F.lit("p"), F.substring(F.md5(F.coalesce(F.col(LOG_KEYS[name]), F.lit("")).cast("binary")), 1, 1))
