@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
+from datetime import datetime
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +12,11 @@ from pyspark.sql import functions as F
 
 from oreflow.functions import columns as fc
 from oreflow.functions.rules import field_messages, fields_valid
-from oreflow.model import COMMERCE_PIPELINE, CUSTOMER_PIPELINE, CUSTOMERS, ENTITIES, ORDERS, PRODUCTS
+from oreflow.model import COMMERCE_PIPELINE, CUSTOMER_PIPELINE, CUSTOMERS, ENTITIES, ORDERS, PRODUCTS, RunContext
 from oreflow.operators import bronze as b
 from oreflow.operators import contracts, lifecycle, monitoring, quality, silver
 from oreflow.operators import customers as c
-from oreflow.plans import loads, steps
+from oreflow.plans import due, loads, steps
 from oreflow.plans.health import warehouse_health
 from oreflow.plans.scenario import CONTEXTS, EMAIL_SUFFIX, FIRST, HANDLED, INTERRUPTED, SECOND, Scenario, shown
 from oreflow.sources import testdata
@@ -408,6 +409,26 @@ def promote_after_recovery(s: Scenario) -> DataFrame:
     return _sum_facts([_silver_facts(first, evidence, attempt[0]), _silver_facts(second, again, attempt[1])], "attempt")
 
 
+def _late_customers(s: Scenario, label: str) -> Warehouse:
+    """Batch 2 of orders and payments loaded while Silver had the customers of batch 1 only; then these of batch 2."""
+    warehouse = _warehouse(s.spark, label)
+    for entity, number, ctx in (("customers", 1, FIRST), ("orders", 1, FIRST), ("orders", 2, INTERRUPTED), ("payments", 2, INTERRUPTED), ("customers", 2, SECOND)):
+        loads.run_entity(warehouse, ENTITIES[entity], partial(s.source, entity, number), ctx, threshold=1.0)
+    return warehouse
+
+
+def batches_due(s: Scenario) -> DataFrame:
+    return due.batches_due(_late_customers(s, "due"))
+
+
+def due_promotions(s: Scenario) -> DataFrame:
+    """The due rows brought into Silver, orders and then the payments that waited for them; nothing is due after that."""
+    warehouse = _late_customers(s, "promotions")
+    later = RunContext("00000000-0000-4000-8000-0000000000a4", SECOND.batch_id, datetime(2024, 2, 3))
+    results = due.promote_due(warehouse, later) + due.promote_due(warehouse, later)
+    return _stage_rows(s.spark, {batch_id: [x for b_id, x in results if b_id == batch_id] for batch_id, _ in results})
+
+
 def customer_quality_gate(s: Scenario) -> DataFrame:
     result = quality.gate_result(quality.customer_invalid_rate(s.source("customers")))
     return result.withColumn("passed", F.col("passed").cast("int"))
@@ -596,6 +617,7 @@ def catalog() -> dict[str, Query]:
         quarantine_customers, promote_after_recovery, customer_quality_gate, process_customers,
         batch_transition, batch_complete, batch_is_successful, run_entity, run_commerce, run_customer, customer_run_health,
         failure_summary, batch_request_stream, stage_attempts, logged_retry_events, logged_failure_summary, customer_steps,
+        batches_due, due_promotions,
     ):
         entries[query.__name__] = query
     entries |= {

@@ -376,8 +376,8 @@ def _append(warehouse: Warehouse, spec: EntitySpec, rows: DataFrame, ctx: RunCon
     return warehouse.append_bronze(spec, ctx, new, unique)
 
 
-def load_silver(warehouse: Warehouse, spec: EntitySpec, ctx: RunContext) -> dict[str, int]:
-    """Bring one batch into the entity's current state; callable on its own, for instance after parents arrived.
+def load_silver(warehouse: Warehouse, spec: EntitySpec, ctx: RunContext, keys: DataFrame | None = None) -> dict[str, int]:
+    """Bring one batch, or the rows of it that ``keys`` name, into the entity's current state; callable on its own.
 
     Rejected keys and then changed keys are written to the stage.  So the parent joins run once, wide rows
     take part only in the last step, and a batch that changes nothing leaves the published state alone.
@@ -385,6 +385,8 @@ def load_silver(warehouse: Warehouse, spec: EntitySpec, ctx: RunContext) -> dict
     batch, quarantined = warehouse.bronze_batch(spec, ctx.batch_id), 0
     if batch is None:
         return {"rows_inserted": 0, "rows_updated": 0, "rows_quarantined": 0}
+    if keys is not None:
+        batch = batch.join(keys, spec.key, "left_semi")
     with _staging(warehouse, ctx) as stage:
         if spec.has_quarantine:
             parents = {p.entity: warehouse.silver_or_empty(ENTITIES[p.entity]) for p in spec.parents}

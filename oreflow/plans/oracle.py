@@ -603,6 +603,25 @@ def _queries() -> dict[str, str]:
         (SELECT count(*) FROM changed_orders WHERE order_id NOT IN (SELECT order_id FROM early)),
         (SELECT count(*) FROM rejected_orders_2 WHERE order_id NOT IN (SELECT order_id FROM rejected_early))"""
     CTES["early"] = f"SELECT * FROM {early}"
+    CTES["due_orders_1"] = f"""
+    SELECT * FROM batch_orders_1 WHERE {VALID['orders']} AND customer_id NOT IN (SELECT customer_id FROM silver_customers_1)
+        AND customer_id IN (SELECT customer_id FROM silver_customers_2)"""
+    CTES["due_orders_2"] = "SELECT * FROM trusted_orders_2 WHERE order_id IN (SELECT order_id FROM rejected_early)"
+    CTES["held_orders"] = "SELECT order_id, record_hash FROM silver_orders_1 UNION ALL SELECT order_id, record_hash FROM due_orders_1"
+    q["batches_due"] = " UNION ALL ".join(
+        f"SELECT 'orders' AS entity, '{BATCH[n]}' AS batch_id, count(*) AS rows_due FROM due_orders_{n} HAVING count(*) > 0" for n in (1, 2)
+    )
+    q["due_promotions"] = f"""
+    SELECT '{BATCH[1]}' AS batch_id, 'orders_silver' AS stage_name, (SELECT count(*) FROM due_orders_1) AS rows_inserted,
+        CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_quarantined
+    UNION ALL
+    SELECT '{BATCH[2]}', 'orders_silver', (SELECT count(*) FROM due_orders_2 WHERE order_id NOT IN (SELECT order_id FROM held_orders)),
+        (SELECT count(*) FROM due_orders_2 d JOIN held_orders h USING (order_id) WHERE d.record_hash <> h.record_hash), 0
+    UNION ALL
+    SELECT '{BATCH[2]}', 'payments_silver', (
+        SELECT count(*) FROM batch_payments_2 WHERE {VALID['payments']}
+            AND order_id NOT IN (SELECT order_id FROM silver_orders_1) AND order_id NOT IN (SELECT order_id FROM early)
+            AND (order_id IN (SELECT order_id FROM due_orders_1) OR order_id IN (SELECT order_id FROM due_orders_2))), 0, 0"""
     q["process_customers"] = "SELECT * EXCLUDE (ingested_at, pipeline_run_id, batch_id) FROM batch_customers_2"
     q["batch_transition"] = f"""
     WITH requests AS (

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,6 +227,10 @@ class Warehouse:
             return self.empty(spec.silver_ddl)
         return self.spark.read.schema(spec.silver_ddl).parquet(*[f"{self.root}/{x}" for x in paths])
 
+    def last_published(self, spec: EntitySpec) -> datetime | None:
+        """When Silver last got a new version."""
+        return self.log("silver_ledger", spec.name).agg(F.max("published_at")).first()[0]
+
     def silver_or_empty(self, spec: EntitySpec) -> DataFrame:
         found = self.silver(spec)
         return self.empty(spec.silver_ddl) if found is None else found
