@@ -17,20 +17,19 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(x[2:].split("_")[0]) for x in registry.queries() if x != "pipeline") == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in registry.queries() if x != "pipeline") == list(range(1, 14))
 
 
 def brute_top(rows, k=5):
-    kept = {}
+    kept = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
-        q = [int(np.floor(256 * np.float64(np.float32(x)))) for x in v]
-        kept[i] = min(kept.get(i, (len(q), q)), (len(q), q), key=lambda t: (t[0], np.array(t[1], "<i8").tobytes()))
+        kept.append((i, [int(np.floor(256 * np.float64(np.float32(x)))) for x in v]))
     out = []
-    for i, (d, q) in kept.items():
+    for n, (i, q) in enumerate(kept):
         if i % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, w)), j) for j, (e, w) in kept.items() if j != i and e == d)[:k]
+            scores = sorted((-sum(a * b for a, b in zip(q, w)), j) for m, (j, w) in enumerate(kept) if m != n and len(w) == len(q))[:k]
             out += [(i, r, j, -s) for r, (s, j) in enumerate(scores, 1)]
     return sorted(out)
 
@@ -43,11 +42,37 @@ def test_top_k_is_brute_force(spark):
     rows += [(None, rows[0][1]), (2000, None), (2001, [None] * 16), (2050, [float("nan")] * 16), (2002, [float("inf")] * 16),
              (2100, [1.0, 2.0]), (2101, [2.0, 1.0]), (2150, [1.0, 2.0, 3.0]), (0, rows[0][1]), (50, rows[1][1]), (2200, [])]
     table = spark.createDataFrame([(a, b, "x", "y") for a, b in rows], "vec_id long, embedding array<float>, score string, slice string")
-    found = topk.top_k(table.repartition(4), F.col("vec_id") % 50 == 0, slice_rows=300)
-    assert sorted(map(tuple, found.collect())) == brute_top(rows)
+    for slice_rows in (300, 40, 10_000):
+        found = topk.top_k(table.repartition(4), F.col("vec_id") % 50 == 0, slice_rows=slice_rows)
+        assert sorted(map(tuple, found.collect())) == brute_top(rows)
     assert topk.top_k(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_rows_of_a_repeated_id_are_all_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.9, 0.0]), (2, [0.1, 0.0]), (50, [1.0, 1.0]), (50, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = sorted(map(tuple, topk.top_k(table, F.col("vec_id") % 50 == 0).collect()))
+    assert found == brute_top(rows) and (0, 3, 1, 58880) in found and (0, 4, 1, 32768) in found
+    assert [x for x in found if x[:2] == (50, 1)] == [(50, 1, 50, 131072)] * 2
+
+
+def test_slices_beyond_reach_are_not_met(monkeypatch, spark):
+    rng = np.random.default_rng(4)
+    rows = (256 * rng.normal(size=(300, 8))).astype(np.int64)
+    least, most = rows.reshape(30, 10, 8).min(axis=1), rows.reshape(30, 10, 8).max(axis=1)
+    bounds = topk.slice_bounds(rows[:40], least, most)
+    every = (rows[:40] @ rows.T).reshape(40, 30, 10).max(axis=2)
+    assert (bounds >= every).all() and (bounds < 2 * np.abs(every).max()).any()
+    big = np.array([[1 << 60, 1]])
+    assert topk.slice_bounds(big, big, big)[0, 0] == (1 << 120) + 1
+    given = [(i, (0.01 * rng.normal(size=4) + (i % 2) * np.array([0, 0, 9, 9.0])).tolist()) for i in range(400)]
+    table = spark.createDataFrame(given, "vec_id long, embedding array<float>")
+    want = brute_top(given)
+    for limit in (topk.BOUND_BYTES, 0):
+        monkeypatch.setattr(topk, "BOUND_BYTES", limit)
+        assert sorted(map(tuple, topk.top_k(table, F.col("vec_id") % 50 == 0, slice_rows=20).collect())) == want
+
+
 def test_blocks_are_pruned():
     rng = np.random.default_rng(1)
     rows = (256 * (rng.normal(size=(40, 16))[rng.integers(0, 40, 4096)] + 0.05 * rng.normal(size=(4096, 16)))).astype(np.int64)
