@@ -32,7 +32,7 @@ from oreflow.sources.scratch import written
 SHINGLE = 5
 THRESHOLD = 0.8
 HASHES = 128
-BAND = 4  # values in a band: at similarity 0.8 all 32 bands differ once in twenty million pairs
+MISSED = 1e-7  # most of the pairs at the threshold that may share no band
 STEP = 16  # values compared at a time
 TOLERANCE = 1e-8
 CHUNK = 256
@@ -51,11 +51,20 @@ def minhash(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
+def band_width(threshold: float) -> int:
+    """The most values a band may hold if at the threshold no more than ``MISSED`` of all pairs are to differ in every band."""
+    fits = [r for r in range(1, HASHES + 1) if (1 - threshold**r) ** (HASHES // r) <= MISSED]
+    if not 0 < threshold <= 1 or not fits:
+        raise ValueError(f"{HASHES} MinHash values cannot hold pairs of similarity {threshold}")
+    return max(fits)
+
+
+def band_keys(values: np.ndarray, width: int) -> np.ndarray:
     """A key for each band of a row of values; bands at different places have different keys."""
-    parts = values.astype(np.uint64).reshape(len(values), -1, BAND)
-    out = np.arange(parts.shape[1], dtype=np.uint64)[None, :] + np.uint64(1)
-    for i in range(BAND):
+    count = values.shape[1] // width
+    parts = values[:, : count * width].astype(np.uint64).reshape(len(values), count, width)
+    out = np.arange(count, dtype=np.uint64)[None, :] + np.uint64(1)
+    for i in range(width):
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, i])
     return out.view(np.int64)
 
@@ -63,8 +72,9 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 SKETCH_DDL = "doc_id long, key string, n int, digest binary, sketch binary, bands array<long>"
 
 
-def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def sketches(docs: DataFrame, shingle: int = SHINGLE, width: int | None = None) -> DataFrame:
     """``key`` is the text's MD5.  A text's shingle set as its size, a digest, the low bytes of its MinHash values, and its band keys."""
+    width = width or band_width(THRESHOLD)
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
         words = Words(*text_bytes(piece.column("text")))
@@ -75,7 +85,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             n.append(len(own))
             digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
             values[i] = minhash(own)
-        keys = band_keys(values)
+        keys = band_keys(values, width)
         counts = np.where(np.array(n, dtype=np.int64) > 0, keys.shape[1], 0)
         ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[counts > 0].ravel()))
@@ -289,8 +299,9 @@ def similar(
 ) -> DataFrame:
     """Per row of ``docs``: ``doc_id, class_id, n_links, n_shingles``, and ``key``, the MD5 of the text.
 
-    Two rows are linked when the Jaccard similarity of their sets of ``shingle``-word runs is at least ``threshold``
-    (at least about a half: the bands are laid out for 0.8); a text of fewer words is one run.  ``n_links`` counts
+    Two rows are linked when the Jaccard similarity of their sets of ``shingle``-word runs is at least ``threshold``;
+    bands are as wide as it allows, and one too low for the values (below about 0.12) is an error.  A text of fewer words
+    is one run, a very long one is read whole.  ``n_links`` counts
     the other rows linked to this one, copies included; ``class_id`` is the smallest doc_id that links lead to.  Null
     and wordless texts have no links and are their own class.  Repeated rows are copies of each other.  A row
     without doc_id shares the class of its copies but has no other links.  Other columns are not read.
@@ -304,7 +315,7 @@ def _classed(docs: DataFrame, threshold: float, shingle: int, tolerance: float,
     ``nameless`` compares rows without doc_id like all others.  A class of only such rows has no ``class_id``.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    drawn = sketches(plain, shingle)
+    drawn = sketches(plain, shingle, band_width(threshold))
     drawn = written(drawn.select(F.monotonically_increasing_id().alias("row"), "*"), "join-sketches")
     named: Column = F.col("row") if nameless else F.when(F.col("doc_id").isNotNull(), F.col("row"))
     sets = written(
@@ -361,21 +372,18 @@ def _classed(docs: DataFrame, threshold: float, shingle: int, tolerance: float,
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class, that with the class's smallest doc_id.
+    """``docs`` with one row of each class: that with the class's smallest doc_id, of its texts that of the smallest MD5.
 
-    Rows without a doc_id are compared like all others, and of those of a class one stays, beside the one with a
-    doc_id.  Of a class's texts under one doc_id the one of the smallest MD5 stays, of repeated rows one.  Null and
-    wordless texts without a doc_id all stay.
+    Rows without a doc_id are compared like all others; one of them stays only if no row of its class has a doc_id.  Of
+    repeated rows one stays.  Null and wordless texts without a doc_id all stay.
     """
-    columns = ["doc_id", "class_id", "class_row", "key"]
+    columns = ["doc_id", "class_row", "key"]
     found = written(_classed(docs, threshold, SHINGLE, TOLERANCE, CHUNK, nameless=True).select(columns), "join-similar")
-    heads = found.filter("class_row is not null and (doc_id is null or doc_id = class_id)")
-    sides = heads.groupBy("class_row", F.col("doc_id").isNull().alias("nameless")).agg(F.min("key").alias("first"), F.max("key").alias("last"))
-    several = written(sides.filter("first != last").select("class_row", "nameless", "first"), "join-several")
-    same = (heads["class_row"] == several["class_row"]) & (heads["doc_id"].isNull() == several["nameless"])
-    others = heads.join(checked(several), same & (heads["key"] != several["first"])).select("doc_id", "key")
-    far = found.filter("doc_id != class_id").select("doc_id", "key")
-    gone = written(far.unionByName(others).distinct(), "join-gone")
+    member = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    ends = found.filter("class_row is not null").groupBy("class_row").agg(F.min(member).alias("head"), F.max(member).alias("last"))
+    several = written(ends.filter("head != last").select("class_row", "head"), "join-several")
+    others = found.join(checked(several), "class_row").filter(member != F.col("head"))
+    gone = written(others.select("doc_id", "key").distinct(), "join-gone")
     kept = docs.join(checked(gone), _same(docs, gone), "left_anti")
     # Rows with neither doc_id nor words are no copies of each other.
     known = found.filter("doc_id is not null or class_row is not null")

@@ -149,7 +149,7 @@ def test_join_of_messy_rows(spark, messy, no_docs):
     assert ngramjoin.similar(no_docs).count() == 0
     kept = ngramjoin.one_of_each(messy)
     assert kept.columns == messy.columns
-    assert sorted(str(x["doc_id"]) for x in kept.collect()) == sorted("1 2 3 4 6 7 8 9 10 None".split())
+    assert sorted(str(x["doc_id"]) for x in kept.collect()) == sorted("1 2 3 4 6 7 8 9 10".split())
     same = spark.createDataFrame([(7, "p q r s t"), (7, "p q r s t"), (7, "other words are here now"), (8, "P q r s t")], "doc_id long, text string")
     assert sorted(x["text"] for x in ngramjoin.one_of_each(same).collect()) == ["other words are here now", "p q r s t"]
 
@@ -163,10 +163,10 @@ def test_rows_with_no_or_one_doc_id_keep_one_of_a_group(spark):
     kept = [(x["doc_id"], x["text"]) for x in ngramjoin.one_of_each(table.repartition(5)).collect()]
     held = lambda rows: sorted((str(x[0]) for x in kept if x[1] in {t for _, t in rows}))
     assert held(none) == ["None"]
-    assert held(mixed) == ["8", "None"]
+    assert held(mixed) == ["8"]
     assert held(one) == ["6", "7", "7"] and (7, prose(73, 90)) in kept
     assert held(bare) == ["4", "5", "None", "None", "None", "None"]
-    assert len(kept) == 1 + 2 + 3 + 6
+    assert len(kept) == 1 + 1 + 3 + 6
 
 
 def test_pruning_drops_far_pairs_and_keeps_near_ones():
@@ -174,20 +174,41 @@ def test_pruning_drops_far_pairs_and_keeps_near_ones():
     base = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
 
     def sketch(similarity):
-        common = int(2000 * similarity / (1 + similarity) * 2 / 2)
+        common = int(4000 * similarity / (1 + similarity))
         other = rng.integers(0, 1 << 63, 2000 - common, dtype=np.uint64)
         return (ngramjoin.minhash(np.concatenate([base[:common], other])) & 0xFF).astype(np.uint8)
 
     near_ones, far = [sketch(4 / 5 * 1.02) for _ in range(200)], [sketch(0.3) for _ in range(200)]
     low = (ngramjoin.minhash(base[: 2000]) & 0xFF).astype(np.uint8)
     # 2000 and 2000 with c in common have similarity c / (4000 - c)
-    table = np.stack([low, *far])
-    alive = ngramjoin.prune(table, np.zeros(200, int), np.arange(1, 201), 0.8, ngramjoin.TOLERANCE)
-    assert len(alive) == 0 and len(near_ones) == 200
+    for table, left in ((far, 0), (near_ones, 200)):
+        alive = ngramjoin.prune(np.stack([low, *table]), np.zeros(200, int), np.arange(1, 201), 0.8, ngramjoin.TOLERANCE)
+        assert len(alive) == left
     needed = ngramjoin.least_matches(0.8, ngramjoin.TOLERANCE)
     assert list(needed) == sorted(needed) and 60 < needed[-1] < 95
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.65, 0.8])
+def test_no_pair_at_the_threshold_is_lost(spark, threshold):
+    rows = []
+    for pair in range(400):
+        # w words, k of them others at the end: w - 4 - k of w - 4 + k five-word runs in common
+        w = 124
+        k = int((w - 4) * (1 - threshold) / (1 + threshold))
+        text = [f"p{pair}x{i}" for i in range(w)]
+        rows += [(2 * pair, " ".join(text)), (2 * pair + 1, " ".join(text[: w - k] + [f"q{pair}x{i}" for i in range(k)]))]
+        assert 0 <= (w - 4 - k) / (w - 4 + k) - threshold < 0.01
+    found = ngramjoin.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), threshold)
+    assert found.filter("n_links = 1 and class_id = doc_id - doc_id % 2").count() == 800
+
+
+def test_bands_follow_the_threshold():
+    assert [ngramjoin.band_width(x) for x in (0.3, 0.5, 0.65, 0.8, 0.9, 1.0)] == [1, 2, 2, 4, 5, 128]
+    for refused in (0.05, 0.0, 1.5):
+        with pytest.raises(ValueError, match="cannot hold"):
+            ngramjoin.band_width(refused)
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5000)]
     found = components(spark.createDataFrame(chain, "u long, v long").repartition(7))
