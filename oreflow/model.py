@@ -7,6 +7,7 @@ a running session; they are turned into Columns where a plan is built.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -77,6 +78,8 @@ class EntitySpec:
     # Checked by its list rules before it lands: repeated ids and broken rows stay out, a gate may stop the load, and
     # quarantine holds a row for each failed rule and attempt.
     checked_before_bronze: bool = False
+    # What takes an extract apart before it lands, instead of the list rules; see quality.Processor.
+    processor: Callable | None = None
     # What ends the reason that tells of a missing parent.
     parent_suffix: str = "; "
     # Quarantine of a missing parent is held back only by an entry with that very reason, not by any entry.
@@ -90,9 +93,14 @@ class EntitySpec:
     def has_quarantine(self) -> bool:
         return bool(self.rules or self.parents)
 
+    @property
+    def processed(self) -> bool:
+        """Whether rows are taken apart before they land."""
+        return self.checked_before_bronze or self.processor is not None
+
     @property
     def quarantine_partition(self) -> str:
-        return "pipeline_run_id" if self.checked_before_bronze else "batch_id"
+        return "pipeline_run_id" if self.processed else "batch_id"
 
     def ddl(self, extra: str = "") -> str:
         return ", ".join(f"{c} {t}" for c, t in self.columns.items()) + extra
@@ -115,7 +123,7 @@ class EntitySpec:
 
     @property
     def quarantine_ddl(self) -> str:
-        if self.checked_before_bronze:
+        if self.processed:
             return (
                 self.ddl(", validation_rule STRING, validation_message STRING")
                 + ", quarantined_at TIMESTAMP_NTZ, resolved_at TIMESTAMP_NTZ, pipeline_run_id STRING"

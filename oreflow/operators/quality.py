@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +25,25 @@ class DataQualityError(RuntimeError):
 
 @dataclass(frozen=True)
 class ProcessResult:
+    """What a processor makes of an extract.
+
+    ``valid`` rows land in Bronze.  ``quarantine`` is evidence in the entity's quarantine columns and is kept whatever
+    the gate says.  ``metrics`` is what the gate decides on: it raises to stop the load, and is by default
+    ``customer_quality_gate``.  ``suspects``, a narrow written table, tells whether there is evidence at all; ``unique``
+    that no key occurs twice among the valid rows.
+    """
+
     valid: DataFrame
     quarantine: DataFrame
     metrics: DataFrame
+    gate: Callable[[DataFrame, float], None] | None = None
+    suspects: DataFrame | None = None
+    unique: bool = False
+
+
+#: ``(rows, context, spec, stage) -> ProcessResult``: rows are staged and fingerprinted, and ``stage(name, rows)`` writes
+#: a table that lasts as long as the load.
+Processor = Callable[[DataFrame, RunContext, EntitySpec, Callable[[str, DataFrame], DataFrame]], ProcessResult]
 
 
 def _replicate(df: DataFrame, copies: str) -> DataFrame:
@@ -186,3 +203,15 @@ def process_customers(
         quarantine=quarantine_customers(customer_errors(snapshot, spec, invalid), ctx),
         metrics=customer_invalid_rate(snapshot, spec, invalid),
     )
+
+
+def list_rule_processor(
+    rows: DataFrame, ctx: RunContext, spec: EntitySpec, stage: Callable[[str, DataFrame], DataFrame]
+) -> ProcessResult:
+    """The processor of customers and of every entity that is checked by its list rules."""
+    invalid = stage(f"{spec.name}_invalid", invalid_ids(rows, spec))
+    return replace(process_customers(rows, ctx, spec, invalid), suspects=invalid, unique=True)
+
+
+def processor_of(spec: EntitySpec) -> Processor | None:
+    return spec.processor or (list_rule_processor if spec.checked_before_bronze else None)

@@ -36,7 +36,7 @@ from oreflow.operators.lifecycle import (
     latest_state,
     successful_batches,
 )
-from oreflow.operators.quality import customer_quality_gate, invalid_ids, process_customers
+from oreflow.operators.quality import ProcessResult, customer_quality_gate, processor_of
 from oreflow.operators.silver import (
     apply_changes,
     as_inserted,
@@ -310,17 +310,16 @@ def _accept(
     journal: Journal | None,
     threshold: float,
     names: CheckStages,
-) -> DataFrame:
-    """Validate, keep the evidence, then apply the gate: rejected rows stay on record even if it fails."""
+) -> ProcessResult:
+    """Have the processor take the rows apart, keep the evidence, then apply the gate: evidence stays even if it fails."""
     with _stage(journal, names.validate) as info:
-        invalid = stage(f"{spec.name}_invalid", invalid_ids(staged, spec))
-        result = process_customers(staged, ctx, spec, invalid)
+        result = processor_of(spec)(staged, ctx, spec, stage)
         info["rows_processed"] = staged.count()
-    if not invalid.isEmpty():
+    if not (result.quarantine if result.suspects is None else result.suspects).isEmpty():
         with _stage(journal, names.quarantine) as info:
             info["rows_processed"] = warehouse.append_quarantine(spec, ctx, result.quarantine)
-    customer_quality_gate(result.metrics, threshold)
-    return result.valid
+    (result.gate or customer_quality_gate)(result.metrics, threshold)
+    return result
 
 
 @contextmanager
@@ -343,14 +342,14 @@ def load_bronze(
 ) -> int:
     """Land a snapshot once per (batch, key); returns the rows this attempt added."""
     rows = fingerprint(snapshot, spec)
-    if not (spec.checked_before_bronze and validate):
+    if not (spec.processed and validate):
         # Read from the source once and written once: the key check runs on what was written.
         return _append(warehouse, spec, rows, ctx)
     with _staging(warehouse, ctx) as stage:
         staged = stage(spec.name, rows)
         names = CheckStages(f"{spec.name}_validate", f"{spec.name}_quarantine")
-        valid = _accept(warehouse, spec, stage, staged, ctx, journal, threshold, names)
-        return _append(warehouse, spec, valid, ctx, unique=True)
+        accepted = _accept(warehouse, spec, stage, staged, ctx, journal, threshold, names)
+        return _append(warehouse, spec, accepted.valid, ctx, accepted.unique)
 
 
 @contextmanager
@@ -460,9 +459,9 @@ def customer_bronze(
             staged = stage(spec.name, fingerprint(extract(), spec))
             info["rows_processed"] = staged.count()
         names = CheckStages(validate="validate", quarantine="quarantine_invalid_customers")
-        valid = _accept(warehouse, spec, stage, staged, ctx, journal, threshold, names)
+        accepted = _accept(warehouse, spec, stage, staged, ctx, journal, threshold, names)
         with _stage(journal, "load_bronze_customers") as info:
-            info["rows_processed"] = inserted = _append(warehouse, spec, valid, ctx, unique=True)
+            info["rows_processed"] = inserted = _append(warehouse, spec, accepted.valid, ctx, accepted.unique)
         whole["rows_processed"] = inserted
     return StageResult("customer_bronze", inserted)
 
