@@ -326,3 +326,4 @@ SILVER_LEDGER_DDL = (
     "entity STRING, version BIGINT, path STRING, paths ARRAY<STRING>, pipeline_run_id STRING, batch_id STRING, "
     "rows_inserted BIGINT, rows_updated BIGINT, published_at TIMESTAMP_NTZ"
 )
+KEPT_LEDGER_DDL = "name STRING, path STRING"

@@ -10,6 +10,10 @@ from oreflow.model import CUSTOMERS
 
 
 def latest_customers(bronze: DataFrame, guid_order: bool = False) -> DataFrame:
+    return latest_versions(bronze, CUSTOMERS.key, guid_order)
+
+
+def latest_versions(bronze: DataFrame, key: str, guid_order: bool = False) -> DataFrame:
     """Newest Bronze version per id; equal load times fall back to the batch id.
 
     Batch ids compare as text, or with ``guid_order`` the way SQL Server compares a uniqueidentifier.
@@ -18,7 +22,7 @@ def latest_customers(bronze: DataFrame, guid_order: bool = False) -> DataFrame:
     many versions sends one row per task.
     """
     batch = F.expr(guid_sort_key("batch_id")) if guid_order else F.col("batch_id")
-    newest = Window.partitionBy(CUSTOMERS.key).orderBy(F.desc("ingested_at"), batch.desc())
+    newest = Window.partitionBy(key).orderBy(F.desc("ingested_at"), batch.desc())
     return bronze.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 

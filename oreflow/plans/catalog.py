@@ -16,7 +16,7 @@ from oreflow.model import COMMERCE_PIPELINE, CUSTOMER_PIPELINE, CUSTOMERS, ENTIT
 from oreflow.operators import bronze as b
 from oreflow.operators import contracts, lifecycle, monitoring, quality, silver
 from oreflow.operators import customers as c
-from oreflow.plans import due, loads, steps
+from oreflow.plans import due, kept, loads, steps
 from oreflow.plans.health import warehouse_health
 from oreflow.plans.scenario import CONTEXTS, EMAIL_SUFFIX, FIRST, HANDLED, INTERRUPTED, SECOND, Scenario, shown
 from oreflow.sources import testdata
@@ -357,6 +357,26 @@ def latest_customers(s: Scenario) -> DataFrame:
     return shown(c.latest_customers(s.bronze("customers")))
 
 
+def latest_customers_kept(s: Scenario) -> DataFrame:
+    """Three batches taken in one after another; the last to come is older than the second."""
+    warehouse = _warehouse(s.spark, "kept")
+    late = RunContext("00000000-0000-4000-8000-0000000000a5", "00000000-0000-4000-8000-0000000000b3", datetime(2024, 2, 1, 18))
+    for ctx, rows in ((FIRST, s.batch("customers", 1)), (SECOND, s.batch("customers")), (late, None)):
+        if rows is None:
+            rows = b.stamp_lineage(s.landed("customers", 1).filter("customer_id % 3 = 0"), late)
+        warehouse.append_bronze(CUSTOMERS, ctx, rows, unique=True)
+        kept.refresh_latest(warehouse, ctx)
+    return shown(kept.latest_bronze(warehouse))
+
+
+def quarantine_metrics_merged(s: Scenario) -> DataFrame:
+    """Each append reduced to bitmaps on its own; then only bitmaps are merged."""
+    evidence = testdata.wide_quarantine(s.spark, s.sf_dir)
+    appends = [monitoring.quarantine_parts(evidence.filter(F.col("append") == n)) for n in range(3)]
+    parts = written(appends[0].unionByName(appends[1]).unionByName(appends[2]), "quarantine-parts")
+    return monitoring.quarantine_metrics_of_parts(monitoring.merged_quarantine_parts(parts))
+
+
 def duplicate_customers(s: Scenario) -> DataFrame:
     return quality.duplicate_customers(s.source("customers"))
 
@@ -617,7 +637,7 @@ def catalog() -> dict[str, Query]:
         quarantine_customers, promote_after_recovery, customer_quality_gate, process_customers,
         batch_transition, batch_complete, batch_is_successful, run_entity, run_commerce, run_customer, customer_run_health,
         failure_summary, batch_request_stream, stage_attempts, logged_retry_events, logged_failure_summary, customer_steps,
-        batches_due, due_promotions,
+        batches_due, due_promotions, latest_customers_kept, quarantine_metrics_merged,
     ):
         entries[query.__name__] = query
     entries |= {

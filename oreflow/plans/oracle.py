@@ -576,6 +576,17 @@ def _queries() -> dict[str, str]:
     WHERE event_type NOT IN ('click', 'signup') GROUP BY 1"""
     q["stage_result_counts"] = " UNION ALL ".join(stage_counts(entity, 2) for entity in KEY)
     q["latest_customers"] = latest
+    q["latest_customers_kept"] = """
+    SELECT * FROM (
+        SELECT * FROM bronze_customers
+        UNION ALL
+        SELECT * REPLACE (TIMESTAMP '2024-02-01 18:00:00' AS ingested_at, '00000000-0000-4000-8000-0000000000a5' AS pipeline_run_id,
+            '00000000-0000-4000-8000-0000000000b3' AS batch_id) FROM batch_customers_1 WHERE customer_id % 3 = 0)
+    QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY ingested_at DESC, batch_id DESC) = 1"""
+    q["quarantine_metrics_merged"] = """
+    SELECT pipeline_run_id, count(DISTINCT CASE WHEN event_id % 10 <> 9 THEN event_id % 7 * 10 + event_id % 3 END) AS invalid_customers,
+        count(*) AS validation_errors
+    FROM marked WHERE event_type IN ('purchase', 'click') GROUP BY 1"""
     q["duplicate_customers"] = """
     SELECT * EXCLUDE (validation_rule, validation_message) FROM customer_errors_2
     WHERE validation_rule = 'DUPLICATE_CUSTOMER_ID'"""

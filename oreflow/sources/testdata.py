@@ -361,3 +361,12 @@ def stage_executions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(told, "TransientError").alias("error_type"),
         F.when(told, F.concat(F.lit("event "), number.cast("string"))).alias("error_message"),
     )
+
+
+def wide_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence in three appends, of customers whose ids are far beyond 32 bits, some of them repeated or missing."""
+    number = F.col("event_id")
+    wide = (number % 7 - 2) * 10_000_000_000 + number % 3
+    return _events(spark, sf_dir).filter("event_type IN ('purchase', 'click')").select(
+        _run_id().alias("pipeline_run_id"), F.when(number % 10 != 9, wide).alias("customer_id"), (number % 3).alias("append")
+    )

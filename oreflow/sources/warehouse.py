@@ -29,6 +29,7 @@ from oreflow.model import (
     BATCH_RECORD_DDL,
     BRONZE_LEDGER_DDL,
     EVENT_LOG_DDL,
+    KEPT_LEDGER_DDL,
     RUN_LOG_DDL,
     SILVER_LEDGER_DDL,
     STAGE_RECORD_DDL,
@@ -46,6 +47,7 @@ LOGS = {
     "events": EVENT_LOG_DDL,
     "bronze_ledger": BRONZE_LEDGER_DDL,
     "silver_ledger": SILVER_LEDGER_DDL,
+    "kept_ledger": KEPT_LEDGER_DDL,
 }
 # What each log is looked up by; its hash names the folder of the row.
 LOG_KEYS = {
@@ -55,6 +57,7 @@ LOG_KEYS = {
     "events": "pipeline_run_id",
     "bronze_ledger": "batch_id",
     "silver_ledger": "entity",
+    "kept_ledger": "name",
 }
 # Enforced on every row that enters a log: (column, checks).
 LOG_CHECKS = {
@@ -155,6 +158,10 @@ class Warehouse:
         paths = [row["path"] for row in ledger.select("path").collect()]
         return self._read_bronze(spec, paths) if paths else self.empty(spec.bronze_ddl)
 
+    def bronze_writes(self, spec: EntitySpec, paths: list[str]) -> DataFrame:
+        """The rows of some published writes, by the paths that the ledger has for them."""
+        return self._read_bronze(spec, paths)
+
     def bronze_batch(self, spec: EntitySpec, batch_id: str) -> DataFrame | None:
         paths = self._folders(spec, batch_id)
         return self._read_bronze(spec, paths) if paths else None
