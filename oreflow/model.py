@@ -327,3 +327,10 @@ SILVER_LEDGER_DDL = (
     "rows_inserted BIGINT, rows_updated BIGINT, published_at TIMESTAMP_NTZ"
 )
 KEPT_LEDGER_DDL = "name STRING, path STRING"
+# What runs that were completed on a day add up to, and the folder of their rows; the highest seq of a day is current.
+DAILY_PARTS_DDL = (
+    "pipeline_name STRING, metric_date DATE, path STRING, total_runs BIGINT, successful_runs BIGINT, failed_runs BIGINT, "
+    "retry_count BIGINT, recovery_count BIGINT, invalid_customers BIGINT, validation_errors BIGINT, duration_sum BIGINT, "
+    "duration_n BIGINT, max_duration_ms BIGINT, bronze_sum BIGINT, bronze_n BIGINT, silver_sum BIGINT, silver_n BIGINT, "
+    "refreshed_on DATE, seq BIGINT"
+)

@@ -157,3 +157,48 @@ def pipeline_daily_metrics(health: DataFrame) -> DataFrame:
         .groupBy(F.expr(metric_date("started_at")).alias("metric_date"))
         .agg(*[F.expr(sql).alias(name) for name, sql in measures.items()])
     )
+
+
+#: Sums, counts and a maximum: what daily metrics follow from, and what parts of a day are merged by.
+DAILY_SUMS = (
+    "total_runs", "successful_runs", "failed_runs", "retry_count", "recovery_count", "invalid_customers", "validation_errors",
+    "duration_sum", "duration_n", "bronze_sum", "bronze_n", "silver_sum", "silver_n",
+)
+
+
+def daily_parts(health: DataFrame) -> DataFrame:
+    """One row per day of completed runs, to be merged with other parts of the same day that hold other runs."""
+    measures = {
+        "total_runs": "count(*)", "successful_runs": "count_if(status = 'SUCCESS')", "failed_runs": "count_if(status = 'FAILED')",
+        **{x: f"sum({x})" for x in ("retry_count", "recovery_count", "invalid_customers", "validation_errors")},
+        "max_duration_ms": "max(duration_ms)",
+    }
+    for name, column in (("duration", "duration_ms"), ("bronze", "bronze_duration_ms"), ("silver", "silver_duration_ms")):
+        measures |= {f"{name}_sum": f"sum({column})", f"{name}_n": f"count({column})"}
+    return (
+        completed_only(health)
+        .groupBy(F.expr(metric_date("started_at")).alias("metric_date"))
+        .agg(*[F.expr(sql).alias(name) for name, sql in measures.items()])
+    )
+
+
+def merged_daily_parts(parts: DataFrame) -> DataFrame:
+    sums = [F.sum(x).alias(x) for x in DAILY_SUMS]
+    return parts.groupBy("metric_date").agg(*sums, F.max("max_duration_ms").alias("max_duration_ms"))
+
+
+def daily_metrics_of_parts(parts: DataFrame) -> DataFrame:
+    """``pipeline_daily_metrics`` from merged parts: the same numbers, rounded the same way."""
+
+    def mean(name: str) -> str:
+        # As avg() of a DECIMAL(18,2) has it: six places first, then two.
+        exact = f"CAST({name}_sum AS DECIMAL(28,2)) / nullif(CAST({name}_n AS DECIMAL(20,0)), 0)"
+        return f"CAST(CAST({exact} AS DECIMAL(22,6)) AS DECIMAL(18,2))"
+
+    return parts.selectExpr(
+        "metric_date", "total_runs", "successful_runs", "failed_runs",
+        f"{success_rate_pct('successful_runs', 'total_runs')} AS success_rate_pct",
+        "retry_count", "recovery_count", "invalid_customers", "validation_errors",
+        f"{mean('duration')} AS average_duration_ms", "max_duration_ms", f"{mean('bronze')} AS average_bronze_duration_ms",
+        f"{mean('silver')} AS average_silver_duration_ms",
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
-from datetime import datetime
+from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +16,7 @@ from oreflow.model import COMMERCE_PIPELINE, CUSTOMER_PIPELINE, CUSTOMERS, ENTIT
 from oreflow.operators import bronze as b
 from oreflow.operators import contracts, lifecycle, monitoring, quality, silver
 from oreflow.operators import customers as c
-from oreflow.plans import due, kept, loads, steps
+from oreflow.plans import daily, due, kept, loads, steps
 from oreflow.plans.health import warehouse_health
 from oreflow.plans.scenario import CONTEXTS, EMAIL_SUFFIX, FIRST, HANDLED, INTERRUPTED, SECOND, Scenario, shown
 from oreflow.sources import testdata
@@ -129,17 +129,30 @@ def ops_log_append(s: Scenario) -> DataFrame:
         warehouse.append_log("batches", batches.filter(F.col("seq") == seq))
     warehouse.append_log("stage_runs", s.stages().withColumn("seq", F.lit(1).cast("bigint")))
     warehouse.append_log("events", testdata.event_log(s.spark, s.sf_dir))
-    rows = [
-        lifecycle.latest_state(warehouse.log(name), key).select(F.lit(name).alias("log"), F.col(key).alias("id"), "status")
+    def shared(rows: DataFrame, log: str, key: str, status: str = "status") -> DataFrame:
+        columns = {"log": F.lit(log), "id": F.col(key), "status": F.col(status)}
+        for name, kind in LOG_COLUMNS.items():
+            columns[name] = (F.col(name) if name in rows.columns else F.lit(None)).cast(kind)
+        return rows.select(*[value.alias(name) for name, value in columns.items()])
+
+    parts = [
+        shared(lifecycle.latest_state(warehouse.log(name), key), name, key)
         for name, key in (("pipeline_runs", "pipeline_run_id"), ("batches", "batch_id"), ("stage_runs", "stage_run_id"))
     ]
-    rows.append(warehouse.log("events").select(F.lit("events").alias("log"), "pipeline_run_id", "event_type"))
-    result = rows[0]
-    for more in rows[1:]:
-        result = result.union(more)
+    parts.append(shared(warehouse.log("events"), "events", "pipeline_run_id", "event_type"))
+    result = parts[0]
+    for more in parts[1:]:
+        result = result.unionByName(more)
     return result
 
 
+#: What the logs have in common or one of them has alone, compared where a log has it.
+LOG_COLUMNS = {
+    "pipeline_name": "string", "batch_id": "string", "stage_name": "string", "started_at": "timestamp_ntz", "completed_at": "timestamp_ntz",
+    "event_time": "timestamp_ntz", "rows_processed": "bigint", "error_message": "string",
+}
+
+
 # --- projections ---------------------------------------------------------------------------------------
 
 
@@ -606,6 +619,26 @@ def customer_steps(s: Scenario) -> DataFrame:
     return result
 
 
+def daily_metrics_kept(s: Scenario) -> DataFrame:
+    """Logs appended on three days out of order, with a refresh after each: runs that end late, stages that come after
+    the end.  What is returned was put together from the days' parts alone."""
+    warehouse = _warehouse(s.spark, "daily")
+    group = F.pmod(F.xxhash64("pipeline_run_id"), F.lit(3))
+    runs, stages, events = testdata.run_log(s.spark, s.sf_dir), s.stages().withColumn("seq", F.lit(1).cast("bigint")), testdata.event_log(s.spark, s.sf_dir)
+    appends = [
+        (runs.filter((group == 0) | ((group == 1) & (F.col("seq") == 1))), stages.filter((group == 0) & (F.col("stage_name") == "bronze")), events.filter(group == 3)),
+        (runs.filter(group == 2), stages.filter((group == 2) | ((group == 0) & (F.col("stage_name") == "silver"))), events.filter(group == 0)),
+        (runs.filter((group == 1) & (F.col("seq") == 2)), stages.filter(group == 1), events.filter(group != 0)),
+    ]
+    for number, (some_runs, some_stages, some_events) in enumerate(appends, 1):
+        day = date(2035, 1, number)
+        for log, rows in (("pipeline_runs", some_runs), ("stage_runs", some_stages), ("events", some_events)):
+            warehouse.append_log(log, rows, day)
+        ctx = RunContext(f"refresh-{number}", "daily", datetime(2035, 1, number))
+        daily.refresh_daily(warehouse, ctx, CUSTOMER_PIPELINE, "bronze", "silver", s.quarantined_customers(), day)
+    return daily.kept_daily_metrics(warehouse)
+
+
 def catalog() -> dict[str, Query]:
     entries: dict[str, Callable[[Scenario], DataFrame]] = {}
     for entity in ENTITIES:
@@ -638,6 +671,7 @@ def catalog() -> dict[str, Query]:
         batch_transition, batch_complete, batch_is_successful, run_entity, run_commerce, run_customer, customer_run_health,
         failure_summary, batch_request_stream, stage_attempts, logged_retry_events, logged_failure_summary, customer_steps,
         batches_due, due_promotions, latest_customers_kept, quarantine_metrics_merged,
+        daily_metrics_kept,
     ):
         entries[query.__name__] = query
     entries |= {

@@ -504,11 +504,15 @@ def _queries() -> dict[str, str]:
         for entity in CHECKED
     )
     q["silver_publish"] = "SELECT * FROM silver_products_2"
-    q["ops_log_append"] = """
-    SELECT 'pipeline_runs' AS log, pipeline_run_id AS id, status FROM runs
-    UNION ALL SELECT 'batches', batch_id, status FROM runs
-    UNION ALL SELECT 'stage_runs', stage_run_id, status FROM stages
-    UNION ALL SELECT 'events', pipeline_run_id, CASE event_type WHEN 'error' THEN 'RETRY' ELSE 'RECOVERED' END
+    q["ops_log_append"] = f"""
+    SELECT 'pipeline_runs' AS log, pipeline_run_id AS id, status, pipeline_name, batch_id, NULL::VARCHAR AS stage_name, started_at,
+        completed_at, NULL::TIMESTAMP AS event_time, NULL::BIGINT AS rows_processed, error_message FROM runs
+    UNION ALL SELECT 'batches', batch_id, status, pipeline_name, batch_id, NULL, started_at, completed_at, NULL, rows_processed,
+        error_message FROM ({BATCH_STATE})
+    UNION ALL SELECT 'stage_runs', stage_run_id, status, NULL, NULL, stage_name, started_at, completed_at, NULL, rows_processed,
+        error_message FROM stages
+    UNION ALL SELECT 'events', pipeline_run_id, CASE event_type WHEN 'error' THEN 'RETRY' ELSE 'RECOVERED' END, NULL,
+        {stable_id("'load:' || pipeline_run_id")}, 'bronze', NULL, NULL, ts, NULL, NULL
     FROM marked WHERE event_type IN ('error', 'signup')"""
     q["iso_timestamp"] = f"""
     SELECT event_id, {iso('ts')} AS iso_text, strftime(ts, '%Y-%m-%dT00:00:00') AS iso_midnight FROM events"""
@@ -557,6 +561,7 @@ def _queries() -> dict[str, str]:
     q["stage_metrics"] = "SELECT * FROM stage_sums"
     q["daily_metrics"] = daily("commerce")
     q["pipeline_daily_metrics"] = daily("customer_pipeline")
+    q["daily_metrics_kept"] = daily("customer_pipeline")
     q["pipeline_health"] = "SELECT * FROM health WHERE pipeline_name = 'customer_pipeline'"
     q["run_metrics"] = """
     SELECT pipeline_run_id, pipeline_name, started_at, completed_at, status, duration_ms, error_message FROM run_facts"""

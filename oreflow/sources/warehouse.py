@@ -6,7 +6,8 @@ Layout below ``root``::
     bronze/<entity>/batch_id=<id>/<write>/       append-only, one folder per write that added rows
     quarantine/<entity>/<batch_id|pipeline_run_id>=<id>/<write>/   append-only evidence
     silver/<entity>/<version>-<write>/silver_bucket=<n>/   current state in buckets of the key, never changed
-    ops/<log>/part=<p>/                          append-only logs, and the ledgers of what is published
+    ops/<log>/part=<p>/day=<day>/                append-only logs, by a hash of the id and the day of the append, and the
+                                                 ledgers of what is published
 
 ``<write>`` is the run id and a suffix that no other write has, so an attempt repeated under the same ids never
 meets its earlier files.  A Bronze folder or Silver version counts only once its ledger row is there, and nothing
@@ -18,9 +19,9 @@ once and then keeps them up to date itself.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
-from datetime import datetime
+import zlib
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from oreflow.model import (
     BATCH_RECORD_DDL,
     BRONZE_LEDGER_DDL,
+    DAILY_PARTS_DDL,
     EVENT_LOG_DDL,
     KEPT_LEDGER_DDL,
     RUN_LOG_DDL,
@@ -48,6 +50,7 @@ LOGS = {
     "bronze_ledger": BRONZE_LEDGER_DDL,
     "silver_ledger": SILVER_LEDGER_DDL,
     "kept_ledger": KEPT_LEDGER_DDL,
+    "daily_parts": DAILY_PARTS_DDL,
 }
 # What each log is looked up by; its hash names the folder of the row.
 LOG_KEYS = {
@@ -58,6 +61,7 @@ LOG_KEYS = {
     "bronze_ledger": "batch_id",
     "silver_ledger": "entity",
     "kept_ledger": "name",
+    "daily_parts": "pipeline_name",
 }
 # Enforced on every row that enters a log: (column, checks).
 LOG_CHECKS = {
@@ -67,6 +71,7 @@ LOG_CHECKS = {
     "events": ("event_type", EVENT_CHECKS),
 }
 SILVER_BUCKETS = 32
+LOG_PARTS = 32
 
 
 class Warehouse:
@@ -101,7 +106,8 @@ class Warehouse:
         return {x.getPath().getName() for x in files.listStatus(hadoop_path)} if files.exists(hadoop_path) else set()
 
     @staticmethod
-    def _write_name(ctx: RunContext) -> str:
+    def write_name(ctx: RunContext) -> str:
+        """A folder name that no other write has."""
         return f"{ctx.pipeline_run_id}-{uuid.uuid4().hex[:12]}"
 
     def _read(self, path: str, ddl: str, base: str | None = None) -> DataFrame | None:
@@ -118,6 +124,9 @@ class Warehouse:
     def empty(self, ddl: str) -> DataFrame:
         return local_rows(self.spark, [], ddl)
 
+    def empty_log(self, name: str) -> DataFrame:
+        return self.empty(LOGS[name])
+
     # --- stage ---------------------------------------------------------------------------------------
 
     def _stage_path(self, name: str, run_id: str) -> str:
@@ -174,7 +183,7 @@ class Warehouse:
 
         ``unique`` tells that the rows are known to have no key twice.
         """
-        path = f"bronze/{spec.name}/batch_id={ctx.batch_id}/{self._write_name(ctx)}"
+        path = f"bronze/{spec.name}/batch_id={ctx.batch_id}/{self.write_name(ctx)}"
         rows.drop("batch_id").write.parquet(f"{self.root}/{path}")
         written = self._read_bronze(spec, [path])
         try:
@@ -205,7 +214,7 @@ class Warehouse:
     def append_quarantine(self, spec: EntitySpec, ctx: RunContext, rows: DataFrame) -> int:
         """Add evidence in a folder of its own; returns the number of rows that this call added."""
         column = spec.quarantine_partition
-        target = f"{self.root}/quarantine/{spec.name}/{column}={getattr(ctx, column)}/{self._write_name(ctx)}"
+        target = f"{self.root}/quarantine/{spec.name}/{column}={getattr(ctx, column)}/{self.write_name(ctx)}"
         rows.drop(column).write.parquet(target)
         return self.spark.read.schema(spec.quarantine_ddl).parquet(target).count()
 
@@ -260,7 +269,7 @@ class Warehouse:
         """
         versions = self._versions(spec)
         version, held = (versions[0][0] + 1, versions[0][2]) if versions else (1, [None] * self.silver_buckets)
-        path = f"silver/{spec.name}/{version}-{self._write_name(ctx)}"
+        path = f"silver/{spec.name}/{version}-{self.write_name(ctx)}"
         partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         part = F.pmod(F.xxhash64(F.col(spec.key).cast("string"), F.lit("file")), F.lit(max(1, partitions // len(held))))
         placed = rows.withColumn("silver_bucket", self.silver_bucket(spec)).repartition("silver_bucket", part)
@@ -302,21 +311,40 @@ class Warehouse:
     # --- logs ----------------------------------------------------------------------------------------
 
     def log(self, name: str, key: str | None = None) -> DataFrame:
-        """A log, or its rows of one id, for which only that id's folder is read."""
-        found = self._read(f"{self.root}/ops/{name}", LOGS[name] + ", part STRING")
-        if found is None:
+        """A log, or its rows of one id, for which only the folder of that id's hash is listed and read."""
+        base = f"{self.root}/ops/{name}"
+        if key is None:
+            found = self._read(base, LOGS[name] + ", part STRING, day DATE")
+        else:
+            part = f"p{zlib.crc32(key.encode()) % LOG_PARTS:02d}"
+            found = self._read(f"{base}/part={part}", LOGS[name] + ", part STRING, day DATE", base)
+            found = found if found is None else found.filter(F.col(LOG_KEYS[name]) == key)
+        return self.empty(LOGS[name]) if found is None else found.drop("part", "day")
+
+    def log_since(self, name: str, day: date | None) -> DataFrame:
+        """The rows appended on a day or later; no file of an earlier day is listed."""
+        if day is None:
+            return self.log(name)
+        base = f"{self.root}/ops/{name}"
+        files, pattern = self._hadoop_path(f"{base}/part=*/day=*")
+        found = [x.getPath() for x in files.globStatus(pattern) or ()]
+        # Dates as text sort like dates.
+        paths = [x.toString() for x in found if x.getName() >= f"day={day.isoformat()}"]
+        if not paths:
             return self.empty(LOGS[name])
-        if key is not None:
-            part = "p" + hashlib.md5(key.encode()).hexdigest()[0]
-            found = found.filter((F.col("part") == part) & (F.col(LOG_KEYS[name]) == key))
-        return found.drop("part")
-
-    def append_log(self, name: str, rows: list[tuple] | DataFrame) -> None:
-        """A row may leave out the last columns of its log."""
-        if not isinstance(rows, DataFrame):
+        rows = self.spark.read.schema(LOGS[name] + ", part STRING, day DATE").option("basePath", base).parquet(*paths)
+        return rows.drop("part", "day")
+
+    def append_log(self, name: str, rows: list[tuple] | DataFrame, day: date | None = None) -> None:
+        """A row may leave out the last columns of its log.  ``day`` is the day of the append, by default today's in UTC."""
+        bulk = isinstance(rows, DataFrame)
+        if not bulk:
             columns = len(LOGS[name].split(", "))
             rows = local_rows(self.spark, [(*row, *[None] * (columns - len(row))) for row in rows], LOGS[name]).coalesce(1)
         if name in LOG_CHECKS:
             rows = guarded(rows, name, *LOG_CHECKS[name])
-        part = F.concat(F.lit("p"), F.substring(F.md5(F.coalesce(F.col(LOG_KEYS[name]), F.lit("")).cast("binary")), 1, 1))
-        rows.withColumn("part", part).write.mode("append").partitionBy("part").parquet(f"{self.root}/ops/{name}")
+        part = F.format_string("p%02d", F.crc32(F.coalesce(F.col(LOG_KEYS[name]), F.lit("")).cast("binary")) % LOG_PARTS)
+        placed = rows.withColumns({"part": part, "day": F.lit(day or datetime.now(timezone.utc).date())})
+        if bulk:
+            placed = placed.hint("rebalance", "part")  # a file for each part, and more where one is large
+        placed.write.mode("append").partitionBy("part", "day").parquet(f"{self.root}/ops/{name}")

@@ -172,3 +172,24 @@ def test_two_claims_at_once(spark):
     asked = local_rows(spark, [("new", "b"), ("new", "a"), ("new", "a")], "batch_id STRING, pipeline_name STRING")
     got = lifecycle.batch_transition(asked, local_rows(spark, [], LOG)).collect()
     assert sorted((r.pipeline_name, r.outcome) for r in got) == [("a", "CLAIM_NEW"), ("a", "REJECT_RUNNING"), ("b", "REJECT_OTHER_PIPELINE")]
+
+
+# --- logs by part and day ------------------------------------------------------------------------------------
+
+
+def test_a_claim_reads_few_of_many_files(spark, warehouse):
+    from datetime import date
+
+    from oreflow.model import BATCH_LOG_DDL
+
+    many = [(f"b{i}", "p", rows.DAY, None, status, None, None, seq) for i in range(1000) for seq, status in ((1, "RUNNING"), (2, "FAILED"))]
+    for day in (1, 2):
+        warehouse.append_log("batches", local_rows(spark, many[day - 1 :: 2], BATCH_LOG_DDL), date(2026, 1, day))
+    own = warehouse.log("batches", "b7")
+    assert [(r.seq, r.status) for r in own.orderBy("seq").collect()] == [(1, "RUNNING"), (2, "FAILED")]
+    assert len(own.inputFiles()) <= 4 and len(warehouse.log("batches").inputFiles()) >= 32
+    assert warehouse.log("batches").count() == 2000
+    late = warehouse.log_since("batches", date(2026, 1, 2))
+    assert late.count() == 1000 and all("day=2026-01-02" in x for x in late.inputFiles())
+    assert warehouse.log_since("batches", date(2026, 1, 3)).count() == 0
+    assert warehouse.log_since("batches", None).count() == 2000
