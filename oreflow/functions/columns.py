@@ -7,6 +7,7 @@ projection to one call into the JVM, where a Column tree would take one call per
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import datetime
 
@@ -95,6 +96,22 @@ def guid_sort_key(guid: str) -> str:
     return f"concat({', '.join(f'substring({text}, {start}, {n})' for start, n in spans)})"
 
 
+def same_key(left: str, right: str, spec: EntitySpec) -> str:
+    """Equality of two columns that hold a key of an entity.
+
+    Keys beyond 64 bits are slow to hash and to sort: they meet by a 64-bit hash, and an exact check of the few that
+    share one follows the join.  The check is no equality, or the planner would join by the wide key after all.
+    """
+    if not _wide(spec):
+        return f"{left} = {right}"
+    return f"xxhash64({left}) = xxhash64({right}) AND {left} >= {right} AND {left} <= {right}"
+
+
+def _wide(spec: EntitySpec) -> bool:
+    kind = re.fullmatch(r"DECIMAL\((\d+),\d+\)", spec.columns[spec.key])
+    return bool(kind) and int(kind[1]) > 18
+
+
 def stable_id(name: str, namespace: uuid.UUID = uuid.NAMESPACE_URL) -> str:
     """Name-based (version 5) UUID of a text expression, equal to Python's ``uuid.uuid5``."""
     digest = f"sha1(concat(unhex('{namespace.hex}'), encode({name}, 'UTF-8')))"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.functions.columns import record_hash, round_to_millis, timestamp_literal
+from oreflow.functions.columns import record_hash, round_to_millis, same_key, timestamp_literal
 from oreflow.model import EntitySpec, RunContext
 
 
@@ -72,7 +72,8 @@ def bronze_new_rows(rows: DataFrame, bronze: DataFrame | None, spec: EntitySpec,
     All of them for a batch's first attempt, which therefore needs no shuffle.
     """
     if bronze is not None:
-        rows = rows.join(batch_scope(bronze, ctx.batch_id).select(spec.key), spec.key, "left_anti")
+        held = batch_scope(bronze, ctx.batch_id).selectExpr(f"{spec.key} AS _held_key")
+        rows = rows.join(held, F.expr(same_key(spec.key, "_held_key", spec)), "left_anti")
     return stamp_lineage(rows, ctx)
 
 

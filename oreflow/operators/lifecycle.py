@@ -47,8 +47,11 @@ def batch_transition(requests: DataFrame, batch_log: DataFrame, stride: int = ST
 
     So a batch's status before a request follows from the newest completion before it and whether its owner has claimed
     since: two running maxima, which are taken within strides of ``stride`` numbers and then over a batch's strides.  No
-    task orders more than a stride of one batch, however many requests it gets.
+    task orders more than a stride of one batch, however many requests it gets.  Requests without a ``seq`` are claims at
+    one moment and need no strides.
     """
+    if "seq" not in requests.columns:
+        return _claimed_at_once(requests, batch_log)
     streamed = {"seq": "CAST(0 AS BIGINT)", "kind": f"'{CLAIM}'", "status": "CAST(NULL AS STRING)"}
     asked = requests.selectExpr("*", *[f"{sql} AS {name}" for name, sql in streamed.items() if name not in requests.columns])
     state = latest_state(batch_log, "batch_id").select(
@@ -78,7 +81,18 @@ def batch_transition(requests: DataFrame, batch_log: DataFrame, stride: int = ST
     sums = sums.withColumns({x: F.max(x).over(earlier) for x in ("_closed", "_owned")})
     folded = inside.join(sums, (F.col("batch_id") == F.col("_batch")) & (F.col("stride") == F.col("_stride")))
     folded = folded.withColumns({"closed": F.coalesce("closed", "_closed"), "owned": F.coalesce("owned", "_owned")})
-    return _judged(folded.withColumn("current_status", _status_before()).filter(F.col("kind") == CLAIM), "seq" in requests.columns)
+    return _judged(folded.withColumn("current_status", _status_before()).filter(F.col("kind") == CLAIM), True)
+
+
+def _claimed_at_once(requests: DataFrame, batch_log: DataFrame) -> DataFrame:
+    state = latest_state(batch_log, "batch_id").select(
+        "batch_id", F.col("pipeline_name").alias("logged_owner"), F.col("status").alias("logged")
+    )
+    ordered = Window.partitionBy("batch_id").orderBy("pipeline_name")
+    earlier = F.max(F.col("pipeline_name") == F.col("owner")).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    claims = requests.join(state, "batch_id", "left").withColumn("owner", F.coalesce("logged_owner", F.first("pipeline_name").over(ordered)))
+    taken = F.coalesce(earlier, F.lit(False)) & ~F.coalesce(F.col("logged") == "SUCCESS", F.lit(False))
+    return _judged(claims.withColumn("current_status", F.when(taken, "RUNNING").otherwise(F.col("logged"))), False)
 
 
 def _status_before() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.functions.columns import timestamp_literal
+from oreflow.functions.columns import same_key, timestamp_literal
 from oreflow.functions.rules import failure_reason, fields_valid
 from oreflow.model import EntitySpec, Parent, RunContext
 
@@ -71,7 +71,7 @@ def quarantine_new(
     held = quarantine.filter(F.col("batch_id") == ctx.batch_id).selectExpr(
         f"{spec.key} AS _held_key", "failure_reason AS _held_reason"
     )
-    same = f"{spec.key} = _held_key"
+    same = same_key(spec.key, "_held_key", spec)
     if spec.parent_reason_apart:
         orphan = spec.parents[0].message + spec.parent_suffix
         same += f" AND (failure_reason <> '{orphan}' OR _held_reason = '{orphan}')"
@@ -97,13 +97,14 @@ def hash_changed(batch_hash: str, silver_hash: str) -> str:
 
 
 def silver_new(batch: DataFrame, silver: DataFrame, spec: EntitySpec) -> DataFrame:
-    return batch.join(silver.select(spec.key), spec.key, "left_anti")
+    held = silver.selectExpr(f"{spec.key} AS _key")
+    return batch.join(held, F.expr(same_key(spec.key, "_key", spec)), "left_anti")
 
 
 def silver_changed(batch: DataFrame, silver: DataFrame, spec: EntitySpec) -> DataFrame:
     """Batch rows whose key is in Silver with another fingerprint."""
     current = silver.selectExpr(f"{spec.key} AS _key", "record_hash AS _hash")
-    return batch.join(current, F.expr(f"{spec.key} = _key AND {hash_changed('record_hash', '_hash')}")).drop(
+    return batch.join(current, F.expr(f"{same_key(spec.key, '_key', spec)} AND {hash_changed('record_hash', '_hash')}")).drop(
         "_key", "_hash"
     )
 
@@ -143,7 +144,7 @@ def silver_merge(trusted: DataFrame, silver: DataFrame | None, spec: EntitySpec,
     def pick(name: str) -> str:
         return f"CASE WHEN {taken} THEN _b_{name} ELSE {name} END AS {name}"
 
-    joined = incoming.join(silver, F.expr(f"_b_{key} = {key}"), "full_outer")
+    joined = incoming.join(silver, F.expr(same_key(f"_b_{key}", key, spec)), "full_outer")
     return joined.selectExpr("*", action).selectExpr(
         f"coalesce({key}, _b_{key}) AS {key}",
         *[c if c in spec.unset_in_silver else pick(c) for c in spec.attributes],
@@ -162,7 +163,7 @@ def silver_changes(trusted: DataFrame, silver: DataFrame, spec: EntitySpec) -> D
     )
     return (
         trusted.select(spec.key, "record_hash")
-        .join(held, F.expr(f"{spec.key} = _key"), "left")
+        .join(held, F.expr(same_key(spec.key, "_key", spec)), "left")
         .selectExpr(spec.key, f"{action} AS merge_action")
         .filter("merge_action IS NOT NULL")
     )
@@ -177,13 +178,14 @@ def apply_changes(
     the batch is shuffled; when it is large both are, once.
     """
     key = spec.key
-    incoming = as_inserted(batch.join(changes.select(key), key, "left_semi"), spec, ctx)
+    same = F.expr(same_key(key, "_changed", spec))
+    incoming = as_inserted(batch.join(changes.selectExpr(f"{key} AS _changed"), same, "left_semi"), spec, ctx)
     if spec.unset_in_silver:
         # An update leaves these columns as they are.
         kept_values = silver.select(key, *spec.unset_in_silver)
         incoming = incoming.drop(*spec.unset_in_silver).join(kept_values, key, "left")
-    updated = changes.filter(F.col("merge_action") == UPDATE).select(key)
-    return silver.join(updated, key, "left_anti").unionByName(incoming)
+    updated = changes.filter(F.col("merge_action") == UPDATE).selectExpr(f"{key} AS _changed")
+    return silver.join(updated, same, "left_anti").unionByName(incoming)
 
 
 def merge_counts(actions: DataFrame) -> DataFrame:

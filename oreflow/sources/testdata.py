@@ -30,8 +30,23 @@ OLDER_KEY = 2_000_000_000_000_000
 # The line key has 38 digits: 14 of the order key and room above it, 2 of the line number, 2 of the quantity, 10 of
 # the part and 9 of the supplier.  Its older-key mark lies above all packed keys.
 OLDER_LINE_KEY = 5 * 10**37
+LINE_UNIT = 10**19  # of the high half
 LINE_SIGN = "CASE WHEN l_orderkey % 487 = 3 THEN -1L ELSE 1L END"
 
+# The halves of a line key.  A part with more digits than it has room for would run into the next one.
+LINE_HIGH = f"{LINE_SIGN} * (l_orderkey * 10000 + l_linenumber * 100 + CAST(l_quantity AS BIGINT))"
+LINE_FITS = "l_linenumber BETWEEN 0 AND 99 AND l_quantity >= 0 AND l_quantity < 100 AND l_suppkey BETWEEN 0 AND 999999999"
+LINE_LOW = (
+    f"CASE WHEN {LINE_FITS} THEN {LINE_SIGN} * (l_partkey * 1000000000 + l_suppkey) "
+    "ELSE raise_error(concat('line of order ', l_orderkey, ': a part of its key has too many digits')) END"
+)
+
+
+def line_key(high: str, low: str) -> str:
+    """The exact decimal of both halves."""
+    return f"CAST(CAST({high} AS DECIMAL(19,0)) * CAST('{LINE_UNIT}' AS DECIMAL(20,0)) + CAST({low} AS DECIMAL(19,0)) AS DECIMAL(38,0))"
+
+
 MAPPINGS = {
     "customers": (
         "customer",
@@ -74,10 +89,8 @@ MAPPINGS = {
         "lineitem",
         (
             # The source has no unique key: the columns that tell lines apart, side by side in decimal digits.
-            # Two 64-bit halves, checked for overflow, and one exact decimal of both.
-            f"CAST(CAST({LINE_SIGN} * (l_orderkey * 10000 + l_linenumber * 100 + CAST(l_quantity AS BIGINT)) "
-            "AS DECIMAL(19,0)) * CAST('10000000000000000000' AS DECIMAL(20,0)) "
-            f"+ CAST({LINE_SIGN} * (l_partkey * 1000000000 + l_suppkey) AS DECIMAL(19,0)) AS DECIMAL(38,0)) AS order_item_id",
+            # Two 64-bit halves, checked for overflow and for parts beyond their digits, and one exact decimal of both.
+            f"{line_key(LINE_HIGH, LINE_LOW)} AS order_item_id",
             "l_orderkey AS order_id",
             f"CASE WHEN l_partkey % 503 = 7 THEN l_partkey + {NOWHERE} ELSE l_partkey END AS product_id",
             "CASE WHEN l_orderkey % 499 = 1 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity",
@@ -115,14 +128,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SOURCE_DDL[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def snapshot(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """The entity's current source snapshot."""
+def snapshot(spark: SparkSession, sf_dir: str, entity: str, *more: str) -> DataFrame:
+    """The entity's current source snapshot, with ``more`` expressions over the source's columns."""
     name, columns = MAPPINGS[entity]
     source = table(spark, sf_dir, name)
     if entity == "customers":
         copies = F.when(F.col("c_custkey") % 101 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         source = source.withColumn("copy", F.explode(copies))
-    return source.selectExpr(*columns)
+    return source.selectExpr(*columns, *more)
 
 
 def earlier_snapshot(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -132,13 +145,14 @@ def earlier_snapshot(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame
     """
     spec: EntitySpec = ENTITIES[entity]
     changed, value = EARLIER_VALUES[entity]
-    key, kind = spec.key, spec.columns[spec.key]
-    older = f"CAST('{OLDER_LINE_KEY}' AS {kind})" if entity == "order_items" else OLDER_KEY
-    values = {
-        key: f"CASE WHEN {key} % 25 = 24 THEN CAST({key} + {older} AS {kind}) ELSE {key} END",
-        changed: f"CASE WHEN {key} % 10 = 1 THEN {value} ELSE {changed} END",
-    }
-    return snapshot(spark, sf_dir, entity).selectExpr(*[f"{values.get(c, c)} AS {c}" for c in spec.columns])
+    key, kind, more, digits = spec.key, spec.columns[spec.key], (), spec.key
+    older = f"CASE WHEN {key} % 25 = 24 THEN CAST({key} + CAST('{OLDER_KEY}' AS {kind}) AS {kind}) ELSE {key} END"
+    if entity == "order_items":
+        # On the halves, without arithmetic on wide decimals: the low one has the remainders of the whole key.
+        more, digits = (f"{LINE_HIGH} AS high", f"{LINE_LOW} AS low"), "low"
+        older = line_key(f"(high + CASE WHEN low % 25 = 24 THEN {OLDER_LINE_KEY // LINE_UNIT}L ELSE 0L END)", "low")
+    values = {key: older, changed: f"CASE WHEN {digits} % 10 = 1 THEN {value} ELSE {changed} END"}
+    return snapshot(spark, sf_dir, entity, *more).selectExpr(*[f"{values.get(c, c)} AS {c}" for c in spec.columns])
 
 
 # --- operational logs, one run per user and day -----------------------------------------------------
