@@ -123,6 +123,8 @@ def encoder(path: str) -> UnitEncoder:
     return UnitEncoder(path)
 
 
+SHARD_BYTES = 32 << 20  # of text
+MOST_SHARDS = 20_000  # beyond which shards grow; a shard is written in groups, so its size is no matter of memory
 GROUP_DDL = (
     "shard int, group int, doc_ids array<long>, doc_ends array<long>, n_ids long, words binary, offsets binary,"
     " escaped_at array<long>, escaped array<long>"
@@ -171,16 +173,23 @@ def _pack_shards(path: str, end_id: int, group_ids: int):
 def write_token_shards(
     docs: DataFrame, out: str, path: str | None = None, end_id: int = END_ID, group_ids: int = GROUP_IDS, shards: int | None = None
 ) -> None:
-    """Write the ids of every text, each followed by ``end_id``, in ascending doc_id order.
+    """Write the ids of every text, each followed by ``end_id``, in ascending order of doc_id and then of the text's hash.
 
-    Null text: as empty, the end id alone.  Null doc_ids come first, repeated ones next to each other.  Other
-    columns are not read.  Shard i holds smaller ids than shard i + 1.  Texts are dealt out by ranges of doc_id
-    before they are tokenized, so nothing is tokenized twice, and ids are never shuffled.
+    Null text: as empty, the end id alone.  Null doc_ids come first.  Other columns are not read.  Shard i comes before
+    shard i + 1; texts are dealt out by ranges of that order before they are tokenized, so nothing is tokenized twice, ids
+    are never shuffled, and rows of one doc_id, or of none, spread over shards like others.  Equal tables give equal files.
+    Their number follows the bytes of the texts.  Very long texts are encoded whole, each in a slice of its own.
     """
     path = path or public_tokenizers.path(TOKENIZER)
-    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = plain.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id")
+    if shards is None:
+        size = plain.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        shards = min(max(1, -(-size // SHARD_BYTES)), MOST_SHARDS)
+    ordered = (
+        plain.withColumn("hash", F.xxhash64("text"))
+        .repartitionByRange(shards, "doc_id", "hash")
+        .sortWithinPartitions("doc_id", "hash", "text")
+    )
     placed = ordered.select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     placed.mapInArrow(_pack_shards(path, end_id, group_ids), GROUP_DDL).write.parquet(out)
 
