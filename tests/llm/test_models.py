@@ -102,8 +102,3 @@ def test_languages_of_messy_rows(spark, messy, no_docs):
 def test_dictionaries_take_turns():
     found = langid.dictionaries([("a", "x" * 5000), ("a", "y" * 5000)], size=4096, part=1024)
     assert found["a"].count(b"x") > 1000 and found["a"].count(b"y") > 1000
-
-
-@pytest.mark.parametrize("module", [quality, toxicity, langid])
-def test_labels_and_ids_are_no_inputs(module):
-    assert "source" not in module.__dict__
