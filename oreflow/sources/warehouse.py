@@ -70,19 +70,27 @@ LOG_CHECKS = {
     "batches": ("status", BATCH_CHECKS),
     "events": ("event_type", EVENT_CHECKS),
 }
-SILVER_BUCKETS = 32
+# Rows that a bucket of a Silver table is laid out for when the table is first published; the fewest and most buckets.
+BUCKET_ROWS = 2_000_000
+LEAST_BUCKETS, MOST_BUCKETS = 32, 10_000
 LOG_PARTS = 32
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2, silver_buckets: int = SILVER_BUCKETS):
-        """``silver_buckets`` holds for tables not yet published: a Silver table keeps the number it began with."""
+    def __init__(
+        self, spark: SparkSession, root: str, keep_versions: int = 2, silver_buckets: int | None = None, bucket_rows: int = BUCKET_ROWS
+    ):
+        """``silver_buckets`` holds for tables not yet published: a Silver table keeps the number it began with.
+
+        Without it the number follows the rows of the batch that is published first, ``bucket_rows`` for each bucket.
+        """
         if keep_versions < 1:
             raise ValueError("at least one Silver version has to be kept")
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = keep_versions
         self.silver_buckets = silver_buckets
+        self.bucket_rows = bucket_rows
         self._published: dict[str, list[tuple[int, str, list[str | None]]]] = {}
         self._landed: dict[tuple[str, str], list[str]] = {}
 
@@ -227,10 +235,18 @@ class Warehouse:
             self._published[spec.name] = [tuple(row) for row in newest.select("version", "path", "paths").collect()]
         return self._published[spec.name]
 
-    def silver_bucket(self, spec: EntitySpec) -> Column:
+    def _first_buckets(self, spec: EntitySpec, batch_id: str) -> int:
+        """Buckets of a table that a batch begins, by the rows that the ledger has of it."""
+        if self.silver_buckets is not None:
+            return self.silver_buckets
+        ledger = self.log("bronze_ledger", batch_id).filter(F.col("entity") == spec.name)
+        rows = ledger.agg(F.coalesce(F.sum("rows_inserted"), F.lit(0))).first()[0]
+        return min(max(LEAST_BUCKETS, -(-rows // self.bucket_rows)), MOST_BUCKETS)
+
+    def silver_bucket(self, spec: EntitySpec, buckets: int | None = None) -> Column:
         """The bucket that a key belongs to."""
         versions = self._versions(spec)
-        n = len(versions[0][2]) if versions else self.silver_buckets
+        n = len(versions[0][2]) if versions else buckets or self.silver_buckets or LEAST_BUCKETS
         return F.pmod(F.xxhash64(F.col(spec.key).cast("string")), F.lit(n)).cast("int")
 
     def silver(self, spec: EntitySpec, buckets: set[int] | None = None) -> DataFrame | None:
@@ -265,14 +281,17 @@ class Warehouse:
     ) -> dict[str, int]:
         """Write the next state, then make it current by one ledger row.  Without counts all rows are new.
 
-        With ``buckets``, ``rows`` is the state of these alone; the others keep the files they have.
+        With ``buckets``, ``rows`` is the state of these alone; the others keep the files they have.  Files of a bucket
+        follow its bytes.
         """
         versions = self._versions(spec)
-        version, held = (versions[0][0] + 1, versions[0][2]) if versions else (1, [None] * self.silver_buckets)
+        if versions:
+            version, held = versions[0][0] + 1, versions[0][2]
+        else:
+            version, held = 1, [None] * self._first_buckets(spec, ctx.batch_id)
         path = f"silver/{spec.name}/{version}-{self.write_name(ctx)}"
-        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        part = F.pmod(F.xxhash64(F.col(spec.key).cast("string"), F.lit("file")), F.lit(max(1, partitions // len(held))))
-        placed = rows.withColumn("silver_bucket", self.silver_bucket(spec)).repartition("silver_bucket", part)
+        # Adaptive execution gives a large bucket as many tasks and files as its bytes want, and small ones share a task.
+        placed = rows.withColumn("silver_bucket", self.silver_bucket(spec, len(held))).hint("rebalance", "silver_bucket")
         placed.write.partitionBy("silver_bucket").parquet(f"{self.root}/{path}")
         found = self._children(f"{self.root}/{path}")
         paths = [

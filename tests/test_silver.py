@@ -5,6 +5,7 @@ import pytest
 from oreflow.model import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS, PAYMENTS, PRODUCTS
 from oreflow.operators import silver
 from oreflow.plans.loads import load_silver
+from oreflow.sources.warehouse import Warehouse
 from tests import rows
 
 
@@ -208,3 +209,33 @@ def test_superseded_versions_are_removed(spark, warehouse):
     assert [r.version for r in ledger] == [1, 2, 3, 4]
     assert [warehouse._exists(f"{warehouse.root}/{r.path}") for r in ledger] == [False, False, True, True]
     assert warehouse.silver(PRODUCTS).count() == 4
+
+
+def test_buckets_and_files_follow_the_rows(spark, tmp_path):
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    held = {k: spark.conf.get(k, None) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        wide = spark.range(60_000).selectExpr(
+            "id AS product_id", "concat(uuid(), uuid()) AS product_name", "uuid() AS category", "CAST(1 AS DECIMAL(18,2)) AS unit_cost",
+            "CAST(2 AS DECIMAL(18,2)) AS unit_price")
+        many = Warehouse(spark, str(tmp_path / "many"), bucket_rows=1_000)
+        load(many, "products", wide, rows.context("r1", "b1", 1))
+        assert len(many._versions(PRODUCTS)[0][2]) == 60 and many.silver(PRODUCTS).count() == 60_000
+
+        warehouse = Warehouse(spark, str(tmp_path / "few"), silver_buckets=4)
+        paths = lambda: warehouse._versions(PRODUCTS)[0][2]
+        files = lambda: [len(spark.read.parquet(f"{warehouse.root}/{x}").inputFiles()) for x in paths()]
+        load(warehouse, "products", wide, rows.context("r1", "b1", 1))
+        first = paths()
+        assert min(files()) >= 4  # a bucket of some megabytes is the work of several tasks
+        some = wide.filter("product_id % 100 = 7").selectExpr("product_id", "'changed' AS product_name", "category", "unit_cost", "unit_price")
+        assert load(warehouse, "products", some, rows.context("r2", "b2", 2)) == (0, 600, 0)
+        second = paths()
+        assert not set(first) & set(second) and min(files()) >= 4 and warehouse.silver(PRODUCTS).count() == 60_000
+        load(warehouse, "products", some.limit(1).selectExpr("product_id", "'again' AS product_name", "category", "unit_cost", "unit_price"), rows.context("r3", "b3", 3))
+        assert sum(a != b for a, b in zip(second, paths(), strict=True)) == 1
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
