@@ -32,11 +32,23 @@ def with_parents(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySp
     return batch
 
 
-def check_batch(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
-    """The batch's records with ``failure_reason``: '' for a row that may enter Silver."""
+def check_batch(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec, *more: str) -> DataFrame:
+    """The batch's records with ``failure_reason``: '' for a row that may enter Silver; and with ``more`` columns."""
     absent = {p.entity: f"_{p.entity}_key IS NULL" for p in spec.parents}
     return with_parents(batch, parents, spec).selectExpr(
-        *spec.columns, f"{failure_reason(spec, absent)} AS failure_reason"
+        *spec.columns, f"{failure_reason(spec, absent)} AS failure_reason", *more
+    )
+
+
+def batch_counts(batch: DataFrame, parents: dict[str, DataFrame], silver: DataFrame, spec: EntitySpec) -> DataFrame:
+    """One row: what bringing a batch into Silver would insert, update and quarantine, each row being checked once."""
+    checked = check_batch(batch, parents, spec, "record_hash") if spec.has_quarantine else batch.selectExpr("*", "'' AS failure_reason")
+    held = silver.selectExpr(f"{spec.key} AS _key", "record_hash AS _hash")
+    good, new = F.col("failure_reason") == "", F.col("_key").isNull()
+    return checked.join(held, F.expr(same_key(spec.key, "_key", spec)), "left").agg(
+        F.count_if(good & new).alias("rows_inserted"),
+        F.count_if(good & ~new & F.expr(hash_changed("record_hash", "_hash"))).alias("rows_updated"),
+        F.count_if(~good).alias("rows_quarantined"),
     )
 
 

@@ -356,14 +356,14 @@ def _sum_facts(facts: list[DataFrame], *keys: str) -> DataFrame:
 
 
 def stage_result_counts(s: Scenario) -> DataFrame:
-    facts = [
-        _silver_facts(
-            s.merged(entity), s.rejected(entity) if spec.has_quarantine else None,
-            F.lit(f"{entity}_silver").alias("stage_name"),
-        )
+    counts = [
+        silver.batch_counts(s.batch(entity), s.parents(entity), s.silver(entity, 1), spec).withColumn("stage_name", F.lit(f"{entity}_silver"))
         for entity, spec in ENTITIES.items()
     ]
-    return _sum_facts(facts, "stage_name")
+    result = counts[0]
+    for more in counts[1:]:
+        result = result.unionByName(more)
+    return result
 
 
 def latest_customers(s: Scenario) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,25 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def only_results(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is written in the block is removed when it ends, but for tables made with the ``written`` that this yields."""
+    start, results = len(_written), set()
+
+    def kept(rows: DataFrame, label: str) -> DataFrame:
+        table = written(rows, label)
+        results.add(_written[-1])
+        return table
+
+    try:
+        yield kept
+    finally:
+        made, _written[start:] = _written[start:], [x for x in _written[start:] if x in results]
+        for path in made:
+            if path not in results:
+                remove(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
