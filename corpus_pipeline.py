@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from oreflow.llm import bytebpe, decontam, ngramjoin, quality, toxicity
-from oreflow.sources.scratch import share_locally, written
+from oreflow.sources.scratch import only_results, share_locally
 from oreflow.sources.ship import ship_package
 
 
@@ -62,5 +62,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     share_locally(spark)
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"corpus-{name}")
+        with only_results(spark) as written:
+            docs = written(stage(spark, docs, sf_dir), f"corpus-{name}")
     return docs
