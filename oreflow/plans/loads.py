@@ -393,7 +393,7 @@ def load_silver(warehouse: Warehouse, spec: EntitySpec, ctx: RunContext, keys: D
             held = warehouse.quarantine_part(spec, ctx)
             quarantined = warehouse.append_quarantine(spec, ctx, quarantine_rows(rejected, held, spec, ctx))
             batch = batch.filter(fields_valid(spec)).join(rejected.select(spec.key), spec.key, "left_anti")
-        checked, silver = enforce_contract(batch, spec, silver_violations(spec)), warehouse.silver(spec)
+        checked, silver = enforce_contract(batch, spec, silver_violations(spec)), warehouse.silver_for(spec, batch, ctx.batch_id)
         if silver is None:
             counts = warehouse.publish_silver(spec, ctx, as_inserted(checked, spec, ctx))
         else:

@@ -74,6 +74,17 @@ LOG_CHECKS = {
 BUCKET_ROWS = 2_000_000
 LEAST_BUCKETS, MOST_BUCKETS = 32, 10_000
 LOG_PARTS = 32
+PUSHED_KEYS = 100  # keys of a batch that are named to the scan of Silver
+
+
+def _any_of(conditions: list[Column]) -> Column:
+    """One of them, as a shallow tree, which the scan takes as it is, where a long IN would become a range."""
+    if not conditions:
+        return F.lit(False)
+    while len(conditions) > 1:
+        pairs = zip(conditions[::2], conditions[1::2], strict=False)
+        conditions = [a | b for a, b in pairs] + conditions[len(conditions) // 2 * 2 :]
+    return conditions[0]
 
 
 class Warehouse:
@@ -259,6 +270,25 @@ class Warehouse:
             return self.empty(spec.silver_ddl)
         return self.spark.read.schema(spec.silver_ddl).parquet(*[f"{self.root}/{x}" for x in paths])
 
+    def silver_for(self, spec: EntitySpec, batch: DataFrame, batch_id: str) -> DataFrame | None:
+        """The current state as far as a batch's keys may be in it: all of it, or less where the batch is small.
+
+        A batch with fewer rows than there are buckets leaves buckets out.  Of one with very few rows the keys are part of
+        the scan's filter, so that Parquet's statistics and bloom filters of the key, by which files are sorted, skip
+        what holds none of them.
+        """
+        versions = self._versions(spec)
+        if not versions:
+            return None
+        ledger = self.log("bronze_ledger", batch_id).filter(F.col("entity") == spec.name)
+        rows = ledger.agg(F.coalesce(F.sum("rows_inserted"), F.lit(0))).first()[0]
+        if not 0 < rows <= 4 * len(versions[0][2]):
+            return self.silver(spec)
+        held = self.silver(spec, self.touched_buckets(spec, batch))
+        if rows <= PUSHED_KEYS:
+            held = held.filter(_any_of([F.col(spec.key) == F.lit(x[0]) for x in batch.select(spec.key).distinct().collect()]))
+        return held
+
     def last_published(self, spec: EntitySpec) -> datetime | None:
         """When Silver last got a new version."""
         return self.log("silver_ledger", spec.name).agg(F.max("published_at")).first()[0]
@@ -292,7 +322,8 @@ class Warehouse:
         path = f"silver/{spec.name}/{version}-{self.write_name(ctx)}"
         # Adaptive execution gives a large bucket as many tasks and files as its bytes want, and small ones share a task.
         placed = rows.withColumn("silver_bucket", self.silver_bucket(spec, len(held))).hint("rebalance", "silver_bucket")
-        placed.write.partitionBy("silver_bucket").parquet(f"{self.root}/{path}")
+        placed = placed.sortWithinPartitions("silver_bucket", spec.key)
+        placed.write.option(f"parquet.bloom.filter.enabled#{spec.key}", "true").partitionBy("silver_bucket").parquet(f"{self.root}/{path}")
         found = self._children(f"{self.root}/{path}")
         paths = [
             f"{path}/silver_bucket={i}" if f"silver_bucket={i}" in found

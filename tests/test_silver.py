@@ -239,3 +239,42 @@ def test_buckets_and_files_follow_the_rows(spark, tmp_path):
     finally:
         for k, v in held.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def scanned_rows(df) -> int:
+    """Rows that the scans of a plan gave out, after what Parquet's statistics and filters left out."""
+    df.collect()
+    plan, total = [df._jdf.queryExecution().executedPlan()], 0
+    while plan:
+        node = plan.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        plan += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_a_small_batch_reads_little_of_a_large_silver(spark, tmp_path, wide):
+    spec = ORDER_ITEMS if wide else PRODUCTS
+    key = "CAST(id AS DECIMAL(38,0)) * CAST('10000000000000000000' AS DECIMAL(20,0))" if wide else "id * 3"
+    make = lambda ids, n: ids.selectExpr(f"CAST({key} AS {spec.columns[spec.key]}) AS {spec.key}", *(
+        [f"CAST({n} AS BIGINT) AS order_id", "CAST(1 AS BIGINT) AS product_id", "1 AS quantity", "CAST(1 AS DECIMAL(18,2)) AS unit_price"] if wide
+        else [f"'{n}' AS product_name", "'c' AS category", "CAST(1 AS DECIMAL(18,2)) AS unit_cost", "CAST(1 AS DECIMAL(18,2)) AS unit_price"]))
+    warehouse = Warehouse(spark, str(tmp_path / "w"), silver_buckets=64)
+    first = silver.as_inserted(rows.bronze(make(spark.range(100_000), 1), spec.name, rows.context("r1", "b1", 1)), spec, rows.context("r1", "b1", 1))
+    warehouse.publish_silver(spec, rows.context("r1", "b1", 1), first)
+    read, found = {}, {}
+    with_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, ids in (("few", spark.range(5, 40_000, 13_000)), ("some", spark.range(0, 100_000, 800)), ("all", spark.range(100_000))):
+            batch = rows.context(f"r-{name}", name, 2)
+            rows.land(warehouse, spec.name, make(ids, 2), batch)
+            landed = warehouse.bronze_batch(spec, name)
+            held = warehouse.silver_for(spec, landed, name)
+            read[name] = scanned_rows(held.select(spec.key, "record_hash"))
+            found[name] = [sorted(map(tuple, silver.silver_changes(landed, x, spec).collect())) for x in (held, warehouse.silver(spec))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_aqe)
+    assert all(a == b for a, b in found.values()) and [len(found[x][0]) for x in ("few", "some", "all")] == [4, 125, 100_000]
+    assert read["few"] <= 4 * 2_000 and read["few"] < read["some"] < read["all"] == 100_000
