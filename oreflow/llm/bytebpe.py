@@ -88,7 +88,8 @@ DIGEST_DDL = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 stri
 def byte_bpe_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per document: number of ids, SHA-256 of the ids as little-endian 32-bit integers and of the decoded bytes.
 
-    Null text: as empty.  Repeated rows: one row each.  A null doc_id stays null.  Other columns are not read.
+    Null text: as empty.  Repeated rows: one row each.  A null doc_id stays null.  Other columns are not read.  Very long
+    texts are encoded whole, cut where no match of the pattern can reach across.
     """
     path = path or public_tokenizers.path(RANKS)
 

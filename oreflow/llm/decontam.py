@@ -107,7 +107,8 @@ def contamination(
     A word is hit when it lies in an occurrence of a window of an item; a document is contaminated when it has a
     hit word and at least one word in ``per_hit`` is hit.  Null or wordless texts have no words and are clean;
     wordless items have no window.  Repeated document rows give a row each; rows of one item id count as one item;
-    an item without an id hits but is not counted or listed.  Other columns are not read.
+    an item without an id hits but is not counted or listed.  Other columns are not read.  All of a very long text is
+    searched; its words are places in one row.
     """
     windows = written(item_windows(items.select("item_id", "text"), window), "decontam-windows")
     grams = window_shingles(windows, shingle)

@@ -248,7 +248,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut
     """Per row of ``docs``: ``doc_id, held_out, score, predicted``.
 
     Null text: as empty; it gets a score too.  Repeated rows: one row each; a doc_id counts once in the fit.  Without
-    labels every score is the same.  Nothing but the text enters a score; other columns are not read.
+    labels every score is the same.  Nothing but the text enters a score; other columns are not read.  Very long texts are
+    measured whole, each in a slice of its own.
     """
     rows = written(feature_rows(docs), "quality-features")
     model = learn(rows, labels, sample)

@@ -104,7 +104,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 4096) ->
     """Per document: UTF-8 bytes, tokens, and whether there are more than ``limit``.
 
     Null text: as empty, no tokens.  Repeated rows: one row each.  A null doc_id stays null.  Other columns are
-    not read.
+    not read.  Very long texts are counted whole, each in a slice of its own.
     """
     path = path or public_tokenizers.path(MODEL)
 

@@ -25,6 +25,7 @@ SCALE = 256
 TOP = 5
 BLOCK = 64
 SLICE_ROWS = 65536
+LEAST_ROWS = 4096  # of a slice, where a table is so small that there are cores without one
 QUERY_ROWS = 65536
 TILE_BYTES = 1 << 25  # of a slice's or a set of queries' 64-bit values, so that wide vectors meet fewer at a time
 BOUND_BYTES = 1 << 26  # of the slices' maxima that queries are held against before they are dealt out
@@ -222,10 +223,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP, column: str = "emb
     rows = written(quantized(vectors, column), "topk-vectors").select(F.monotonically_increasing_id().alias("row"), "*")
     asked = rows.filter(is_query)
     widths = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(is_query).alias("asked"))
+    spark = rows.sparkSession
+    busy = 2 * spark.sparkContext.defaultParallelism
     dealt = [
-        (dim, _dealt(n, _tile(slice_rows, dim)), _dealt(some, _tile(QUERY_ROWS, dim))) for dim, n, some in widths.collect()
+        (dim, max(_dealt(n, _tile(slice_rows, dim)), min(busy, n // LEAST_ROWS)), _dealt(some, _tile(QUERY_ROWS, dim)))
+        for dim, n, some in widths.collect()
     ]
-    spark = rows.sparkSession
     counts = F.broadcast(local_rows(spark, dealt, "dim INT, slices INT, sets INT"))
     cut = F.pmod(F.xxhash64("row"), F.col("slices")).cast("int")
     placed = rows.join(counts, "dim").withColumn("slice", cut)

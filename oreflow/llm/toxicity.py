@@ -189,7 +189,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, cut: float = CUT, most:
 
     ``severity`` is the expected grade, 0 to 3; ``toxic`` is 1 where P(grade >= 1) is at least ``cut``.  Null or
     wordless texts have no feature and get the score of one.  Repeated rows: one row each.  Without toxic labels
-    nothing is toxic.  Only the text enters a score; other columns are not read.
+    nothing is toxic.  Only the text enters a score; other columns are not read.  Very long texts are scored whole.
     """
     model = learn(docs, labels, most)
 
