@@ -274,8 +274,7 @@ class Warehouse:
         """The current state as far as a batch's keys may be in it: all of it, or less where the batch is small.
 
         A batch with fewer rows than there are buckets leaves buckets out.  Of one with very few rows the keys are part of
-        the scan's filter, so that Parquet's statistics and bloom filters of the key, by which files are sorted, skip
-        what holds none of them.
+        the scan's filter: files are sorted by the key, so Parquet's ranges of it skip pages that hold none of them.
         """
         versions = self._versions(spec)
         if not versions:
@@ -323,7 +322,7 @@ class Warehouse:
         # Adaptive execution gives a large bucket as many tasks and files as its bytes want, and small ones share a task.
         placed = rows.withColumn("silver_bucket", self.silver_bucket(spec, len(held))).hint("rebalance", "silver_bucket")
         placed = placed.sortWithinPartitions("silver_bucket", spec.key)
-        placed.write.option(f"parquet.bloom.filter.enabled#{spec.key}", "true").partitionBy("silver_bucket").parquet(f"{self.root}/{path}")
+        placed.write.partitionBy("silver_bucket").parquet(f"{self.root}/{path}")
         found = self._children(f"{self.root}/{path}")
         paths = [
             f"{path}/silver_bucket={i}" if f"silver_bucket={i}" in found
