@@ -102,12 +102,17 @@ def same_key(left: str, right: str, spec: EntitySpec) -> str:
     Keys beyond 64 bits are slow to hash and to sort: they meet by a 64-bit hash, and an exact check of the few that
     share one follows the join.  The check is no equality, or the planner would join by the wide key after all.
     """
-    if not _wide(spec):
+    if not wide_key(spec):
         return f"{left} = {right}"
-    return f"xxhash64({left}) = xxhash64({right}) AND {left} >= {right} AND {left} <= {right}"
+    return f"{join_key(left, spec)} = {join_key(right, spec)} AND {left} >= {right} AND {left} <= {right}"
 
 
-def _wide(spec: EntitySpec) -> bool:
+def join_key(column: str, spec: EntitySpec) -> str:
+    """What joins on a key column are dealt out by."""
+    return f"xxhash64({column})" if wide_key(spec) else column
+
+
+def wide_key(spec: EntitySpec) -> bool:
     kind = re.fullmatch(r"DECIMAL\((\d+),\d+\)", spec.columns[spec.key])
     return bool(kind) and int(kind[1]) > 18
 

@@ -8,34 +8,58 @@ from pyspark.sql import functions as F
 from oreflow.functions.columns import same_key, timestamp_literal
 from oreflow.functions.rules import failure_reason, fields_valid
 from oreflow.model import EntitySpec, Parent, RunContext
+from oreflow.operators.bronze import fingerprint_by_key
+from oreflow.sources.scratch import written
 
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
 
-def _parent_keys(parents: dict[str, DataFrame], parent: Parent) -> DataFrame:
-    # Only the key of the parent is read and shuffled.  It is unique, so the join cannot fan out.
-    return parents[parent.entity].selectExpr(f"{parent.column} AS _{parent.entity}_key")
+def missing_keys(batch: DataFrame, parents: dict[str, DataFrame], parent: Parent) -> DataFrame:
+    """The keys that a batch refers to and the parent's Silver does not hold, each once.
+
+    Only keys are shuffled, those of the batch after each task has left out its repeats.
+    """
+    referred = batch.select(parent.column).filter(f"{parent.column} IS NOT NULL").distinct()
+    return referred.join(parents[parent.entity].select(parent.column), parent.column, "left_anti")
+
+
+def _missing(
+    batch: DataFrame, parents: dict[str, DataFrame], parent: Parent, missing: dict[str, DataFrame] | None
+) -> DataFrame:
+    """The missing keys as a written table, unless they were handed over: the planner then knows how few they are.
+
+    The functions below take them as ``missing``, so that a load can write them once and reuse them.
+    """
+    found = written(missing_keys(batch, parents, parent), f"missing-{parent.entity}") if missing is None else missing[parent.entity]
+    return found.selectExpr(f"{parent.column} AS _no_{parent.entity}")
 
 
 def _refers(parent: Parent) -> Column:
-    return F.expr(f"{parent.column} = _{parent.entity}_key")
+    return F.expr(f"{parent.column} = _no_{parent.entity}")
 
 
-def with_parents(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
+def with_parents(
+    batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec, missing: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """Adds a ``_<parent>_key`` per parent: the referenced key, null when Silver does not hold it.
 
-    Parents are left-joined without a hint: the planner broadcasts key sets below its size threshold and
-    otherwise splits hot referencing keys at run time (adaptive skew join splits the left side).
+    Rows meet the missing keys, each of which is there once, and not all of a parent's.  There is no hint: the planner
+    broadcasts sets below its size threshold, so that wide rows stay where they are, and otherwise splits hot
+    referencing keys at run time (adaptive skew join splits the left side).
     """
+    joined = batch
     for parent in spec.parents:
-        batch = batch.join(_parent_keys(parents, parent), _refers(parent), "left")
-    return batch
+        joined = joined.join(_missing(batch, parents, parent, missing), _refers(parent), "left")
+    held = [f"CASE WHEN _no_{p.entity} IS NULL THEN {p.column} END AS _{p.entity}_key" for p in spec.parents]
+    return joined.selectExpr(*batch.columns, *held)
 
 
-def check_batch(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec, *more: str) -> DataFrame:
+def check_batch(
+    batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec, *more: str, missing: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """The batch's records with ``failure_reason``: '' for a row that may enter Silver; and with ``more`` columns."""
     absent = {p.entity: f"_{p.entity}_key IS NULL" for p in spec.parents}
-    return with_parents(batch, parents, spec).selectExpr(
+    return with_parents(batch, parents, spec, missing).selectExpr(
         *spec.columns, f"{failure_reason(spec, absent)} AS failure_reason", *more
     )
 
@@ -52,21 +76,30 @@ def batch_counts(batch: DataFrame, parents: dict[str, DataFrame], silver: DataFr
     )
 
 
-def rejected_rows(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
-    return check_batch(batch, parents, spec).filter("failure_reason <> ''")
+def rejected_rows(
+    batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec, missing: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    return check_batch(batch, parents, spec, missing=missing).filter("failure_reason <> ''")
 
 
-def orphans(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
+def orphans(
+    batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec, missing: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """Rows whose own fields pass but whose parent is missing (single-parent entities)."""
     (parent,) = spec.parents
-    return batch.filter(fields_valid(spec)).join(_parent_keys(parents, parent), _refers(parent), "left_anti")
+    valid = batch.filter(fields_valid(spec))
+    joined = valid.join(_missing(valid, parents, parent, missing), _refers(parent), "left")
+    return joined.filter(f"{parent.column} IS NULL OR _no_{parent.entity} IS NOT NULL").select(*batch.columns)
 
 
-def promotable(batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec) -> DataFrame:
+def promotable(
+    batch: DataFrame, parents: dict[str, DataFrame], spec: EntitySpec, missing: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """Rows that may enter Silver: fields pass and every parent is there."""
-    trusted = batch.filter(fields_valid(spec)) if spec.rules else batch
+    valid = trusted = batch.filter(fields_valid(spec)) if spec.rules else batch
     for parent in spec.parents:
-        trusted = trusted.join(_parent_keys(parents, parent), _refers(parent), "left_semi")
+        refers = trusted.filter(f"{parent.column} IS NOT NULL")
+        trusted = refers.join(_missing(valid, parents, parent, missing), _refers(parent), "left_anti")
     return trusted
 
 

@@ -273,12 +273,12 @@ def bronze_new_rows(entity: str, s: Scenario) -> DataFrame:
 
 
 def orders_orphans(s: Scenario) -> DataFrame:
-    return silver.orphans(s.batch("orders"), s.parents("orders"), ORDERS).select("order_id", "customer_id")
+    return silver.orphans(s.batch("orders"), s.parents("orders"), ORDERS, s.missing("orders")).select("order_id", "customer_id")
 
 
 def with_parents(entity: str, s: Scenario) -> DataFrame:
     spec = ENTITIES[entity]
-    joined = silver.with_parents(s.batch(entity), s.parents(entity), spec)
+    joined = silver.with_parents(s.batch(entity), s.parents(entity), spec, s.missing(entity))
     flags = [_flag(F.col(f"_{p.entity}_key").isNull(), f"{p.entity}_missing") for p in spec.parents]
     return joined.select(spec.key, *flags)
 

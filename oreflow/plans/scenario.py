@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.columns import hash_hex
 from oreflow.model import ENTITIES, RunContext
-from oreflow.operators.bronze import fingerprint, stamp_lineage
+from oreflow.operators.bronze import fingerprint, fingerprint_by_key, stamp_lineage
 from oreflow.operators.quality import valid_customers
-from oreflow.operators.silver import promotable, rejected_rows, silver_merge
+from oreflow.operators.silver import missing_keys, promotable, rejected_rows, silver_merge
 from oreflow.sources import testdata
 from oreflow.sources.scratch import written
 
@@ -68,13 +68,16 @@ class Scenario:
         read = testdata.snapshot if batch == 2 else testdata.earlier_snapshot
         return read(self.spark, self.sf_dir, entity)
 
+    @once
+    def rows(self, entity: str, batch: int = 2) -> DataFrame:
+        """Rows to land for a batch, customers validated, as the source has them."""
+        rows = self.source(entity, batch)
+        return valid_customers(rows) if entity == "customers" else rows
+
     @once
     def landed(self, entity: str, batch: int = 2) -> DataFrame:
         """Rows to land for a batch: fingerprinted, customers validated."""
-        rows = self.source(entity, batch)
-        if entity == "customers":
-            rows = valid_customers(rows)
-        return fingerprint(rows, ENTITIES[entity])
+        return fingerprint(self.rows(entity, batch), ENTITIES[entity])
 
     @once
     def batch(self, entity: str, batch: int = 2) -> DataFrame:
@@ -91,14 +94,31 @@ class Scenario:
     def parents(self, entity: str, batch: int = 2) -> dict[str, DataFrame]:
         return {p.entity: self.silver_keys(p.entity, batch) for p in ENTITIES[entity].parents}
 
+    @once
+    def missing(self, entity: str, batch: int = 2) -> dict[str, DataFrame]:
+        """For each parent the keys that a batch refers to and Silver does not hold, written once."""
+        rows, parents = self.rows(entity, batch), self.parents(entity, batch)
+        return {p.entity: written(missing_keys(rows, parents, p), f"missing-{entity}-{p.entity}-{batch}") for p in ENTITIES[entity].parents}
+
+    @once
+    def promotable(self, entity: str, batch: int = 2) -> DataFrame:
+        return promotable(self.rows(entity, batch), self.parents(entity, batch), ENTITIES[entity], self.missing(entity, batch))
+
     @once
     def trusted(self, entity: str, batch: int = 2) -> DataFrame:
-        return promotable(self.batch(entity, batch), self.parents(entity, batch), ENTITIES[entity])
+        return stamp_lineage(fingerprint(self.promotable(entity, batch), ENTITIES[entity]), CONTEXTS[batch])
+
+    @once
+    def keyed(self, entity: str, batch: int = 2) -> DataFrame:
+        """``trusted`` for joins on the key; valid customers are dealt out by it already."""
+        if entity == "customers":
+            return self.trusted(entity, batch)
+        return stamp_lineage(fingerprint_by_key(self.promotable(entity, batch), ENTITIES[entity]), CONTEXTS[batch])
 
     @once
     def merged(self, entity: str, batch: int = 2) -> DataFrame:
         before = self.silver(entity, 1) if batch == 2 else None
-        return silver_merge(self.trusted(entity, batch), before, ENTITIES[entity], CONTEXTS[batch])
+        return silver_merge(self.keyed(entity, batch), before, ENTITIES[entity], CONTEXTS[batch])
 
     @once
     def silver(self, entity: str, batch: int = 2) -> DataFrame:
@@ -107,14 +127,14 @@ class Scenario:
     @once
     def silver_keys(self, entity: str, batch: int = 2) -> DataFrame:
         """What a child needs of its parent: the keys in Silver after a batch.  Nothing ever leaves Silver."""
-        keys = self.trusted(entity, batch).select(ENTITIES[entity].key)
+        keys = self.promotable(entity, batch).select(ENTITIES[entity].key)
         if batch == 2:
             keys = keys.unionByName(self.silver_keys(entity, 1)).distinct()
         return written(keys, f"silver-keys-{entity}-{batch}")
 
     @once
     def rejected(self, entity: str) -> DataFrame:
-        return rejected_rows(self.batch(entity), self.parents(entity), ENTITIES[entity])
+        return rejected_rows(self.batch(entity), self.parents(entity), ENTITIES[entity], self.missing(entity))
 
     def held_quarantine(self, entity: str) -> DataFrame:
         """Evidence the interrupted attempt left behind."""
@@ -133,5 +153,3 @@ class Scenario:
 
     def quarantined_customers(self) -> DataFrame:
         return testdata.customer_quarantine(self.spark, self.sf_dir)
-
-

@@ -215,3 +215,35 @@ def test_quarantine_counts_distinct_customers_in_two_steps(spark):
     assert re.search(r"Exchange hashpartitioning\(pipeline_run_id#\d+, customer_id#\d+L", text)
 
 
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def fingerprints_shuffled(df) -> int:
+    """Of the projections that make fingerprints, those whose rows a shuffle by some key moves on."""
+    path, found = [], 0
+    for line in plan(df).split("\n== Initial Plan ==")[0].splitlines():
+        depth = len(re.match(r"[\s:|+-]*", line).group())
+        path = [x for x in path if x[0] < depth] + [(depth, line)]
+        found += "sha2(" in line and any("Exchange hashpartitioning" in x for _, x in path[:-1])
+    return found
+
+
+@pytest.mark.parametrize("query", ["silver_order_items", "silver_orders", "silver_payments"])
+def test_a_silver_query_shuffles_no_fingerprint(spark, no_broadcast, query):
+    df = catalog()[query](spark, SF)
+    assert plan(df).count("sha2(") == 2 and fingerprints_shuffled(df) == 0
+
+
+def test_rows_meet_missing_parents_alone(spark):
+    """A few missing parents are sent to the rows, however many there are in Silver."""
+    batch = rows.bronze(hot_orders(spark, 30_000), "orders", rows.context())
+    parents = {"customers": spark.range(1, 3_000_000).selectExpr("id AS customer_id").filter("customer_id <> 7")}
+    for result in (silver.check_batch(batch, parents, ORDERS), silver.promotable(batch, parents, ORDERS), silver.orphans(batch, parents, ORDERS)):
+        assert "Exchange hashpartitioning" not in plan(result) and "BroadcastHashJoin" in plan(result)

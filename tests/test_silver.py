@@ -278,3 +278,17 @@ def test_a_small_batch_reads_little_of_a_large_silver(spark, tmp_path, wide):
         spark.conf.set("spark.sql.adaptive.enabled", with_aqe)
     assert all(a == b for a, b in found.values()) and [len(found[x][0]) for x in ("few", "some", "all")] == [4, 125, 100_000]
     assert read["few"] <= 4 * 2_000 and read["few"] < read["some"] < read["all"] == 100_000
+
+
+def test_a_reference_that_is_null_or_missing_has_no_parent(spark):
+    df = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "order_id BIGINT, customer_id BIGINT").selectExpr(
+        "order_id", "customer_id", "TIMESTAMP_NTZ '2026-01-01 00:00:00' AS order_date", "'Pending' AS status", "CAST(1 AS DECIMAL(18,2)) AS total_amount"
+    )
+    parents = {"customers": spark.createDataFrame([(1,), (2,)], "customer_id BIGINT")}
+    missing = {"customers": silver.missing_keys(df, parents, ORDERS.parents[0])}
+    assert [r.customer_id for r in missing["customers"].collect()] == [9]
+    for given in (None, missing):
+        keys = silver.with_parents(df, parents, ORDERS, given).select("order_id", "_customers_key").collect()
+        assert sorted(map(tuple, keys)) == [(1, 1), (2, None), (3, None)]
+        assert [r.order_id for r in silver.promotable(df, parents, ORDERS, given).collect()] == [1]
+        assert [r.order_id for r in silver.orphans(df, parents, ORDERS, given).collect()] == [2]
