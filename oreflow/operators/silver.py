@@ -149,9 +149,9 @@ def silver_new(batch: DataFrame, silver: DataFrame, spec: EntitySpec) -> DataFra
 def silver_changed(batch: DataFrame, silver: DataFrame, spec: EntitySpec) -> DataFrame:
     """Batch rows whose key is in Silver with another fingerprint."""
     current = silver.selectExpr(f"{spec.key} AS _key", "record_hash AS _hash")
-    return batch.join(current, F.expr(f"{same_key(spec.key, '_key', spec)} AND {hash_changed('record_hash', '_hash')}")).drop(
-        "_key", "_hash"
-    )
+    # Coalesced, or the planner would look for null fingerprints, and make them, before the rows are dealt out.
+    changed = f"coalesce({hash_changed('record_hash', '_hash')}, false)"
+    return batch.join(current, F.expr(f"{same_key(spec.key, '_key', spec)} AND {changed}")).drop("_key", "_hash")
 
 
 def as_inserted(trusted: DataFrame, spec: EntitySpec, ctx: RunContext) -> DataFrame:

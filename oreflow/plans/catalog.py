@@ -288,11 +288,11 @@ def promotable(entity: str, s: Scenario) -> DataFrame:
 
 
 def silver_changed(entity: str, s: Scenario) -> DataFrame:
-    return _key_and_hash(silver.silver_changed(s.trusted(entity), s.silver(entity, 1), ENTITIES[entity]), entity)
+    return _key_and_hash(silver.silver_changed(s.keyed(entity), s.silver(entity, 1), ENTITIES[entity]), entity)
 
 
 def silver_new(entity: str, s: Scenario) -> DataFrame:
-    return _key_and_hash(silver.silver_new(s.trusted(entity), s.silver(entity, 1), ENTITIES[entity]), entity)
+    return _key_and_hash(silver.silver_new(s.keyed(entity), s.silver(entity, 1), ENTITIES[entity]), entity)
 
 
 def quarantine_new(entity: str, s: Scenario) -> DataFrame:

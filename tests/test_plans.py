@@ -241,6 +241,12 @@ def test_a_silver_query_shuffles_no_fingerprint(spark, no_broadcast, query):
     assert plan(df).count("sha2(") == 2 and fingerprints_shuffled(df) == 0
 
 
+@pytest.mark.parametrize("query", ["silver_changed_order_items", "silver_new_order_items"])
+def test_changes_are_found_without_shuffling_a_fingerprint(spark, no_broadcast, query):
+    df = catalog()[query](spark, SF)
+    assert "sha2(" in plan(df) and fingerprints_shuffled(df) == 0
+
+
 def test_rows_meet_missing_parents_alone(spark):
     """A few missing parents are sent to the rows, however many there are in Silver."""
     batch = rows.bronze(hot_orders(spark, 30_000), "orders", rows.context())
