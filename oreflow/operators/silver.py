@@ -64,11 +64,17 @@ def check_batch(
     )
 
 
-def batch_counts(batch: DataFrame, parents: dict[str, DataFrame], silver: DataFrame, spec: EntitySpec) -> DataFrame:
-    """One row: what bringing a batch into Silver would insert, update and quarantine, each row being checked once."""
-    checked = check_batch(batch, parents, spec, "record_hash") if spec.has_quarantine else batch.selectExpr("*", "'' AS failure_reason")
+def batch_counts(
+    rows: DataFrame, parents: dict[str, DataFrame], silver: DataFrame, spec: EntitySpec, missing: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """One row: what bringing rows into Silver would insert, update and quarantine, each row being checked once.
+
+    Rows come without fingerprints.
+    """
+    checked = check_batch(rows, parents, spec, missing=missing) if spec.has_quarantine else rows.selectExpr("*", "'' AS failure_reason")
+    checked = fingerprint_by_key(checked.withColumn("_good", F.col("failure_reason") == ""), spec, "_good")
     held = silver.selectExpr(f"{spec.key} AS _key", "record_hash AS _hash")
-    good, new = F.col("failure_reason") == "", F.col("_key").isNull()
+    good, new = F.col("_good"), F.col("_key").isNull()
     return checked.join(held, F.expr(same_key(spec.key, "_key", spec)), "left").agg(
         F.count_if(good & new).alias("rows_inserted"),
         F.count_if(good & ~new & F.expr(hash_changed("record_hash", "_hash"))).alias("rows_updated"),

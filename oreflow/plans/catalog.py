@@ -357,7 +357,7 @@ def _sum_facts(facts: list[DataFrame], *keys: str) -> DataFrame:
 
 def stage_result_counts(s: Scenario) -> DataFrame:
     counts = [
-        silver.batch_counts(s.batch(entity), s.parents(entity), s.silver(entity, 1), spec).withColumn("stage_name", F.lit(f"{entity}_silver"))
+        silver.batch_counts(s.rows(entity), s.parents(entity), s.silver(entity, 1), spec, s.missing(entity)).withColumn("stage_name", F.lit(f"{entity}_silver"))
         for entity, spec in ENTITIES.items()
     ]
     result = counts[0]

@@ -247,6 +247,11 @@ def test_changes_are_found_without_shuffling_a_fingerprint(spark, no_broadcast,
     assert "sha2(" in plan(df) and fingerprints_shuffled(df) == 0
 
 
+def test_stage_counts_shuffle_no_fingerprint(spark, no_broadcast):
+    df = catalog()["stage_result_counts"](spark, SF)
+    assert plan(df).count("sha2(") == 10 and fingerprints_shuffled(df) == 0
+
+
 def test_rows_meet_missing_parents_alone(spark):
     """A few missing parents are sent to the rows, however many there are in Silver."""
     batch = rows.bronze(hot_orders(spark, 30_000), "orders", rows.context())
