@@ -94,8 +94,23 @@ def _not_held(rows: DataFrame, bronze: DataFrame | None, spec: EntitySpec, ctx:
     return rows.join(held, F.expr(same_key(spec.key, "_held_key", spec)), "left_anti")
 
 
-def count_unique(rows: DataFrame, spec: EntitySpec, ctx: RunContext) -> int:
-    """The number of rows, in the same aggregate that stops the load when a key would enter the batch twice."""
+def count_unique(rows: DataFrame, spec: EntitySpec, ctx: RunContext, bits: int = 64) -> int:
+    """The number of rows, in the same aggregate that stops the load when a key would enter the batch twice.
+
+    Of a wide key so many ``bits`` of a hash are shuffled; only where rows share them are the keys themselves counted.
+    """
+    if wide_key(spec):
+        short = F.shiftrightunsigned(F.xxhash64(spec.key), 64 - bits).alias("_short")
+        per_hash = rows.groupBy(short).agg(F.count("*").alias("_n"))
+        total, shared = per_hash.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count_if(F.col("_n") > 1)).first()
+        if not shared:
+            return total
+        _count_by_key(rows.join(per_hash.filter("_n > 1").select("_short"), short == F.col("_short"), "left_semi"), spec, ctx)
+        return total
+    return _count_by_key(rows, spec, ctx)
+
+
+def _count_by_key(rows: DataFrame, spec: EntitySpec, ctx: RunContext) -> int:
     per_key = rows.groupBy(spec.key).agg(F.count("*").alias("_n"))
     total, repeated = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)), F.min(F.when(F.col("_n") > 1, F.col(spec.key)))

@@ -70,10 +70,10 @@ def stage_replace_run(s: Scenario) -> DataFrame:
 def bronze_append(entity: str, s: Scenario) -> DataFrame:
     """Batch 1, an interrupted attempt at batch 2, the attempt that adds what was missing, and the same once more."""
     spec, warehouse = ENTITIES[entity], _warehouse(s.spark, f"bronze-{entity}")
-    steps = ((FIRST, s.landed(entity, 1)), (INTERRUPTED, s.landed(entity).filter(HANDLED[entity])), (SECOND, s.landed(entity)), (SECOND, s.landed(entity)))
+    steps = ((FIRST, s.rows(entity, 1)), (INTERRUPTED, s.rows(entity).filter(HANDLED[entity])), (SECOND, s.rows(entity)), (SECOND, s.rows(entity)))
     for ctx, rows in steps:
         held = warehouse.bronze_batch(spec, ctx.batch_id)
-        new = b.enforce_contract(b.bronze_new_rows(rows, held, spec, ctx), spec, b.violations(spec))
+        new = b.enforce_contract(b.landing_rows(rows, held, spec, ctx), spec, b.violations(spec))
         warehouse.append_bronze(spec, ctx, new, unique=entity == "customers")
     written = warehouse.bronze(spec)
     return shown(written.select(spec.key, "batch_id", "pipeline_run_id", "ingested_at", "record_hash"))
@@ -268,7 +268,7 @@ def schema_contract(s: Scenario) -> DataFrame:
 
 
 def bronze_new_rows(entity: str, s: Scenario) -> DataFrame:
-    rows = b.bronze_new_rows(s.landed(entity), s.interrupted_bronze(entity), ENTITIES[entity], SECOND)
+    rows = b.landing_rows(s.rows(entity), s.interrupted_bronze(entity), ENTITIES[entity], SECOND)
     return shown(rows.select(ENTITIES[entity].key, "pipeline_run_id", "batch_id", "record_hash"))
 
 

@@ -1,7 +1,9 @@
+from decimal import Decimal
+
 import pytest
 
-from oreflow.model import CUSTOMERS, ENTITIES, ORDERS, PRODUCTS, RunContext
-from oreflow.operators.bronze import DuplicateKeyError
+from oreflow.model import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS, PRODUCTS, RunContext
+from oreflow.operators.bronze import DuplicateKeyError, count_unique
 from oreflow.operators.quality import DataQualityError
 from oreflow.plans.loads import load_bronze
 from oreflow.sources import jdbc
@@ -192,3 +194,13 @@ def test_jdbc_extraction_is_partitioned_on_the_key():
     )
     assert (settings["partitionColumn"], settings["lowerBound"], settings["upperBound"]) == ("order_id", 1, 1000)
     assert settings["numPartitions"] == 16
+
+
+@pytest.mark.parametrize("bits", [64, 2])
+def test_wide_keys_are_counted_by_hash_and_told_apart_exactly(spark, bits):
+    """With two bits many different keys share a hash; only a key that is there twice stops the load."""
+    ctx, some = rows.context(), [rows.item(key=Decimal(10**30 + n)) for n in range(20)]
+    assert count_unique(rows.items(spark, *some), ORDER_ITEMS, ctx, bits) == 20
+    assert count_unique(rows.items(spark), ORDER_ITEMS, ctx, bits) == 0
+    with pytest.raises(DuplicateKeyError, match=f"order_item_id={10**30 + 7} "):
+        count_unique(rows.items(spark, *some, some[7], some[9]), ORDER_ITEMS, ctx, bits)

@@ -252,6 +252,11 @@ def test_stage_counts_shuffle_no_fingerprint(spark, no_broadcast):
     assert plan(df).count("sha2(") == 10 and fingerprints_shuffled(df) == 0
 
 
+def test_a_resumed_batch_shuffles_no_fingerprint(spark, no_broadcast):
+    df = catalog()["bronze_new_rows_order_items"](spark, SF)
+    assert "sha2(" in plan(df) and fingerprints_shuffled(df) == 0
+
+
 def test_rows_meet_missing_parents_alone(spark):
     """A few missing parents are sent to the rows, however many there are in Silver."""
     batch = rows.bronze(hot_orders(spark, 30_000), "orders", rows.context())
