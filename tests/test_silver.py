@@ -292,3 +292,18 @@ def test_a_reference_that_is_null_or_missing_has_no_parent(spark):
         assert sorted(map(tuple, keys)) == [(1, 1), (2, None), (3, None)]
         assert [r.order_id for r in silver.promotable(df, parents, ORDERS, given).collect()] == [1]
         assert [r.order_id for r in silver.orphans(df, parents, ORDERS, given).collect()] == [2]
+
+
+def test_rows_named_for_promotion_are_read_from_bronze_once(spark, warehouse, monkeypatch):
+    ctx, made = rows.context(), []
+    rows.land(warehouse, "orders", rows.orders(spark, rows.order(1), rows.order(2), rows.order(3)), ctx)
+    warehouse.publish_silver(CUSTOMERS, ctx, silver.as_inserted(rows.bronze(rows.customers(spark, rows.customer(1)), "customers", ctx), CUSTOMERS, ctx))
+    stage = type(warehouse).stage
+    monkeypatch.setattr(type(warehouse), "stage", lambda self, name, c, df: (made.append(name), stage(self, name, c, df))[1])
+    keys = spark.createDataFrame([(2,), (3,)], "order_id BIGINT")
+    assert load_silver(warehouse, ORDERS, ctx, keys)["rows_inserted"] == 2
+    assert made[:3] == ["orders_named", "orders_no_customers", "orders_rejected"]
+    assert not warehouse._children(f"{warehouse.root}/stage/orders_named")
+    assert sorted(r.order_id for r in warehouse.silver(ORDERS).collect()) == [2, 3]
+    assert load_silver(warehouse, ORDERS, ctx) == {"rows_inserted": 1, "rows_updated": 0, "rows_quarantined": 0}
+    assert sorted(r.order_id for r in warehouse.silver(ORDERS).collect()) == [1, 2, 3]
