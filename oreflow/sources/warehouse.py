@@ -41,6 +41,7 @@ from oreflow.model import (
 from oreflow.operators.bronze import count_unique, guarded
 from oreflow.operators.contracts import BATCH_CHECKS, EVENT_CHECKS
 from oreflow.sources.local import local_rows
+from oreflow.sources.scratch import shuffles_dropped
 
 LOGS = {
     "pipeline_runs": RUN_LOG_DDL,
@@ -75,6 +76,7 @@ BUCKET_ROWS = 2_000_000
 LEAST_BUCKETS, MOST_BUCKETS = 32, 10_000
 LOG_PARTS = 32
 PUSHED_KEYS = 100  # keys of a batch that are named to the scan of Silver
+CODEC = "zstd"  # of the tables that stay
 
 
 def _any_of(conditions: list[Column]) -> Column:
@@ -136,6 +138,11 @@ class Warehouse:
         reader = self.spark.read.schema(ddl)
         return (reader.option("basePath", base) if base else reader).parquet(path)
 
+    def _write(self, rows: DataFrame, path: str, *partitions: str) -> None:
+        """Write a folder of a table that stays."""
+        with shuffles_dropped(self.spark):
+            rows.write.option("compression", CODEC).partitionBy(*partitions).parquet(f"{self.root}/{path}")
+
     def remove(self) -> None:
         """Delete everything below the root."""
         self._delete(self.root)
@@ -158,7 +165,8 @@ class Warehouse:
         """
         path = self._stage_path(name, ctx.pipeline_run_id)
         schema = rows.schema
-        rows.write.mode("overwrite").parquet(path)
+        with shuffles_dropped(self.spark):
+            rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def clear_stage(self, name: str, ctx: RunContext) -> None:
@@ -203,10 +211,11 @@ class Warehouse:
         ``unique`` tells that the rows are known to have no key twice.
         """
         path = f"bronze/{spec.name}/batch_id={ctx.batch_id}/{self.write_name(ctx)}"
-        rows.drop("batch_id").write.parquet(f"{self.root}/{path}")
+        self._write(rows.drop("batch_id"), path)
         written = self._read_bronze(spec, [path])
         try:
-            count = written.count() if unique else count_unique(written, spec, ctx)
+            with shuffles_dropped(self.spark):
+                count = written.count() if unique else count_unique(written, spec, ctx)
         except Exception:
             self._delete(f"{self.root}/{path}")
             raise
@@ -233,9 +242,9 @@ class Warehouse:
     def append_quarantine(self, spec: EntitySpec, ctx: RunContext, rows: DataFrame) -> int:
         """Add evidence in a folder of its own; returns the number of rows that this call added."""
         column = spec.quarantine_partition
-        target = f"{self.root}/quarantine/{spec.name}/{column}={getattr(ctx, column)}/{self.write_name(ctx)}"
-        rows.drop(column).write.parquet(target)
-        return self.spark.read.schema(spec.quarantine_ddl).parquet(target).count()
+        target = f"quarantine/{spec.name}/{column}={getattr(ctx, column)}/{self.write_name(ctx)}"
+        self._write(rows.drop(column), target)
+        return self.spark.read.schema(spec.quarantine_ddl).parquet(f"{self.root}/{target}").count()
 
     # --- silver --------------------------------------------------------------------------------------
 
@@ -298,7 +307,8 @@ class Warehouse:
 
     def touched_buckets(self, spec: EntitySpec, changes: DataFrame) -> set[int]:
         """Buckets with a changed key: at most as many values as there are buckets."""
-        return {row[0] for row in changes.select(self.silver_bucket(spec)).distinct().collect()}
+        with shuffles_dropped(self.spark):
+            return {row[0] for row in changes.select(self.silver_bucket(spec)).distinct().collect()}
 
     def publish_silver(
         self,
@@ -322,7 +332,7 @@ class Warehouse:
         # Adaptive execution gives a large bucket as many tasks and files as its bytes want, and small ones share a task.
         placed = rows.withColumn("silver_bucket", self.silver_bucket(spec, len(held))).hint("rebalance", "silver_bucket")
         placed = placed.sortWithinPartitions("silver_bucket", spec.key)
-        placed.write.partitionBy("silver_bucket").parquet(f"{self.root}/{path}")
+        self._write(placed, path, "silver_bucket")
         found = self._children(f"{self.root}/{path}")
         paths = [
             f"{path}/silver_bucket={i}" if f"silver_bucket={i}" in found

@@ -72,3 +72,10 @@ def land(warehouse, entity, df, ctx):
     spec = ENTITIES[entity]
     held = warehouse.bronze_batch(spec, ctx.batch_id)
     return warehouse.append_bronze(spec, ctx, bronze_new_rows(fingerprint(df, spec), held, spec, ctx))
+
+
+def shuffle_files(spark) -> set[str]:
+    """What shuffles have left on this machine's disk."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}

@@ -1,3 +1,4 @@
+import time
 from decimal import Decimal
 
 import pytest
@@ -204,3 +205,23 @@ def test_wide_keys_are_counted_by_hash_and_told_apart_exactly(spark, bits):
     assert count_unique(rows.items(spark), ORDER_ITEMS, ctx, bits) == 0
     with pytest.raises(DuplicateKeyError, match=f"order_item_id={10**30 + 7} "):
         count_unique(rows.items(spark, *some, some[7], some[9]), ORDER_ITEMS, ctx, bits)
+
+
+def test_a_resumed_load_leaves_no_shuffle_on_disk_and_packs_its_files(spark, warehouse):
+    """What the join with the keys held and the counts shuffled is gone when the load ends."""
+    threshold, cleanup = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held, some = spark.conf.get(threshold), [rows.item(key=n) for n in range(1, 50)]
+    spark.conf.set(threshold, "-1")
+    try:
+        before = rows.shuffle_files(spark)
+        assert load_bronze(warehouse, ORDER_ITEMS, rows.items(spark, *some[:20]), rows.context("r1")) == 20
+        assert load_bronze(warehouse, ORDER_ITEMS, rows.items(spark, *some), rows.context("r2")) == 29
+        until = time.time() + 10
+        while rows.shuffle_files(spark) - before and time.time() < until:
+            time.sleep(0.2)
+        assert not rows.shuffle_files(spark) - before
+    finally:
+        spark.conf.set(threshold, held)
+    assert spark.conf.get(cleanup) == "false"
+    files = warehouse.bronze(ORDER_ITEMS).inputFiles()
+    assert files and all(x.endswith(".zstd.parquet") for x in files)
