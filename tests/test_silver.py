@@ -307,3 +307,60 @@ def test_rows_named_for_promotion_are_read_from_bronze_once(spark, warehouse, mo
     assert sorted(r.order_id for r in warehouse.silver(ORDERS).collect()) == [2, 3]
     assert load_silver(warehouse, ORDERS, ctx) == {"rows_inserted": 1, "rows_updated": 0, "rows_quarantined": 0}
     assert sorted(r.order_id for r in warehouse.silver(ORDERS).collect()) == [1, 2, 3]
+
+
+def stored(spark, *prints):
+    """Items with a stored fingerprint each: their own, or what else is given."""
+    ctx, some = rows.context(), [rows.item(key=n, quantity=n) for n in range(1, len(prints) + 1)]
+    batch = rows.bronze(rows.items(spark, *some), "order_items", ctx)
+    arms = " ".join(f"WHEN order_item_id = {n} THEN {p}" for n, p in enumerate(prints, 1) if p != "own")
+    return batch.withColumn("record_hash", silver.F.expr(f"CASE {arms} ELSE record_hash END"))
+
+
+def test_packed_rows_give_back_any_stored_fingerprint(spark):
+    batch = stored(spark, "own", "X'00'", "CAST(NULL AS BINARY)", "X''", "CAST(sha2('x', 256) AS BINARY)", "own").repartition(3)
+    moved = silver.packed(batch, ORDER_ITEMS)
+    lengths = {int(r.order_item_id): r.n for r in moved.selectExpr("order_item_id", "octet_length(_print) AS n").collect()}
+    assert lengths == {1: 0, 2: 2, 3: None, 4: 1, 5: 65, 6: 0}
+    back = silver.unpacked(moved.repartition(2), ORDER_ITEMS).select(*batch.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, batch.collect()))
+
+
+def test_held_rows_leave_with_the_shuffle_of_the_layout(spark):
+    """One shuffle, without fingerprints, takes keys out and deals rows out; rows without a key stay."""
+    ctx = rows.context()
+    some = [rows.item(key=k) for k in (1, 2, 3, None, None)]
+    held = silver.as_inserted(rows.bronze(rows.items(spark, *some), "order_items", ctx), ORDER_ITEMS, ctx)
+    gone = rows.items(spark, rows.item(key=2), rows.item(key=9), rows.item(key=None))
+    place = silver.F.expr("pmod(hash(order_item_id), 4)")
+    left = silver.without_keys(held, gone, ORDER_ITEMS, place)
+    assert left.columns == held.columns
+    want = [str(r) for r in held.collect() if r.order_item_id != 2]
+    assert sorted(map(str, left.collect())) == sorted(want) and len(want) == 4
+    text = left._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert text.count("Exchange") == 1
+    coming = silver.ranked(held.filter("order_item_id = 3").withColumn("quantity", silver.F.lit(7)), silver.COMING)
+    both = silver.settled(silver.ranked(held, silver.HELD).unionByName(coming), ORDER_ITEMS, place)
+    assert sorted((int(r.order_item_id or 0), r.quantity) for r in both.collect()) == [(0, 2), (0, 2), (1, 2), (2, 2), (3, 7)]
+
+
+@pytest.mark.parametrize("entity", ["order_items", "products"])
+def test_changes_that_carry_their_rows_need_no_batch(spark, entity):
+    first, second = rows.context("r1", "b1", 1), rows.context("r2", "b2", 2)
+    if entity == "order_items":
+        spec, held, new = ORDER_ITEMS, stored(spark, "own", "own", "X'00'", "CAST(NULL AS BINARY)"), stored(
+            spark, "own", "X'01'", "own", "own", "own", "X'05'")
+    else:
+        make = lambda name, *keys: rows.bronze(rows.products(spark, *[rows.product(k, name=name) for k in keys]), entity, first)
+        spec, held, new = PRODUCTS, make("old", 1, 2, 3), make("old", 2).unionByName(make("new", 3, 4))
+    held = silver.as_inserted(held, spec, first)
+    narrow = silver.silver_changes(new, held, spec)
+    wide = silver.silver_changes(silver.packed(new, spec), held, spec, *spec.columns, "_print", "ingested_at")
+    found = sorted(map(tuple, narrow.collect()))
+    assert sorted(map(tuple, wide.select(*narrow.columns).collect())) == found
+    assert {x[1] for x in found} == {"insert", "update"}
+    want = silver.apply_changes(new, held, narrow, spec, second)
+    place = silver.F.expr(f"pmod(hash({spec.key}), 3)")
+    for given in (None, place):
+        state = silver.apply_changes(None, held, wide, spec, second, place=given)
+        assert sorted(map(str, state.select(*want.columns).collect())) == sorted(map(str, want.collect()))
