@@ -364,3 +364,15 @@ def test_changes_that_carry_their_rows_need_no_batch(spark, entity):
     for given in (None, place):
         state = silver.apply_changes(None, held, wide, spec, second, place=given)
         assert sorted(map(str, state.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_small_bucket_is_one_file_however_it_was_made(spark, warehouse):
+    """Rejected rows in the first batch, changed ones in the second: both states are dealt out by their place."""
+    load(warehouse, "customers", rows.customers(spark, rows.customer()), rows.context("r1", "b1", 1))
+    some = [rows.order(k, status="Gone" if k == 7 else "Pending") for k in range(1, 301)]
+    assert load(warehouse, "orders", rows.orders(spark, *some), rows.context("r2", "b2", 2)) == (299, 0, 1)
+    for day, total in ((3, "1.00"), (4, "2.00")):
+        held = [x for x in warehouse._versions(ORDERS)[0][2] if x is not None]
+        assert [len(spark.read.parquet(f"{warehouse.root}/{x}").inputFiles()) for x in held] == [1] * len(held)
+        changed = [rows.order(k, total=total) for k in range(1, 302)]
+        assert load(warehouse, "orders", rows.orders(spark, *changed), rows.context(f"r{day}", f"b{day}", day)) == (2 if day == 3 else 0, 299 if day == 3 else 301, 0)
